@@ -1,0 +1,44 @@
+"""Registered queries: (spark, sf_dir) -> DataFrame over the whole given tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyspan.plans import metrics as plans
+from tallyspan.sources import fixtures as fx
+
+Query = Callable[[SparkSession, str], DataFrame]
+REGISTRY: dict[str, Query] = {}
+
+
+def query(fn: Query) -> Query:
+    REGISTRY[fn.__name__] = fn
+    return fn
+
+
+@query
+def mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.ordered(plans.license_metrics(*fx.dense(spark, sf_dir)))
+
+
+@query
+def mart_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.ordered(plans.license_metrics(*fx.sparse(spark, sf_dir)))
+
+
+@query
+def mart_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.ordered(plans.license_metrics(*fx.sparse(spark, sf_dir, "edge")))
+
+
+@query
+def mart_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.license_metrics(*fx.with_gaps(spark, sf_dir))
+
+
+@query
+def mart_gaps_colfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.license_metrics(*fx.with_gaps(spark, sf_dir), fill="column")
