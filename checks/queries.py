@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspan.operators import (
+    allocation,
+    dedup,
+    history,
+    metrics,
+    panel,
+    profiling,
+    quality,
+    ranking,
+    spine,
+)
+from tallyspan.operators import upsert as upserts
+from tallyspan.plans import incremental
 from tallyspan.plans import metrics as plans
+from tallyspan.session import scratch_path, store_and_reload
+from tallyspan.sources import files
 from tallyspan.sources import fixtures as fx
+from tallyspan.streaming import changes as changes_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -42,3 +59,487 @@ def mart_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def mart_gaps_colfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.license_metrics(*fx.with_gaps(spark, sf_dir), fill="column")
+
+
+# --- state history and its parts ------------------------------------------------
+
+
+@query
+def stg_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.stage_initial(fx.dense(spark, sf_dir, "edge")[0])
+
+
+@query
+def stg_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.stage_changes(fx.dense_changes(spark, sf_dir))
+
+
+@query
+def initial_not_superseded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.initial_not_superseded(*fx.dense(spark, sf_dir, "edge"))
+
+
+@query
+def state_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.state_history(*fx.dense(spark, sf_dir, "edge"))
+
+
+@query
+def state_history_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.state_history(*fx.sparse(spark, sf_dir))
+
+
+@query
+def dedup_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, changes = fx.with_faults(spark, sf_dir)
+    return dedup.latest_per_key(changes, ["id"], [F.col("ord").desc()])
+
+
+@query
+def first_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, changes = fx.with_faults(spark, sf_dir)
+    return dedup.flag_first_occurrence(changes, "id", "ord").select("id", "ord", "is_first")
+
+
+# --- calendar and grids ---------------------------------------------------------
+
+
+@query
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spine.calendar(spine.calendar_bounds(*fx.sparse(spark, sf_dir, "edge")))
+
+
+@query
+def license_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.license_types(*fx.dense(spark, sf_dir))
+
+
+@query
+def date_type_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.date_type_grid(*fx.sparse(spark, sf_dir))
+
+
+@query
+def densify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    initial, changes = fx.sparse(spark, sf_dir)
+    counts = changes.groupBy("date", "type").agg(F.count("*").alias("n_changes"))
+    return spine.densify(counts, ["type"], spine.calendar_bounds(initial, changes), {"n_changes": 0})
+
+
+# --- panel ----------------------------------------------------------------------
+
+
+@query
+def daily_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.daily_states(*fx.dense(spark, sf_dir, "edge"))
+
+
+@query
+def daily_states_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.daily_states(*fx.with_gaps(spark, sf_dir))
+
+
+@query
+def daily_states_colfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.daily_states(*fx.with_gaps(spark, sf_dir), fill="column")
+
+
+@query
+def asof_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    initial, changes = fx.sparse(spark, sf_dir, "edge")
+    points = changes.select(F.col("id").alias("point_id"), "license_id", F.date_add("date", 45).alias("date"))
+    return panel.asof_lookup(points, history.state_history(initial, changes))
+
+
+@query
+def license_daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel.license_daily_series(history.state_history(*fx.dense(spark, sf_dir)))
+
+
+# --- metrics --------------------------------------------------------------------
+
+
+@query
+def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.daily_metrics(*fx.dense(spark, sf_dir, "edge"))
+
+
+@query
+def daily_metrics_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.daily_metrics(*fx.with_gaps(spark, sf_dir))
+
+
+@query
+def daily_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.daily_price(*fx.dense(spark, sf_dir))
+
+
+@query
+def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.daily_events(*fx.dense(spark, sf_dir))
+
+
+@query
+def panel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a panel in which a licence-day may have several rows: the change log."""
+    initial, changes = fx.dense(spark, sf_dir)
+    bounds = spine.calendar_bounds(initial, changes)
+    return metrics.panel_counts(changes, bounds, [F.col("id").desc()])
+
+
+@query
+def panel_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    initial, changes = fx.dense(spark, sf_dir)
+    return metrics.panel_price(changes, spine.calendar_bounds(initial, changes))
+
+
+@query
+def mart_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.preview(mart(spark, sf_dir), 10)
+
+
+@query
+def gate_min_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    enough = files.has_min_rows(plans.license_metrics(*fx.dense(spark, sf_dir)), 9)
+    return spark.range(1).select(F.lit(9).cast("long").alias("min_rows"), enough.alias("has_min_rows"))
+
+
+@query
+def src_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables to CSV and back, the metrics to CSV and back."""
+    root = scratch_path(spark, "csv")
+    for name, df in zip(("initial", "changes"), fx.dense(spark, sf_dir)):
+        files.write_csv(df, f"{root}/{name}")
+    result = plans.license_metrics(*files.read_licenses(spark, f"{root}/initial", f"{root}/changes"))
+    files.write_csv(result, f"{root}/mart")
+    return files.read_csv(spark, f"{root}/mart", result.schema)
+
+
+# --- quality --------------------------------------------------------------------
+
+
+@query
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(*fx.with_faults(spark, sf_dir))
+
+
+@query
+def dq_flagged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.flag_changes(*fx.with_faults(spark, sf_dir))
+
+
+@query
+def dq_flagged_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.flag_entities(*fx.with_faults(spark, sf_dir), position="ord")
+
+
+@query
+def dq_creation_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.early_changes(*fx.with_faults(spark, sf_dir))
+
+
+@query
+def dq_duplicate_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    initial, _ = fx.with_faults(spark, sf_dir)
+    return dedup.flag_first_occurrence(initial, "id", "ord").where("NOT is_first").select("id", "ord")
+
+
+@query
+def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.orphan_changes(*fx.with_faults(spark, sf_dir))
+
+
+@query
+def dq_unchanged_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as licences, events as their changes: most customers have no event."""
+    initial = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    return quality.unchanged_entities(initial, fx.dense_changes(spark, sf_dir))
+
+
+@query
+def dq_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.failing_rows(*fx.with_faults(spark, sf_dir), kind="type")
+
+
+@query
+def dq_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.failing_rows(*fx.with_faults(spark, sf_dir), kind="price")
+
+
+@query
+def dq_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.distribution_checks(fx.sparse(spark, sf_dir)[0])
+
+
+@query
+def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    initial, changes = fx.with_gaps(spark, sf_dir)
+    counts = ["active_license_count", "inactive_license_count", "active_license_price"]
+    return quality.not_null_report(
+        {
+            "stg_initial": (history.stage_initial(initial), ["license_id", "creation_date", "type"]),
+            "state_history": (history.state_history(initial, changes), ["renewable", "type"]),
+            "mart": (plans.license_metrics(initial, changes), counts),
+        }
+    )
+
+
+@query
+def dq_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    initial, changes = fx.with_gaps(spark, sf_dir)
+    last_day = spine.bounds_column(spine.calendar_bounds(initial, changes))["last_day"]
+    return quality.panel_quality(history.state_intervals(initial, changes, "column"), last_day)
+
+
+@query
+def dq_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.consistency_report(*fx.with_faults(spark, sf_dir), as_of=dt.date(2024, 1, 25))
+
+
+@query
+def price_by_type_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.price_by_type_check(plans.license_metrics(*fx.dense(spark, sf_dir)))
+
+
+@query
+def mart_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    initial, changes = fx.sparse(spark, sf_dir, "edge")
+    bounds = spine.calendar_bounds(initial, changes)
+    return quality.mart_conservation(plans.license_metrics(initial, changes), initial, bounds)
+
+
+# --- profiles -------------------------------------------------------------------
+
+
+@query
+def prof_seasonality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiling.creation_seasonality(fx.sparse(spark, sf_dir)[0])
+
+
+@query
+def prof_customer_concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiling.customer_concentration(fx.sparse(spark, sf_dir)[0])
+
+
+@query
+def prof_changes_per_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiling.changes_per_license(fx.sparse_changes(spark, sf_dir))
+
+
+@query
+def prof_change_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiling.change_count_histogram(fx.sparse_changes(spark, sf_dir))
+
+
+@query
+def prof_price_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiling.price_moves(history.state_history(*fx.sparse(spark, sf_dir)))
+
+
+@query
+def prof_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiling.type_transitions(history.state_history(*fx.sparse(spark, sf_dir)))
+
+
+# --- allocation and log states --------------------------------------------------
+
+
+@query
+def apportion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders split over the customers (keys from 1) by a Pareto weight."""
+    keys = fx.table(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("customer_key"))
+    total = fx.table(spark, sf_dir, "orders").agg(F.count("*")).scalar()
+    return allocation.apportion(keys, "customer_key", total)
+
+
+@query
+def repeat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = profiling.changes_per_license(fx.sparse_changes(spark, sf_dir))
+    return allocation.repeat_rows(counts, "n_changes").select("license_id", "copy")
+
+
+@query
+def assign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = fx.sparse_changes(spark, sf_dir).select("id", "date")
+    return ranking.assign_batches(changes, 1000, [F.col("date"), F.col("id")])
+
+
+@query
+def toggle_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("event_type") == "error", "RENEW_TYPE").otherwise(
+        fx.type_by_remainder(F.col("event_id"))
+    )
+    log = fx.table(spark, sf_dir, "events").select("user_id", "event_id", label.alias("label"))
+    return ranking.toggle_states(log, "user_id", "event_id", "label", width=1000)
+
+
+# --- incremental runs -----------------------------------------------------------
+
+
+def _store(spark: SparkSession) -> incremental.Store:
+    return incremental.Store(scratch_path(spark, "store"))
+
+
+def _half_and_last(changes: DataFrame) -> tuple[int, dt.date]:
+    """The id in the middle of the arrival order, and the last event date."""
+    top_id, last = changes.agg(F.max("id"), F.max("date")).first()
+    return top_id // 2, last
+
+
+@query
+def inc_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start, end = dt.datetime(1996, 1, 1, 10, 0), dt.datetime(1997, 12, 31, 10, 0)
+    return upserts.select_window(fx.sparse_changes(spark, sf_dir), "date", start, end)
+
+
+@query
+def inc_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _store(spark)
+    incremental.run_incremental(spark, *fx.sparse(spark, sf_dir), store, "1996-12-31T10:10:00")
+    return store.targets["changes"].rows(spark)
+
+
+def _overlapping(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Target until 1997 and incoming from 1997 on, which meet in the year 1997."""
+    target = changes.where(F.col("date") < dt.date(1998, 1, 1))
+    incoming = changes.where(F.col("date") >= dt.date(1997, 1, 1)).withColumn("price", F.col("price") + 1)
+    return target, incoming
+
+
+@query
+def inc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, incoming = _overlapping(fx.sparse_changes(spark, sf_dir))
+    return upserts.upsert(target, incoming, "id", [F.col("date").desc()])
+
+
+@query
+def inc_upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, incoming = _overlapping(fx.sparse_changes(spark, sf_dir))
+    newest = [F.col("date").desc()]
+    once = upserts.upsert(target, incoming, "id", newest)
+    return upserts.upsert(once, incoming, "id", newest)
+
+
+@query
+def inc_batches_equal_one_shot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _store(spark)
+    initial, changes = fx.sparse(spark, sf_dir)
+    for as_of in ("1995-06-30T00:00:00", "1997-06-30T00:00:00", "2001-12-31T00:00:00"):
+        incremental.run_incremental(spark, initial, changes, store, as_of)
+    return store.targets["changes"].rows(spark)
+
+
+@query
+def inc_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _store(spark)
+    initial, changes = fx.sparse(spark, sf_dir)
+    for as_of in ("1995-06-30T00:00:00", "1997-06-30T00:00:00"):
+        incremental.run_incremental(spark, initial, changes, store, as_of)
+    return store.checkpoints(spark).select(
+        "run_id",
+        F.to_date("last_data_timestamp").alias("last_data_date"),
+        F.to_date("last_processed_timestamp").alias("last_processed_date"),
+    )
+
+
+@query
+def inc_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly batches of which one failed."""
+    month = F.date_format("date", "yyyy-MM")
+    batches = (
+        fx.sparse_changes(spark, sf_dir)
+        .groupBy(month.alias("month"))
+        .agg(F.min("date").alias("min_event"), F.max("date").alias("max_event"))
+        .withColumn("succeeded", F.col("month") != "1996-03")
+    )
+    epoch = F.lit(dt.date(1970, 1, 1))
+    return upserts.advance_watermarks(batches, epoch, epoch)
+
+
+@query
+def inc_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second half of the log arrives after the first run; a backfill of a year
+    picks up only the rows whose date lies in that year."""
+    store = _store(spark)
+    initial, changes = fx.sparse(spark, sf_dir)
+    half, last = _half_and_last(changes)
+    as_of = dt.datetime(last.year, last.month, last.day)
+    incremental.run_incremental(spark, initial, changes.where(F.col("id") < half), store, as_of)
+    incremental.run_backfill(spark, initial, changes, store, as_of, days=365)
+    return store.targets["changes"].rows(spark)
+
+
+@query
+def late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = fx.sparse_changes(spark, sf_dir)
+    half, _ = _half_and_last(changes)
+    known, incoming = changes.where(F.col("id") < half), changes.where(F.col("id") >= half)
+    watermark = known.agg(F.date_sub(F.max("date"), 365)).scalar()
+    on_time, late = upserts.split_late(incoming, "date", watermark)
+    return on_time.withColumn("is_late", F.lit(False)).unionByName(late.withColumn("is_late", F.lit(True)))
+
+
+@query
+def recompute_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored deltas of the first half of the log plus the second half as late rows."""
+    initial, changes = fx.sparse(spark, sf_dir, "edge")
+    half, _ = _half_and_last(changes)
+    known, late = changes.where(F.col("id") < half), changes.where(F.col("id") >= half)
+    stored = store_and_reload(metrics.interval_deltas(history.state_intervals(initial, known)), "deltas")
+    bounds = store_and_reload(spine.calendar_bounds(initial, known), "bounds")
+    return upserts.recompute_affected(stored, bounds, initial, known, late)
+
+
+@query
+def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that move by 45 days leave their old month and enter the new one."""
+    store = _store(spark)
+    changes = fx.sparse_changes(spark, sf_dir)
+    seen = incremental.EPOCH
+    incremental.commit_run(spark, store, {"changes": changes}, incremental.Checkpoint(1, seen, seen))
+    moved = changes.where(~F.col("renewable")).withColumn("date", F.date_add("date", 45))
+    incremental.commit_run(spark, store, {"changes": moved}, incremental.Checkpoint(2, seen, seen))
+    return store.targets["changes"].read(spark).select("id", "date", "event_month")
+
+
+# --- streams --------------------------------------------------------------------
+
+
+def _as_files(df: DataFrame, label: str, order: str) -> str:
+    """The table as several files of consecutive rows, the input of a file stream."""
+    path = scratch_path(df.sparkSession, label)
+    df.repartitionByRange(8, order).write.parquet(path)
+    return path
+
+
+@query
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event delivered twice, kept once."""
+    events = fx.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    source = _as_files(events.unionByName(events), "events", "ts")
+    stream = changes_stream.read_stream(spark, source, events.schema)
+    output, state = scratch_path(spark, "dedup"), scratch_path(spark, "state")
+    once = changes_stream.dedup_stream(stream, "event_id", "ts", "60 days")
+    changes_stream.run_to_parquet(once.drop("ts"), output, state)
+    return spark.read.parquet(output)
+
+
+@query
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = fx.dense_changes(spark, sf_dir)
+    source = _as_files(changes, "changes", "id")
+    store = _store(spark)
+    stream = changes_stream.read_stream(spark, source, changes.schema)
+    changes_stream.run_upserts(stream, store, scratch_path(spark, "state"))
+    return store.targets["changes"].rows(spark)
+
+
+@query
+def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = fx.table(spark, sf_dir, "events").select("ts", "event_type")
+    source = _as_files(events, "events", "ts")
+    stream = changes_stream.read_stream(spark, source, events.schema)
+    counts = changes_stream.daily_counts_stream(stream, "ts", "event_type", "60 days")
+    output = scratch_path(spark, "counts")
+    changes_stream.run_updates(counts, output, scratch_path(spark, "state"))
+    return changes_stream.latest_updates(spark.read.parquet(output), ["date", "type"])

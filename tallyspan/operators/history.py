@@ -86,15 +86,16 @@ def state_intervals(initial: DataFrame, changes: DataFrame, fill: str = "row") -
     """
     if fill not in ("row", "column"):
         raise ValueError(f"fill must be 'row' or 'column', not {fill!r}")
-    by_day = Window.partitionBy("license_id").orderBy("date")
+    by_day = Window.partitionBy("license_id").orderBy("valid_from")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     visible = (
         state_log(initial, changes)
-        .where(F.col("license_id").isNotNull() & F.col("date").isNotNull())
+        .withColumnRenamed("date", "valid_from")
+        .where(F.col("license_id").isNotNull() & F.col("valid_from").isNotNull())
         .select(
             "license_id",
-            F.col("date").alias("valid_from"),
-            F.lead("date").over(by_day).alias("valid_to"),
+            "valid_from",
+            F.lead("valid_from").over(by_day).alias("valid_to"),
             *ATTRIBUTES,
             F.max("has_initial").over(so_far).alias("is_created"),
         )
@@ -103,12 +104,7 @@ def state_intervals(initial: DataFrame, changes: DataFrame, fill: str = "row") -
     )
     if fill == "row":
         return visible.where(F.col("renewable").isNotNull())
-    known = (
-        Window.partitionBy("license_id")
-        .orderBy("valid_from")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    filled = [F.last(c, ignorenulls=True).over(known).alias(c) for c in ATTRIBUTES]
+    filled = [F.last(c, ignorenulls=True).over(so_far).alias(c) for c in ATTRIBUTES]
     return visible.select("license_id", "valid_from", "valid_to", *filled)
 
 
