@@ -148,7 +148,7 @@ def daily_states_colfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def asof_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     initial, changes = fx.sparse(spark, sf_dir, "edge")
     points = changes.select(F.col("id").alias("point_id"), "license_id", F.date_add("date", 45).alias("date"))
-    return panel.asof_lookup(points, history.state_history(initial, changes))
+    return panel.asof_lookup(points, history.state_history(initial, changes), "point_id")
 
 
 @query
@@ -287,8 +287,8 @@ def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dq_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     initial, changes = fx.with_gaps(spark, sf_dir)
-    last_day = spine.bounds_column(spine.calendar_bounds(initial, changes))["last_day"]
-    return quality.panel_quality(history.state_intervals(initial, changes, "column"), last_day)
+    bounds = spine.calendar_bounds(initial, changes)
+    return quality.panel_quality(history.state_intervals(initial, changes, "column"), bounds)
 
 
 @query
@@ -366,10 +366,8 @@ def assign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def toggle_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    label = F.when(F.col("event_type") == "error", "RENEW_TYPE").otherwise(
-        fx.type_by_remainder(F.col("event_id"))
-    )
-    log = fx.table(spark, sf_dir, "events").select("user_id", "event_id", label.alias("label"))
+    label = f"if(event_type = 'error', 'RENEW_TYPE', {fx.type_by_remainder('event_id')}) AS label"
+    log = fx.table(spark, sf_dir, "events").selectExpr("user_id", "event_id", label)
     return ranking.toggle_states(log, "user_id", "event_id", "label", width=1000)
 
 

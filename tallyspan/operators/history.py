@@ -53,17 +53,24 @@ def state_log(initial: DataFrame, changes: DataFrame) -> DataFrame:
     beats a lower one.  The maximum is taken before and after the shuffle, so a hot
     licence sends at most one row per day from each map task.
     """
-    daily = changes.withColumn("date", F.col("date").cast("date")).select(
-        *STATE_COLUMNS, F.lit(False).alias("is_initial")
+    daily = changes.selectExpr(
+        "license_id", "date(date) AS date", "false AS is_initial", "id", "renewable", "price", "type"
     )
-    both = daily.unionByName(initial_states(initial).withColumn("is_initial", F.lit(True)))
-    newest = F.max(
-        F.struct((~F.col("is_initial")).alias("is_change"), "id", "renewable", "price", "type")
+    created = initial.selectExpr(
+        "id AS license_id",
+        "date(creation_date) AS date",
+        "true AS is_initial",
+        f"{INITIAL_STATE_ID}L AS id",
+        "renewable",
+        "price",
+        "type",
     )
+    newest = "max(struct(NOT is_initial AS is_change, id, renewable, price, type)) AS s"
     return (
-        both.groupBy("license_id", "date")
-        .agg(newest.alias("s"), F.bool_or("is_initial").alias("has_initial"))
-        .select("license_id", "date", "s.renewable", "s.price", "s.type", "s.id", "has_initial")
+        daily.union(created)
+        .groupBy("license_id", "date")
+        .agg(F.expr(newest), F.expr("bool_or(is_initial) AS has_initial"))
+        .selectExpr("license_id", "date", "s.renewable", "s.price", "s.type", "s.id", "has_initial")
     )
 
 
@@ -86,26 +93,26 @@ def state_intervals(initial: DataFrame, changes: DataFrame, fill: str = "row") -
     """
     if fill not in ("row", "column"):
         raise ValueError(f"fill must be 'row' or 'column', not {fill!r}")
-    by_day = Window.partitionBy("license_id").orderBy("valid_from")
-    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    by_day = "OVER (PARTITION BY license_id ORDER BY valid_from)"
+    so_far = "OVER (PARTITION BY license_id ORDER BY valid_from ROWS UNBOUNDED PRECEDING)"
     visible = (
         state_log(initial, changes)
         .withColumnRenamed("date", "valid_from")
-        .where(F.col("license_id").isNotNull() & F.col("valid_from").isNotNull())
-        .select(
+        .where("license_id IS NOT NULL AND valid_from IS NOT NULL")
+        .selectExpr(
             "license_id",
             "valid_from",
-            F.lead("valid_from").over(by_day).alias("valid_to"),
+            f"lead(valid_from) {by_day} AS valid_to",
             *ATTRIBUTES,
-            F.max("has_initial").over(so_far).alias("is_created"),
+            f"max(has_initial) {so_far} AS is_created",
         )
         .where("is_created")
         .drop("is_created")
     )
     if fill == "row":
-        return visible.where(F.col("renewable").isNotNull())
-    filled = [F.last(c, ignorenulls=True).over(so_far).alias(c) for c in ATTRIBUTES]
-    return visible.select("license_id", "valid_from", "valid_to", *filled)
+        return visible.where("renewable IS NOT NULL")
+    filled = [f"last({c}, true) {so_far} AS {c}" for c in ATTRIBUTES]
+    return visible.selectExpr("license_id", "valid_from", "valid_to", *filled)
 
 
 def activation_flags(states: DataFrame) -> DataFrame:

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions.columns import active_value
 from tallyspan.operators.dedup import latest_per_key
-from tallyspan.operators.spine import bounds_column, days_between, densify
-from tallyspan.schemas import MART_COLUMNS
+from tallyspan.operators.spine import densify, with_bounds
 
 # members: licences of the type; priced: those whose price enters the sum.
 MEASURES = ["members", "active", "inactive", "price", "priced"]
@@ -22,22 +21,27 @@ MEASURES = ["members", "active", "inactive", "price", "priced"]
 
 def interval_deltas(intervals: DataFrame) -> DataFrame:
     """Deltas per (date, type); ``starts`` counts the intervals that begin there."""
-    flag = {
-        "members": F.lit(1),
-        "active": F.coalesce(F.col("renewable").cast("int"), F.lit(0)),
-        "inactive": F.coalesce((~F.col("renewable")).cast("int"), F.lit(0)),
-        "price": F.coalesce(active_value(F.col("renewable"), F.col("price")), F.lit(0)),
-        "priced": F.when(F.col("renewable") & F.col("price").isNull(), 0).otherwise(1),
-    }
+    measured = intervals.selectExpr(
+        "type",
+        "valid_from",
+        "valid_to",
+        "1L AS members",
+        "int(renewable <=> true) AS active",
+        "int(renewable <=> false) AS inactive",
+        "coalesce(if(renewable, price, 0), 0) AS price",
+        "int(NOT (renewable <=> true AND price IS NULL)) AS priced",
+    )
+    began = ", ".join(f"{m}" for m in MEASURES)
+    ended = ", ".join(f"-{m}" for m in MEASURES)
+    edges = measured.selectExpr(
+        "type", f"stack(2, valid_from, 1, {began}, valid_to, 0, {ended}) AS (date, starts, {began})"
+    )
+    return _sum_deltas(edges.where("date IS NOT NULL"))
 
-    def edge(day: str, sign: int) -> Column:
-        signed = [(value.cast("long") * sign).alias(name) for name, value in flag.items()]
-        return F.struct(F.col(day).alias("date"), *signed, F.lit(int(sign > 0)).cast("long").alias("starts"))
 
-    edges = intervals.select("type", F.inline(F.array(edge("valid_from", 1), edge("valid_to", -1))))
-    return edges.where(F.col("date").isNotNull()).groupBy("date", "type").agg(
-        *[F.sum(c).alias(c) for c in (*MEASURES, "starts")]
-    )
+def _sum_deltas(rows: DataFrame) -> DataFrame:
+    sums = [F.expr(f"sum({m}) AS {m}") for m in (*MEASURES, "starts")]
+    return rows.groupBy("date", "type").agg(*sums)
 
 
 def add_deltas(*parts: DataFrame) -> DataFrame:
@@ -45,11 +49,11 @@ def add_deltas(*parts: DataFrame) -> DataFrame:
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)
-    return merged.groupBy("date", "type").agg(*[F.sum(c).alias(c) for c in (*MEASURES, "starts")])
+    return _sum_deltas(merged)
 
 
 def negate_deltas(deltas: DataFrame) -> DataFrame:
-    return deltas.select("date", "type", *[(-F.col(c)).alias(c) for c in (*MEASURES, "starts")])
+    return deltas.selectExpr("date", "type", *[f"-{m} AS {m}" for m in (*MEASURES, "starts")])
 
 
 def daily_levels(deltas: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -59,29 +63,27 @@ def daily_levels(deltas: DataFrame, bounds: DataFrame) -> DataFrame:
     one also covers the days before it with zeros.  The window sees one row per day
     and type, and there is neither a grid nor a join.
     """
-    span = bounds_column(bounds)
-    by_day = Window.partitionBy("type").orderBy("date")
-    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = deltas.select(
+    by_day = "OVER (PARTITION BY type ORDER BY date)"
+    so_far = "OVER (PARTITION BY type ORDER BY date ROWS UNBOUNDED PRECEDING)"
+    steps = deltas.selectExpr(
         "type",
-        F.col("date").alias("step"),
-        F.lead("date").over(by_day).alias("next_step"),
-        F.lag("date").over(by_day).alias("previous_step"),
-        F.sum("starts").over(Window.partitionBy("type")).alias("type_starts"),
-        *[F.sum(c).over(so_far).alias(c) for c in MEASURES],
-        *[F.col(c).alias(f"{c}_delta") for c in MEASURES],
+        "date AS step",
+        f"lead(date) {by_day} AS next_step",
+        f"lag(date) {by_day} AS previous_step",
+        "sum(starts) OVER (PARTITION BY type) AS type_starts",
+        *[f"sum({m}) {so_far} AS {m}" for m in MEASURES],
+        *[f"{m} AS {m}_delta" for m in MEASURES],
     ).where("type_starts > 0")
-    start = F.when(F.col("previous_step").isNull(), F.least(span["first_day"], F.col("step"))).otherwise(F.col("step"))
-    until = F.coalesce(F.date_sub("next_step", 1), span["last_day"])
-    days = steps.withColumn("date", F.explode(days_between(start, until)))
-    reached = F.col("date") >= F.col("step")
-    moved = (F.col("date") == F.col("step")) & (F.col("date") != span["first_day"])
-    zero = F.lit(0).cast("long")
-    return days.select(
+    days = with_bounds(steps, bounds).selectExpr(
+        "*",
+        """explode(sequence(if(previous_step IS NULL, least(span.first_day, step), step),
+                            coalesce(date_sub(next_step, 1), span.last_day))) AS date""",
+    )
+    return days.selectExpr(
         "date",
         "type",
-        *[F.when(reached, F.col(c)).otherwise(zero).alias(c) for c in MEASURES],
-        *[F.when(moved, F.col(f"{c}_delta")).otherwise(zero).alias(f"{c}_diff") for c in MEASURES],
+        *[f"if(date >= step, {m}, 0L) AS {m}" for m in MEASURES],
+        *[f"if(date = step AND date <> span.first_day, {m}_delta, 0L) AS {m}_diff" for m in MEASURES],
     )
 
 
@@ -95,9 +97,8 @@ def mart_from_deltas(deltas: DataFrame, bounds: DataFrame) -> DataFrame:
         "daily_price_diff": "price_diff",
         "daily_inactive_diff": "inactive_diff",
     }
-    typed = F.col("type").isNotNull()
-    columns = [F.when(typed, F.col(c)).otherwise(F.lit(0).cast("long")).alias(n) for n, c in named.items()]
-    return daily_levels(deltas, bounds).select("date", "type", *columns).select(*MART_COLUMNS)
+    columns = [f"if(type IS NOT NULL, {source}, 0L) AS {name}" for name, source in named.items()]
+    return daily_levels(deltas, bounds).selectExpr("date", "type", *columns)
 
 
 def sparse_metrics(deltas: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -108,12 +109,12 @@ def sparse_metrics(deltas: DataFrame, bounds: DataFrame) -> DataFrame:
     return (
         daily_levels(deltas, bounds)
         .where("members > 0")
-        .select(
+        .selectExpr(
             "date",
             "type",
-            F.col("active").alias("active_license_count"),
-            F.col("inactive").alias("inactive_license_count"),
-            F.when(F.col("priced") > 0, F.col("price")).alias("active_license_price"),
+            "active AS active_license_count",
+            "inactive AS inactive_license_count",
+            "if(priced > 0, price, NULL) AS active_license_price",
         )
     )
 
@@ -153,6 +154,4 @@ def daily_events(states: DataFrame, bounds: DataFrame) -> DataFrame:
     events = states.groupBy("date", "type").agg(
         F.sum("activated").alias("activated_licenses"), F.sum("deactivated").alias("deactivated_licenses")
     )
-    return densify(
-        events, ["type"], bounds, {"activated_licenses": 0, "deactivated_licenses": 0}, axis=states
-    )
+    return densify(events, ["type"], bounds, {"activated_licenses": 0, "deactivated_licenses": 0})

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.operators.history import ATTRIBUTES, state_intervals
-from tallyspan.operators.spine import bounds_column, calendar_bounds, days_between
+from tallyspan.operators.skew import hot_safe_join
+from tallyspan.operators.spine import calendar_bounds, days_between, with_bounds
 
 
 def daily_states(initial: DataFrame, changes: DataFrame, fill: str = "row") -> DataFrame:
@@ -15,20 +16,19 @@ def daily_states(initial: DataFrame, changes: DataFrame, fill: str = "row") -> D
     Each interval explodes into its own days: no grid and no range join.  Ask for
     it only if the rows themselves are wanted; the metrics do not need it.
     """
-    last_day = bounds_column(calendar_bounds(initial, changes))["last_day"]
-    until = F.coalesce(F.date_sub("valid_to", 1), last_day)
-    return state_intervals(initial, changes, fill).select(
-        "license_id", F.explode(days_between(F.col("valid_from"), until)).alias("date"), "renewable", "type", "price"
-    )
+    intervals = with_bounds(state_intervals(initial, changes, fill), calendar_bounds(initial, changes))
+    days = days_between("valid_from", "coalesce(date_sub(valid_to, 1), span.last_day)")
+    return intervals.selectExpr("license_id", f"explode({days}) AS date", "renewable", "type", "price")
 
 
-def asof_lookup(points: DataFrame, states: DataFrame) -> DataFrame:
+def asof_lookup(points: DataFrame, states: DataFrame, point_id: str) -> DataFrame:
     """Add to each point (license_id, date, ...) the state in force on that day.
 
     The distinct licence-days of the points are merged into the state rows and a
     running ``last`` carries the state forward, so a licence costs at most two rows
     per day there and no pair of point and older state is ever formed.  The answer
-    is then joined back on (license_id, date).  Points before the first state get NULLs.
+    is then joined back on (license_id, date); ``point_id`` cuts up a hot licence-day.
+    Points before the first state get NULLs.
     """
     carried = F.struct(F.col("date").alias("state_date"), *ATTRIBUTES)
     known = states.select("license_id", "date", carried.alias("state"), F.lit(False).alias("is_point"))
@@ -49,13 +49,13 @@ def asof_lookup(points: DataFrame, states: DataFrame) -> DataFrame:
         .where("is_point")
         .select("license_id", "date", "state.*")
     )
-    return points.join(answers, ["license_id", "date"], "left")
+    return hot_safe_join(points, answers, ["license_id", "date"], point_id)
 
 
 def license_daily_series(states: DataFrame) -> DataFrame:
     """``renewable`` per licence and day, from its own first to its own last state."""
-    following = F.lead("date").over(Window.partitionBy("license_id").orderBy("date"))
-    until = F.coalesce(F.date_sub("next_date", 1), F.col("date"))
-    return states.withColumn("next_date", following).select(
-        "license_id", F.explode(days_between(F.col("date"), until)).alias("date"), "renewable"
+    following = "lead(date) OVER (PARTITION BY license_id ORDER BY date) AS next_date"
+    days = days_between("date", "coalesce(date_sub(next_date, 1), date)")
+    return states.selectExpr("license_id", "date", "renewable", following).selectExpr(
+        "license_id", f"explode({days}) AS date", "renewable"
     )

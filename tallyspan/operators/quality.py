@@ -1,7 +1,7 @@
 """Row rules, key rules and their reports.
 
-All row rules of a table run in one aggregation.  Rules across tables count changes
-per licence-day first, so a hot licence reaches the join as at most one row per day.
+All rules of a table run in one aggregation.  Rules across tables count rows per
+licence and day first, so a hot licence reaches the window as one row per day.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tallyspan.functions.columns import is_accepted_price, is_accepted_type, share, unit_price
 from tallyspan.operators.dedup import flag_first_occurrence
-from tallyspan.operators.spine import densify
+from tallyspan.operators.skew import hot_safe_join
+from tallyspan.operators.spine import densify, with_bounds
 from tallyspan.schemas import CHANGES_SCHEMA, INITIAL_SCHEMA
 
 CHANGES = "license_changes"
@@ -66,29 +67,38 @@ def consistency_rules(as_of: date) -> list[Rule]:
     return [*rules, Rule("entity_type_accepted", ENTITIES, lambda: is_accepted_type(F.col("type")))]
 
 
-def _as_report(totals: DataFrame, entries: Sequence[tuple[str, str, Column, Column]]) -> DataFrame:
+def _as_report(totals: DataFrame, entries: Sequence[tuple[str, str, str, str]]) -> DataFrame:
     """One-row totals to one report row per (rule, table, checked, failed)."""
-    rows = [
-        F.struct(
-            F.lit(rule).alias("rule"),
-            F.lit(table).alias("table_name"),
-            F.coalesce(checked, F.lit(0)).cast("long").alias("checked"),
-            F.coalesce(failed, F.lit(0)).cast("long").alias("failed"),
-        )
+    rows = ", ".join(
+        f"struct('{rule}' AS rule, '{table}' AS table_name, coalesce({checked}, 0L) AS checked, "
+        f"coalesce({failed}, 0L) AS failed)"
         for rule, table, checked, failed in entries
-    ]
-    return totals.select(F.inline(F.array(*rows))).withColumn("failed_ratio", share(F.col("failed"), F.col("checked")))
+    )
+    return totals.selectExpr(f"inline(array({rows}))").withColumn(
+        "failed_ratio", share(F.col("failed"), F.col("checked"))
+    )
+
+
+def _union(reports: Sequence[DataFrame]) -> DataFrame:
+    merged = reports[0]
+    for report in reports[1:]:
+        merged = merged.unionByName(report)
+    return merged
 
 
-def row_rule_report(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
-    """Failure count and ratio of every row rule of one table, in one pass."""
+def row_rule_report(df: DataFrame, table: str, rules: Sequence[Rule], unique_id: str | None = None) -> DataFrame:
+    """Failure count and ratio of every row rule of one table, in one pass.
+
+    ``unique_id`` names an extra rule: every row of an ``id`` after its first fails.
+    """
     own = [r for r in rules if r.table == table]
-    totals = df.agg(
-        F.count("*").alias("checked"), *[F.count_if(~r.passed()).alias(f"f{i}") for i, r in enumerate(own)]
-    )
-    return _as_report(
-        totals, [(r.name, table, F.col("checked"), F.col(f"f{i}")) for i, r in enumerate(own)]
-    )
+    counts = [F.count("*").alias("checked"), *[F.count_if(~r.passed()).alias(f"f{i}") for i, r in enumerate(own)]]
+    entries = [(r.name, table, "checked", f"f{i}") for i, r in enumerate(own)]
+    if unique_id:
+        null_copies = F.greatest(F.count_if(F.col("id").isNull()) - 1, F.lit(0))
+        counts.append((F.count("id") - F.countDistinct("id") + null_copies).alias("copies"))
+        entries.append((unique_id, table, "checked", "copies"))
+    return _as_report(df.agg(*counts), entries)
 
 
 def entity_keys(initial: DataFrame) -> DataFrame:
@@ -98,73 +108,69 @@ def entity_keys(initial: DataFrame) -> DataFrame:
     )
 
 
-def unique_id_report(df: DataFrame, table: str, rule: str) -> DataFrame:
-    """Every row of an id after the first one counts as failed."""
-    totals = df.groupBy("id").count().agg(F.sum("count").alias("n"), F.sum(F.col("count") - 1).alias("extra"))
-    return _as_report(totals, [(rule, table, F.col("n"), F.col("extra"))])
+def quality_report(initial: DataFrame, changes: DataFrame) -> DataFrame:
+    """All validation rules: (rule, table_name, checked, failed, failed_ratio).
+    The ratio is over the rows of the rule's own table.
 
+    One scan of each table: the rows of both are counted per licence and day, with the
+    failures of their row rules.  A window over these counts, at most one row per day
+    for each licence, then answers the rules that compare the two tables.
+    """
+    rules = {r.name: r for r in VALIDATION_RULES}
+    names = list(rules)
 
-def change_reference_report(initial: DataFrame, changes: DataFrame) -> DataFrame:
-    """Changes before the creation of their licence, and changes without a licence."""
-    daily = changes.groupBy("license_id", "date").agg(F.count("*").alias("n"))
-    known = entity_keys(initial).select("license_id", "creation_date", F.lit(True).alias("known"))
-    totals = daily.join(known, "license_id", "left").agg(
-        F.sum("n").alias("checked"),
-        F.sum(F.when(F.coalesce(F.col("date") >= F.col("creation_date"), F.lit(False)), 0).otherwise(F.col("n"))).alias(
-            "early"
-        ),
-        F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("orphan"),
+    def tagged(df: DataFrame, table: str, key: str, day: str) -> DataFrame:
+        fails = [
+            (~r.passed()).cast("int").alias(n) if r.table == table else F.lit(0).alias(n) for n, r in rules.items()
+        ]
+        own = F.lit(int(table == CHANGES)).alias("change"), F.lit(int(table == ENTITIES)).alias("entity")
+        return df.select(F.col(key).alias("license_id"), F.col(day).alias("date"), *own, *fails)
+
+    rows = tagged(changes, CHANGES, "license_id", "date").union(tagged(initial, ENTITIES, "id", "creation_date"))
+    daily = rows.groupBy("license_id", "date").agg(*[F.sum(c).alias(c) for c in ("change", "entity", *names)])
+    by_day = "OVER (PARTITION BY license_id ORDER BY date"
+    so_far, whole = f"{by_day} ROWS UNBOUNDED PRECEDING)", f"{by_day} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    seen = daily.selectExpr(
+        "*",
+        f"max(license_id IS NOT NULL AND date IS NOT NULL AND entity > 0) {so_far} AS created",
+        f"license_id IS NOT NULL AND max(entity > 0) {whole} AS has_entity",
+        f"license_id IS NOT NULL AND max(change > 0) {whole} AS has_change",
+        f"max(entity > 0) {whole} AND row_number() {by_day}) = 1 AS is_entity_key",
+    )
+    totals = seen.agg(
+        *[F.expr(f"sum({c}) AS {c}") for c in ("change", "entity", *names)],
+        F.expr("sum(if(created, 0, change)) AS early"),
+        F.expr("sum(if(has_entity, 0, change)) AS orphan"),
+        F.expr("sum(if(has_change, 0, entity)) AS unchanged"),
+        F.expr("sum(entity) - count_if(is_entity_key) AS copies"),
     )
+    checked = {CHANGES: "change", ENTITIES: "entity"}
     return _as_report(
         totals,
         [
-            ("change_not_before_creation", CHANGES, F.col("checked"), F.col("early")),
-            ("change_has_entity", CHANGES, F.col("checked"), F.col("orphan")),
+            *[(n, r.table, checked[r.table], n) for n, r in rules.items()],
+            ("change_not_before_creation", CHANGES, "change", "early"),
+            ("change_has_entity", CHANGES, "change", "orphan"),
+            ("entity_has_change", ENTITIES, "entity", "unchanged"),
+            ("entity_id_unique", ENTITIES, "entity", "copies"),
         ],
     )
 
 
-def entity_reference_report(initial: DataFrame, changes: DataFrame) -> DataFrame:
-    """Entity rows that no change refers to."""
-    changed = changes.select("license_id").distinct().withColumn("changed", F.lit(True))
-    totals = (
-        entity_keys(initial)
-        .join(changed, "license_id", "left")
-        .agg(
-            F.sum("n_rows").alias("checked"),
-            F.sum(F.when(F.col("changed").isNull(), F.col("n_rows")).otherwise(0)).alias("unchanged"),
-        )
-    )
-    return _as_report(totals, [("entity_has_change", ENTITIES, F.col("checked"), F.col("unchanged"))])
-
-
-def quality_report(initial: DataFrame, changes: DataFrame) -> DataFrame:
-    """All validation rules: (rule, table_name, checked, failed, failed_ratio).
-    The ratio is over the rows of the rule's own table."""
-    return (
-        row_rule_report(changes, CHANGES, VALIDATION_RULES)
-        .unionByName(row_rule_report(initial, ENTITIES, VALIDATION_RULES))
-        .unionByName(change_reference_report(initial, changes))
-        .unionByName(entity_reference_report(initial, changes))
-        .unionByName(unique_id_report(initial, ENTITIES, "entity_id_unique"))
-    )
-
-
 def consistency_report(initial: DataFrame, changes: DataFrame, as_of: date) -> DataFrame:
     rules = consistency_rules(as_of)
-    return (
-        row_rule_report(initial, ENTITIES, rules)
-        .unionByName(row_rule_report(changes, CHANGES, rules))
-        .unionByName(unique_id_report(initial, ENTITIES, "entity_id_unique"))
-        .unionByName(unique_id_report(changes, CHANGES, "change_id_unique"))
+    return _union(
+        [
+            row_rule_report(initial, ENTITIES, rules, "entity_id_unique"),
+            row_rule_report(changes, CHANGES, rules, "change_id_unique"),
+        ]
     )
 
 
 def flag_changes(initial: DataFrame, changes: DataFrame) -> DataFrame:
     """Every change with one column per rule and ``is_valid``.
 
-    The entity side has one row per id.  A hot licence skews only the change side of
-    this join, which AQE splits because nothing after it needs the partitioning.
+    The entity side has one row per id; the changes of a hot licence are cut up.
     """
     known = entity_keys(initial).select("license_id", "creation_date", F.lit(True).alias("_known"))
     flags = {
@@ -172,20 +178,20 @@ def flag_changes(initial: DataFrame, changes: DataFrame) -> DataFrame:
         "change_has_entity": F.col("_known").isNotNull(),
         **{r.name: r.passed() for r in VALIDATION_RULES if r.table == CHANGES},
     }
-    flagged = changes.join(known, "license_id", "left").withColumns(flags)
+    flagged = hot_safe_join(changes, known, ["license_id"], "id").withColumns(flags)
     return _with_is_valid(flagged, list(flags)).select(*changes.columns, *flags, "is_valid")
 
 
 def flag_entities(initial: DataFrame, changes: DataFrame, position: str) -> DataFrame:
     """Every entity row with one column per rule and ``is_valid``.
     ``position`` tells repeated ids apart: the lowest one is the valid row."""
-    changed = changes.select(F.col("license_id").alias("_changed_id")).distinct()
+    changed = changes.select(F.col("license_id").alias("id")).distinct().withColumn("_changed", F.lit(True))
     flags = {
-        "entity_has_change": F.col("_changed_id").isNotNull(),
+        "entity_has_change": F.col("_changed").isNotNull(),
         **{r.name: r.passed() for r in VALIDATION_RULES if r.table == ENTITIES},
     }
     unique = flag_first_occurrence(initial, "id", position, "entity_id_unique")
-    flagged = unique.join(changed, F.col("id") == F.col("_changed_id"), "left").withColumns(flags)
+    flagged = hot_safe_join(unique, changed, ["id"], position).withColumns(flags)
     names = ["entity_id_unique", *flags]
     return _with_is_valid(flagged, names).select(*initial.columns, *names, "is_valid")
 
@@ -199,7 +205,8 @@ def early_changes(initial: DataFrame, changes: DataFrame) -> DataFrame:
     orphan)."""
     known = entity_keys(initial).select("license_id", "creation_date")
     ok = F.coalesce(F.col("date") >= F.col("creation_date"), F.lit(False))
-    return changes.join(known, "license_id", "left").where(~ok).select("id", "license_id", "date", "creation_date")
+    dated = hot_safe_join(changes, known, ["license_id"], "id")
+    return dated.where(~ok).select("id", "license_id", "date", "creation_date")
 
 
 def orphan_changes(initial: DataFrame, changes: DataFrame) -> DataFrame:
@@ -241,39 +248,30 @@ def not_null_report(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataF
         totals = df.agg(
             F.count("*").alias("checked"), *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in columns]
         )
-        reports.append(
-            _as_report(totals, [(f"{c}_not_null", name, F.col("checked"), F.col(f"n_{c}")) for c in columns])
-        )
-    merged = reports[0]
-    for report in reports[1:]:
-        merged = merged.unionByName(report)
-    return merged
+        reports.append(_as_report(totals, [(f"{c}_not_null", name, "checked", f"n_{c}") for c in columns]))
+    return _union(reports)
 
 
-def panel_quality(intervals: DataFrame, last_day: Column) -> DataFrame:
+def panel_quality(intervals: DataFrame, bounds: DataFrame) -> DataFrame:
     """Daily-panel rules: key columns not NULL and ``renewable`` true or false.
 
     An interval stands for its days, so days are counted and not generated.
     """
-    until = F.coalesce(F.col("valid_to"), F.date_add(last_day, 1))
-    days = F.datediff(until, F.col("valid_from"))
-    weighed = intervals.withColumn("days", days)
-
-    def failed(bad: Column) -> Column:
-        return F.sum(F.when(bad, F.col("days")).otherwise(0))
-
+    weighed = with_bounds(intervals, bounds).selectExpr(
+        "*", "datediff(coalesce(valid_to, date_add(span.last_day, 1)), valid_from) AS days"
+    )
     totals = weighed.agg(
-        F.sum("days").alias("checked"),
-        failed(F.col("license_id").isNull()).alias("no_license"),
-        failed(F.col("valid_from").isNull()).alias("no_date"),
-        failed(~F.coalesce(F.col("renewable").isin(True, False), F.lit(False))).alias("no_flag"),
+        F.expr("sum(days) AS checked"),
+        F.expr("sum(if(license_id IS NULL, days, 0)) AS no_license"),
+        F.expr("sum(if(valid_from IS NULL, days, 0)) AS no_date"),
+        F.expr("sum(if(coalesce(renewable IN (true, false), false), 0, days)) AS no_flag"),
     )
     return _as_report(
         totals,
         [
-            ("license_id_not_null", "daily_states", F.col("checked"), F.col("no_license")),
-            ("date_not_null", "daily_states", F.col("checked"), F.col("no_date")),
-            ("renewable_accepted", "daily_states", F.col("checked"), F.col("no_flag")),
+            ("license_id_not_null", "daily_states", "checked", "no_license"),
+            ("date_not_null", "daily_states", "checked", "no_date"),
+            ("renewable_accepted", "daily_states", "checked", "no_flag"),
         ],
     )
 

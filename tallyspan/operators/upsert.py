@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tallyspan.operators import metrics
 from tallyspan.operators.dedup import latest_per_key
 from tallyspan.operators.history import state_intervals
+from tallyspan.operators.skew import hot_safe_join
 
 
 def upsert(target: DataFrame, incoming: DataFrame, key: str, newest_first: Sequence[Column]) -> DataFrame:
@@ -63,7 +64,7 @@ def correction_deltas(initial: DataFrame, known: DataFrame, late: DataFrame) ->
     licences they touch.  Only those licences are read into the state history."""
     touched = late.select("license_id").distinct()
     entities = initial.join(touched, initial["id"] == touched["license_id"], "left_semi")
-    before = known.join(touched, "license_id", "left_semi")
+    before = hot_safe_join(known, touched, ["license_id"], "id", "left_semi")
     after = before.unionByName(late)
     old = metrics.interval_deltas(state_intervals(entities, before))
     new = metrics.interval_deltas(state_intervals(entities, after))

@@ -35,8 +35,7 @@ def license_types(initial: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def date_type_grid(initial: DataFrame, changes: DataFrame) -> DataFrame:
-    grid = spine.calendar_grid(license_types(initial, changes), spine.calendar_bounds(initial, changes))
-    return grid.select("date", "type")
+    return spine.calendar_grid(license_types(initial, changes), spine.calendar_bounds(initial, changes))
 
 
 def daily_events(initial: DataFrame, changes: DataFrame) -> DataFrame:

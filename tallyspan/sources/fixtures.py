@@ -7,31 +7,34 @@ changes; the ``edge`` variant adds changes before creation and orphan changes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.functions.columns import unit_price
-
-CHANGE_COLUMNS = ["id", "license_id", "date", "price", "type", "renewable"]
+from tallyspan.schemas import UNIT_PRICES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def type_by_remainder(key: Column) -> Column:
-    return F.when(key % 3 == 0, "PASS").when(key % 3 == 1, "SIM").otherwise("SUPERVISION")
+def type_by_remainder(key: str) -> str:
+    return f"CASE {key} % 3 WHEN 0 THEN 'PASS' WHEN 1 THEN 'SIM' ELSE 'SUPERVISION' END"
+
+
+def list_price(kind: str) -> str:
+    cases = " ".join(f"WHEN '{name}' THEN {price}L" for name, price in UNIT_PRICES.items())
+    return f"CASE {kind} {cases} END"
 
 
 def event_changes(events: DataFrame) -> DataFrame:
-    """Change rows from event rows; also used on a stream of events."""
-    return events.select(
-        F.col("event_id").alias("id"),
-        F.col("user_id").alias("license_id"),
-        F.col("ts").cast("date").alias("date"),
-        unit_price(type_by_remainder(F.col("event_id"))).alias("price"),
-        type_by_remainder(F.col("event_id")).alias("type"),
-        (F.col("event_type") != "error").alias("renewable"),
+    kind = type_by_remainder("event_id")
+    return events.selectExpr(
+        "event_id AS id",
+        "user_id AS license_id",
+        "date(ts) AS date",
+        f"{list_price(kind)} AS price",
+        f"{kind} AS type",
+        "event_type <> 'error' AS renewable",
     )
 
 
@@ -40,36 +43,32 @@ def dense_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sparse_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priority = F.col("o_orderpriority")
-    kind = (
-        F.when(priority == "1-URGENT", "SUPERVISION")
-        .when(priority.isin("2-HIGH", "3-MEDIUM"), "SIM")
-        .otherwise("PASS")
-    )
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("license_id"),
-        F.col("o_orderdate").cast("date").alias("date"),
-        unit_price(kind).alias("price"),
-        kind.alias("type"),
-        (F.col("o_orderstatus") != "F").alias("renewable"),
+    kind = """CASE o_orderpriority WHEN '1-URGENT' THEN 'SUPERVISION' WHEN '2-HIGH' THEN 'SIM'
+              WHEN '3-MEDIUM' THEN 'SIM' ELSE 'PASS' END"""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id",
+        "o_custkey AS license_id",
+        "date(o_orderdate) AS date",
+        f"{list_price(kind)} AS price",
+        f"{kind} AS type",
+        "o_orderstatus <> 'F' AS renewable",
     )
 
 
 def entities(changes: DataFrame, variant: str = "plain") -> DataFrame:
     first = changes.groupBy("license_id").agg(F.min("date").alias("first_date"))
-    created = F.date_sub("first_date", 2)
+    created = "date_sub(first_date, 2)"
     if variant == "edge":
-        created = F.when(F.col("license_id") % 3 == 0, F.date_add("first_date", 3)).otherwise(created)
+        created = f"if(license_id % 3 = 0, date_add(first_date, 3), {created})"
         first = first.where("license_id % 7 <> 5")
-    kind = type_by_remainder(F.col("license_id"))
-    return first.select(
-        F.col("license_id").alias("id"),
-        (F.col("license_id") % 40).alias("customer_id"),
-        kind.alias("type"),
-        created.alias("creation_date"),
-        unit_price(kind).alias("price"),
-        F.lit(True).alias("renewable"),
+    kind = type_by_remainder("license_id")
+    return first.selectExpr(
+        "license_id AS id",
+        "license_id % 40 AS customer_id",
+        f"{kind} AS type",
+        f"{created} AS creation_date",
+        f"{list_price(kind)} AS price",
+        "true AS renewable",
     )
 
 
@@ -87,14 +86,14 @@ def with_gaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """``dense edge`` in which error events have no type and price, and every 97th
     event has no ``renewable``."""
     initial, _ = dense(spark, sf_dir, "edge")
-    kind = F.when(F.col("event_type") != "error", type_by_remainder(F.col("event_id")))
-    changes = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("id"),
-        F.col("user_id").alias("license_id"),
-        F.col("ts").cast("date").alias("date"),
-        unit_price(kind).alias("price"),
-        kind.alias("type"),
-        F.when(F.col("event_id") % 97 != 0, F.col("event_type") != "error").alias("renewable"),
+    kind = f"if(event_type <> 'error', {type_by_remainder('event_id')}, NULL)"
+    changes = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS id",
+        "user_id AS license_id",
+        "date(ts) AS date",
+        f"{list_price(kind)} AS price",
+        f"{kind} AS type",
+        "if(event_id % 97 <> 0, event_type <> 'error', NULL) AS renewable",
     )
     return initial, changes
 
