@@ -12,7 +12,7 @@ import statistics
 import sys
 import time
 
-from checks.queries import REGISTRY
+from tallyspan.registry.queries import REGISTRY
 from tallyspan.session import build_session
 
 HEADLINE = [

@@ -59,30 +59,49 @@ def advance_watermarks(batches: DataFrame, last_data: Column, last_processed: Co
     )
 
 
-def correction_deltas(initial: DataFrame, known: DataFrame, late: DataFrame) -> DataFrame:
-    """What late changes add to the stored daily deltas: new minus old deltas of the
-    licences they touch.  Only those licences are read into the state history."""
-    touched = late.select("license_id").distinct()
-    entities = initial.join(touched, initial["id"] == touched["license_id"], "left_semi")
+def correction_deltas(
+    initial: DataFrame, known: DataFrame, late: DataFrame, late_initial: DataFrame | None = None
+) -> DataFrame:
+    """What late rows add to the stored daily deltas: new minus old deltas of the
+    licences they touch.  Only those licences are read into the state history.
+
+    ``late`` holds changes and ``late_initial`` entity rows that are not among the
+    known ones.
+    """
+    touched = late.select("license_id")
+    entities = initial
+    if late_initial is not None:
+        touched = touched.union(late_initial.select("id"))
+        entities = initial.unionByName(late_initial)
+    touched = touched.distinct()
     before = hot_safe_join(known, touched, ["license_id"], "id", "left_semi")
-    after = before.unionByName(late)
-    old = metrics.interval_deltas(state_intervals(entities, before))
-    new = metrics.interval_deltas(state_intervals(entities, after))
-    return metrics.add_deltas(new, metrics.negate_deltas(old))
 
+    def deltas(first: DataFrame, changes: DataFrame) -> DataFrame:
+        own = first.join(touched, first["id"] == touched["license_id"], "left_semi")
+        return metrics.interval_deltas(state_intervals(own, changes))
 
-def extend_bounds(bounds: DataFrame, late: DataFrame) -> DataFrame:
-    """Stored calendar bounds widened by the days of late changes."""
-    days = bounds.select("first_day", "last_day").unionByName(
-        late.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
-    )
-    return days.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+    new = deltas(entities, before.unionByName(late))
+    return metrics.add_deltas(new, metrics.negate_deltas(deltas(initial, before)))
+
+
+def extend_bounds(bounds: DataFrame, late: DataFrame, late_initial: DataFrame | None = None) -> DataFrame:
+    """Stored calendar bounds widened by the days of late rows."""
+    days = late.selectExpr("date(date) AS day")
+    if late_initial is not None:
+        days = days.union(late_initial.selectExpr("date(creation_date) AS day"))
+    both = bounds.select("first_day", "last_day").union(days.selectExpr("min(day)", "max(day)"))
+    return both.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
 
 
 def recompute_affected(
-    stored_deltas: DataFrame, stored_bounds: DataFrame, initial: DataFrame, known: DataFrame, late: DataFrame
+    stored_deltas: DataFrame,
+    stored_bounds: DataFrame,
+    initial: DataFrame,
+    known: DataFrame,
+    late: DataFrame,
+    late_initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Daily metrics after late changes, from the stored deltas and the licences that
-    the late changes touch."""
-    deltas = metrics.add_deltas(stored_deltas, correction_deltas(initial, known, late))
-    return metrics.mart_from_deltas(deltas, extend_bounds(stored_bounds, late))
+    """Daily metrics after late rows, from the stored deltas and the licences that the
+    late rows touch."""
+    deltas = metrics.add_deltas(stored_deltas, correction_deltas(initial, known, late, late_initial))
+    return metrics.mart_from_deltas(deltas, extend_bounds(stored_bounds, late, late_initial))

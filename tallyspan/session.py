@@ -7,14 +7,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The plans rely on AQE to size shuffles, to split skewed join partitions and to
-# split skewed write partitions (the rebalance hint).
+# The plans rely on AQE to size shuffles and to split skewed write partitions (the
+# rebalance hint).  Streaming state of many keys belongs on disk, not on the heap.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.ui.enabled": "false",
 }
 

@@ -199,6 +199,18 @@ def test_late_rows_correct_the_stored_deltas(initial_of, changes_of):
     assert {r[1] for r in rows} == {"PASS", "SIM", "NEW"}
 
 
+def test_late_entities_correct_the_stored_deltas(initial_of, changes_of):
+    initial = initial_of([(1, 1, "PASS", D("2024-01-02"), 100, True)])
+    known = changes_of([(1, 2, D("2024-01-06"), 5000, "SUPERVISION", True)])  # an orphan until its entity arrives
+    late_initial = initial_of([(2, 1, "SIM", D("2023-12-30"), 1000, True), (1, 1, "SIM", D("2024-01-01"), 5, True)])
+    late = changes_of([])
+    deltas = metrics.interval_deltas(history.state_intervals(initial, known))
+    bounds = spine.calendar_bounds(initial, known)
+    got = upsert.recompute_affected(deltas, bounds, initial, known, late, late_initial)
+    full = license_metrics(initial.unionByName(late_initial), known)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.collect()))
+
+
 def test_csv_reader_is_strict(spark, tmp_path, changes_of):
     rows = log(["2024-01-01", "2024-01-02"])
     files.write_csv(changes_of(rows), str(tmp_path / "good"))

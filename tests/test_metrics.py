@@ -105,6 +105,14 @@ def test_orphans_and_early_changes_only_move_the_calendar(initial_of, changes_of
     assert [r.daily_active_diff for r in rows] == [0, 0, 1, 0, 0, 0]
 
 
+def test_decimal_prices(initial_of, changes_of):
+    money = F.col("price").cast("decimal(18,2)") / 4
+    initial = initial_of([(1, 1, "PASS", D("2024-01-05"), 101, True)]).withColumn("price", money)
+    changes = changes_of([(1, 1, D("2024-01-06"), 7, "PASS", True)]).withColumn("price", money)
+    rows = license_metrics(initial, changes).orderBy("date").collect()
+    assert [(float(r.active_license_price), float(r.daily_price_diff)) for r in rows] == [(25.25, 0), (1.75, -23.5)]
+
+
 def test_empty_inputs(initial_of, changes_of):
     assert license_metrics(initial_of([]), changes_of([])).collect() == []
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
-from checks.compare import connect, differences
+from tallyspan.registry.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
 

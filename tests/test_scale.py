@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from checks.queries import REGISTRY
+from tallyspan.registry.queries import REGISTRY
 from tallyspan.operators import allocation, history, panel, quality, ranking
 from tallyspan.operators.skew import hot_safe_join
 from tallyspan.plans.metrics import license_metrics
