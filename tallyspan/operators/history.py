@@ -79,7 +79,9 @@ def state_history(initial: DataFrame, changes: DataFrame) -> DataFrame:
     return state_log(initial, changes).select(*STATE_COLUMNS)
 
 
-def state_intervals(initial: DataFrame, changes: DataFrame, fill: str = "row") -> DataFrame:
+def state_intervals(
+    initial: DataFrame, changes: DataFrame, fill: str = "row", keep_hidden: bool = False
+) -> DataFrame:
     """Validity intervals ``[valid_from, valid_to)`` of known licences.
 
     ``valid_to`` is NULL for the state in force.  A licence becomes visible on its
@@ -90,29 +92,33 @@ def state_intervals(initial: DataFrame, changes: DataFrame, fill: str = "row") -
     ``fill="row"`` takes each state as it is and drops one whose ``renewable`` is
     NULL, after it has ended the state before it.  ``fill="column"`` carries the
     last known value of each attribute forward.
+
+    ``keep_hidden`` keeps the states that are not visible, with a flag ``is_visible``
+    and nothing but their day, which counts for the calendar.
     """
     if fill not in ("row", "column"):
         raise ValueError(f"fill must be 'row' or 'column', not {fill!r}")
     by_day = "OVER (PARTITION BY license_id ORDER BY valid_from)"
     so_far = "OVER (PARTITION BY license_id ORDER BY valid_from ROWS UNBOUNDED PRECEDING)"
-    visible = (
-        state_log(initial, changes)
-        .withColumnRenamed("date", "valid_from")
-        .where("license_id IS NOT NULL AND valid_from IS NOT NULL")
-        .selectExpr(
-            "license_id",
-            "valid_from",
-            f"lead(valid_from) {by_day} AS valid_to",
-            *ATTRIBUTES,
-            f"max(has_initial) {so_far} AS is_created",
-        )
-        .where("is_created")
-        .drop("is_created")
+    log = state_log(initial, changes).withColumnRenamed("date", "valid_from").where("valid_from IS NOT NULL")
+    if not keep_hidden:
+        log = log.where("license_id IS NOT NULL")
+    placed = log.selectExpr(
+        "license_id",
+        "valid_from",
+        f"lead(valid_from) {by_day} AS valid_to",
+        *ATTRIBUTES,
+        f"license_id IS NOT NULL AND max(has_initial) {so_far} AS is_created",
     )
-    if fill == "row":
-        return visible.where("renewable IS NOT NULL")
-    filled = [f"last({c}, true) {so_far} AS {c}" for c in ATTRIBUTES]
-    return visible.selectExpr("license_id", "valid_from", "valid_to", *filled)
+    shown = "is_created AND renewable IS NOT NULL"
+    if fill == "column":
+        shown = "is_created"
+        filled = [f"last(if(is_created, {c}, NULL), true) {so_far} AS {c}" for c in ATTRIBUTES]
+        placed = placed.selectExpr("license_id", "valid_from", "valid_to", *filled, "is_created")
+    if not keep_hidden:
+        return placed.where(shown).drop("is_created")
+    kept = [f"if({shown}, {c}, NULL) AS {c}" for c in ("valid_to", *ATTRIBUTES)]
+    return placed.selectExpr("license_id", "valid_from", *kept, f"{shown} AS is_visible")
 
 
 def activation_flags(states: DataFrame) -> DataFrame:

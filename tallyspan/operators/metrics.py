@@ -20,21 +20,25 @@ MEASURES = ["members", "active", "inactive", "price", "priced"]
 
 
 def interval_deltas(intervals: DataFrame) -> DataFrame:
-    """Deltas per (date, type); ``starts`` counts the intervals that begin there."""
+    """Deltas per (date, type); ``starts`` counts the intervals that begin there.
+
+    Hidden states, if kept, add rows of zeros without a type: only their day matters.
+    """
+    shown = "is_visible" if "is_visible" in intervals.columns else "true"
     measured = intervals.selectExpr(
         "type",
         "valid_from",
         "valid_to",
-        "1L AS members",
+        f"if({shown}, 1L, 0L) AS members",
         "int(renewable <=> true) AS active",
         "int(renewable <=> false) AS inactive",
         "coalesce(if(renewable, price, 0), 0) AS price",
-        "int(NOT (renewable <=> true AND price IS NULL)) AS priced",
+        f"int({shown} AND NOT (renewable <=> true AND price IS NULL)) AS priced",
     )
-    began = ", ".join(f"{m}" for m in MEASURES)
+    began = ", ".join(MEASURES)
     ended = ", ".join(f"-{m}" for m in MEASURES)
     edges = measured.selectExpr(
-        "type", f"stack(2, valid_from, 1, {began}, valid_to, 0, {ended}) AS (date, starts, {began})"
+        "type", f"stack(2, valid_from, members, {began}, valid_to, 0L, {ended}) AS (date, starts, {began})"
     )
     return _sum_deltas(edges.where("date IS NOT NULL"))
 

@@ -66,7 +66,8 @@ def correction_deltas(
     licences they touch.  Only those licences are read into the state history.
 
     ``late`` holds changes and ``late_initial`` entity rows that are not among the
-    known ones.
+    known ones.  The result has a row for every day of a late row, also for a row that
+    counts nowhere, so the calendar can be read from the deltas.
     """
     touched = late.select("license_id")
     entities = initial
@@ -78,30 +79,24 @@ def correction_deltas(
 
     def deltas(first: DataFrame, changes: DataFrame) -> DataFrame:
         own = first.join(touched, first["id"] == touched["license_id"], "left_semi")
-        return metrics.interval_deltas(state_intervals(own, changes))
+        return metrics.interval_deltas(state_intervals(own, changes, keep_hidden=True))
 
     new = deltas(entities, before.unionByName(late))
     return metrics.add_deltas(new, metrics.negate_deltas(deltas(initial, before)))
 
 
-def extend_bounds(bounds: DataFrame, late: DataFrame, late_initial: DataFrame | None = None) -> DataFrame:
-    """Stored calendar bounds widened by the days of late rows."""
-    days = late.selectExpr("date(date) AS day")
-    if late_initial is not None:
-        days = days.union(late_initial.selectExpr("date(creation_date) AS day"))
-    both = bounds.select("first_day", "last_day").union(days.selectExpr("min(day)", "max(day)"))
-    return both.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
-
-
 def recompute_affected(
     stored_deltas: DataFrame,
-    stored_bounds: DataFrame,
     initial: DataFrame,
     known: DataFrame,
     late: DataFrame,
     late_initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Daily metrics after late rows, from the stored deltas and the licences that the
-    late rows touch."""
+    """Daily metrics after late rows, from the stored deltas (with hidden days) and the
+    licences that the late rows touch."""
+    days = stored_deltas.select("date").union(late.selectExpr("date(date)"))
+    if late_initial is not None:
+        days = days.union(late_initial.selectExpr("date(creation_date)"))
+    bounds = days.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
     deltas = metrics.add_deltas(stored_deltas, correction_deltas(initial, known, late, late_initial))
-    return metrics.mart_from_deltas(deltas, extend_bounds(stored_bounds, late, late_initial))
+    return metrics.mart_from_deltas(deltas, bounds)

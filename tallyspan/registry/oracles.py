@@ -442,6 +442,7 @@ SELECT id, license_id, date, price, type, renewable,
        date < (SELECT MAX(date) FROM license_changes WHERE id < {HALF}) - INTERVAL 365 DAY AS is_late
 FROM license_changes WHERE id >= {HALF}""",
         "recompute_affected": mart(SPARSE_EDGE),
+        "metric_store": mart(SPARSE_EDGE),
         "partition_overwrite": f"""WITH {SPARSE_CHANGES},
 moved AS (
   SELECT id, CAST(CASE WHEN renewable THEN date ELSE date + INTERVAL 45 DAY END AS DATE) AS date FROM license_changes)

@@ -22,6 +22,7 @@ from tallyspan.operators import (
 from tallyspan.operators import upsert as upserts
 from tallyspan.plans import incremental
 from tallyspan.plans import metrics as plans
+from tallyspan.plans.metric_store import MetricStore
 from tallyspan.session import scratch_path, store_and_reload
 from tallyspan.sources import files
 from tallyspan.sources import fixtures as fx
@@ -483,9 +484,21 @@ def recompute_affected(spark: SparkSession, sf_dir: str) -> DataFrame:
     initial, changes = fx.sparse(spark, sf_dir, "edge")
     half, _ = _half_and_last(changes)
     known, late = changes.where(F.col("id") < half), changes.where(F.col("id") >= half)
-    stored = store_and_reload(metrics.interval_deltas(history.state_intervals(initial, known)), "deltas")
-    bounds = store_and_reload(spine.calendar_bounds(initial, known), "bounds")
-    return upserts.recompute_affected(stored, bounds, initial, known, late)
+    intervals = history.state_intervals(initial, known, keep_hidden=True)
+    stored = store_and_reload(metrics.interval_deltas(intervals), "deltas")
+    return upserts.recompute_affected(stored, initial, known, late)
+
+
+@query
+def metric_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored deltas: built from the first half of the log, corrected by the second."""
+    initial, changes = fx.sparse(spark, sf_dir, "edge")
+    half, _ = _half_and_last(changes)
+    known, late = changes.where(F.col("id") < half), changes.where(F.col("id") >= half)
+    stored = MetricStore(scratch_path(spark, "metrics"))
+    stored.build(spark, initial, known)
+    stored.correct(1, initial, known, late)
+    return stored.mart(spark)
 
 
 @query

@@ -5,7 +5,7 @@ from datetime import date, datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspan.operators import history, metrics, spine, upsert
+from tallyspan.operators import history, metrics, upsert
 from tallyspan.plans import incremental as inc
 from tallyspan.plans.metrics import license_metrics
 from tallyspan.session import scratch_path
@@ -190,9 +190,8 @@ def test_late_rows_correct_the_stored_deltas(initial_of, changes_of):
     late = changes_of(
         [(9, 2, D("2024-01-06"), 1000, "SIM", False), (5, 1, D("2024-01-04"), 7, "NEW", True), (6, 3, D("2024-01-12"), 1, "SIM", True)]
     )
-    deltas = metrics.interval_deltas(history.state_intervals(initial, known))
-    bounds = spine.calendar_bounds(initial, known)
-    got = upsert.recompute_affected(deltas, bounds, initial, known, late)
+    deltas = metrics.interval_deltas(history.state_intervals(initial, known, keep_hidden=True))
+    got = upsert.recompute_affected(deltas, initial, known, late)
     full = license_metrics(initial, known.unionByName(late))
     rows = sorted(map(tuple, got.collect()))
     assert rows == sorted(map(tuple, full.collect()))
@@ -204,9 +203,8 @@ def test_late_entities_correct_the_stored_deltas(initial_of, changes_of):
     known = changes_of([(1, 2, D("2024-01-06"), 5000, "SUPERVISION", True)])  # an orphan until its entity arrives
     late_initial = initial_of([(2, 1, "SIM", D("2023-12-30"), 1000, True), (1, 1, "SIM", D("2024-01-01"), 5, True)])
     late = changes_of([])
-    deltas = metrics.interval_deltas(history.state_intervals(initial, known))
-    bounds = spine.calendar_bounds(initial, known)
-    got = upsert.recompute_affected(deltas, bounds, initial, known, late, late_initial)
+    deltas = metrics.interval_deltas(history.state_intervals(initial, known, keep_hidden=True))
+    got = upsert.recompute_affected(deltas, initial, known, late, late_initial)
     full = license_metrics(initial.unionByName(late_initial), known)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.collect()))
 

@@ -15,7 +15,7 @@ from tallyspan.session import scratch_path
 from tallyspan.sources import fixtures as fx
 
 SF_DIR = "/root/testdata/sf0.001"
-EAGER = ("stream_", "inc_first", "inc_batches", "inc_checkpoint", "inc_backfill", "partition_overwrite")
+EAGER = ("stream_", "inc_first", "inc_batches", "inc_checkpoint", "inc_backfill", "partition_overwrite", "metric_store")
 
 
 @pytest.mark.parametrize("name", [n for n in REGISTRY if not n.startswith(EAGER)])
