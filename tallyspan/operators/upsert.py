@@ -13,6 +13,7 @@ from tallyspan.operators import metrics
 from tallyspan.operators.dedup import latest_per_key
 from tallyspan.operators.history import state_intervals
 from tallyspan.operators.skew import hot_safe_join
+from tallyspan.session import store_and_reload
 
 
 def upsert(target: DataFrame, incoming: DataFrame, key: str, newest_first: Sequence[Column]) -> DataFrame:
@@ -63,26 +64,27 @@ def correction_deltas(
     initial: DataFrame, known: DataFrame, late: DataFrame, late_initial: DataFrame | None = None
 ) -> DataFrame:
     """What late rows add to the stored daily deltas: new minus old deltas of the
-    licences they touch.  Only those licences are read into the state history.
+    licences they touch.  The known rows of those licences are picked out of the tables
+    once and stored, since the old and the new history both read them.
 
     ``late`` holds changes and ``late_initial`` entity rows that are not among the
     known ones.  The result has a row for every day of a late row, also for a row that
     counts nowhere, so the calendar can be read from the deltas.
     """
     touched = late.select("license_id")
-    entities = initial
     if late_initial is not None:
         touched = touched.union(late_initial.select("id"))
-        entities = initial.unionByName(late_initial)
     touched = touched.distinct()
-    before = hot_safe_join(known, touched, ["license_id"], "id", "left_semi")
+    kept = hot_safe_join(known, touched, ["license_id"], "id", "left_semi")
+    before = store_and_reload(kept, "touched-changes")
+    entities = store_and_reload(initial.join(touched.withColumnRenamed("license_id", "id"), "id", "left_semi"), "touched")
+    after_entities = entities if late_initial is None else entities.unionByName(late_initial)
 
     def deltas(first: DataFrame, changes: DataFrame) -> DataFrame:
-        own = first.join(touched, first["id"] == touched["license_id"], "left_semi")
-        return metrics.interval_deltas(state_intervals(own, changes, keep_hidden=True))
+        return metrics.interval_deltas(state_intervals(first, changes, keep_hidden=True))
 
-    new = deltas(entities, before.unionByName(late))
-    return metrics.add_deltas(new, metrics.negate_deltas(deltas(initial, before)))
+    new = deltas(after_entities, before.unionByName(late))
+    return metrics.add_deltas(new, metrics.negate_deltas(deltas(entities, before)))
 
 
 def recompute_affected(
