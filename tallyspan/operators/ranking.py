@@ -54,10 +54,11 @@ def toggle_states(
     """Read a log of labels as states: add ``main_type`` and ``is_active``.
 
     A label that starts with ``prefix`` flips the active flag, which is on at first,
-    and keeps the type; any other label sets the type.  ``sequence`` is a unique
-    non-negative integer per key.  The log of a key is cut into segments of ``width``
-    sequence numbers: each segment is one bounded group, and only one summary row per
-    segment takes part in the scan over the whole key.
+    and keeps the type; any other label sets the type.  ``sequence`` is a non-negative
+    integer, unique per key, such as the position in the log.  The log of a key is cut
+    into segments of ``width`` sequence numbers: each segment is one group of at most
+    ``width`` rows, and only one summary row per segment takes part in the scan over the
+    whole key.  For widely spaced numbers take a larger ``width``.
     """
     flips = F.col(label).startswith(prefix)
     cut = log.withColumns(

@@ -47,17 +47,20 @@ def stage(spark: SparkSession, target: Target, fresh: DataFrame, staging: str) -
     return their names.
 
     A month is touched if a fresh row falls into it or if it holds the old version of
-    a fresh row.  The list of months is bounded by the calendar; it prunes the scan
-    of the target to those partitions.  The rebalance hint lets AQE split a hot month
-    over tasks and merge small ones.
+    a fresh row.  Old versions are looked up by key and month alone, in the key range of
+    the batch, which skips the row groups outside it.  The list of months is bounded by
+    the calendar and prunes the scan of the target to those partitions.  The rebalance
+    hint lets AQE split a hot month over tasks and merge small ones.
     """
     fresh = target.with_month(fresh)
+    lowest, highest = fresh.agg(F.min(target.key), F.max(target.key)).first()
+    if lowest is None:
+        return []
     keys = fresh.select(target.key)
     stored = target.read(spark)
-    holding = stored.select(target.key, MONTH).join(keys, target.key, "left_semi").select(MONTH)
+    in_range = stored.select(target.key, MONTH).where(F.col(target.key).between(lowest, highest))
+    holding = in_range.join(keys, target.key, "left_semi").select(MONTH)
     months = sorted(r[0] for r in fresh.select(MONTH).union(holding).distinct().collect())
-    if not months:
-        return months
     kept = stored.where(F.col(MONTH).isin(months)).join(keys, target.key, "left_anti")
     (
         kept.unionByName(fresh)

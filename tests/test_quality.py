@@ -137,3 +137,11 @@ def test_utc_timestamp_rejects_offsets(spark):
     df = spark.createDataFrame([("2024-01-01T10:00:00",), ("2024-01-01T10:00:00+02:00",), ("2024-01-01T10:00:00Z",), ("x",)], "t string")
     got = [r[0] for r in df.select(F.unix_timestamp(utc_timestamp(F.col("t")))).collect()]
     assert got == [1704103200, None, None, None]
+
+
+def test_distribution_checks(spark, initial_of):
+    rows = [(i, i % 10, "SIM", D("2024-01-01"), 1000, i != 7) for i in range(300)]
+    exact = quality.distribution_checks(initial_of(rows)).first()
+    assert tuple(exact) == (10, 300, False, True)
+    rough = quality.distribution_checks(initial_of(rows), approximate=True).first()
+    assert abs(rough.n_licenses - 300) < 30 and rough.n_customers == 10 and rough.fewer_customers
