@@ -148,7 +148,9 @@ def run_incremental(
     """One run over the event-time window [start or last processed, as_of].
 
     ``as_of`` stands for now.  Both bounds belong to the window, so the day of the
-    watermark is read again; the upsert makes that harmless.
+    watermark is read again; the upsert makes that harmless.  A run that fails before
+    its journal entry moves the data watermark but not the processed one, so the next
+    run reads its window again.
     """
     recover(spark, store)
     last = load_checkpoint(spark, store)
@@ -166,7 +168,13 @@ def run_incremental(
         batches[table] = spark.read.schema(target.schema).parquet(path)
         latest = max(latest, latest_event(batches[table], target.date_column))
     point = Checkpoint(run_id, latest, max(last.last_processed, latest))
-    commit_run(spark, store, batches, point)
+    try:
+        commit_run(spark, store, batches, point)
+    except Exception:
+        if store.journal(spark).where(F.col("run_id") == run_id).isEmpty():
+            save_checkpoint(spark, store, Checkpoint(run_id, latest, last.last_processed))
+            delete_path(spark, store.staging(run_id))
+        raise
     return point
 
 

@@ -316,7 +316,10 @@ FROM base WINDOW w AS (PARTITION BY type ORDER BY date)""",
 SELECT c.date, t.type, CAST(COALESCE((SELECT SUM(l.price) FROM license_changes l
        WHERE l.date = c.date AND l.type = t.type AND l.renewable), 0) AS BIGINT) AS active_license_price {GRID}""",
         "mart_preview": f"{mart(DENSE)} ORDER BY date, type LIMIT 10",
-        "gate_min_rows": f"SELECT 9::BIGINT AS min_rows, COUNT(*) >= 9 AS has_min_rows FROM ({mart(DENSE)})",
+        "gate_min_rows": f"SELECT COUNT(*) >= 9 AS has_min_rows FROM ({mart(DENSE)})",
+        "view_mart": mart(DENSE_EDGE),
+        "src_csv_utc": f"WITH {SPARSE_CHANGES} {RAW} WHERE date BETWEEN DATE '1996-01-02' AND DATE '1997-12-31'",
+        "parse_utc": "SELECT event_id, CASE WHEN event_type <> 'error' THEN epoch_us(ts) END AS micros FROM events",
         "src_csv_roundtrip": mart(DENSE),
         # quality
         "dq_report": FAULTS

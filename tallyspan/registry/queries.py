@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspan.functions.columns import utc_timestamp
 from tallyspan.operators import (
     allocation,
     dedup,
@@ -201,8 +202,13 @@ def mart_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gate_min_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enough = files.has_min_rows(plans.license_metrics(*fx.dense(spark, sf_dir)), 9)
-    return spark.range(1).select(F.lit(9).cast("long").alias("min_rows"), enough.alias("has_min_rows"))
+    return files.has_min_rows(plans.license_metrics(*fx.dense(spark, sf_dir)), 9)
+
+
+@query
+def view_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plans.register_views(spark, *fx.dense(spark, sf_dir, "edge"))
+    return spark.sql("SELECT * FROM mart_license_metrics ORDER BY date, type")
 
 
 @query
@@ -216,6 +222,25 @@ def src_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, f"{root}/mart", result.schema)
 
 
+@query
+def src_csv_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log as CSV, read with UTC timestamps and cut to a window."""
+    path = scratch_path(spark, "csv")
+    changes = fx.sparse_changes(spark, sf_dir)
+    files.write_csv(changes, path)
+    timed = files.read_csv_utc(spark, path, changes.schema, "date")
+    start, end = dt.datetime(1996, 1, 1, 10, 0), dt.datetime(1997, 12, 31, 10, 0)
+    return upserts.select_window(timed, "date", start, end).withColumn("date", F.to_date("date"))
+
+
+@query
+def parse_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO text to UTC time; text with an offset is rejected."""
+    text = F.concat(F.col("ts").cast("string"), F.when(F.col("event_type") == "error", "+02:00").otherwise(""))
+    events = fx.table(spark, sf_dir, "events").withColumn("text", text)
+    return events.select("event_id", F.unix_micros(utc_timestamp(F.col("text"))).alias("micros"))
+
+
 # --- quality --------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,13 +40,13 @@ def preview(df: DataFrame, n: int = 10) -> DataFrame:
     return df.limit(n)
 
 
-def has_min_rows(df: DataFrame, n: int) -> Column:
-    """Does ``df`` have at least ``n`` rows?  Reads no more than it takes to know."""
-    return df.limit(n).agg(F.count("*") >= n).scalar()
+def has_min_rows(df: DataFrame, n: int) -> DataFrame:
+    """One row: does ``df`` have at least ``n`` rows?  Counts no further than ``n``."""
+    return df.limit(n).agg((F.count("*") >= n).alias("has_min_rows"))
 
 
 def require_min_rows(df: DataFrame, n: int) -> None:
-    if df.limit(n).count() < n:
+    if not has_min_rows(df, n).first()[0]:
         raise ValueError(f"expected at least {n} rows")
 
 

@@ -1,4 +1,4 @@
-"""Row-by-row reference answers in plain Python for small inputs."""
+"""Row-by-row answers in plain Python for small inputs."""
 
 from __future__ import annotations
 

@@ -127,6 +127,20 @@ def test_run_that_stopped_before_its_journal_entry_leaves_no_trace(spark, store,
     assert len(content(store, spark)) == 6
 
 
+def test_failed_run_moves_only_the_data_watermark(spark, store, tables, monkeypatch):
+    inc.run_incremental(spark, *tables, store, "2024-02-10")
+    with monkeypatch.context() as patch:
+        patch.setattr(inc, "stage", lambda *_: (_ for _ in ()).throw(RuntimeError("no space")))
+        with pytest.raises(RuntimeError):
+            inc.run_incremental(spark, *tables, store, "2024-03-20")
+    point = inc.load_checkpoint(spark, store)
+    assert point.last_data == datetime(2024, 3, 15, tzinfo=timezone.utc)
+    assert point.last_processed == datetime(2024, 2, 3, tzinfo=timezone.utc)
+    inc.run_incremental(spark, *tables, store, "2024-03-20")
+    assert [r[0] for r in content(store, spark)] == [0, 1, 2, 3, 4]
+    assert inc.load_checkpoint(spark, store).last_processed == datetime(2024, 3, 15, tzinfo=timezone.utc)
+
+
 def test_upsert_is_idempotent_and_newest_row_wins(changes_of):
     target = changes_of(log(["2024-01-01", "2024-01-02"]))
     incoming = changes_of([(1, 1, D("2024-01-03"), 5, "SIM", True), (1, 1, D("2024-01-04"), 6, "SIM", True), (9, 1, D("2024-01-04"), 7, "SIM", True)])
