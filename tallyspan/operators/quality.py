@@ -129,7 +129,8 @@ def quality_report(initial: DataFrame, changes: DataFrame) -> DataFrame:
     rows = tagged(changes, CHANGES, "license_id", "date").union(tagged(initial, ENTITIES, "id", "creation_date"))
     daily = rows.groupBy("license_id", "date").agg(*[F.sum(c).alias(c) for c in ("change", "entity", *names)])
     by_day = "OVER (PARTITION BY license_id ORDER BY date"
-    so_far, whole = f"{by_day} ROWS UNBOUNDED PRECEDING)", f"{by_day} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    so_far = f"{by_day} ROWS UNBOUNDED PRECEDING)"
+    whole = f"{by_day} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     seen = daily.selectExpr(
         "*",
         f"max(license_id IS NOT NULL AND date IS NOT NULL AND entity > 0) {so_far} AS created",

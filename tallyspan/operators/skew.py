@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 10_000_000
+BROADCAST_KEYS = 1_000_000
 
 
 def hot_safe_join(
@@ -44,3 +45,16 @@ def hot_safe_join(
     salted = cut(facts).withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.col("_pieces"))).drop("_pieces")
     repeated = cut(lookup).withColumn("_salt", F.explode(F.expr("sequence(0L, _pieces - 1)"))).drop("_pieces")
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def rows_of_keys(
+    facts: DataFrame, keys: DataFrame, key: str, salt_by: str, max_broadcast: int = BROADCAST_KEYS
+) -> DataFrame:
+    """Rows of ``facts`` whose ``key`` is in ``keys`` (stored, one row per key).
+
+    Up to ``max_broadcast`` keys are broadcast, so the facts are filtered where they are
+    read.  The keys are counted first, and more of them go through ``hot_safe_join``.
+    """
+    if keys.limit(max_broadcast + 1).count() <= max_broadcast:
+        return facts.join(F.broadcast(keys), key, "left_semi")
+    return hot_safe_join(facts, keys, [key], salt_by, "left_semi")

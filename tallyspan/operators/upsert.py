@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tallyspan.operators import metrics
 from tallyspan.operators.dedup import latest_per_key
 from tallyspan.operators.history import state_intervals
-from tallyspan.operators.skew import hot_safe_join
+from tallyspan.operators.skew import rows_of_keys
 from tallyspan.session import store_and_reload
 
 
@@ -71,13 +71,13 @@ def correction_deltas(
     known ones.  The result has a row for every day of a late row, also for a row that
     counts nowhere, so the calendar can be read from the deltas.
     """
-    touched = late.select("license_id")
+    ids = late.select("license_id")
     if late_initial is not None:
-        touched = touched.union(late_initial.select("id"))
-    touched = touched.distinct()
-    kept = hot_safe_join(known, touched, ["license_id"], "id", "left_semi")
-    before = store_and_reload(kept, "touched-changes")
-    entities = store_and_reload(initial.join(touched.withColumnRenamed("license_id", "id"), "id", "left_semi"), "touched")
+        ids = ids.union(late_initial.select("id"))
+    touched = store_and_reload(ids.distinct(), "touched")
+    before = store_and_reload(rows_of_keys(known, touched, "license_id", "id"), "touched-changes")
+    own = rows_of_keys(initial, touched.withColumnRenamed("license_id", "id"), "id", "creation_date")
+    entities = store_and_reload(own, "touched-entities")
     after_entities = entities if late_initial is None else entities.unionByName(late_initial)
 
     def deltas(first: DataFrame, changes: DataFrame) -> DataFrame:

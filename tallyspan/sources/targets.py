@@ -38,7 +38,7 @@ class Target:
         return self.read(spark).drop(MONTH)
 
     def with_month(self, df: DataFrame) -> DataFrame:
-        month = F.date_format(self.date_column, "yyyy-MM")
+        month = F.substring(F.col(self.date_column).cast("string"), 1, 7)
         return df.select(*self.schema.fieldNames()).withColumn(MONTH, month)
 
 

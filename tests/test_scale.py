@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyspan.registry.queries import REGISTRY
 from tallyspan.operators import allocation, history, panel, quality, ranking
-from tallyspan.operators.skew import hot_safe_join
+from tallyspan.operators.skew import hot_safe_join, rows_of_keys
 from tallyspan.plans.metrics import license_metrics
 from tallyspan.session import scratch_path
 from tallyspan.sources import fixtures as fx
@@ -49,7 +49,7 @@ def plain_joins(spark):
         spark.conf.set(key, value)
 
 
-def hot_changes(spark, changes_of):
+def hot_changes(spark):
     """Licence 1 has two thirds of the rows; they sit in several input files."""
     rows = spark.range(60_000).selectExpr(
         "id",
@@ -74,8 +74,20 @@ def test_hot_safe_join_equals_a_join(spark, plain_joins, how):
     assert got.exceptAll(expected).count() == 0 and got.count() == expected.count()
 
 
-def test_hot_licence_spreads_over_tasks(spark, changes_of, plain_joins):
-    changes = hot_changes(spark, changes_of)
+@pytest.mark.parametrize("max_broadcast", [10, 10_000])
+def test_rows_of_keys(spark, plain_joins, max_broadcast):
+    facts = spark.range(5000).selectExpr("id", "if(id % 3 < 2, 1, id) AS k")
+    keys = spark.range(1, 4000, 7).selectExpr("id AS k")
+    got = rows_of_keys(facts, keys, "k", "id", max_broadcast)
+    assert sorted(map(tuple, got.select("id", "k").collect())) == sorted(
+        map(tuple, facts.join(keys, "k", "left_semi").select("id", "k").collect())
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("_salt" in plan) == (max_broadcast == 10)
+
+
+def test_hot_licence_spreads_over_tasks(spark, plain_joins):
+    changes = hot_changes(spark)
     known = quality.entity_keys(fx.entities(changes))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     joined = hot_safe_join(changes, known, ["license_id"], "id", hot_rows=1000)
@@ -84,8 +96,8 @@ def test_hot_licence_spreads_over_tasks(spark, changes_of, plain_joins):
     assert sum(sizes) == 60_000 and max(sizes) < 15_000
 
 
-def test_reduction_after_a_licence_join_is_shuffled_again(spark, changes_of, plain_joins):
-    changes = hot_changes(spark, changes_of)
+def test_reduction_after_a_licence_join_is_shuffled_again(spark, plain_joins):
+    changes = hot_changes(spark)
     touched = changes.select("license_id").distinct()
     kept = hot_safe_join(changes, touched, ["license_id"], "id", "left_semi", hot_rows=1000)
     plan = history.state_log(fx.entities(changes), kept)._jdf.queryExecution().executedPlan().toString()
@@ -94,8 +106,8 @@ def test_reduction_after_a_licence_join_is_shuffled_again(spark, changes_of, pla
     assert kept.count() == 60_000
 
 
-def test_hot_licence_gives_the_same_metrics(spark, changes_of, plain_joins):
-    changes = hot_changes(spark, changes_of)
+def test_hot_licence_gives_the_same_metrics(spark, plain_joins):
+    changes = hot_changes(spark)
     initial = fx.entities(changes)
     by_panel = (
         panel.daily_states(initial, changes)
