@@ -18,19 +18,19 @@ from tallyspan.operators.upsert import correction_deltas
 from tallyspan.sources.files import path_exists, read_or_empty
 
 BOUNDS_SCHEMA = T.StructType([T.StructField("first_day", T.DateType()), T.StructField("last_day", T.DateType())])
-DELTA_SCHEMA = T.StructType(
-    [
-        T.StructField("date", T.DateType()),
-        T.StructField("type", T.StringType()),
-        *[T.StructField(name, T.LongType()) for name in (*metrics.MEASURES, "starts")],
-    ]
-)
 RUN = T.StructField("run_id", T.LongType())
 
 
 @dataclass(frozen=True)
 class MetricStore:
     root: str
+    price_type: T.DataType = T.LongType()
+
+    @property
+    def delta_schema(self) -> T.StructType:
+        counts = [T.StructField(n, T.LongType()) for n in (*metrics.MEASURES, "starts") if n != "price"]
+        price = T.StructField("price", self.price_type)
+        return T.StructType([T.StructField("date", T.DateType()), T.StructField("type", T.StringType()), price, *counts])
 
     def build(self, spark: SparkSession, initial: DataFrame, changes: DataFrame) -> None:
         """Run 0: the deltas of all states, from one pass over the inputs."""
@@ -54,7 +54,7 @@ class MetricStore:
     def deltas(self, spark: SparkSession) -> DataFrame:
         """Sum over the runs that are complete."""
         complete = self._bounds_by_run(spark).select("run_id")
-        schema = T.StructType([*DELTA_SCHEMA.fields, RUN])
+        schema = T.StructType([*self.delta_schema.fields, RUN])
         rows = read_or_empty(spark, f"{self.root}/deltas", schema).join(complete, "run_id", "left_semi")
         return metrics.add_deltas(rows.drop("run_id"))
 
@@ -72,8 +72,9 @@ class MetricStore:
 
     def _write(self, deltas: DataFrame, run_id: int) -> None:
         path = f"{self.root}/deltas/run_id={run_id}"
-        deltas.write.mode("overwrite").parquet(path)
-        stored = deltas.sparkSession.read.schema(DELTA_SCHEMA).parquet(path)
+        typed = deltas.withColumn("price", F.col("price").cast(self.price_type))
+        typed.write.mode("overwrite").parquet(path)
+        stored = deltas.sparkSession.read.schema(self.delta_schema).parquet(path)
         self._write_bounds(stored.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day")), run_id)
 
     def _write_bounds(self, bounds: DataFrame, run_id: int) -> None:

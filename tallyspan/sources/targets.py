@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tallyspan.sources.files import delete_path, path_exists, read_or_empty
 
 MONTH = "event_month"
+UNDATED = "undated"
 
 
 @dataclass(frozen=True)
@@ -38,7 +39,7 @@ class Target:
         return self.read(spark).drop(MONTH)
 
     def with_month(self, df: DataFrame) -> DataFrame:
-        month = F.substring(F.col(self.date_column).cast("string"), 1, 7)
+        month = F.coalesce(F.substring(F.col(self.date_column).cast("string"), 1, 7), F.lit(UNDATED))
         return df.select(*self.schema.fieldNames()).withColumn(MONTH, month)
 
 

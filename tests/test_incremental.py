@@ -93,6 +93,15 @@ def test_moved_row_leaves_its_old_month(spark, store, tables, changes_of):
     assert months == {"2024-01", "2024-02", "2024-03"}
 
 
+def test_rows_without_a_date_are_kept(spark, store, changes_of):
+    rows = log(["2024-01-05", "2024-02-05"]) + [(7, 1, None, 1, "SIM", True)]
+    inc.commit_run(spark, store, {"changes": changes_of(rows)}, inc.Checkpoint(1, inc.EPOCH, inc.EPOCH))
+    dated = changes_of([(7, 1, D("2024-02-07"), 1, "SIM", True)])
+    assert (7, "None", 1) in content(store, spark)
+    inc.commit_run(spark, store, {"changes": dated}, inc.Checkpoint(2, inc.EPOCH, inc.EPOCH))
+    assert [(r[0], r[1]) for r in content(store, spark)] == [(0, "2024-01-05"), (1, "2024-02-05"), (7, "2024-02-07")]
+
+
 @pytest.mark.parametrize("lose_partition", [False, True])
 def test_run_that_stopped_while_publishing_is_finished(spark, store, tables, changes_of, monkeypatch, lose_partition):
     initial, changes = tables

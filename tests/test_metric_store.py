@@ -3,6 +3,8 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspan.plans.metric_store import MetricStore
 from tallyspan.plans.metrics import license_metrics
@@ -62,6 +64,16 @@ def test_run_without_bounds_does_not_count(spark, initial_of, changes_of, monkey
     assert rows_of(store.mart(spark)) == rows_of(license_metrics(initial, known.unionByName(late)))
 
 
+def test_decimal_prices(spark, initial_of, changes_of):
+    money = F.col("price").cast("decimal(18,2)") / 4
+    initial = initial_of([(1, 1, "PASS", D("2024-01-05"), 101, True)]).withColumn("price", money)
+    changes = changes_of([(1, 1, D("2024-01-06"), 7, "PASS", True)]).withColumn("price", money)
+    store = MetricStore(scratch_path(spark, "metrics"), T.DecimalType(38, 4))
+    store.build(spark, initial, changes)
+    rows = store.mart(spark).orderBy("date").collect()
+    assert [float(r.active_license_price) for r in rows] == [25.25, 1.75]
+
+
 def test_empty_inputs(spark, initial_of, changes_of):
     store = MetricStore(scratch_path(spark, "metrics"))
     store.build(spark, initial_of([]), changes_of([]))
