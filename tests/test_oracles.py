@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from tallyspan.registry.compare import connect, differences
+from tallyspan.registry.queries import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_equals_oracle(spark, duck, name):
     found = differences(contract.queries()[name](spark, SF_DIR), duck, contract.oracle_sql()[name])
     assert found == []
@@ -28,4 +29,4 @@ def test_comparison_sees_a_wrong_value(spark, duck):
 
 def test_entry(spark):
     assert contract.entry(spark).columns[:2] == ["date", "type"]
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(REGISTRY) <= set(contract.oracle_sql()) <= set(contract.queries())
