@@ -31,10 +31,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.common import column, concat_ranges, fresh_name, text_slices
+from tallyspan.llm.common import concat_ranges, pick, plain, position, text_slices, without
 
 SHORT = 64
 CACHE_ENTRIES = 250_000
@@ -286,10 +285,9 @@ def encoded_digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     Rows are handled where they are read: no shuffle.  A decoded text is that of its
     chunks joined by a blank, as no token spans two chunks.
     """
-    keep = [c for c in df.columns if c != text]
-    clash = [f.name for f in DIGEST_COLUMNS if f.name in keep]
-    kept = df.select(*[column(df, c) for c in keep if c not in clash], column(df, text).alias(text))
-    schema = T.StructType([f for f in kept.schema.fields if f.name != text] + DIGEST_COLUMNS)
+    rest = without(df, [text, *[f.name for f in DIGEST_COLUMNS]])
+    kept = plain(df).select(*[f"c{position(df, c)}" for c in rest.columns], f"c{position(df, text)}")
+    schema = T.StructType([*kept.schema.fields[:-1], *DIGEST_COLUMNS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, blank = _digest_encoder(path), pa.scalar(" ", pa.large_string())
@@ -309,52 +307,46 @@ def encoded_digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
                     out += _sha256(pc.binary_join(pa.LargeListArray.from_arrays(offsets, values), blank))
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             columns += [pa.array(np.concatenate(counts) if counts else [], pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema).toDF(*rest.columns, *[f.name for f in DIGEST_COLUMNS])
 
 
 def encode(df: DataFrame, path: str, text: str = "text", name: str = "token_ids") -> DataFrame:
     """All columns and the ids of the text as an array of integers (a column of that name
     is replaced)."""
-    kept = df.select(*[column(df, c) for c in df.columns if c != name])
-    hidden = fresh_name(kept.columns, "_text")
-    kept = kept.withColumn(hidden, column(df, text))
-    schema = T.StructType(
-        [f for f in kept.schema.fields if f.name != hidden] + [T.StructField(name, T.ArrayType(T.IntegerType()))]
-    )
+    kept = without(df, [name])
+    at_text, names = position(kept, text), [*kept.columns, name]
+    schema = T.StructType([*plain(kept).schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         encoder = Encoder(vocab, vocab.encode_words)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            for start, length in text_slices(texts):
-                ids, starts = encode_ids(encoder, texts.slice(start, length))
-                lists = pa.ListArray.from_arrays(starts.astype(np.int32), pa.array(ids, pa.int32()))
+            for start, length in text_slices(batch.column(at_text)):
                 part = batch.slice(start, length)
-                columns = [part.column(i) for i in range(part.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*columns, lists], names=[f.name for f in schema.fields])
+                ids, starts = encode_ids(encoder, part.column(at_text))
+                lists = pa.ListArray.from_arrays(starts.astype(np.int32), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return plain(kept).mapInArrow(run, schema).toDF(*names)
 
 
 def decode(df: DataFrame, path: str, ids: str = "token_ids", name: str = "decoded") -> DataFrame:
     """All columns and the text that the library decodes the ids to; null ids are none."""
-    kept = df.select(*[column(df, c) for c in df.columns if c != name])
-    schema = T.StructType([*kept.schema.fields, T.StructField(name, T.StringType())])
-    at = kept.columns.index(ids)
+    kept = without(df, [name])
+    at, names = position(kept, ids), [*kept.columns, name]
+    schema = T.StructType([*plain(kept).schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
             texts = pa.array([vocab.decode(x or []) for x in batch.column(at).to_pylist()], pa.string())
-            columns = [batch.column(i) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*columns, texts], names=[f.name for f in schema.fields])
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=schema.names)
 
-    return kept.mapInArrow(run, schema)
+    return plain(kept).mapInArrow(run, schema).toDF(*names)
 
 
 def op4(documents: DataFrame, path: str) -> DataFrame:
     """The digest rows of the contract."""
-    return encoded_digests(documents.select(F.col("doc_id"), F.col("text")), path)
+    return encoded_digests(pick(documents, doc_id="doc_id", text="text"), path)

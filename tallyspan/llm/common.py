@@ -2,31 +2,49 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
+HOT_SHARE = 2048
+KNOWN_WORDS = 200_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def fresh_name(taken: Sequence[str], stem: str) -> str:
-    """``stem``, with underscores in front until no column (in any case) has that name."""
-    names = {c.lower() for c in taken}
-    while stem.lower() in names:
-        stem = f"_{stem}"
-    return stem
+def position(df: DataFrame, name: str) -> int:
+    """Place of the column of that name; one in another case only where it is the only one."""
+    if name in df.columns:
+        return df.columns.index(name)
+    same = [i for i, c in enumerate(df.columns) if c.lower() == name.lower()]
+    if len(same) != 1:
+        raise ValueError(f"{len(same)} columns could be {name}")
+    return same[0]
 
 
-def column(df: DataFrame, name: str) -> Column:
-    """A column by its literal name, also where the name holds a dot or a backtick."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def plain(df: DataFrame) -> DataFrame:
+    """The columns named by their places, c0, c1 and so on: no name clashes or needs quotes."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def pick(df: DataFrame, **names: str) -> DataFrame:
+    """Columns under new names, chosen by their names in ``df``."""
+    return plain(df).select(*[F.col(f"c{position(df, old)}").alias(new) for new, old in names.items()])
+
+
+def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``df`` without the columns of these names, in any case: they are about to be added."""
+    gone = {n.lower() for n in names}
+    keep = [i for i, c in enumerate(df.columns) if c.lower() not in gone]
+    return plain(df).select(*[f"c{i}" for i in keep]).toDF(*[df.columns[i] for i in keep])
 
 
 def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
@@ -47,3 +65,68 @@ def concat_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions of the ranges ``starts[i] .. starts[i] + lengths[i]``, one after the other."""
     ends = np.cumsum(lengths)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, which has one row per key, stored, and says in
+    ``weight`` how many rows have the key.  Keys with more than 1 / ``HOT_SHARE`` of these
+    rows, so fewer than ``HOT_SHARE`` keys, are broadcast; the others are shuffled."""
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight) * HOT_SHARE > total
+    found = table.where(hot).drop(weight)
+    marked = rows.join(F.broadcast(found.select(key, F.lit(True).alias("_hot"))), key, "left")
+    return (
+        marked.where("_hot")
+        .drop("_hot")
+        .join(F.broadcast(found), key)
+        .unionByName(marked.where("_hot IS NULL").drop("_hot").join(table.where(~hot).drop(weight), key))
+    )
+
+
+class Words(dict):
+    """Hash of a word, remembered for a bounded number of words."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        digest = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+        value = self[word] = int.from_bytes(digest, "little")
+        return value
+
+
+WORDS = Words()
+
+
+def shingles(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``width`` words (lower case, cut at ASCII white space) of all
+    texts, and the text of each.  A shorter text with a word is one run."""
+    lower = pa.array([t.lower() for t in texts], pa.large_string())
+    split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(lower))
+    coded = split.flatten().dictionary_encode()
+    distinct = coded.dictionary.to_pylist()
+    known = np.fromiter(map(WORDS.__getitem__, distinct), np.uint64, len(distinct))
+    word = coded.indices.to_numpy()
+    sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+    # A text of blanks alone splits into one empty word.
+    real = word != distinct.index("") if "" in distinct else np.ones(len(word), bool)
+    sizes = np.bincount(np.repeat(np.arange(len(texts)), sizes)[real], minlength=len(texts))
+    hashes = known[word[real]]
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(hashes))
+    length = np.minimum(width, sizes[owner])
+    value = np.full(len(hashes), 0x243F6A8885A308D3, np.uint64)
+    for i in range(width):
+        mixed = (value ^ np.roll(hashes, -i)) * np.uint64(0x9FB21C651E98DF25)
+        value = np.where(length > i, mixed ^ (mixed >> np.uint64(31)), value)
+    whole = left >= length
+    return value[whole], owner[whole]
+
+
+def weighted(value: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (owner, value) in this order: values, owners, and how often each occurs."""
+    order = np.lexsort((value, owner))
+    value, owner = value[order], owner[order]
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(new)
+    return value[at], owner[at], np.diff(np.append(at, len(new)))

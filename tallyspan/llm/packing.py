@@ -17,7 +17,6 @@ Defined cases: a null or empty text is the closing id alone; equal rows are pack
 from __future__ import annotations
 
 import functools
-import heapq
 import os
 import zlib
 from collections.abc import Iterator
@@ -30,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspan.llm.bpe import Encoder, encode_ids, vocabulary
-from tallyspan.llm.common import column, text_slices
+from tallyspan.llm.common import pick, text_slices
+from tallyspan.llm.differencing import difference
 from tallyspan.session import store_and_reload
 
 CAPACITY = 2048
@@ -39,53 +39,13 @@ GROUP_TOKENS = 512 * CAPACITY
 CLOSING_ID = 1
 
 
-def difference(sizes: np.ndarray, ways: int) -> np.ndarray:
-    """Part (0 to ``ways`` - 1) of each size: multiway Karmarkar-Karp differencing.
-
-    The start is the balanced one: in descending order, each run of ``ways`` sizes is a
-    partial partition with one size in each part.  A heap holds the partial partitions by
-    their spread (largest sum less smallest).  Sums are kept in descending order less the
-    smallest, which no merge needs.  What a part of a merged partition is made of is kept
-    as one permutation per merge and read back from the last merge down.
-    """
-    n = len(sizes)
-    if ways <= 1 or n == 0:
-        return np.zeros(n, np.int64)
-    order = np.argsort(-sizes, kind="stable")
-    rows = -(-n // ways)
-    padded = np.zeros(rows * ways, np.int64)
-    padded[:n] = sizes[order]
-    sums = list(padded.reshape(rows, ways))
-    heap = [(int(s[-1] - s[0]), i) for i, s in enumerate(sums)]
-    heapq.heapify(heap)
-    merges: list[tuple[int, int, np.ndarray]] = []
-    while len(heap) > 1:
-        (_, a), (_, b) = heapq.heappop(heap), heapq.heappop(heap)
-        both = sums[a] + sums[b][::-1]
-        place = np.argsort(-both, kind="stable")
-        both = both[place]
-        sums[a] = sums[b] = None
-        merges.append((a, b, place))
-        sums.append(both - both[-1])
-        heapq.heappush(heap, (int(both[-1] - both[0]), len(sums) - 1))
-    part_of: dict[int, np.ndarray] = {len(sums) - 1: np.arange(ways)}
-    for at in range(len(merges) - 1, -1, -1):
-        a, b, place = merges[at]
-        back = np.empty(ways, np.int64)
-        back[place] = part_of.pop(rows + at)
-        part_of[a], part_of[b] = back, back[::-1]
-    parts = np.empty(n, np.int64)
-    parts[order] = np.concatenate([part_of[r] for r in range(rows)])[:n]
-    return parts
-
-
 def windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
     """Window of each size (none above ``capacity``), no window over the capacity."""
     if len(sizes) == 0:
         return np.zeros(0, np.int64)
     count = max(1, -(-int(sizes.sum()) // capacity))
     while True:
-        parts = difference(sizes, count)
+        parts = difference(sizes, count, balanced=True)
         if np.bincount(parts, weights=sizes, minlength=count).max() <= capacity:
             return parts
         count += 1
@@ -112,7 +72,7 @@ def token_pieces(
     df: DataFrame, path: str, key: str, text: str = "text", capacity: int = CAPACITY, piece: int = PIECE
 ) -> DataFrame:
     """(key, start, length, ids_crc32, doc_tokens, whole) per piece, in each row's order."""
-    kept = df.select(column(df, key).alias(key), column(df, text).alias("_text"))
+    kept = pick(df, key=key, text=text)
     schema = T.StructType(
         [
             kept.schema[0],
@@ -205,7 +165,7 @@ def pack(
     before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("_group", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_base"))
     return rows.join(bases, "_group").select(
-        key,
+        F.col("key").alias(key),
         "start",
         "length",
         "ids_crc32",

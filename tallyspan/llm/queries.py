@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import bpe, packing
+from tallyspan.llm import bpe, cws, langid, linededup, neardup, packing, sharding
 from tallyspan.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -16,9 +18,20 @@ REGISTRY: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
+    """Registers ``fn``; Python workers find the package where the driver found it, unless
+    the session says otherwise."""
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", PACKAGE_ROOT)
+        return fn(spark, sf_dir)
+
+    REGISTRY[fn.__name__] = run
+    return run
 
 
 @query
@@ -29,3 +42,28 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op4(documents(spark, sf_dir), TOKENIZER)
+
+
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.op3(documents(spark, sf_dir))
+
+
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.op7(documents(spark, sf_dir))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.op8(documents(spark, sf_dir))
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.op9(documents(spark, sf_dir))
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.op10(documents(spark, sf_dir))
