@@ -9,7 +9,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import bpe, cws, langid, linededup, neardup, packing, sharding
+from tallyspan.llm import bpe, cws, langid, linededup, neardup, packing, secret_scan, sharding
 from tallyspan.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -67,3 +67,8 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op10(documents(spark, sf_dir))
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.op6(documents(spark, sf_dir))
