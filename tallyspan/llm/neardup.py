@@ -12,12 +12,14 @@ Banding: ``BANDS`` bands of ``ROWS`` components; a pair of similarity 0.8 shares
 with a probability below 1e-5.  Verification: the exact Jaccard similarity of the two sets of
 runs, at least ``threshold``.  A class is a connected component of verified links.
 
-Work on a bucket (texts that share a band) does not grow with the square of its size.  First every
-text is verified against centres of its buckets, of which there are ``ORDERS`` per bucket
-at most, one in each of several orders of the ids over the bands; the links give components.  A
-bucket that lies in one component has nothing more to add.  In the others only pairs from
-different components are left, and every one of these that is not in the bucket's main component
-meets the rest of its bucket, so no link between texts of a shared band is lost.
+A bucket (texts that share a band) is not expanded into all its pairs.  First every text is
+verified against the centre of each of its buckets, the text that shares most bands with
+others, as the source of many copies does; the links give components.  A bucket that lies in one
+component has nothing more to add.  In the others only pairs from different components are
+left: each text outside the bucket's main component meets the rest of the bucket inside the join, which lets a pair through only in the
+first band that it shares, and only if its sketches (``SKETCH_BITS`` bits of each component)
+agree in so many components as a similar pair does but with a probability below 1e-5.
+So no link between texts of a shared band is lost but for that chance.
 
 Equal texts are one text from the start.  No text is shuffled: the sets of runs are read
 from the texts that take part in a candidate pair, found by a Bloom filter of bounded size
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,14 +50,16 @@ THRESHOLD = 0.8
 BANDS = 40
 ROWS = 6
 COMPONENTS = BANDS * ROWS
-ORDERS = 4
+SKETCH_BITS = 4
+SKETCH_WORDS = 4  # per bit, of 60 components each
+# A similar pair agrees in 0.8 + 0.2 / 16 of the components; 4.5 standard deviations less.
+LEAST_AGREEMENT = 167
 FILTER_BITS_PER_TEXT = 16
 MOST_FILTER_BITS = 1 << 28
 FILTER_PLACES = 4
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 LOW = np.uint64(0xFFFFFFFF)
 BAND_MULTIPLIERS = np.random.default_rng(9).integers(1, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
-MASKS = [int(x) for x in np.random.default_rng(10).integers(0, 1 << 62, ORDERS)]
 
 
 def _arrivals(elements: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,12 +104,30 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return (key ^ (key >> np.uint64(32))).view(np.int64)
 
 
+def sketches(signature: np.ndarray) -> np.ndarray:
+    """[text, word]: bit planes of the components, ``SKETCH_WORDS`` words for each bit."""
+    mixed = (signature ^ (signature >> np.uint64(13))) * np.uint64(0x9E3779B97F4A7C15)
+    parts = (mixed >> np.uint64(64 - SKETCH_BITS)).reshape(len(signature), SKETCH_WORDS, -1)
+    places = np.arange(parts.shape[2], dtype=np.uint64)
+    planes = [(((parts >> np.uint64(b)) & np.uint64(1)) << places).sum(axis=2, dtype=np.uint64) for b in range(SKETCH_BITS)]
+    return np.concatenate(planes, axis=1).view(np.int64)
+
+
+def _agreement(a, b):
+    """In how many components two sketches agree."""
+    differ = F.lit(0)
+    for word in range(SKETCH_WORDS):
+        planes = [F.get(a, p * SKETCH_WORDS + word).bitwiseXOR(F.get(b, p * SKETCH_WORDS + word)) for p in range(SKETCH_BITS)]
+        differ = differ + F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), planes))
+    return F.lit(COMPONENTS) - differ
+
+
 def _digest(text: str) -> bytes:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
 
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """(id, digest, bands) of rows (id, text); no bands without a run of words."""
+    """(id, digest, bands, sketch) of rows (id, text); no bands without a run of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,18 +135,21 @@ def _signed(rows: DataFrame) -> DataFrame:
                 part = batch.slice(start, length)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 value, owner, count = weighted(*shingles(texts, WORDS))
-                keys = bands(signatures(value, owner, 1 + np.log(count), length))
+                signature = signatures(value, owner, 1 + np.log(count), length)
+                keys, planes = bands(signature), sketches(signature)
                 some = np.bincount(owner, minlength=length) > 0
                 # The values are those of the rows that have any, so the lists must fit them.
                 offsets = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(offsets, pa.array(keys[some].ravel(), pa.int64()))
+                words = np.arange(length + 1, dtype=np.int32) * planes.shape[1]
+                sketch = pa.ListArray.from_arrays(words, pa.array(planes.ravel(), pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(map(_digest, texts), pa.binary()), lists],
-                    names=["id", "digest", "bands"],
+                    [part.column(0), pa.array(map(_digest, texts), pa.binary()), lists, sketch],
+                    names=["id", "digest", "bands", "sketch"],
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, digest binary, bands array<bigint>")
+    return rows.mapInArrow(run, f"id {kind}, digest binary, bands array<bigint>, sketch array<bigint>")
 
 
 def _filter_places(digests: np.ndarray, bits: int) -> np.ndarray:
@@ -202,17 +228,19 @@ def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, threshold: fl
     return both.where(common >= threshold * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
 
-def _buckets(texts: DataFrame) -> DataFrame:
-    """(band, node, turn): a row per text and band; ``turn`` picks the order of the ids."""
-    numbered = texts.where(F.size("bands") > 0).select("node", F.posexplode("bands").alias("turn", "band"))
-    return numbered.select("band", "node", (F.col("turn") % ORDERS).alias("turn"))
+def _shared(texts: DataFrame) -> DataFrame:
+    """(band, turn, node, n): a row per text and band that it shares with n - 1 others."""
+    every = texts.select("node", F.posexplode("bands").alias("turn", "band"))
+    sizes = store_and_reload(every.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    return store_and_reload(lookup(every, sizes.withColumn("_weight", F.col("n")), "band", "_weight"), "shared")
 
 
-def _ordered(node, turn):
-    """The id with some bits turned over: another order of the ids for each turn, undone
-    by the same function."""
-    masked = F.element_at(F.array(*[F.lit(m) for m in MASKS]), turn + 1)
-    return node.bitwiseXOR(masked)
+def _centres(shared: DataFrame) -> DataFrame:
+    """(band, centre, n): of each bucket the text whose bands have most texts in all."""
+    known = shared.groupBy("node").agg(F.sum("n").alias("known"))
+    best = F.max(F.struct("known", (-F.col("node")).alias("last")))
+    ranked = shared.join(known, "node").groupBy("band").agg(best.alias("best"), F.count("*").alias("n"))
+    return store_and_reload(ranked.select("band", (-F.col("best.last")).alias("centre"), "n"), "centres")
 
 
 def similar_classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -224,24 +252,20 @@ def similar_classes(df: DataFrame, key: str = "doc_id", text: str = "text", thre
         F.min("node").alias("node"), F.min("id").alias("least_id"), F.count("*").alias("copies")
     )
     distinct = store_and_reload(first, "texts")
-    texts = store_and_reload(stored.select("node", "digest", "bands").join(distinct.select("node"), "node", "left_semi"), "nodes")
-
-    buckets = _buckets(texts)
-    centres = store_and_reload(
-        buckets.groupBy("band", "turn")
-        .agg(F.min(_ordered(F.col("node"), F.col("turn"))).alias("centre"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("band", _ordered(F.col("centre"), F.col("turn")).alias("centre"), "n"),
-        "centres",
-    )
-    members = store_and_reload(lookup(buckets.select("band", "node"), centres, "band", "n"), "members")
-    pairs = members.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    tested = store_and_reload(pairs.distinct(), "pairs")
+    texts = store_and_reload(stored.drop("id").join(distinct.select("node"), "node", "left_semi"), "nodes")
+
+    shared = _shared(texts)
+    pairs = lookup(shared.select("band", "node"), _centres(shared), "band", "n").where("node <> centre")
+    pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    near = F.col("agreement") >= LEAST_AGREEMENT
+    sketch = texts.select("node", "sketch")
+    judged = pairs.join(sketch.toDF("a", "of_a"), "a").join(sketch.toDF("b", "of_b"), "b")
+    judged = judged.select("a", "b", _agreement(F.col("of_a"), F.col("of_b")).alias("agreement"))
+    tested = store_and_reload(judged.where(near).select("a", "b"), "pairs")
     links = store_and_reload(_verified(tested, rows, texts, threshold), "links")
-    label = components(links)
 
-    rest = store_and_reload(_across(members, label).join(tested, ["a", "b"], "left_anti"), "pairs")
-    more = _verified(rest, rows, texts, threshold)
+    rest = _across(shared, texts, components(links)).join(tested, ["a", "b"], "left_anti")
+    more = _verified(store_and_reload(rest, "pairs"), rows, texts, threshold)
     label = store_and_reload(components(links.unionByName(more)), "labels")
 
     # Classes of different texts first, then of all rows.
@@ -261,20 +285,27 @@ def similar_classes(df: DataFrame, key: str = "doc_id", text: str = "text", thre
     )
 
 
-def _across(members: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a band and lie in different components."""
-    named = members.join(label, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    named = store_and_reload(named, "named")
+def _across(shared: DataFrame, texts: DataFrame, label: DataFrame) -> DataFrame:
+    """Pairs (a, b) that share a band, lie in different components and may be similar."""
+    named = shared.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = store_and_reload(named.drop("n"), "named")
     sizes = named.groupBy("band", "label").count()
     main = sizes.groupBy("band").agg(
         F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels"), F.sum("count").alias("n")
     )
     mixed = store_and_reload(main.where("labels > 1").select("band", "main", "n"), "mixed")
-    inside = store_and_reload(lookup(named, mixed, "band", "n"), "inside")
-    odd = inside.where("label <> main").select("band", F.col("node").alias("a"), F.col("label").alias("label_a"))
-    other = inside.select("band", F.col("node").alias("b"), F.col("label").alias("label_b"), "main")
-    met = odd.join(other, "band").where("label_a <> label_b AND (label_b = main OR a < b)")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    inside = lookup(named, mixed, "band", "n").join(texts.select("node", "bands", "sketch"), "node")
+    inside = store_and_reload(inside, "inside")
+    odd = inside.where("label <> main").drop("main", "turn")
+    odd = odd.toDF(*[c if c == "band" else f"{c}_a" for c in odd.columns])
+    first_shared = F.array_position(F.zip_with("bands", "bands_a", lambda x, y: x == y), True) == F.col("turn") + 1
+    met = odd.join(inside, "band").where(
+        (F.col("label_a") != F.col("label"))
+        & ((F.col("label") == F.col("main")) | (F.col("node_a") < F.col("node")))
+        & (_agreement(F.col("sketch_a"), F.col("sketch")) >= LEAST_AGREEMENT)
+        & first_shared
+    )
+    return met.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b"))
 
 
 def op9(documents: DataFrame) -> DataFrame:
