@@ -50,7 +50,7 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """(start, length) of runs of rows that hold about ``limit`` bytes of text each, at
     least one row; bounds what is worked on at once, whatever the texts' lengths."""
-    sizes = np.fromiter((len(x) if x else 0 for x in texts.cast(pa.large_binary()).to_pylist()), np.int64, len(texts))
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > limit:

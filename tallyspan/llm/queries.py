@@ -9,7 +9,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspan.llm import ann, bpe, cws, langid, linededup, neardup, packing, secret_scan, sharding
+from tallyspan.llm import ann, bpe, cws, langid, linededup, neardup, packing, pii, secret_scan, sharding
 from tallyspan.llm.common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -77,3 +77,8 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.op2(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op5(documents(spark, sf_dir))
