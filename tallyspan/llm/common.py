@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,15 @@ HOT_SHARE = 2048
 KNOWN_WORDS = 200_000
 
 
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def share_package(spark: SparkSession) -> None:
+    """Python workers find the package where the driver found it, unless the session says
+    otherwise."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", PACKAGE_ROOT)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

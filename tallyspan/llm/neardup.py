@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import lookup, pick, shingles, text_slices, weighted
+from tallyspan.llm.common import lookup, pick, plain, position, shingles, text_slices, weighted
 from tallyspan.llm.components import components
 from tallyspan.session import store_and_reload
 
@@ -243,10 +243,9 @@ def _centres(shared: DataFrame) -> DataFrame:
     return store_and_reload(ranked.select("band", (-F.col("best.last")).alias("centre"), "n"), "centres")
 
 
-def similar_classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per input row: key, class_id (the smallest key of the class), class_texts
-    (how many different texts the class has)."""
-    rows = pick(df, id=key, text=text)
+def _labelled(rows: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """All rows (id, digest), and the different texts (digest, copies, node, least_id,
+    label) with the label of their class; ``rows``: id, text."""
     stored = store_and_reload(_signed(rows).withColumn("node", F.monotonically_increasing_id()), "signatures")
     first = stored.groupBy("digest").agg(
         F.min("node").alias("node"), F.min("id").alias("least_id"), F.count("*").alias("copies")
@@ -268,21 +267,40 @@ def similar_classes(df: DataFrame, key: str = "doc_id", text: str = "text", thre
     more = _verified(store_and_reload(rest, "pairs"), rows, texts, threshold)
     label = store_and_reload(components(links.unionByName(more)), "labels")
 
+    named = distinct.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return stored.select("id", "digest"), store_and_reload(named, "labelled")
+
+
+def similar_classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row per input row: key, class_id (the smallest key of the class), class_texts
+    (how many different texts the class has)."""
+    rows, labelled = _labelled(pick(df, id=key, text=text), threshold)
     # Classes of different texts first, then of all rows.
-    labelled = store_and_reload(
-        distinct.join(label, "node", "left").select(
-            "digest", "copies", "least_id", F.coalesce("label", "node").alias("label")
-        ),
-        "labels",
-    )
-    classes = store_and_reload(
-        labelled.groupBy("label").agg(F.min("least_id").alias("class_id"), F.count("*").alias("class_texts")), "classes"
-    )
-    sized = classes.withColumn("_n", F.col("class_texts"))
-    per_text = store_and_reload(lookup(labelled, sized, "label", "_n").drop("label", "least_id"), "classes")
-    return lookup(stored.select("id", "digest"), per_text, "digest", "copies").select(
-        F.col("id").alias(key), "class_id", "class_texts"
-    )
+    found = labelled.groupBy("label").agg(F.min("least_id").alias("class_id"), F.count("*").alias("class_texts"))
+    classes = store_and_reload(found.withColumn("_n", F.col("class_texts")), "classes")
+    of_text = lookup(labelled.select("digest", "copies", "label"), classes, "label", "_n").drop("label")
+    per_text = store_and_reload(of_text, "classes")
+    return lookup(rows, per_text, "digest", "copies").select(F.col("id").alias(key), "class_id", "class_texts")
+
+
+def first_of_classes(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``df`` that stay when one of each class does: the one with the smallest
+    key (a row without a key only if no row of the class has one); of rows that
+    repeat both key and text, one."""
+    _, labelled = _labelled(pick(df, id=key, text=text), threshold)
+    order = F.struct(F.col("least_id").isNull().alias("unknown"), "least_id", "node", "digest")
+    first = labelled.groupBy("label").agg(F.min(order).alias("first"))
+    same = [F.coalesce(F.col("first.least_id").cast("string"), F.lit("")), F.col("first.unknown"), F.col("first.digest")]
+    kept = store_and_reload(first.select(*[c.alias(n) for c, n in zip(same, ("k0", "k1", "k2"))]), "kept")
+    at_key, at_text = f"c{position(df, key)}", F.coalesce(f"c{position(df, text)}", F.lit(""))
+    own = [
+        F.coalesce(F.col(at_key).cast("string"), F.lit("")),
+        F.col(at_key).isNull(),
+        F.unhex(F.sha2(at_text.cast("binary"), 256)),
+    ]
+    rows = plain(df).withColumns({n: c for c, n in zip(own, ("k0", "k1", "k2"))})
+    found = rows.join(kept, ["k0", "k1", "k2"], "left_semi").dropDuplicates(["k0", "k1", "k2"])
+    return found.drop("k0", "k1", "k2").toDF(*df.columns)
 
 
 def _across(shared: DataFrame, texts: DataFrame, label: DataFrame) -> DataFrame:

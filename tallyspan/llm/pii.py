@@ -279,6 +279,15 @@ def spans_of(path: np.ndarray) -> list[Span]:
     return out
 
 
+def trimmed(kind: int, text: str, start: int, end: int) -> tuple[int, int]:
+    """A span of numbers from its first digit or parenthesis to its last digit."""
+    while kind and start < end and not (text[start].isascii() and text[start].isdigit() or kind == 3 and text[start] == "("):
+        start += 1
+    while kind and start < end and not (text[end - 1].isascii() and text[end - 1].isdigit()):
+        end -= 1
+    return start, end
+
+
 def plausible(kind: int, text: str) -> bool:
     """The check of a span that only the model found."""
     if len(text) > LONGEST or not TRIGGER.search(text) or text != text.strip():
@@ -291,7 +300,7 @@ def plausible(kind: int, text: str) -> bool:
         )
     if kind == 1 and len(DIGITS.findall(text)) != 4:
         return False
-    if re.search(r"[^0-9\W]", text) and kind != 3:
+    if re.search(r"[^\W0-9]", text):
         return False
     return passes(kind, text)
 
@@ -306,9 +315,9 @@ def find_spans(texts: list[str | None], model: Tagger | None) -> list[tuple[list
         for (i, low, _), path in zip(owner, found):
             taken = base[i]
             for a, kind, b in spans_of(path):
-                span = (a + low, kind, b + low)
-                if plausible(kind, texts[i][span[0] : span[2]]):
-                    more[i].append(span)
+                a, b = trimmed(kind, texts[i], a + low, b + low)
+                if plausible(kind, texts[i][a:b]):
+                    more[i].append((a, kind, b))
             if more[i] and taken:
                 more[i] = _apart(more[i], taken)
     return list(zip(base, more))

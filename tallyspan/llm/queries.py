@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable
-from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tallyspan.llm import ann, bpe, cws, langid, linededup, neardup, packing, pii, secret_scan, sharding
-from tallyspan.llm.common import documents
+from tallyspan.llm.common import documents, share_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,16 +18,10 @@ REGISTRY: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
-
-
 def query(fn: Query) -> Query:
-    """Registers ``fn``; Python workers find the package where the driver found it, unless
-    the session says otherwise."""
-
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.sparkContext.environment.setdefault("PYTHONPATH", PACKAGE_ROOT)
+        share_package(spark)
         return fn(spark, sf_dir)
 
     REGISTRY[fn.__name__] = run
@@ -82,3 +76,8 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.op5(documents(spark, sf_dir))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
