@@ -67,7 +67,9 @@ def counts(text: str) -> np.ndarray:
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = (points - 97 < 26) | (points >= 0xC0) & (points != 0xD7) & (points != 0xF7)
     points = np.where(letter, points, 32).astype(np.uint32)
-    points = points[np.concatenate([[True], (points[1:] != 32) | (points[:-1] != 32)])]
+    again = np.zeros(len(points), bool)
+    again[1:] = (points[1:] == 32) & (points[:-1] == 32)
+    points = points[~again]
     found = np.zeros(DIMENSIONS, np.int64)
     code = np.zeros(len(points), np.uint32)
     for n in ORDERS:

@@ -174,6 +174,8 @@ def examples(text: str, key: int) -> list[tuple[str, bytes]]:
     step = max(1, -(-len(starts) // WINDOWS_PER_DOCUMENT))
     out = []
     for n, low in enumerate(starts[key % step :: step]):
+        # Moved a little, so that spans are seen at every place of a window.
+        low = max(0, min(low + (key * 31 + n * 17) % 49 - 24, len(text) - 1))
         high = min(low + WIDTH, len(text))
         inside = [s for s in spans if low <= s[0] and s[2] <= high]
         window, tags = text[low:high], tags_of(high - low, [s for s in spans if s[2] > low and s[0] < high], low)
