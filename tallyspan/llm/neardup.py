@@ -49,11 +49,11 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 40
 ROWS = 6
-COMPONENTS = BANDS * ROWS
+COMPONENTS = 480  # the bands take the first 240 of them, the sketches all
 SKETCH_BITS = 4
-SKETCH_WORDS = 4  # per bit, of 60 components each
+SKETCH_WORDS = 8  # per bit, of 60 components each
 # A similar pair agrees in 0.8 + 0.2 / 16 of the components; 4.5 standard deviations less.
-LEAST_AGREEMENT = 167
+LEAST_AGREEMENT = 351
 FILTER_BITS_PER_TEXT = 16
 MOST_FILTER_BITS = 1 << 28
 FILTER_PLACES = 4
@@ -98,7 +98,7 @@ def signatures(elements: np.ndarray, owners: np.ndarray, weights: np.ndarray, te
 
 def bands(signature: np.ndarray) -> np.ndarray:
     """[text, band]: a 64-bit hash of the band's number and components."""
-    parts = signature.reshape(len(signature), BANDS, ROWS)
+    parts = signature[:, : BANDS * ROWS].reshape(len(signature), BANDS, ROWS)
     key = (parts * BAND_MULTIPLIERS).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
     key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return (key ^ (key >> np.uint64(32))).view(np.int64)
@@ -213,7 +213,7 @@ def _run_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of texts whose sets of runs are similar enough."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = store_and_reload(texts.select("node", "digest").join(nodes, "node", "left_semi"), "wanted")
     sets = store_and_reload(_run_sets(rows, wanted), "runs")
     sized = sets.select("node", "runs", F.size("runs").alias("n"))
