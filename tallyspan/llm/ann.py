@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import pick
+from tallyspan.llm.common import begin, pick
 from tallyspan.session import store_and_reload
 
 NEIGHBOURS = 10
@@ -121,6 +121,7 @@ def assign(rows: DataFrame, index: Index) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("ann")
         at = sent.value
         for batch in batches:
             if not batch.num_rows:
@@ -163,6 +164,7 @@ def _probes(queries: DataFrame, index: Index, sizes: np.ndarray, k: int) -> Data
     sent = queries.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("ann")
         for batch in batches:
             if len(batch):
                 _, order, counts, _, away = _plan(batch, sent.value, sizes, k)
@@ -183,6 +185,7 @@ def _seeds(queries: DataFrame, index: Index, sizes: np.ndarray, k: int) -> DataF
     sent = queries.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("ann")
         for batch in batches:
             if len(batch):
                 v, _, _, near, away = _plan(batch, sent.value, sizes, k)

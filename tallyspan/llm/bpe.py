@@ -33,10 +33,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallyspan.llm.common import concat_ranges, pick, plain, position, text_slices, without
+from tallyspan.llm.common import begin, concat_ranges, pick, plain, position, text_slices, without
 
 SHORT = 64
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 150_000
 END = "</w>"
 NONE = np.iinfo(np.int32).max
 
@@ -274,6 +274,11 @@ def _digest_encoder(path: str) -> Encoder:
     return Encoder(vocab, vocab.encode_words, entry)
 
 
+def _forget() -> None:
+    _digest_encoder.cache_clear()
+    vocabulary.cache_clear()
+
+
 def _sha256(joined: pa.Array) -> list[str]:
     return [hashlib.sha256(x).hexdigest() for x in joined.cast(pa.large_binary()).to_pylist()]
 
@@ -290,6 +295,7 @@ def encoded_digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     schema = T.StructType([*kept.schema.fields[:-1], *DIGEST_COLUMNS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe", _forget)
         encoder, blank = _digest_encoder(path), pa.scalar(" ", pa.large_string())
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
@@ -320,6 +326,7 @@ def encode(df: DataFrame, path: str, text: str = "text", name: str = "token_ids"
     schema = T.StructType([*plain(kept).schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe", _forget)
         vocab = vocabulary(path)
         encoder = Encoder(vocab, vocab.encode_words)
         for batch in batches:
@@ -339,6 +346,7 @@ def decode(df: DataFrame, path: str, ids: str = "token_ids", name: str = "decode
     schema = T.StructType([*plain(kept).schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("bpe", _forget)
         vocab = vocabulary(path)
         for batch in batches:
             texts = pa.array([vocab.decode(x or []) for x in batch.column(at).to_pylist()], pa.string())

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -26,6 +26,20 @@ def share_package(spark: SparkSession) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", PACKAGE_ROOT)
 
 
+_remembered: dict[str, Callable[[], object]] = {}
+
+
+def begin(operator: str, forget: Callable[[], object] | None = None) -> None:
+    """To be called first in a task.  A worker process serves the tasks of one stage after
+    another: what it remembers for an operator (by ``forget``) is dropped when a task of
+    another one begins, so caches do not add up."""
+    for other in [o for o in _remembered if o != operator]:
+        _remembered.pop(other)()
+    if forget is not None:
+        _remembered[operator] = forget
+    pa.default_memory_pool().release_unused()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.common import pick, plain, position, shingles, without
+from tallyspan.llm.common import WORDS as known_words
+from tallyspan.llm.common import begin, pick, plain, position, shingles, without
 
 SAMPLES = 64
 TERM_WORDS = 2
@@ -177,6 +178,7 @@ def _answers(rows: list[tuple[int | None, str]]) -> pd.DataFrame:
 def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """``batches``: sorted rows (range, extra, doc_id, text); ranges may follow one another,
     each ends with its extra row."""
+    begin("cws", known_words.clear)
     held: list[tuple[int | None, str]] = []
     size = 0
     for batch in batches:
@@ -198,6 +200,7 @@ def fingerprint(df: DataFrame, text: str = "text", name: str = "fingerprint") ->
     schema = T.StructType([*plain(kept).schema.fields, T.StructField("fingerprint", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("cws", known_words.clear)
         for batch in batches:
             for start in range(0, len(batch), 256):
                 part = batch.iloc[start : start + 256].copy()

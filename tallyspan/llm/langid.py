@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.common import pick, plain, position, text_slices, without
+from tallyspan.llm.common import begin, pick, plain, position, text_slices, without
 
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
@@ -157,6 +157,7 @@ def train(df: DataFrame, **names) -> Model:
     """A model of the labelled rows of ``df``."""
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("langid")
         for batch in batches:
             found = [counts(t) for t in batch.column(1).to_pylist()]
             at = [np.flatnonzero(c) for c in found]
@@ -192,6 +193,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     schema = T.StructType([*plain(kept).schema.fields, *PREDICTION])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("langid")
         for batch in batches:
             for start, length in text_slices(batch.column(at)):
                 part = batch.slice(start, length)

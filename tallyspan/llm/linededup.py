@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.common import lookup, pick, plain, position, text_slices, without
+from tallyspan.llm.common import begin, lookup, pick, plain, position, text_slices, without
 from tallyspan.session import store_and_reload
 
 LEAST_KEY = 10
@@ -92,6 +92,7 @@ def _filters(texts: DataFrame, bits: int) -> DataFrame:
     """(segment, once, twice) of every task, where it has set a bit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("linededup")
         once = np.zeros(bits // 8, np.uint8)
         twice = np.zeros(bits // 8, np.uint8)
         for batch in batches:
@@ -124,6 +125,7 @@ def repeated_filter(texts: DataFrame, bits: int) -> np.ndarray:
     """The packed ``twice`` filter of one column of texts, at most ``MOST_BITS`` bits."""
 
     def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("linededup")
         held: dict[int, list[np.ndarray]] = {}
         for batch in batches:
             for segment, once, twice in zip(batch["segment"], batch["once"], batch["twice"]):
@@ -148,6 +150,7 @@ def _suspects(rows: DataFrame, twice, bits: int) -> DataFrame:
     at_text = rows.columns.index("_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("linededup")
         bitmap = np.frombuffer(twice.value, np.uint8)
         for batch in batches:
             for start, length in text_slices(batch.column(at_text)):
@@ -218,6 +221,7 @@ def _without(affected: DataFrame) -> DataFrame:
     at_text, at_gone = affected.columns.index("_text"), affected.columns.index("_gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("linededup")
         for batch in batches:
             for start, length in text_slices(batch.column(at_text)):
                 part = batch.slice(start, length)

@@ -41,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import lookup, pick, plain, position, shingles, text_slices, weighted
+from tallyspan.llm.common import WORDS as known_words
+from tallyspan.llm.common import begin, lookup, pick, plain, position, shingles, text_slices, weighted
 from tallyspan.llm.components import components
 from tallyspan.session import store_and_reload
 
@@ -130,6 +131,7 @@ def _signed(rows: DataFrame) -> DataFrame:
     """(id, digest, bands, sketch) of rows (id, text); no bands without a run of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("neardup", known_words.clear)
         for batch in batches:
             for start, length in text_slices(batch.column(1), 2 << 20):
                 part = batch.slice(start, length)
@@ -164,6 +166,7 @@ def _run_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     bits = min(MOST_FILTER_BITS, max(1 << 16, wanted.count() * FILTER_BITS_PER_TEXT))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("neardup", known_words.clear)
         found = [np.zeros(0, np.int64)]
         for batch in batches:
             raw = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8)
@@ -184,6 +187,7 @@ def _run_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     sent = spark.sparkContext.broadcast(bitmap.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("neardup", known_words.clear)
         filled = np.frombuffer(sent.value, np.uint8)
         done: set[bytes] = set()  # copies inside a task are read once
         for batch in batches:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspan.llm.bpe import Encoder, encode_ids, vocabulary
-from tallyspan.llm.common import pick, text_slices
+from tallyspan.llm.common import begin, pick, text_slices
 from tallyspan.llm.differencing import difference
 from tallyspan.session import store_and_reload
 
@@ -68,6 +68,11 @@ def _library_encoder(path: str) -> Encoder:
     return Encoder(vocabulary(path), words)
 
 
+def _forget() -> None:
+    _library_encoder.cache_clear()
+    vocabulary.cache_clear()
+
+
 def token_pieces(
     df: DataFrame, path: str, key: str, text: str = "text", capacity: int = CAPACITY, piece: int = PIECE
 ) -> DataFrame:
@@ -83,6 +88,7 @@ def token_pieces(
     closing = np.array([CLOSING_ID], np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("packing", _forget)
         encoder = _library_encoder(path)
         for batch in batches:
             for at, length in text_slices(batch.column(1)):

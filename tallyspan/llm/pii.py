@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.common import pick, plain, position, text_slices, without
+from tallyspan.llm.common import begin, pick, plain, position, text_slices, without
 from tallyspan.llm.tagger import PAD, Tagger, codes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -205,6 +205,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", steps: int = S
     chosen = rows.select("key", F.xxhash64("key").alias("hash")).orderBy("hash", "key").limit(SAMPLE_DOCUMENTS).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pii")
         for batch in batches:
             found = []
             for hashed, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -375,6 +376,7 @@ def _mapped(df: DataFrame, model: Tagger | None, text: str, added: list[T.Struct
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pii")
         for batch in batches:
             for start, length in text_slices(batch.column(at)):
                 part = batch.slice(start, length)
