@@ -17,47 +17,56 @@ from tallyspan.operators.spine import densify, with_bounds
 
 # members: licences of the type; priced: those whose price enters the sum.
 MEASURES = ["members", "active", "inactive", "price", "priced"]
+ADDITIVE = [*MEASURES, "starts", "states"]
 
 
-def interval_deltas(intervals: DataFrame) -> DataFrame:
-    """Deltas per (date, type); ``starts`` counts the intervals that begin there.
+def interval_deltas(intervals: DataFrame, sign: str = "1L") -> DataFrame:
+    """Deltas per (date, type); ``starts`` counts the intervals that begin there, and
+    ``states`` all states, so also the hidden ones, if kept, which have no type and
+    count nowhere else: the calendar runs over the days with a state.
 
-    Hidden states, if kept, add rows of zeros without a type: only their day matters.
+    ``sign`` is an expression of 1 or -1 per interval.
     """
     shown = "is_visible" if "is_visible" in intervals.columns else "true"
     measured = intervals.selectExpr(
         "type",
         "valid_from",
         "valid_to",
-        f"if({shown}, 1L, 0L) AS members",
-        "int(renewable <=> true) AS active",
-        "int(renewable <=> false) AS inactive",
-        "coalesce(if(renewable, price, 0), 0) AS price",
-        f"int({shown} AND NOT (renewable <=> true AND price IS NULL)) AS priced",
+        f"{sign} AS sign",
+        f"if({shown}, 1L, 0L) * {sign} AS members",
+        f"if(renewable <=> true, 1L, 0L) * {sign} AS active",
+        f"if(renewable <=> false, 1L, 0L) * {sign} AS inactive",
+        f"coalesce(if(renewable, price, 0), 0) * {sign} AS price",
+        f"if({shown} AND NOT (renewable <=> true AND price IS NULL), 1L, 0L) * {sign} AS priced",
     )
     began = ", ".join(MEASURES)
     ended = ", ".join(f"-{m}" for m in MEASURES)
     edges = measured.selectExpr(
-        "type", f"stack(2, valid_from, members, {began}, valid_to, 0L, {ended}) AS (date, starts, {began})"
+        "type",
+        f"stack(2, valid_from, sign, members, {began}, valid_to, 0L, 0L, {ended}) AS (date, states, starts, {began})",
     )
     return _sum_deltas(edges.where("date IS NOT NULL"))
 
 
 def _sum_deltas(rows: DataFrame) -> DataFrame:
-    sums = [F.expr(f"sum({m}) AS {m}") for m in (*MEASURES, "starts")]
+    sums = [F.expr(f"sum({m}) AS {m}") for m in ADDITIVE]
     return rows.groupBy("date", "type").agg(*sums)
 
 
 def add_deltas(*parts: DataFrame) -> DataFrame:
-    """Sum of delta tables."""
+    """Sum of delta tables, without the rows that have cancelled out: a correction leaves
+    them on days that it has emptied, which may lie outside the calendar now."""
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)
-    return _sum_deltas(merged)
+    return _sum_deltas(merged).where(" OR ".join(f"{m} <> 0" for m in ADDITIVE))
 
 
-def negate_deltas(deltas: DataFrame) -> DataFrame:
-    return deltas.selectExpr("date", "type", *[f"-{m} AS {m}" for m in (*MEASURES, "starts")])
+def delta_bounds(deltas: DataFrame) -> DataFrame:
+    """First and last day with a state, from deltas with the hidden days.  A day that a
+    correction has emptied no longer counts."""
+    days = deltas.groupBy("date").agg(F.sum("states").alias("states")).where("states > 0")
+    return days.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
 
 
 def daily_levels(deltas: DataFrame, bounds: DataFrame) -> DataFrame:

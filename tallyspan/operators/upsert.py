@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, time, timedelta
+from datetime import datetime, time, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +23,22 @@ def upsert(target: DataFrame, incoming: DataFrame, key: str, newest_first: Seque
     return target.join(fresh.select(key), key, "left_anti").unionByName(fresh, allowMissingColumns=True)
 
 
+def as_utc(value: datetime | str) -> datetime:
+    """UTC time; text must not name an offset, and a time without a zone is UTC."""
+    if isinstance(value, str):
+        value = datetime.fromisoformat(value)
+        if value.tzinfo is not None:
+            raise ValueError("give timestamps in UTC without an offset")
+    return value.replace(tzinfo=timezone.utc) if value.tzinfo is None else value.astimezone(timezone.utc)
+
+
 def select_window(df: DataFrame, event_column: str, start: datetime, end: datetime) -> DataFrame:
-    """Rows with start <= event time <= end.
+    """Rows with start <= event time <= end, both bounds in UTC.
 
     A date counts as its midnight, so for a date column the bounds become dates: the
     comparison stays on the stored type and reaches the parquet scan.
     """
+    start, end = as_utc(start), as_utc(end)
     if isinstance(df.schema[event_column].dataType, T.DateType):
         midnight = datetime.combine(start.date(), time.min, start.tzinfo)
         first = start.date() + timedelta(days=int(start > midnight))
@@ -61,30 +71,56 @@ def advance_watermarks(batches: DataFrame, last_data: Column, last_processed: Co
 
 
 def correction_deltas(
-    initial: DataFrame, known: DataFrame, late: DataFrame, late_initial: DataFrame | None = None
+    initial: DataFrame,
+    known: DataFrame,
+    late: DataFrame,
+    late_initial: DataFrame | None = None,
+    replace_entities: bool = False,
 ) -> DataFrame:
     """What late rows add to the stored daily deltas: new minus old deltas of the
-    licences they touch.  The known rows of those licences are picked out of the tables
-    once and stored, since the old and the new history both read them.
+    licences they touch.
+
+    ``late`` holds changes; a row with a known id is a new version and replaces the old
+    one, also where it moves to another licence or day.  ``late_initial`` holds entity
+    rows, which are added or, with ``replace_entities``, replace those of their id.
 
-    ``late`` holds changes and ``late_initial`` entity rows that are not among the
-    known ones.  The result has a row for every day of a late row, also for a row that
-    counts nowhere, so the calendar can be read from the deltas.
+    The rows of the touched licences are picked out once and go through the history once:
+    each belongs to the old history, the new one or both, and the two are told apart by the
+    licence's key.  Old intervals count with the opposite sign.
     """
-    ids = late.select("license_id")
+    moved = known.select("id", "license_id").join(late.select("id").distinct(), "id", "left_semi")
+    ids = late.select("license_id").union(moved.select("license_id"))
     if late_initial is not None:
         ids = ids.union(late_initial.select("id"))
-    touched = store_and_reload(ids.distinct(), "touched")
-    before = store_and_reload(rows_of_keys(known, touched, "license_id", "id"), "touched-changes")
-    own = rows_of_keys(initial, touched.withColumnRenamed("license_id", "id"), "id", "creation_date")
-    entities = store_and_reload(own, "touched-entities")
-    after_entities = entities if late_initial is None else entities.unionByName(late_initial)
-
-    def deltas(first: DataFrame, changes: DataFrame) -> DataFrame:
-        return metrics.interval_deltas(state_intervals(first, changes, keep_hidden=True))
-
-    new = deltas(after_entities, before.unionByName(late))
-    return metrics.add_deltas(new, metrics.negate_deltas(deltas(entities, before)))
+    touched = store_and_reload(ids.where("license_id IS NOT NULL").distinct(), "touched")
+    before = rows_of_keys(known, touched, "license_id", "id")
+    entities = rows_of_keys(initial, touched.withColumnRenamed("license_id", "id"), "id", "creation_date")
+    replaced = late.select("id").distinct().withColumn("_replaced", F.lit(True))
+    old = before.join(replaced, "id", "left").withColumn("_versions", _versions(F.col("_replaced").isNull()))
+    changes = old.drop("_replaced").unionByName(late.withColumn("_versions", F.array(F.lit("new:"))))
+    if late_initial is None:
+        entities = entities.withColumn("_versions", _versions(F.lit(True)))
+    else:
+        if replace_entities:
+            again = late_initial.select("id").distinct().withColumn("_replaced", F.lit(True))
+            entities = entities.join(again, "id", "left")
+        else:
+            entities = entities.withColumn("_replaced", F.lit(None).cast("boolean"))
+        entities = entities.withColumn("_versions", _versions(F.col("_replaced").isNull())).drop("_replaced")
+        entities = entities.unionByName(late_initial.withColumn("_versions", F.array(F.lit("new:"))))
+
+    def told_apart(rows: DataFrame, key: str) -> DataFrame:
+        named = rows.withColumn("_version", F.explode("_versions")).drop("_versions", "_replaced")
+        return named.withColumn(key, F.concat("_version", F.col(key).cast("string"))).drop("_version")
+
+    intervals = state_intervals(told_apart(entities, "id"), told_apart(changes, "license_id"), keep_hidden=True)
+    return metrics.interval_deltas(intervals, sign="if(license_id LIKE 'old:%', -1L, 1L)")
+
+
+def _versions(stays: Column) -> Column:
+    """The histories that a known row belongs to."""
+    both = F.array(F.lit("old:"), F.lit("new:"))
+    return F.when(stays, both).otherwise(F.array(F.lit("old:")))
 
 
 def recompute_affected(
@@ -96,9 +132,6 @@ def recompute_affected(
 ) -> DataFrame:
     """Daily metrics after late rows, from the stored deltas (with hidden days) and the
     licences that the late rows touch."""
-    days = stored_deltas.select("date").union(late.selectExpr("date(date)"))
-    if late_initial is not None:
-        days = days.union(late_initial.selectExpr("date(creation_date)"))
-    bounds = days.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
-    deltas = metrics.add_deltas(stored_deltas, correction_deltas(initial, known, late, late_initial))
-    return metrics.mart_from_deltas(deltas, bounds)
+    corrected = metrics.add_deltas(stored_deltas, correction_deltas(initial, known, late, late_initial))
+    deltas = store_and_reload(corrected, "deltas")
+    return metrics.mart_from_deltas(deltas, metrics.delta_bounds(deltas))

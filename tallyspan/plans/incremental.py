@@ -1,15 +1,20 @@
 """Incremental and backfill runs over a store of two targets.
 
-A run reads the event-time window since the last processed watermark, upserts both
-targets and moves the watermarks.  Order of writes: staged months, journal entry,
-published months, checkpoint row.  A journal entry without a checkpoint row is a run
-that stopped while publishing; the next run publishes it again before it reads.
+A run reads the event-time window since the last processed watermark, writes the rows of
+each target once, as a segment, adds what they change to the stored metrics, and publishes
+all of it, with its watermarks, in one step: the next version of the store's pointer.  A
+run that stops earlier leaves files that nothing refers to, and the next run starts from
+the state before it.
+
+Rows without a key cannot replace one another.  They go to a table of rejected rows, each
+with its content and its number among equal ones as the key, so nothing is lost and a replay
+adds nothing.
 """
 
 from __future__ import annotations
 
-import json
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,20 +22,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspan.operators.dedup import latest_per_key
-from tallyspan.operators.upsert import select_window
+from tallyspan.operators.upsert import advance_watermarks, as_utc, select_window
+from tallyspan.plans.metric_store import MetricStore
 from tallyspan.schemas import CHANGES_SCHEMA, CHECKPOINT_SCHEMA, INITIAL_SCHEMA
-from tallyspan.sources.files import delete_path, read_or_empty
-from tallyspan.sources.targets import Target, publish, stage
+from tallyspan.sources.files import delete_path
+from tallyspan.sources.pointer import Pointer
+from tallyspan.sources.targets import DAY, Target
 
 EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 BACKFILL_DAYS = 5
+HISTORY = 100  # runs whose watermarks are remembered
+COMPACT_AFTER = 8  # segments of a table
+REJECTED = "rejected_"
 
-JOURNAL_SCHEMA = T.StructType(
-    [
-        *CHECKPOINT_SCHEMA.fields,
-        T.StructField("months", T.StringType()),  # JSON: table -> touched months
-    ]
-)
+
+def _micros(value: datetime) -> int:
+    return (value - EPOCH) // timedelta(microseconds=1)
+
+
+def _time(micros: int) -> datetime:
+    return EPOCH + timedelta(microseconds=micros)
 
 
 @dataclass(frozen=True)
@@ -40,100 +51,188 @@ class Checkpoint:
     last_processed: datetime
 
 
+@dataclass(frozen=True)
+class State:
+    """What the pointer says: bounded by tables, remembered runs, segments and streams."""
+
+    version: int = 0
+    runs: tuple[Checkpoint, ...] = ()
+    segments: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    retired: tuple[str, ...] = ()
+    streams: Mapping[str, int] = field(default_factory=dict)
+    metrics: Mapping[str, str] = field(default_factory=dict)
+
+    @property
+    def last(self) -> Checkpoint:
+        return self.runs[-1] if self.runs else Checkpoint(0, EPOCH, EPOCH)
+
+
 @dataclass(frozen=True)
 class Store:
-    """Folders of one ingestion: two targets, journal, checkpoint, staging."""
+    """Folders of one ingestion: targets, rejected rows, metrics, pointer."""
 
     root: str
 
+    @property
+    def pointer(self) -> Pointer:
+        return Pointer(f"{self.root}/state")
+
     @property
     def targets(self) -> dict[str, Target]:
-        return {
+        tables = {
             "initial": Target(f"{self.root}/initial", INITIAL_SCHEMA, "creation_date"),
             "changes": Target(f"{self.root}/changes", CHANGES_SCHEMA, "date"),
         }
+        rejected = {}
+        for name, t in tables.items():
+            schema = T.StructType([*t.schema.fields, T.StructField("content", T.StringType())])
+            rejected[REJECTED + name] = Target(f"{self.root}/{REJECTED}{name}", schema, t.date_column, "content")
+        return tables | rejected
 
-    def staging(self, run_id: int, name: str = "") -> str:
-        return f"{self.root}/staging/run={run_id}/{name}"
+    @property
+    def metrics(self) -> MetricStore:
+        return MetricStore(f"{self.root}/metrics")
+
+    def state(self, spark: SparkSession) -> State:
+        version, content = self.pointer.read(spark)
+        if not version:
+            return State()
+        return State(
+            version,
+            tuple(Checkpoint(r, _time(d), _time(p)) for r, d, p in content["runs"]),
+            {k: tuple(v) for k, v in content["segments"].items()},
+            tuple(content["retired"]),
+            content["streams"],
+            content["metrics"],
+        )
+
+    def publish(self, spark: SparkSession, state: State) -> None:
+        content = {
+            "runs": [[c.run_id, _micros(c.last_data), _micros(c.last_processed)] for c in state.runs[-HISTORY:]],
+            "segments": {k: list(v) for k, v in state.segments.items()},
+            "retired": list(state.retired),
+            "streams": dict(state.streams),
+            "metrics": dict(state.metrics),
+        }
+        self.pointer.publish(spark, state.version, content)
 
-    def checkpoints(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, f"{self.root}/checkpoint", CHECKPOINT_SCHEMA)
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        """Rows of a table with ``event_day``: one per key, the newest version."""
+        return self.targets[table].read(spark, self.state(spark).segments.get(table, ()))
 
-    def journal(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, f"{self.root}/journal", JOURNAL_SCHEMA)
+    def rows(self, spark: SparkSession, table: str) -> DataFrame:
+        return self.read(spark, table).select(*self.targets[table].schema.fieldNames())
 
+    def mart(self, spark: SparkSession) -> DataFrame:
+        """Daily metrics of the stored rows, from the stored deltas."""
+        return self.metrics.mart_of(spark, self.state(spark).metrics)
 
-def as_utc(value: datetime | str) -> datetime:
-    """UTC time; text must not name an offset."""
-    if isinstance(value, str):
-        value = datetime.fromisoformat(value)
-        if value.tzinfo is not None:
-            raise ValueError("give timestamps in UTC without an offset")
-    return value.replace(tzinfo=timezone.utc) if value.tzinfo is None else value.astimezone(timezone.utc)
+    def checkpoints(self, spark: SparkSession) -> DataFrame:
+        """Watermarks of the last runs."""
+        rows = [(c.run_id, c.last_data, c.last_processed) for c in self.state(spark).runs]
+        return spark.createDataFrame(rows, CHECKPOINT_SCHEMA)
 
 
 def load_checkpoint(spark: SparkSession, store: Store) -> Checkpoint:
-    """Row of the latest run; the epoch if there is none."""
-    rows = (
-        store.checkpoints(spark)
-        .orderBy(F.col("run_id").desc())
-        .limit(1)
-        .select("run_id", *[F.unix_micros(c) for c in CHECKPOINT_SCHEMA.fieldNames()[1:]])
-        .collect()
+    """Watermarks of the latest run; the epoch if there is none."""
+    return store.state(spark).last
+
+
+def split_keys(rows: DataFrame, target: Target) -> tuple[DataFrame, DataFrame]:
+    """(rows with a key, rows without one under a key of their content)."""
+    names = target.schema.fieldNames()
+    rows = rows.select(*names)
+    # Every value by itself, so that a missing one is not an empty one.
+    text = F.to_json(F.struct(*[F.col(n).cast("string").alias(n) for n in names]), {"ignoreNullFields": "false"})
+    content = F.sha2(text, 256)
+    lost = rows.where(F.col(target.key).isNull()).withColumn("_content", content)
+    # Equal rows are counted before they are numbered, so none of them is shuffled twice.
+    counted = lost.groupBy("_content").agg(F.count("*").alias("_n"), *[F.first(n).alias(n) for n in names])
+    copies = counted.withColumn("_number", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    key = F.concat_ws("-", "_content", F.col("_number").cast("string"))
+    return rows.where(F.col(target.key).isNotNull()), copies.select(*names, key.alias("content"))
+
+
+def write_batch(
+    spark: SparkSession, store: Store, table: str, batch: DataFrame, state: State, newest_first: list | None = None
+) -> dict[str, str]:
+    """Segments of the rows of a batch: the newest per key, and those without a key."""
+    target = store.targets[table]
+    keyed, lost = split_keys(batch, target)
+    order = newest_first or [F.col(target.date_column).desc()]
+    written = {table: target.write(spark, latest_per_key(keyed, [target.key], order), state.version + 1)}
+    if not lost.isEmpty():
+        written[REJECTED + table] = store.targets[REJECTED + table].write(spark, lost, state.version + 1)
+    return written
+
+
+def event_range(spark: SparkSession, target: Target, segment: str) -> tuple[datetime, datetime] | None:
+    """Midnights of the first and the last event day of a segment, from its folders."""
+    days = [d for d in target.touched_days(spark, segment) if d != "undated"]
+    return tuple(datetime.fromisoformat(d).replace(tzinfo=timezone.utc) for d in (days[0], days[-1])) if days else None
+
+
+def commit(
+    spark: SparkSession,
+    store: Store,
+    state: State,
+    written: Mapping[str, str],
+    point: Checkpoint,
+    streams: Mapping[str, int] | None = None,
+    with_metrics: bool = False,
+) -> State:
+    """Publishes segments, watermarks and what the rows change in the metrics."""
+    segments = {k: tuple(v) for k, v in state.segments.items()}
+    for table, segment in written.items():
+        segments[table] = (*segments.get(table, ()), segment)
+    metrics = dict(state.metrics)
+    if with_metrics:
+        metrics[f"{point.run_id:012d}"] = _metric_run(spark, store, state, written)
+    after = replace(
+        state,
+        runs=(*state.runs, point),
+        segments=segments,
+        streams={**state.streams, **(streams or {})},
+        metrics=metrics,
     )
-    if not rows:
-        return Checkpoint(0, EPOCH, EPOCH)
-    run_id, data, processed = rows[0]
-    return Checkpoint(run_id, EPOCH + timedelta(microseconds=data), EPOCH + timedelta(microseconds=processed))
-
-
-def latest_event(batch: DataFrame, date_column: str) -> datetime:
-    """Midnight of the latest event date, the epoch for an empty batch."""
-    top = batch.agg(F.max(date_column)).first()[0]
-    return EPOCH if top is None else datetime(top.year, top.month, top.day, tzinfo=timezone.utc)
-
-
-def _append_row(spark: SparkSession, path: str, schema: T.StructType, row: tuple) -> None:
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
-
-
-def save_checkpoint(spark: SparkSession, store: Store, point: Checkpoint) -> None:
-    row = (point.run_id, as_utc(point.last_data), as_utc(point.last_processed))
-    _append_row(spark, f"{store.root}/checkpoint", CHECKPOINT_SCHEMA, row)
-
-
-def recover(spark: SparkSession, store: Store) -> None:
-    """Finish a run that was journalled but has no checkpoint row."""
-    done = load_checkpoint(spark, store).run_id
-    fields = ["run_id", F.unix_micros("last_data_timestamp"), F.unix_micros("last_processed_timestamp"), "months"]
-    pending = store.journal(spark).where(F.col("run_id") > done).orderBy("run_id").select(*fields).limit(1).collect()
-    for run_id, data, processed, months in pending:
-        _publish_run(spark, store, run_id, json.loads(months))
-        point = Checkpoint(run_id, EPOCH + timedelta(microseconds=data), EPOCH + timedelta(microseconds=processed))
-        save_checkpoint(spark, store, point)
-        delete_path(spark, store.staging(run_id))
-
-
-def _publish_run(spark: SparkSession, store: Store, run_id: int, months: dict[str, list[str]]) -> None:
-    for table, touched in months.items():
-        publish(spark, store.targets[table], store.staging(run_id, table), touched)
-
-
-def commit_run(spark: SparkSession, store: Store, batches: dict[str, DataFrame], point: Checkpoint) -> None:
-    """Upsert one batch per table (one row per key) and record the run.
-
-    An attempt that stopped before its journal entry may have left staged files;
-    staging overwrites them.
-    """
-    months = {
-        table: stage(spark, store.targets[table], fresh, store.staging(point.run_id, table))
-        for table, fresh in batches.items()
-    }
-    entry = (point.run_id, as_utc(point.last_data), as_utc(point.last_processed), json.dumps(months))
-    _append_row(spark, f"{store.root}/journal", JOURNAL_SCHEMA, entry)
-    _publish_run(spark, store, point.run_id, months)
-    save_checkpoint(spark, store, point)
-    delete_path(spark, store.staging(point.run_id))
+    store.publish(spark, after)
+    after = replace(after, version=after.version + 1)
+    if any(len(s) > COMPACT_AFTER for s in segments.values()):
+        after = compact(spark, store, after)
+    return after
+
+
+def _metric_run(spark: SparkSession, store: Store, state: State, written: Mapping[str, str]) -> str:
+    """Deltas of a run: of all rows for the first one, else of what the new rows change."""
+    tables = store.targets
+    fresh = {t: tables[t].segment(spark, [written[t]] if t in written else []).drop("commit", DAY) for t in ("initial", "changes")}
+    if not state.metrics:
+        later = {k: (*state.segments.get(k, ()), *([v] if (v := written.get(k)) else [])) for k in ("initial", "changes")}
+        rows = {k: tables[k].read(spark, s).drop(DAY) for k, s in later.items()}
+        return store.metrics.write_build(rows["initial"], rows["changes"])
+    known = {t: tables[t].read(spark, state.segments.get(t, ())).drop(DAY) for t in ("initial", "changes")}
+    return store.metrics.write_correction(known["initial"], known["changes"], fresh["changes"], fresh["initial"], True)
+
+
+def compact(spark: SparkSession, store: Store, state: State) -> State:
+    """Writes the segments of each table as one, and the metric runs as one.  Segments that
+    this takes out of use are deleted by the next compaction, so that a reader that
+    has just begun still finds them."""
+    segments, retired = {}, []
+    for table, names in state.segments.items():
+        target = store.targets[table]
+        segments[table] = (target.write(spark, target.read(spark, names), state.version + 1),) if len(names) > 1 else names
+        retired += [target.folder(n) for n in names if n not in segments[table]]
+    metrics = dict(state.metrics)
+    if len(metrics) > 1:
+        merged = store.metrics.write_merged(spark, metrics)
+        retired += [store.metrics.folder(f) for f in metrics.values()]
+        metrics = {max(metrics): merged}
+    after = replace(state, segments=segments, retired=tuple(retired), metrics=metrics)
+    store.publish(spark, after)
+    for folder in state.retired:
+        delete_path(spark, folder)
+    return replace(after, version=after.version + 1)
 
 
 def run_incremental(
@@ -144,40 +243,57 @@ def run_incremental(
     as_of: datetime | str,
     start: datetime | str | None = None,
     lookback: timedelta = timedelta(0),
+    with_metrics: bool = False,
 ) -> Checkpoint:
     """One run over the event-time window [start or last processed, as_of].
 
     ``as_of`` stands for now.  Both bounds belong to the window, so the day of the
-    watermark is read again; the upsert makes that harmless.  A run that fails before
-    its journal entry moves the data watermark but not the processed one, so the next
-    run reads its window again.
+    watermark is read again; the upsert makes that harmless.  If the second table fails, the
+    data watermark moves and the processed one does not, so the next run reads the
+    window again; of a failed run no row is published.  ``with_metrics`` keeps the daily
+    metrics of the store (``Store.mart``) up to date with the rows.
     """
-    recover(spark, store)
-    last = load_checkpoint(spark, store)
+    state = store.state(spark)
+    last = state.last
     end = as_utc(as_of)
     begin = (as_utc(start) if start is not None else last.last_processed) - lookback
-    run_id = last.run_id + 1
-    batches: dict[str, DataFrame] = {}
-    latest = last.last_data
+    written: dict[str, str] = {}
+    ranges, failure = [], None
     for table, source in {"initial": initial, "changes": changes}.items():
         target = store.targets[table]
-        window = select_window(source, target.date_column, begin, end).select(*target.schema.fieldNames())
-        fresh = latest_per_key(window, [target.key], [F.col(target.date_column).desc()])
-        path = store.staging(run_id, f"batch-{table}")
-        fresh.write.mode("overwrite").parquet(path)
-        batches[table] = spark.read.schema(target.schema).parquet(path)
-        latest = max(latest, latest_event(batches[table], target.date_column))
-    point = Checkpoint(run_id, latest, max(last.last_processed, latest))
-    try:
-        commit_run(spark, store, batches, point)
-    except Exception:
-        if store.journal(spark).where(F.col("run_id") == run_id).isEmpty():
-            save_checkpoint(spark, store, Checkpoint(run_id, latest, last.last_processed))
-            delete_path(spark, store.staging(run_id))
-        raise
+        window = select_window(source, target.date_column, begin, end)
+        try:
+            if failure is None:
+                written |= write_batch(spark, store, table, window, state)
+        except Exception as error:  # raised again below, after the watermark is saved
+            failure = error
+        if failure is None:
+            seen = event_range(spark, target, written[table])
+        else:
+            low, high = window.agg(F.min(target.date_column), F.max(target.date_column)).first()
+            seen = None if low is None else tuple(as_utc(datetime(d.year, d.month, d.day)) for d in (low, high))
+        if seen is not None:
+            ranges.append((*seen, failure is None))
+    if failure is not None:
+        ranges = [(low, high, False) for low, high, _ in ranges]
+    point = next_checkpoint(spark, last, ranges)
+    if failure is not None:
+        store.publish(spark, replace(state, runs=(*state.runs, point)))
+        raise failure
+    commit(spark, store, state, written, point, with_metrics=with_metrics)
     return point
 
 
+def next_checkpoint(spark: SparkSession, last: Checkpoint, ranges: list[tuple[datetime, datetime, bool]]) -> Checkpoint:
+    """Watermarks after batches of (first event, last event, succeeded)."""
+    batches = spark.createDataFrame(ranges, "min_event timestamp, max_event timestamp, succeeded boolean")
+    moved = advance_watermarks(batches, F.lit(last.last_data), F.lit(last.last_processed))
+    data, processed = moved.select(
+        F.unix_micros("last_data_timestamp"), F.unix_micros("last_processed_timestamp")
+    ).first()
+    return Checkpoint(last.run_id + 1, _time(data), _time(processed))
+
+
 def run_backfill(
     spark: SparkSession,
     initial: DataFrame,
@@ -185,7 +301,9 @@ def run_backfill(
     store: Store,
     as_of: datetime | str,
     days: int = BACKFILL_DAYS,
+    with_metrics: bool = False,
 ) -> Checkpoint:
     """Read the last ``days`` days again, which picks up rows that came late."""
     end = as_utc(as_of)
-    return run_incremental(spark, initial, changes, store, end, start=end - timedelta(days=days))
+    begin = end - timedelta(days=days)
+    return run_incremental(spark, initial, changes, store, end, start=begin, with_metrics=with_metrics)

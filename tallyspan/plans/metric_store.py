@@ -1,12 +1,15 @@
 """Stored daily deltas: built in one pass over the inputs, corrected by addition.
 
-Deltas add up, so a correction is one more set of rows and nothing is rewritten.  Each
-run has its own folder; its bounds row is written last and makes the run count.
-Running the same run again replaces what it wrote.
+Deltas add up, so a correction is one more set of rows and nothing is rewritten.  Every attempt
+of a run writes a folder of its own; the run counts when a pointer names that folder,
+which is the last step.  A store of targets names the runs in its own pointer, with the rows they
+stand for; ``build`` and ``correct`` are for deltas without such a store.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +18,7 @@ from pyspark.sql import types as T
 
 from tallyspan.operators import history, metrics
 from tallyspan.operators.upsert import correction_deltas
-from tallyspan.sources.files import path_exists, read_or_empty
-
-BOUNDS_SCHEMA = T.StructType([T.StructField("first_day", T.DateType()), T.StructField("last_day", T.DateType())])
-RUN = T.StructField("run_id", T.LongType())
+from tallyspan.sources.pointer import Pointer
 
 
 @dataclass(frozen=True)
@@ -28,15 +28,57 @@ class MetricStore:
 
     @property
     def delta_schema(self) -> T.StructType:
-        counts = [T.StructField(n, T.LongType()) for n in (*metrics.MEASURES, "starts") if n != "price"]
+        counts = [T.StructField(n, T.LongType()) for n in metrics.ADDITIVE if n != "price"]
         price = T.StructField("price", self.price_type)
         return T.StructType([T.StructField("date", T.DateType()), T.StructField("type", T.StringType()), price, *counts])
 
+    @property
+    def pointer(self) -> Pointer:
+        return Pointer(f"{self.root}/runs")
+
+    def folder(self, attempt: str) -> str:
+        return f"{self.root}/deltas/{attempt}"
+
+    # --- folders of one attempt each; they count when a pointer names them --------------
+
+    def write_build(self, initial: DataFrame, changes: DataFrame) -> str:
+        """The deltas of all states, from one pass over the inputs."""
+        return self._write(metrics.interval_deltas(history.state_intervals(initial, changes, keep_hidden=True)))
+
+    def write_correction(
+        self,
+        initial: DataFrame,
+        known: DataFrame,
+        late: DataFrame,
+        late_initial: DataFrame | None = None,
+        replace_entities: bool = False,
+    ) -> str:
+        """What late rows change; ``initial`` and ``known`` are the tables before."""
+        return self._write(correction_deltas(initial, known, late, late_initial, replace_entities))
+
+    def write_merged(self, spark: SparkSession, runs: Mapping[str, str]) -> str:
+        """The sum of several runs as one."""
+        return self._write(self.deltas_of(spark, runs))
+
+    def deltas_of(self, spark: SparkSession, runs: Mapping[str, str]) -> DataFrame:
+        if not runs:
+            return spark.createDataFrame([], self.delta_schema)
+        rows = spark.read.schema(self.delta_schema).parquet(*[self.folder(f) for f in runs.values()])
+        return metrics.add_deltas(rows)
+
+    def mart_of(self, spark: SparkSession, runs: Mapping[str, str]) -> DataFrame:
+        """Daily metrics; reads days x types rows per run and none of the inputs."""
+        deltas = self.deltas_of(spark, runs)
+        return metrics.mart_from_deltas(deltas, metrics.delta_bounds(deltas))
+
+    # --- deltas with a pointer of their own -----------------------------------------
+
     def build(self, spark: SparkSession, initial: DataFrame, changes: DataFrame) -> None:
-        """Run 0: the deltas of all states, from one pass over the inputs."""
-        if path_exists(spark, f"{self.root}/bounds"):
+        """Run 0."""
+        version, runs = self.pointer.read(spark)
+        if runs:
             raise ValueError(f"{self.root} already holds deltas")
-        self._write(metrics.interval_deltas(history.state_intervals(initial, changes, keep_hidden=True)), 0)
+        self.pointer.publish(spark, version, {"0": self.write_build(initial, changes)})
 
     def correct(
         self,
@@ -46,36 +88,25 @@ class MetricStore:
         late: DataFrame,
         late_initial: DataFrame | None = None,
     ) -> None:
-        """Add what late rows change; ``initial`` and ``known`` are the tables before."""
+        """Add what late rows change.  Running a run again replaces what it added."""
         if run_id < 1:
             raise ValueError("run 0 is the first build")
-        self._write(correction_deltas(initial, known, late, late_initial), run_id)
+        version, runs = self.pointer.read(initial.sparkSession)
+        attempt = self.write_correction(initial, known, late, late_initial)
+        self.pointer.publish(initial.sparkSession, version, {**runs, str(run_id): attempt})
 
     def deltas(self, spark: SparkSession) -> DataFrame:
-        """Sum over the runs that are complete."""
-        complete = self._bounds_by_run(spark).select("run_id")
-        schema = T.StructType([*self.delta_schema.fields, RUN])
-        rows = read_or_empty(spark, f"{self.root}/deltas", schema).join(complete, "run_id", "left_semi")
-        return metrics.add_deltas(rows.drop("run_id"))
+        """Sum over the runs."""
+        return self.deltas_of(spark, self.pointer.read(spark)[1])
 
     def bounds(self, spark: SparkSession) -> DataFrame:
-        return self._bounds_by_run(spark).agg(
-            F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")
-        )
+        return metrics.delta_bounds(self.deltas(spark))
 
     def mart(self, spark: SparkSession) -> DataFrame:
-        """Daily metrics; reads days x types rows per run and none of the inputs."""
-        return metrics.mart_from_deltas(self.deltas(spark), self.bounds(spark))
-
-    def _bounds_by_run(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, f"{self.root}/bounds", T.StructType([*BOUNDS_SCHEMA.fields, RUN]))
-
-    def _write(self, deltas: DataFrame, run_id: int) -> None:
-        path = f"{self.root}/deltas/run_id={run_id}"
-        typed = deltas.withColumn("price", F.col("price").cast(self.price_type))
-        typed.write.mode("overwrite").parquet(path)
-        stored = deltas.sparkSession.read.schema(self.delta_schema).parquet(path)
-        self._write_bounds(stored.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day")), run_id)
+        return self.mart_of(spark, self.pointer.read(spark)[1])
 
-    def _write_bounds(self, bounds: DataFrame, run_id: int) -> None:
-        bounds.write.mode("overwrite").parquet(f"{self.root}/bounds/run_id={run_id}")
+    def _write(self, deltas: DataFrame) -> str:
+        attempt = uuid.uuid4().hex
+        typed = deltas.select(*[F.col(f.name).cast(f.dataType) for f in self.delta_schema.fields])
+        typed.write.parquet(self.folder(attempt))
+        return attempt

@@ -79,16 +79,16 @@ initial_licenses AS (
   SELECT id, customer_id, type, CAST(creation_date + INTERVAL 10 DAY AS DATE), price, renewable, 1::BIGINT
   FROM clean_licenses WHERE id % 20 = 0)"""
 
+# One state per licence and day: the change with the highest id, else the entity row.
 STATES = """,
+last_change AS (SELECT license_id, date, MAX(id) AS id FROM license_changes GROUP BY license_id, date),
 changed AS (
   SELECT license_id, date, renewable, price, type, id
-  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY license_id, date ORDER BY id DESC) AS rn FROM license_changes)
-  WHERE rn = 1),
+  FROM license_changes SEMI JOIN last_change USING (license_id, date, id)),
 kept_initial AS (
   SELECT i.id AS license_id, i.creation_date AS date, i.renewable, i.price, i.type, CAST(-1 AS BIGINT) AS id
-  FROM initial_licenses i
-  WHERE NOT EXISTS (SELECT 1 FROM changed c WHERE c.license_id = i.id AND c.date = i.creation_date)),
-states AS (SELECT * FROM changed UNION ALL SELECT * FROM kept_initial)"""
+  FROM initial_licenses i ANTI JOIN last_change l ON l.license_id = i.id AND l.date = i.creation_date),
+states AS (FROM changed UNION ALL FROM kept_initial)"""
 
 CALENDAR = """,
 calendar AS (
@@ -105,19 +105,24 @@ as_of AS (
   FROM grid g ASOF LEFT JOIN states s ON g.license_id = s.license_id AND g.date >= s.date),
 panel AS (SELECT * FROM as_of WHERE renewable IS NOT NULL)"""
 
-# The same panel without an as-of join: every older state, then the latest of them.
-PANEL_ALL_OLDER = """,
-grid AS (
-  SELECT c.date, l.license_id
-  FROM calendar c
-  JOIN (SELECT id AS license_id, MIN(creation_date) AS creation_date FROM initial_licenses GROUP BY id) l
-    ON c.date >= l.creation_date),
+# A state holds from its day to the day before the next one, the last one to the end of the calendar;
+# it shows if the licence exists by then and the state says whether it is renewable.
+HELD = """,
+held AS (
+  SELECT s.*, COALESCE(LEAD(date) OVER (PARTITION BY license_id ORDER BY date),
+                       (SELECT MAX(date) + 1 FROM states)) AS until
+  FROM states s),
+visible AS (
+  SELECT h.* FROM held h
+  JOIN (SELECT id, MIN(creation_date) AS created FROM initial_licenses GROUP BY id) e ON e.id = h.license_id
+  WHERE h.date >= e.created AND h.renewable IS NOT NULL)"""
+
+# The same panel without an as-of join: the days of every visible state, one by one.
+PANEL_SERIES = f"""{HELD},
 panel AS (
-  SELECT license_id, date, renewable, type, price
-  FROM (SELECT g.license_id, g.date, s.renewable, s.type, s.price,
-               ROW_NUMBER() OVER (PARTITION BY g.license_id, g.date ORDER BY s.date DESC, s.id DESC) AS rn
-        FROM grid g LEFT JOIN states s ON s.license_id = g.license_id AND s.date <= g.date)
-  WHERE rn = 1 AND renewable IS NOT NULL)"""
+  SELECT license_id, CAST(UNNEST(generate_series(date, until - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS date,
+         renewable, type, price
+  FROM visible)"""
 
 COLUMN_PANEL = """,
 grid AS (
@@ -133,32 +138,51 @@ panel AS (
   FROM grid LEFT JOIN states USING (license_id, date)
   WINDOW w AS (PARTITION BY license_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
+# The price of a day and type is unknown where every licence is active without a price.
 METRICS = """,
 metrics AS (
-  SELECT date, type,
-         CAST(SUM(CASE WHEN renewable THEN 1 ELSE 0 END) AS BIGINT) AS active_license_count,
-         CAST(SUM(CASE WHEN NOT renewable THEN 1 ELSE 0 END) AS BIGINT) AS inactive_license_count,
-         CAST(SUM(CASE WHEN renewable THEN price ELSE 0 END) AS BIGINT) AS active_license_price
+  SELECT date, type, COUNT(*) FILTER (WHERE renewable) AS active_license_count,
+         COUNT(*) FILTER (WHERE NOT renewable) AS inactive_license_count,
+         CASE WHEN COUNT(*) FILTER (WHERE NOT renewable OR price IS NOT NULL) > 0
+              THEN CAST(COALESCE(SUM(price) FILTER (WHERE renewable), 0) AS BIGINT) END AS active_license_price
   FROM panel GROUP BY date, type)"""
 
-MART = """,
-base AS (
+# Levels without a panel: what has begun by a day less what has ended by then.
+LEVELS = f"""{HELD},
+edges AS (
+  SELECT date AS day, type, 1 AS step, renewable, price FROM visible
+  UNION ALL SELECT until, type, -1, renewable, price FROM visible),
+levels AS (
   SELECT c.date, t.type,
-         COALESCE(m.active_license_count, 0) AS active_license_count,
-         COALESCE(m.active_license_price, 0) AS active_license_price,
-         COALESCE(m.inactive_license_count, 0) AS inactive_license_count
-  FROM calendar c CROSS JOIN (SELECT DISTINCT type FROM panel) t
-  LEFT JOIN metrics m ON m.date = c.date AND m.type = t.type),
+         CAST(COALESCE(SUM(e.step) FILTER (WHERE e.renewable), 0) AS BIGINT) AS active_license_count,
+         CAST(COALESCE(SUM(e.step * e.price) FILTER (WHERE e.renewable), 0) AS BIGINT) AS active_license_price,
+         CAST(COALESCE(SUM(e.step) FILTER (WHERE NOT e.renewable), 0) AS BIGINT) AS inactive_license_count
+  FROM calendar c, (SELECT DISTINCT type FROM visible) t
+  LEFT JOIN edges e ON e.type = t.type AND e.day <= c.date
+  GROUP BY c.date, t.type)"""
+
+# Levels of a given panel, counted day by day.
+PANEL_LEVELS = """,
+levels AS (
+  SELECT c.date, t.type, COUNT(*) FILTER (WHERE p.renewable) AS active_license_count,
+         CAST(COALESCE(SUM(p.price) FILTER (WHERE p.renewable), 0) AS BIGINT) AS active_license_price,
+         COUNT(*) FILTER (WHERE NOT p.renewable) AS inactive_license_count
+  FROM calendar c, (SELECT DISTINCT type FROM panel) t
+  LEFT JOIN panel p ON p.type = t.type AND p.date = c.date
+  GROUP BY c.date, t.type)"""
+
+MART = """,
 mart AS (
-  SELECT *,
-         COALESCE(active_license_count - LAG(active_license_count) OVER w, 0) AS daily_active_diff,
-         COALESCE(active_license_price - LAG(active_license_price) OVER w, 0) AS daily_price_diff,
-         COALESCE(inactive_license_count - LAG(inactive_license_count) OVER w, 0) AS daily_inactive_diff
-  FROM base WINDOW w AS (PARTITION BY type ORDER BY date))"""
+  SELECT today.*,
+         COALESCE(today.active_license_count - eve.active_license_count, 0) AS daily_active_diff,
+         COALESCE(today.active_license_price - eve.active_license_price, 0) AS daily_price_diff,
+         COALESCE(today.inactive_license_count - eve.inactive_license_count, 0) AS daily_inactive_diff
+  FROM levels today
+  LEFT JOIN levels eve ON eve.date = today.date - 1 AND eve.type IS NOT DISTINCT FROM today.type)"""
 
 
-def mart(fixture: str, panel: str = PANEL) -> str:
-    return f"{fixture}{STATES}{CALENDAR}{panel}{METRICS}{MART}\nSELECT * FROM mart"
+def mart(fixture: str, levels: str = LEVELS) -> str:
+    return f"{fixture}{STATES}{CALENDAR}{levels}{MART}\nSELECT * FROM mart"
 
 
 REPORT = """
@@ -255,11 +279,11 @@ def oracle_sql() -> dict[str, str]:
       {FIRST_ROW} AS entity_id_unique, {HAS_CHANGE} AS entity_has_change,
       COALESCE({TYPE_OK}, FALSE) AS entity_type_accepted, COALESCE({PRICE_OK}, FALSE) AS entity_price_in_range"""
     return {
-        "mart": mart(DENSE, PANEL_ALL_OLDER),
+        "mart": mart(DENSE, PANEL + PANEL_LEVELS),
         "mart_edge": mart(SPARSE_EDGE),
         "mart_sparse": mart(SPARSE),
-        "mart_gaps": mart(GAPS, PANEL_ALL_OLDER),
-        "mart_gaps_colfill": mart(GAPS, COLUMN_PANEL),
+        "mart_gaps": mart(GAPS, PANEL_SERIES + PANEL_LEVELS),
+        "mart_gaps_colfill": mart(GAPS, COLUMN_PANEL + PANEL_LEVELS),
         # state history and its parts
         "stg_initial": f"{DENSE_EDGE} SELECT id AS license_id, creation_date, renewable, price, type FROM initial_licenses",
         "stg_changes": f"""WITH {DENSE_CHANGES}
@@ -281,8 +305,8 @@ SELECT id, ord, ROW_NUMBER() OVER (PARTITION BY id ORDER BY ord) = 1 AS is_first
 SELECT c.date, t.type,
        (SELECT COUNT(*) FROM license_changes l WHERE l.date = c.date AND l.type = t.type) AS n_changes {GRID}""",
         # panel
-        "daily_states": f"{DENSE_EDGE}{STATES}{CALENDAR}{PANEL_ALL_OLDER} SELECT * FROM panel",
-        "daily_states_gaps": f"{GAPS}{STATES}{CALENDAR}{PANEL_ALL_OLDER} SELECT * FROM panel",
+        "daily_states": f"{DENSE_EDGE}{STATES}{CALENDAR}{PANEL_SERIES} SELECT * FROM panel",
+        "daily_states_gaps": f"{GAPS}{STATES}{CALENDAR}{PANEL_SERIES} SELECT * FROM panel",
         "daily_states_colfill": f"{GAPS}{STATES}{CALENDAR}{COLUMN_PANEL} SELECT * FROM panel",
         "asof_lookup": f"""{SPARSE_EDGE}{STATES},
 points AS (SELECT id AS point_id, license_id, CAST(date + INTERVAL 45 DAY AS DATE) AS date FROM license_changes)
@@ -295,9 +319,9 @@ own_days AS (
 SELECT d.license_id, d.date, s.renewable
 FROM own_days d ASOF LEFT JOIN states s ON d.license_id = s.license_id AND d.date >= s.date""",
         # metrics
-        "daily_metrics": f"{DENSE_EDGE}{STATES}{CALENDAR}{PANEL_ALL_OLDER}{METRICS} SELECT * FROM metrics",
-        "daily_metrics_gaps": f"{GAPS}{STATES}{CALENDAR}{PANEL_ALL_OLDER}{METRICS} SELECT * FROM metrics",
-        "daily_price": f"""{DENSE}{STATES}{CALENDAR}{PANEL_ALL_OLDER}{METRICS}{TYPES.format(source='panel')}
+        "daily_metrics": f"{DENSE_EDGE}{STATES}{CALENDAR}{PANEL_SERIES}{METRICS} SELECT * FROM metrics",
+        "daily_metrics_gaps": f"{GAPS}{STATES}{CALENDAR}{PANEL_SERIES}{METRICS} SELECT * FROM metrics",
+        "daily_price": f"""{DENSE}{STATES}{CALENDAR}{PANEL_SERIES}{METRICS}{TYPES.format(source='panel')}
 SELECT c.date, t.type, COALESCE(m.active_license_price, 0) AS active_license_price
 {GRID} LEFT JOIN metrics m ON m.date = c.date AND m.type = t.type""",
         "daily_events": f"""{DENSE}{STATES}{CALENDAR}{FLAGS}{TYPES.format(source='states')}
@@ -356,7 +380,7 @@ UNION ALL SELECT 'initial_licenses', id, price FROM initial_licenses WHERE NOT C
 SELECT COUNT(DISTINCT customer_id) AS n_customers, COUNT(DISTINCT id) AS n_licenses,
        BOOL_AND(renewable) AS all_renewable, COUNT(DISTINCT customer_id) < COUNT(DISTINCT id) AS fewer_customers
 FROM initial_licenses""",
-        "dq_not_null": f"{GAPS}{STATES}{CALENDAR}{PANEL}{METRICS}{MART}"
+        "dq_not_null": f"{GAPS}{STATES}{CALENDAR}{LEVELS}{MART}"
         + _report(
             _rule("license_id_not_null", "stg_initial", "id IS NOT NULL", "initial_licenses"),
             _rule("creation_date_not_null", "stg_initial", "creation_date IS NOT NULL", "initial_licenses"),
@@ -374,7 +398,7 @@ FROM initial_licenses""",
             _rule("renewable_accepted", "daily_states", "renewable IN (TRUE, FALSE)", "panel"),
         ),
         "dq_consistency": _consistency(),
-        "price_by_type_check": f"""{DENSE}{STATES}{CALENDAR}{PANEL}{METRICS}{MART},
+        "price_by_type_check": f"""{DENSE}{STATES}{CALENDAR}{LEVELS}{MART},
 checked AS (SELECT *, CAST(active_license_count * {LIST_PRICE} AS BIGINT) AS expected_price FROM mart)
 SELECT date, type, active_license_price, expected_price,
        COALESCE(active_license_price = expected_price, FALSE) AS is_consistent,
@@ -449,10 +473,32 @@ FROM license_changes WHERE id >= {HALF}""",
         "partition_overwrite": f"""WITH {SPARSE_CHANGES},
 moved AS (
   SELECT id, CAST(CASE WHEN renewable THEN date ELSE date + INTERVAL 45 DAY END AS DATE) AS date FROM license_changes)
-SELECT id, date, strftime(date, '%Y-%m') AS event_month FROM moved""",
+SELECT id, date, CAST(date AS VARCHAR) AS event_day FROM moved""",
+        "inc_null_keys": f"""WITH {SPARSE_CHANGES},
+holed AS (SELECT * REPLACE (CASE WHEN id % 10 <> 0 THEN id END AS id) FROM license_changes)
+SELECT *, id IS NULL AS rejected FROM holed UNION ALL SELECT *, TRUE FROM holed WHERE id IS NULL AND price = 100""",
+        "inc_run_watermarks": f"""WITH {SPARSE_CHANGES}, {PLAIN},
+all_days AS (SELECT date FROM license_changes UNION ALL SELECT creation_date FROM initial_licenses),
+marks AS (
+  SELECT MAX(date) FILTER (WHERE date <= DATE '1995-06-30') AS first_run,
+         MAX(date) FILTER (WHERE date <= DATE '1997-06-30') AS second_run FROM all_days)
+SELECT 1::BIGINT AS run_id, first_run AS last_data_date, first_run AS last_processed_date FROM marks
+UNION ALL SELECT 2, second_run, first_run FROM marks""",
+        "recompute_updates": mart(f"""WITH known AS (WITH {SPARSE_CHANGES} SELECT * FROM license_changes),
+{EDGE.replace('license_changes', 'known')},
+license_changes AS (
+  SELECT * FROM known WHERE id % 10 <> 3
+  UNION ALL
+  SELECT id, license_id + CASE WHEN id % 20 = 3 THEN 1 ELSE 0 END, CAST(date + INTERVAL 30 DAY AS DATE),
+         5000::BIGINT, 'SUPERVISION', NOT renewable FROM known WHERE id % 10 = 3)"""),
         # streams
         "stream_dedup": "SELECT event_id, user_id, event_type FROM events",
-        "stream_upsert": f"WITH {DENSE_CHANGES} {RAW}",
+        "stream_late_rows": """
+SELECT event_id, user_id, event_type FROM events
+WHERE event_id % 5 <> 0 OR ts > (SELECT MAX(ts) FROM events WHERE event_id % 5 <> 0) - INTERVAL 1 DAY""",
+        **dict.fromkeys(
+            ("stream_upsert", "stream_after_incremental", "stream_two_sources"), f"WITH {DENSE_CHANGES} {RAW}"
+        ),
         "stream_daily_counts": """
 SELECT CAST(ts AS DATE) AS date, event_type AS type, COUNT(*) AS n_changes FROM events GROUP BY 1, 2""",
     }

@@ -420,7 +420,7 @@ def inc_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inc_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark)
     incremental.run_incremental(spark, *fx.sparse(spark, sf_dir), store, "1996-12-31T10:10:00")
-    return store.targets["changes"].rows(spark)
+    return store.rows(spark, "changes")
 
 
 def _overlapping(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -450,7 +450,7 @@ def inc_batches_equal_one_shot(spark: SparkSession, sf_dir: str) -> DataFrame:
     initial, changes = fx.sparse(spark, sf_dir)
     for as_of in ("1995-06-30T00:00:00", "1997-06-30T00:00:00", "2001-12-31T00:00:00"):
         incremental.run_incremental(spark, initial, changes, store, as_of)
-    return store.targets["changes"].rows(spark)
+    return store.rows(spark, "changes")
 
 
 @query
@@ -490,7 +490,7 @@ def inc_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_of = dt.datetime(last.year, last.month, last.day)
     incremental.run_incremental(spark, initial, changes.where(F.col("id") < half), store, as_of)
     incremental.run_backfill(spark, initial, changes, store, as_of, days=365)
-    return store.targets["changes"].rows(spark)
+    return store.rows(spark, "changes")
 
 
 @query
@@ -526,36 +526,129 @@ def metric_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.mart(spark)
 
 
+def _commit(spark: SparkSession, store: incremental.Store, changes: DataFrame) -> None:
+    state = store.state(spark)
+    written = incremental.write_batch(spark, store, "changes", changes, state)
+    incremental.commit(spark, store, state, written, incremental.next_checkpoint(spark, state.last, []))
+
+
 @query
 def partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that move by 45 days leave their old month and enter the new one."""
+    """Rows that move by 45 days leave their old day and enter the new one."""
     store = _store(spark)
     changes = fx.sparse_changes(spark, sf_dir)
-    seen = incremental.EPOCH
-    incremental.commit_run(spark, store, {"changes": changes}, incremental.Checkpoint(1, seen, seen))
-    moved = changes.where(~F.col("renewable")).withColumn("date", F.date_add("date", 45))
-    incremental.commit_run(spark, store, {"changes": moved}, incremental.Checkpoint(2, seen, seen))
-    return store.targets["changes"].read(spark).select("id", "date", "event_month")
+    _commit(spark, store, changes)
+    _commit(spark, store, changes.where(~F.col("renewable")).withColumn("date", F.date_add("date", 45)))
+    return store.read(spark, "changes").select("id", "date", "event_day")
+
+
+@query
+def inc_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth id is missing and some rows come twice; the same window three times."""
+    store = _store(spark)
+    initial, changes = fx.sparse(spark, sf_dir)
+    changes = changes.withColumn("id", F.when(F.col("id") % 10 != 0, F.col("id")))
+    changes = changes.unionByName(changes.where("id IS NULL AND price = 100"))
+    for _ in range(3):
+        incremental.run_incremental(spark, initial, changes, store, "2001-12-31", start="1970-01-01")
+    lost = store.rows(spark, "rejected_changes").drop("content").withColumn("rejected", F.lit(True))
+    return store.rows(spark, "changes").withColumn("rejected", F.lit(False)).unionByName(lost)
+
+
+@query
+def inc_run_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watermarks after runs of which the second fails on a row it cannot convert."""
+    store = _store(spark)
+    initial, changes = fx.sparse(spark, sf_dir)
+    broken = changes.withColumn("price", F.when(F.col("price") > 0, F.raise_error(F.lit("no price")).cast("long")))
+    incremental.run_incremental(spark, initial, changes, store, "1995-06-30")
+    try:
+        incremental.run_incremental(spark, initial, broken, store, "1997-06-30")
+    except Exception as error:
+        if "no price" not in str(error):
+            raise
+    return store.checkpoints(spark).select(
+        "run_id",
+        F.to_date("last_data_timestamp").alias("last_data_date"),
+        F.to_date("last_processed_timestamp").alias("last_processed_date"),
+    )
+
+
+def _updated(changes: DataFrame) -> DataFrame:
+    """New versions of every tenth row: another licence, a later day, other attributes."""
+    return changes.where("id % 10 = 3").withColumns(
+        {
+            "license_id": F.when(F.col("id") % 20 == 3, F.col("license_id") + 1).otherwise(F.col("license_id")),
+            "date": F.date_add("date", 30),
+            "type": F.lit("SUPERVISION"),
+            "price": F.lit(5000).cast("long"),
+            "renewable": ~F.col("renewable"),
+        }
+    )
+
+
+@query
+def recompute_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run stores rows and metrics; a second one brings new versions of known ids."""
+    store = _store(spark)
+    initial, changes = fx.sparse(spark, sf_dir, "edge")
+    incremental.run_incremental(spark, initial, changes, store, "2001-12-31", with_metrics=True)
+    none = initial.limit(0)
+    incremental.run_incremental(
+        spark, none, _updated(changes), store, "2001-12-31", start="1970-01-01", with_metrics=True
+    )
+    return store.mart(spark)
 
 
 # --- streams --------------------------------------------------------------------
 
 
-def _as_files(df: DataFrame, label: str, order: str) -> str:
-    """The table as several files of consecutive rows, the input of a file stream."""
+def _as_files(df: DataFrame, label: str, parts: list[str]) -> str:
+    """The rows of each condition as the files of one arrival, one after the other: the
+    input of a file stream.  The files of an arrival have a time of their own."""
     path = scratch_path(df.sparkSession, label)
-    df.repartitionByRange(8, order).write.parquet(path)
+    for number, part in enumerate(parts):
+        df.where(part).write.mode("append").parquet(path)
+        files.set_times(df.sparkSession, path, 1_700_000_000 + 1000 * number)
     return path
 
 
+def _halves(df: DataFrame, column: str) -> list[str]:
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    middle = low + (high - low) / 2
+    text = f"TIMESTAMP '{middle}'" if isinstance(middle, dt.datetime) else f"{int(middle)}"
+    return [f"{column} <= {text}", f"{column} > {text}"]
+
+
+def _span_days(df: DataFrame, column: str) -> str:
+    """A delay that no row exceeds: the span of the event times."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    return f"{(high - low).days + 2} days"
+
+
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event delivered twice, kept once."""
     events = fx.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    source = _as_files(events.unionByName(events), "events", "ts")
+    source = _as_files(events.unionByName(events), "events", _halves(events, "ts"))
     stream = changes_stream.read_stream(spark, source, events.schema)
     output, state = scratch_path(spark, "dedup"), scratch_path(spark, "state")
-    once = changes_stream.dedup_stream(stream, "event_id", "ts", "60 days")
+    once = changes_stream.dedup_stream(stream, "event_id", "ts", _span_days(events, "ts"))
+    changes_stream.run_to_parquet(once.drop("ts"), output, state)
+    return spark.read.parquet(output)
+
+
+@query
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with an id divisible by 5 arrive last, after the others have come twice; those a
+    day or more older than the latest event are dropped.  (A batch's late rows are those
+    behind the watermark of the batch before it.)"""
+    events = fx.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    events = events.coalesce(1)
+    source = _as_files(events, "events", ["event_id % 5 <> 0", "event_id % 5 <> 0", "event_id % 5 = 0"])
+    stream = changes_stream.read_stream(spark, source, events.schema, files_per_batch=1)
+    output, state = scratch_path(spark, "dedup"), scratch_path(spark, "state")
+    once = changes_stream.dedup_stream(stream, "event_id", "ts", "1 day")
     changes_stream.run_to_parquet(once.drop("ts"), output, state)
     return spark.read.parquet(output)
 
@@ -563,19 +656,48 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = fx.dense_changes(spark, sf_dir)
-    source = _as_files(changes, "changes", "id")
+    source = _as_files(changes, "changes", _halves(changes, "id"))
     store = _store(spark)
     stream = changes_stream.read_stream(spark, source, changes.schema)
     changes_stream.run_upserts(stream, store, scratch_path(spark, "state"))
-    return store.targets["changes"].rows(spark)
+    return store.rows(spark, "changes")
+
+
+@query
+def stream_after_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run brings the odd ids, then a stream the even ones: batch 0 is not the run's."""
+    initial, changes = fx.dense(spark, sf_dir)
+    store = _store(spark)
+    incremental.run_incremental(spark, initial, changes.where("id % 2 = 1"), store, "2100-01-01")
+    _upsert_stream(spark, store, changes.where("id % 2 = 0"), scratch_path(spark, "state"))
+    return store.rows(spark, "changes")
+
+
+@query
+def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams into one store, and the first one's batches delivered again."""
+    changes = fx.dense_changes(spark, sf_dir)
+    store, state = _store(spark), scratch_path(spark, "state")
+    first = _upsert_stream(spark, store, changes.where("id % 2 = 1"), state)
+    _upsert_stream(spark, store, changes.where("id % 2 = 0"), scratch_path(spark, "state"))
+    name = changes_stream.stream_id(spark, state)
+    again = changes_stream.read_stream(spark, first, changes.schema)
+    changes_stream.run_upserts(again, store, scratch_path(spark, "state"), source_id=name)
+    return store.rows(spark, "changes")
+
+
+def _upsert_stream(spark: SparkSession, store: incremental.Store, rows: DataFrame, state: str) -> str:
+    source = _as_files(rows, "changes", ["true"])
+    changes_stream.run_upserts(changes_stream.read_stream(spark, source, rows.schema), store, state)
+    return source
 
 
 @query
 def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.table(spark, sf_dir, "events").select("ts", "event_type")
-    source = _as_files(events, "events", "ts")
+    source = _as_files(events, "events", _halves(events, "ts"))
     stream = changes_stream.read_stream(spark, source, events.schema)
-    counts = changes_stream.daily_counts_stream(stream, "ts", "event_type", "60 days")
+    counts = changes_stream.daily_counts_stream(stream, "ts", "event_type", _span_days(events, "ts"))
     output = scratch_path(spark, "counts")
     changes_stream.run_updates(counts, output, scratch_path(spark, "state"))
     return changes_stream.latest_updates(spark.read.parquet(output), ["date", "type"])

@@ -70,3 +70,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
+
+
+def set_times(spark: SparkSession, folder: str, seconds: int) -> None:
+    """Gives the files of a folder that are newer than ``seconds`` that time (file streams
+    take files in the order of their times)."""
+    fs, target = _hadoop_path(spark, folder)
+    for status in fs.listStatus(target):
+        if status.getModificationTime() > seconds * 1000:
+            fs.setTimes(status.getPath(), seconds * 1000, -1)

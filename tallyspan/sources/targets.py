@@ -1,28 +1,30 @@
-"""Month-partitioned parquet targets that are upserted in two steps.
+"""Keyed tables as appended segments that are merged when read.
 
-``stage`` writes the new content of every touched month beside the target and
-``publish`` puts it in place.  Publishing from the staged files can be repeated, so a
-run that stops in between is finished by publishing again.
+A commit writes its rows once, as a segment of its own, partitioned by the day of the
+event.  Nothing that is stored is read or written again: the newest segment that holds a
+key has its row.  Which segments count, and in which order, is said by the store's pointer, so a
+segment that was never published is not seen.  ``compact`` now and then writes all segments as one.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.sources.files import delete_path, path_exists, read_or_empty
+from tallyspan.operators.dedup import latest_per_key
 
-MONTH = "event_month"
+DAY = "event_day"
+COMMIT = "commit"
 UNDATED = "undated"
 
 
 @dataclass(frozen=True)
 class Target:
-    """A keyed table partitioned by the month of its event date."""
-
     path: str
     schema: T.StructType
     date_column: str
@@ -30,62 +32,45 @@ class Target:
 
     @property
     def stored_schema(self) -> T.StructType:
-        return T.StructType([*self.schema.fields, T.StructField(MONTH, T.StringType())])
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, self.path, self.stored_schema)
-
-    def rows(self, spark: SparkSession) -> DataFrame:
-        return self.read(spark).drop(MONTH)
-
-    def with_month(self, df: DataFrame) -> DataFrame:
-        month = F.coalesce(F.substring(F.col(self.date_column).cast("string"), 1, 7), F.lit(UNDATED))
-        return df.select(*self.schema.fieldNames()).withColumn(MONTH, month)
-
-
-def stage(spark: SparkSession, target: Target, fresh: DataFrame, staging: str) -> list[str]:
-    """Write the touched months after the upsert of ``fresh`` (one row per key) and
-    return their names.
-
-    A month is touched if a fresh row falls into it or if it holds the old version of
-    a fresh row.  Old versions are looked up by key and month alone, in the key range of
-    the batch, which skips the row groups outside it.  The list of months is bounded by
-    the calendar and prunes the scan of the target to those partitions.  The rebalance
-    hint lets AQE split a hot month over tasks and merge small ones.
-    """
-    fresh = target.with_month(fresh)
-    lowest, highest = fresh.agg(F.min(target.key), F.max(target.key)).first()
-    if lowest is None:
-        return []
-    keys = fresh.select(target.key)
-    stored = target.read(spark)
-    in_range = stored.select(target.key, MONTH).where(F.col(target.key).between(lowest, highest))
-    holding = in_range.join(keys, target.key, "left_semi").select(MONTH)
-    months = sorted(r[0] for r in fresh.select(MONTH).union(holding).distinct().collect())
-    kept = stored.where(F.col(MONTH).isin(months)).join(keys, target.key, "left_anti")
-    (
-        kept.unionByName(fresh)
-        .hint("rebalance", MONTH)
-        .sortWithinPartitions(MONTH, target.date_column, target.key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(MONTH)
-        .parquet(staging)
-    )
-    return months
-
-
-def publish(spark: SparkSession, target: Target, staging: str, months: list[str]) -> None:
-    """Replace the touched months by their staged content; drop those left empty."""
-    if not months:
-        return
-    staged = spark.read.schema(target.stored_schema).parquet(staging)
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(target.path)
-    )
-    for month in months:
-        if not path_exists(spark, f"{staging}/{MONTH}={month}"):
-            delete_path(spark, f"{target.path}/{MONTH}={month}")
+        return T.StructType([*self.schema.fields, *[T.StructField(c, T.StringType()) for c in (COMMIT, DAY)]])
+
+    def folder(self, segment: str) -> str:
+        return f"{self.path}/{COMMIT}={segment}"
+
+    def segment(self, spark: SparkSession, segments: Sequence[str]) -> DataFrame:
+        """Rows of these segments as they were written, with ``commit`` and ``event_day``."""
+        if not segments:
+            return spark.createDataFrame([], self.stored_schema)
+        reader = spark.read.schema(self.stored_schema).option("basePath", self.path)
+        return reader.parquet(*map(self.folder, segments))
+
+    def read(self, spark: SparkSession, segments: Sequence[str]) -> DataFrame:
+        """One row per key, from the newest segment that has it.
+
+        The first segment, by far the largest after a compaction, is only filtered by the
+        keys of the others, and not shuffled if these are few.
+        """
+        first, later = self.segment(spark, segments[:1]), self.segment(spark, segments[1:])
+        if len(segments) < 2:
+            return first.drop(COMMIT)
+        newest = latest_per_key(later, [self.key], [F.col(COMMIT).desc()])
+        kept = first.join(newest.select(self.key), self.key, "left_anti")
+        return kept.select(*self.stored_schema.fieldNames()).unionByName(newest).drop(COMMIT)
+
+    def write(self, spark: SparkSession, rows: DataFrame, sequence: int) -> str:
+        """Stores ``rows`` (one per key) as a segment and gives its name.  The rebalance
+        hint lets AQE split a hot day over tasks and put small ones together."""
+        segment = f"{sequence:012d}-{uuid.uuid4().hex}"
+        day = F.coalesce(F.col(self.date_column).cast("date").cast("string"), F.lit(UNDATED))
+        (
+            rows.select(*self.schema.fieldNames(), day.alias(DAY))
+            .hint("rebalance", DAY)
+            .sortWithinPartitions(DAY, self.key)
+            .write.partitionBy(DAY)
+            .parquet(self.folder(segment))
+        )
+        return segment
+
+    def touched_days(self, spark: SparkSession, segment: str) -> list[str]:
+        """Days that a segment has rows of; bounded by the calendar."""
+        return sorted(r[0] for r in self.segment(spark, [segment]).select(DAY).distinct().collect())

@@ -5,12 +5,15 @@ Each function starts a query with an ``availableNow`` trigger and waits for it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspan.operators.dedup import latest_per_key
-from tallyspan.plans.incremental import Checkpoint, Store, commit_run, latest_event, load_checkpoint, recover
+from tallyspan.plans.incremental import Store, commit, event_range, next_checkpoint, write_batch
+from tallyspan.sources.pointer import Pointer
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 4) -> DataFrame:
@@ -70,24 +73,38 @@ def latest_updates(updates: DataFrame, keys: list[str]) -> DataFrame:
     return latest_per_key(updates, keys, [F.col("batch_id").desc()]).drop("batch_id")
 
 
-def run_upserts(stream: DataFrame, store: Store, checkpoint: str) -> None:
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream whose progress is in this checkpoint folder, made up when it
+    is first asked for.  Batch numbers mean something only together with it."""
+    pointer = Pointer(f"{checkpoint.rstrip('/')}-source")
+    version, content = pointer.read(spark)
+    if not version:
+        content = {"source_id": uuid.uuid4().hex}
+        pointer.publish(spark, 0, content)
+    return content["source_id"]
+
+
+def run_upserts(
+    stream: DataFrame, store: Store, checkpoint: str, source_id: str | None = None, with_metrics: bool = False
+) -> None:
     """Upsert each micro-batch of change rows into the change target of ``store``.
 
-    The batch id gives the run id.  A batch that is run again after its commit is
-    skipped, one that stopped in between is finished from its journal entry.
+    The store remembers the last batch of each stream, in the same step that publishes the
+    batch's rows.  A batch that is delivered again is skipped only if the same stream has
+    published it; other streams and other runs on the store have no part in that.
     """
+    spark = stream.sparkSession
+    source = source_id or stream_id(spark, checkpoint)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        recover(spark, store)
-        last = load_checkpoint(spark, store)
-        if last.run_id > batch_id:
+        session = batch.sparkSession
+        state = store.state(session)
+        if state.streams.get(source, -1) >= batch_id:
             return
-        batch.persist()
-        seen = max(last.last_data, latest_event(batch, "date"))
-        fresh = latest_per_key(batch, ["id"], [F.col("date").desc()])
-        commit_run(spark, store, {"changes": fresh}, Checkpoint(batch_id + 1, seen, seen))
-        batch.unpersist()
+        written = write_batch(session, store, "changes", batch, state)
+        seen = event_range(session, store.targets["changes"], written["changes"])
+        point = next_checkpoint(session, state.last, [(*seen, True)] if seen else [])
+        commit(session, store, state, written, point, {source: batch_id}, with_metrics)
 
     query = (
         stream.writeStream.foreachBatch(apply)

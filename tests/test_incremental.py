@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from tallyspan.plans import incremental as inc
 from tallyspan.plans.metrics import license_metrics
 from tallyspan.session import scratch_path
 from tallyspan.sources import files
-from tallyspan.sources import targets as tg
+from tallyspan.sources.pointer import Conflict
 
 D = date.fromisoformat
 
@@ -20,7 +21,7 @@ def log(days, start=0, price=100):
 
 
 def content(store, spark):
-    return sorted((r.id, str(r.date), r.price) for r in store.targets["changes"].rows(spark).collect())
+    return sorted((r.id, str(r.date), r.price) for r in store.rows(spark, "changes").collect())
 
 
 @pytest.fixture
@@ -80,66 +81,95 @@ def test_lookback_reads_older_days(spark, store, tables, changes_of):
     assert 50 in [r[0] for r in content(store, spark)]
 
 
-def test_moved_row_leaves_its_old_month(spark, store, tables, changes_of):
-    initial, changes = tables
-    inc.run_incremental(spark, initial, changes, store, "2024-05-01")
+def commit(spark, store, rows):
+    state = store.state(spark)
+    written = inc.write_batch(spark, store, "changes", rows, state)
+    return inc.commit(spark, store, state, written, inc.next_checkpoint(spark, state.last, []))
+
+
+def test_moved_row_leaves_its_old_day(spark, store, tables, changes_of):
+    inc.run_incremental(spark, *tables, store, "2024-05-01")
     moved = changes_of([(5, 2, D("2024-02-10"), 700, "SIM", True), (2, 2, D("2024-03-01"), 800, "SIM", True)])
-    point = inc.Checkpoint(2, inc.EPOCH, inc.EPOCH)
-    inc.commit_run(spark, store, {"changes": moved}, point)
+    after = commit(spark, store, moved)
     got = {r[0]: r[1:] for r in content(store, spark)}
     assert len(got) == 6 and got[5] == ("2024-02-10", 700) and got[2] == ("2024-03-01", 800)
-    # the row was the only one of April, so that month is gone
-    months = {r[0] for r in store.targets["changes"].read(spark).select("event_month").distinct().collect()}
-    assert months == {"2024-01", "2024-02", "2024-03"}
+    days = {r.event_day for r in store.read(spark, "changes").collect()}
+    assert "2024-04-01" not in days and {"2024-02-10", "2024-03-01"} <= days
+    assert store.targets["changes"].touched_days(spark, after.segments["changes"][-1]) == ["2024-02-10", "2024-03-01"]
 
 
 def test_rows_without_a_date_are_kept(spark, store, changes_of):
     rows = log(["2024-01-05", "2024-02-05"]) + [(7, 1, None, 1, "SIM", True)]
-    inc.commit_run(spark, store, {"changes": changes_of(rows)}, inc.Checkpoint(1, inc.EPOCH, inc.EPOCH))
-    dated = changes_of([(7, 1, D("2024-02-07"), 1, "SIM", True)])
+    commit(spark, store, changes_of(rows))
     assert (7, "None", 1) in content(store, spark)
-    inc.commit_run(spark, store, {"changes": dated}, inc.Checkpoint(2, inc.EPOCH, inc.EPOCH))
+    commit(spark, store, changes_of([(7, 1, D("2024-02-07"), 1, "SIM", True)]))
     assert [(r[0], r[1]) for r in content(store, spark)] == [(0, "2024-01-05"), (1, "2024-02-05"), (7, "2024-02-07")]
 
 
-@pytest.mark.parametrize("lose_partition", [False, True])
-def test_run_that_stopped_while_publishing_is_finished(spark, store, tables, changes_of, monkeypatch, lose_partition):
+def test_rows_without_a_key_are_kept_once(spark, store, tables, changes_of):
     initial, changes = tables
-    inc.run_incremental(spark, initial, changes, store, "2024-05-01")
-    grown = changes.unionByName(changes_of(log(["2024-04-20"], start=60)))
-    target = store.targets["changes"]
+    lost = [(None, 1, D("2024-01-06"), 5, "SIM", True)] * 3 + [(None, 1, D("2024-01-06"), None, "", True)]
+    lost += [(None, 1, D("2024-01-06"), None, None, True)]
+    both = changes.unionByName(changes_of(lost))
+    for _ in range(3):
+        inc.run_incremental(spark, initial, both, store, "2024-05-01", start="2023-01-01")
+        assert len(content(store, spark)) == 6
+        kept = store.rows(spark, "rejected_changes").drop("content").collect()
+        assert sorted(map(tuple, kept), key=str) == sorted(lost, key=str)
 
-    def stop(*_args):
-        if lose_partition:  # the old month is deleted, the new one is not there yet
-            files.delete_path(spark, f"{target.path}/event_month=2024-04")
-        raise RuntimeError("driver lost")
 
-    with monkeypatch.context() as patch:
-        patch.setattr(inc, "_publish_run", stop)
-        with pytest.raises(RuntimeError):
-            inc.run_incremental(spark, initial, grown, store, "2024-05-01", start="2024-04-20")
-    assert inc.load_checkpoint(spark, store).run_id == 1
-    inc.run_incremental(spark, initial, grown, store, "2024-05-01")
-    assert [r[0] for r in content(store, spark)] == [0, 1, 2, 3, 4, 5, 60]
-    assert inc.load_checkpoint(spark, store).run_id == 3
+def files_of(path):
+    return {p: p.stat().st_size for p in Path(path).rglob("*") if p.is_file() and not p.name.startswith((".", "_"))}
 
 
-def test_run_that_stopped_before_its_journal_entry_leaves_no_trace(spark, store, tables, monkeypatch):
+def test_one_row_costs_one_file(spark, store, tables, changes_of):
+    """What a batch writes does not depend on what is stored, and nothing stored is read."""
+    inc.run_incremental(spark, *tables, store, "2024-05-01")
+    before = files_of(store.root)
+    one = changes_of([(5, 2, D("2024-02-10"), 700, "SIM", True)])
+    for path in before:  # unreadable from here on: a commit that read them would fail
+        if path.suffix == ".parquet":
+            path.chmod(0)
+    plan_free = commit(spark, store, one)
+    added = {p: n for p, n in files_of(store.root).items() if p not in before}
+    assert sorted(p.suffix for p in added) == [".json", ".parquet"]
+    assert sum(n for p, n in added.items() if p.suffix == ".parquet") < 5000
+    assert len(plan_free.segments["changes"]) == 2
+
+
+def test_pointer_stays_small_and_segments_are_merged(spark, store, changes_of):
+    for i in range(inc.COMPACT_AFTER + 3):
+        after = commit(spark, store, changes_of([(i % 5, 1, D("2024-01-05"), i, "SIM", True)]))
+    assert len(after.segments["changes"]) <= inc.COMPACT_AFTER
+    assert sorted(r[2] for r in content(store, spark)) == list(range(inc.COMPACT_AFTER - 2, inc.COMPACT_AFTER + 3))
+    assert len(files_of(f"{store.root}/state")) == 2
+
+
+def test_run_that_stops_before_it_publishes_leaves_no_trace(spark, store, tables, monkeypatch):
     inc.run_incremental(spark, *tables, store, "2024-02-10")
-    before = content(store, spark)
+    before, point = content(store, spark), inc.load_checkpoint(spark, store)
     with monkeypatch.context() as patch:
-        patch.setattr(inc, "_append_row", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        patch.setattr(inc.Store, "publish", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
         with pytest.raises(RuntimeError):
             inc.run_incremental(spark, *tables, store, "2024-05-01")
     assert content(store, spark) == before
+    assert inc.load_checkpoint(spark, store) == point
     inc.run_incremental(spark, *tables, store, "2024-05-01")
     assert len(content(store, spark)) == 6
 
 
+def test_two_runs_at_once_are_told_apart(spark, store, tables):
+    inc.run_incremental(spark, *tables, store, "2024-02-10")
+    state = store.state(spark)
+    store.publish(spark, state)
+    with pytest.raises(Conflict):
+        store.publish(spark, state)
+
+
 def test_failed_run_moves_only_the_data_watermark(spark, store, tables, monkeypatch):
     inc.run_incremental(spark, *tables, store, "2024-02-10")
     with monkeypatch.context() as patch:
-        patch.setattr(inc, "stage", lambda *_: (_ for _ in ()).throw(RuntimeError("no space")))
+        patch.setattr(inc, "write_batch", lambda *_: (_ for _ in ()).throw(RuntimeError("no space")))
         with pytest.raises(RuntimeError):
             inc.run_incremental(spark, *tables, store, "2024-03-20")
     point = inc.load_checkpoint(spark, store)
@@ -150,6 +180,30 @@ def test_failed_run_moves_only_the_data_watermark(spark, store, tables, monkeypa
     assert inc.load_checkpoint(spark, store).last_processed == datetime(2024, 3, 15, tzinfo=timezone.utc)
 
 
+def test_runs_keep_the_metrics(spark, store, tables, changes_of, initial_of):
+    initial, changes = tables
+    inc.run_incremental(spark, initial, changes, store, "2024-02-10", with_metrics=True)
+    inc.run_incremental(spark, initial, changes, store, "2024-05-01", with_metrics=True)
+    # new versions: another licence, another day, another type; an entity moves
+    late = changes_of([(1, 2, D("2024-01-21"), 100, "PASS", False), (5, 2, D("2024-03-20"), 1, "SIM", True)])
+    entity = initial_of([(1, 1, "SIM", D("2023-12-20"), 1000, True)])
+    inc.run_incremental(spark, entity, late, store, "2024-05-01", start="2023-01-01", with_metrics=True)
+    full = license_metrics(store.rows(spark, "initial"), store.rows(spark, "changes"))
+    assert sorted(map(tuple, store.mart(spark).collect())) == sorted(map(tuple, full.collect()))
+    merged = inc.compact(spark, store, store.state(spark))
+    assert len(merged.metrics) == 1
+    assert sorted(map(tuple, store.mart(spark).collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_a_new_version_replaces_the_old_one(initial_of, changes_of):
+    initial = initial_of([(1, 1, "PASS", D("2024-01-02"), 100, True), (2, 1, "PASS", D("2024-01-02"), 100, True)])
+    known = changes_of([(1, 1, D("2024-01-06"), 5000, "SUPERVISION", True), (2, 1, D("2024-01-09"), 1, "SIM", True)])
+    late = changes_of([(1, 2, D("2024-01-05"), 100, "PASS", True), (2, 1, D("2024-01-08"), 2, "SIM", True)])
+    deltas = metrics.interval_deltas(history.state_intervals(initial, known, keep_hidden=True))
+    got = upsert.recompute_affected(deltas, initial, known, late)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, license_metrics(initial, late).collect()))
+
+
 def test_upsert_is_idempotent_and_newest_row_wins(changes_of):
     target = changes_of(log(["2024-01-01", "2024-01-02"]))
     incoming = changes_of([(1, 1, D("2024-01-03"), 5, "SIM", True), (1, 1, D("2024-01-04"), 6, "SIM", True), (9, 1, D("2024-01-04"), 7, "SIM", True)])
@@ -182,13 +236,6 @@ def test_window_reaches_the_scan(spark, tmp_path, changes_of):
     assert "GreaterThanOrEqual(date,2024-01-02)" in plan and "LessThanOrEqual(date,2024-01-03)" in plan
 
 
-def test_upsert_reads_only_the_touched_months(spark, store, tables):
-    inc.run_incremental(spark, *tables, store, "2024-05-01")
-    stored = store.targets["changes"].read(spark).where(F.col(tg.MONTH).isin(["2024-02"]))
-    plan = stored._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(event_month" in plan.replace("isnotnull(event_month", "(event_month")
-
-
 def test_watermarks_hold_at_the_first_failed_batch(spark):
     rows = [(D("2024-01-01"), D("2024-01-09"), True), (D("2024-01-10"), D("2024-01-19"), False), (D("2024-01-20"), D("2024-01-29"), True)]
     batches = spark.createDataFrame(rows, "min_event date, max_event date, succeeded boolean")
@@ -201,9 +248,9 @@ def test_watermarks_hold_at_the_first_failed_batch(spark):
 
 
 def test_timestamps_must_be_utc():
-    assert inc.as_utc("2024-01-01T10:00:00") == datetime(2024, 1, 1, 10, tzinfo=timezone.utc)
+    assert upsert.as_utc("2024-01-01T10:00:00") == datetime(2024, 1, 1, 10, tzinfo=timezone.utc)
     with pytest.raises(ValueError):
-        inc.as_utc("2024-01-01T10:00:00+02:00")
+        upsert.as_utc("2024-01-01T10:00:00+02:00")
 
 
 def test_late_rows_correct_the_stored_deltas(initial_of, changes_of):

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tallyspan.plans.metric_store import MetricStore
 from tallyspan.plans.metrics import license_metrics
 from tallyspan.session import scratch_path
+from tallyspan.sources.pointer import Pointer
 from tests.test_metrics import random_tables
 
 D = date.fromisoformat
@@ -48,15 +49,19 @@ def test_bounds_come_from_all_rows(spark, initial_of, changes_of):
         store.build(spark, initial, changes)
 
 
-def test_run_without_bounds_does_not_count(spark, initial_of, changes_of, monkeypatch):
+@pytest.mark.parametrize("again", [False, True])
+def test_a_run_that_stops_does_not_count(spark, initial_of, changes_of, monkeypatch, again):
+    """Also where the run has been there before: the first attempt stays whole."""
     initial = initial_of([(1, 1, "PASS", D("2024-01-05"), 100, True)])
     known = changes_of([(1, 1, D("2024-01-07"), 1000, "SIM", True)])
     late = changes_of([(2, 1, D("2024-01-06"), 5000, "SUPERVISION", True)])
     store = MetricStore(scratch_path(spark, "metrics"))
     store.build(spark, initial, known)
+    if again:
+        store.correct(1, initial, known, late)
     before = rows_of(store.mart(spark))
     with monkeypatch.context() as patch:
-        patch.setattr(MetricStore, "_write_bounds", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        patch.setattr(Pointer, "publish", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
         with pytest.raises(RuntimeError):
             store.correct(1, initial, known, late)
     assert rows_of(store.mart(spark)) == before

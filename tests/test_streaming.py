@@ -77,15 +77,29 @@ def test_stream_upsert_replays_do_no_harm(spark, tmp_path, changes_of):
 
     def run(state):
         st.run_upserts(st.read_stream(spark, folder, schema, 1), store, state)
-        return sorted((r.id, str(r.date), r.price) for r in store.targets["changes"].rows(spark).collect())
+        return sorted((r.id, str(r.date), r.price) for r in store.rows(spark, "changes").collect())
 
     changes_of(first).coalesce(1).write.parquet(folder)
     run(str(tmp_path / "state"))
     changes_of(second).coalesce(1).write.mode("append").parquet(folder)
     expected = [(0, "2024-01-01", 100), (1, "2024-01-01", 100), (2, "2024-02-01", 200), (3, "2024-01-01", 100), (7, "2024-01-15", 300)]
     assert run(str(tmp_path / "state")) == expected
+    # the same batches again, of this stream and then as another one, and after a run
     runs = inc.load_checkpoint(spark, store).run_id
-    # a new query state delivers every batch again
-    assert run(str(tmp_path / "other")) == expected
+    name = st.stream_id(spark, str(tmp_path / "state"))
+    st.run_upserts(st.read_stream(spark, folder, schema, 1), store, str(tmp_path / "again"), source_id=name)
     assert inc.load_checkpoint(spark, store).run_id == runs
+    assert run(str(tmp_path / "other")) == expected
+    assert inc.load_checkpoint(spark, store).run_id == runs + 2
     assert store.checkpoints(spark).select(F.max(F.to_date("last_data_timestamp"))).first()[0] == D("2024-02-01")
+
+
+def test_a_run_does_not_hide_a_stream(spark, tmp_path, initial_of, changes_of):
+    store = inc.Store(scratch_path(spark, "store"))
+    inc.run_incremental(spark, initial_of([]), changes_of([(1, 1, D("2024-01-01"), 100, "PASS", True)]), store, "2024-05-01")
+    for number in (2, 3):
+        folder = str(tmp_path / f"log{number}")
+        changes_of([(number, 1, D("2024-01-02"), 100, "PASS", True)]).coalesce(1).write.parquet(folder)
+        stream = st.read_stream(spark, folder, changes_of([]).schema, 1)
+        st.run_upserts(stream, store, str(tmp_path / f"state{number}"))
+    assert sorted(r.id for r in store.rows(spark, "changes").collect()) == [1, 2, 3]
