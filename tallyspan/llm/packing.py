@@ -103,15 +103,15 @@ def token_pieces(
                 row = np.repeat(np.arange(length), counts)
                 number = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
                 whole = number < full[row]
-                begin = np.where(whole, number * capacity, full[row] * capacity + (number - full[row]) * piece)
-                size = np.where(whole, capacity, np.minimum(piece, totals[row] - begin))
+                first = np.where(whole, number * capacity, full[row] * capacity + (number - full[row]) * piece)
+                size = np.where(whole, capacity, np.minimum(piece, totals[row] - first))
                 raw = memoryview(ids.tobytes())
-                low = 4 * (starts[row] + begin)
+                low = 4 * (starts[row] + first)
                 crc = [zlib.crc32(raw[a:b]) for a, b in zip(low.tolist(), (low + 4 * size).tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, length).take(pa.array(row)),
-                        *[pa.array(x, pa.int64()) for x in (begin, size, crc, totals[row])],
+                        *[pa.array(x, pa.int64()) for x in (first, size, crc, totals[row])],
                         pa.array(whole),
                     ],
                     names=schema.names,
