@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.llm.common import WORDS as known_words
-from tallyspan.llm.common import begin, lookup, pick, plain, position, shingles, text_slices, weighted
+from tallyspan.llm.common import begin, lookup, pick, plain, position, shingles, text_slices, tidy, weighted
 from tallyspan.llm.components import components
 from tallyspan.session import store_and_reload
 
@@ -133,6 +133,7 @@ def _signed(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("neardup", known_words.clear)
         for batch in batches:
+            tidy()
             for start, length in text_slices(batch.column(1), 2 << 20):
                 part = batch.slice(start, length)
                 texts = [t or "" for t in part.column(1).to_pylist()]
@@ -191,7 +192,8 @@ def _run_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         filled = np.frombuffer(sent.value, np.uint8)
         done: set[bytes] = set()  # copies inside a task are read once
         for batch in batches:
-            for start, length in text_slices(batch.column(1)):
+            tidy()
+            for start, length in text_slices(batch.column(1), 2 << 20):
                 texts = [t or "" for t in batch.column(1).slice(start, length).to_pylist()]
                 digests = list(map(_digest, texts))
                 at = _filter_places(np.frombuffer(b"".join(digests), np.uint8), bits)
