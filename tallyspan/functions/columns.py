@@ -30,12 +30,17 @@ def is_accepted_price(price: Column) -> Column:
 
 
 def utc_timestamp(text: Column) -> Column:
-    """ISO text without an offset, read in the session zone (UTC).
+    """ISO text without an offset, read as UTC whatever the session's zone.
 
-    Text that names an offset gives NULL instead of losing the offset.
+    Only a full date, alone or with a time, is read.  All else gives NULL: text that names
+    a zone or an offset in any form instead of losing it, and a time without a date instead
+    of taking the date from the clock.
     """
-    has_offset = text.rlike(r"([zZ]|[+-]\d{2}:?\d{2})$")
-    return F.when(~has_offset, text.try_cast("timestamp"))
+    whole = text.rlike(r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$")
+    size = F.length(text)
+    rest = F.when(size == 10, F.lit("T00:00:00Z")).when(size == 16, F.lit(":00Z")).otherwise(F.lit("Z"))
+    zoned = F.concat(text, rest)
+    return F.when(whole, zoned.try_cast("timestamp"))
 
 
 def is_weekday(day: Column) -> Column:

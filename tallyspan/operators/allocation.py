@@ -8,30 +8,29 @@ from pyspark.sql import functions as F
 from tallyspan.operators.ranking import with_row_index
 
 REPEAT_CHUNK = 100_000
-SHARE_DIGITS = 9
+WEIGHT_UNITS = 10**18  # weights are at most 1 and are counted in these units
 
 
 def apportion(keys: DataFrame, key: str, total: int, alpha: float = 1.5) -> DataFrame:
     """Split ``total`` over positive distinct keys by weight ``key ** -alpha``.
 
     Each key gets 1, then the floor of its share of the rest, and what is left goes
-    one by one to the largest fractions, ties to the lower key.  Shares are rounded
-    to nine digits first, so that the order of a floating-point sum does not decide.
+    one by one to the largest fractions, ties to the lower key.  Weights become whole
+    numbers first; their sum, the floors and the remainders that stand for the fractions are
+    exact, so the order in which rows are added up never shows.
     """
-    weighted = keys.select(key).withColumn("_weight", F.pow(F.col(key).cast("double"), F.lit(-float(alpha))))
-    whole = weighted.agg(F.count("*").alias("n"), F.sum("_weight").alias("w"))
+    units = F.pow(F.col(key).cast("double"), F.lit(-float(alpha))) * F.lit(float(WEIGHT_UNITS))
+    weighted = keys.select(key).withColumn("_weight", F.floor(units).cast("decimal(19,0)"))
+    whole = weighted.agg(F.count("*").alias("n"), F.sum("_weight").cast("decimal(38,0)").alias("w"))
     size = whole.select(F.struct("n", "w")).scalar()
     rest = F.lit(total) - size["n"]
     checked = F.when(rest >= 0, rest).otherwise(
         F.raise_error(F.lit("total must be at least the number of keys")).cast("long")
     )
-    expected = F.round(F.col("_weight") / size["w"] * checked, SHARE_DIGITS)
-    floors = weighted.select(
-        key,
-        F.floor(expected).alias("_floor"),
-        F.round(expected - F.floor(expected), SHARE_DIGITS).alias("_fraction"),
-        checked.alias("_rest"),
+    parts = weighted.withColumns(
+        {"_rest": checked, "_whole": size["w"], "_part": F.col("_weight") * checked.cast("decimal(19,0)")}
     )
+    floors = parts.selectExpr(f"`{key}`", "_part div _whole AS _floor", "_part % _whole AS _fraction", "_rest")
     ranked = with_row_index(floors, [F.col("_fraction").desc(), F.col(key)], "_rank")
     given = ranked.select(F.sum("_floor").alias("given")).scalar()
     extra = (F.col("_rank") < F.col("_rest") - given).cast("long")
@@ -41,12 +40,16 @@ def apportion(keys: DataFrame, key: str, total: int, alpha: float = 1.5) -> Data
 def repeat_rows(df: DataFrame, times: str, chunk: int = REPEAT_CHUNK) -> DataFrame:
     """Each row ``times`` times, numbered from 1 in ``copy``; rows with 0 vanish.
 
-    Counts are first cut into chunks which are spread over the tasks, so one row
-    with a huge count does not expand inside a single task.
+    A count above ``chunk`` is cut into chunks which are spread over the tasks, so one row
+    with a huge count does not expand inside a single task.  Only these rows are shuffled.
     """
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times).cast("long")))
+    small = df.where((F.col(times) > 0) & (F.col(times) <= chunk)).select("*", copies.alias("copy"))
     last_chunk = F.floor((F.col(times) - 1) / chunk)
-    pieces = df.where(F.col(times) > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
-    spread = pieces.repartition(*df.columns, "_chunk")
+    pieces = df.where(F.col(times) > chunk).withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk))
+    )
     first = F.col("_chunk") * chunk + 1
     last = F.least(F.col(times), (F.col("_chunk") + 1) * chunk)
-    return spread.select(*df.columns, F.explode(F.sequence(first, last)).alias("copy"))
+    spread = pieces.repartition(*df.columns, "_chunk")
+    return small.unionByName(spread.select(*df.columns, F.explode(F.sequence(first, last)).alias("copy")))

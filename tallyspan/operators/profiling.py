@@ -73,3 +73,13 @@ def type_transitions(states: DataFrame) -> DataFrame:
     )
     of_row = F.sum("n_transitions").over(Window.partitionBy("from_type"))
     return counts.withColumn("transition_share", share(F.col("n_transitions"), of_row))
+
+
+def transition_row_sums(transitions: DataFrame) -> DataFrame:
+    """Per ``from_type``: the sum of its shares, and whether it is 1 up to the rounding of
+    six digits in each of them."""
+    sums = transitions.groupBy("from_type").agg(
+        F.round(F.sum("transition_share"), 6).alias("share_sum"), F.count("*").alias("n_shares")
+    )
+    holds = F.abs(F.col("share_sum") - 1) <= F.col("n_shares") * 0.000001
+    return sums.withColumn("sums_to_one", holds)

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tallyspan.functions.columns import is_accepted_price, is_accepted_type, share, unit_price
 from tallyspan.operators.dedup import flag_first_occurrence
 from tallyspan.operators.skew import hot_safe_join
-from tallyspan.operators.spine import densify, with_bounds
-from tallyspan.schemas import CHANGES_SCHEMA, INITIAL_SCHEMA
+from tallyspan.operators.spine import calendar_bounds, densify, with_bounds
+from tallyspan.schemas import CHANGES_SCHEMA, INITIAL_SCHEMA, MART_COLUMNS
 
 CHANGES = "license_changes"
 ENTITIES = "initial_licenses"
@@ -255,6 +255,64 @@ def not_null_report(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataF
     return _union(reports)
 
 
+def accepted_values_report(tables: dict[str, tuple[DataFrame, dict[str, Sequence]]]) -> DataFrame:
+    """Rows whose value is not among the accepted ones (or NULL), per listed column of each
+    table; one pass per table."""
+    reports = []
+    for name, (df, accepted) in tables.items():
+        totals = df.agg(
+            F.count("*").alias("checked"),
+            *[F.count_if(~F.coalesce(F.col(c).isin(list(v)), F.lit(False))).alias(f"n_{c}") for c, v in accepted.items()],
+        )
+        reports.append(_as_report(totals, [(f"{c}_accepted", name, "checked", f"n_{c}") for c in accepted]))
+    return _union(reports)
+
+
+def relationships_report(
+    references: Sequence[tuple[str, DataFrame, str, str, DataFrame, str]],
+) -> DataFrame:
+    """Rows whose value is missing in another table's column, per (name, table, column, other
+    name, other table, other column); NULL refers to nothing and passes.
+
+    Rows are counted per value before the join, so a hot value is one row.
+    """
+    reports = []
+    for name, df, column, other_name, other, other_column in references:
+        values = df.groupBy(F.col(column).alias("_value")).count()
+        known = other.select(F.col(other_column).alias("_value")).distinct().withColumn("_known", F.lit(True))
+        joined = values.join(known, "_value", "left")
+        unknown = F.col("_value").isNotNull() & F.col("_known").isNull()
+        totals = joined.agg(
+            F.coalesce(F.sum("count"), F.lit(0)).alias("checked"),
+            F.coalesce(F.sum(F.when(unknown, F.col("count"))), F.lit(0)).alias("failed_rows"),
+        )
+        reports.append(_as_report(totals, [(f"{column}_in_{other_name}", name, "checked", "failed_rows")]))
+    return _union(reports)
+
+
+def mart_invariants(mart: DataFrame, initial: DataFrame, changes: DataFrame) -> DataFrame:
+    """One verdict row per invariant of the daily metrics: its exact columns, no negative level,
+    the list price, and a last-day total equal to the number of licences."""
+    bounds = calendar_bounds(initial, changes)
+    conserved = mart_conservation(mart, initial, bounds)
+    last = conserved.orderBy(F.col("date").desc()).limit(1)
+    checked = price_by_type_check(mart)
+    columns = F.lit(sorted(mart.columns) == sorted(MART_COLUMNS))
+    verdicts = [
+        mart.limit(1).agg(columns.alias("holds")).select(F.lit("columns").alias("invariant"), "holds"),
+        checked.agg(F.coalesce(F.bool_and("is_non_negative"), F.lit(True)).alias("holds")).select(
+            F.lit("non_negative").alias("invariant"), "holds"
+        ),
+        checked.agg(F.coalesce(F.bool_and("is_consistent"), F.lit(True)).alias("holds")).select(
+            F.lit("list_price").alias("invariant"), "holds"
+        ),
+        last.agg(
+            F.coalesce(F.bool_and(F.col("total_licenses") == F.col("existing_licenses")), F.lit(True)).alias("holds")
+        ).select(F.lit("last_day_total").alias("invariant"), "holds"),
+    ]
+    return _union(verdicts)
+
+
 def panel_quality(intervals: DataFrame, bounds: DataFrame) -> DataFrame:
     """Daily-panel rules: key columns not NULL and ``renewable`` true or false.
 

@@ -35,12 +35,32 @@ def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index")
     )
 
 
-def assign_batches(df: DataFrame, size: int, order: list[Column]) -> DataFrame:
-    """Add ``batch_id``: consecutive batches of ``size`` rows in ``order``."""
+def assign_batches(df: DataFrame, size: int, day: str, sequence: str, width: int = SEGMENT_WIDTH) -> DataFrame:
+    """Add ``batch_id``: consecutive batches of ``size`` rows in the order of ``day`` and then of
+    ``sequence``, a non-negative integer that is unique within a day.
+
+    A day is cut into segments of ``width`` sequence numbers, and a row's position is the rows
+    of the days before, plus those of the segments before in its day, plus its number in its
+    segment.  Rows meet only in their segment; nothing is stored.
+    """
     if size < 1:
         raise ValueError("size must be at least 1")
-    indexed = with_row_index(df, order, "_index")
-    return indexed.withColumn("batch_id", F.floor(F.col("_index") / size)).drop("_index")
+    cut = df.withColumn("_segment", F.floor(F.col(sequence) / width))
+    earlier = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    in_day = Window.partitionBy("_day").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut.groupBy(F.col(day).alias("_day"), F.col("_segment").alias("_at")).count()
+    zero = F.lit(0).cast("long")
+    segments = counts.withColumn("_in_day", F.coalesce(F.sum("count").over(in_day), zero)).drop("count")
+    days = counts.groupBy("_day").agg(F.sum("count").alias("count"))
+    days = days.select(F.col("_day").alias("_date"), F.coalesce(F.sum("count").over(earlier), zero).alias("_before"))
+    starts = segments.join(days, F.col("_day").eqNullSafe(F.col("_date"))).select(
+        "_day", "_at", (F.col("_in_day") + F.col("_before")).alias("_start")
+    )
+    inside = Window.partitionBy(day, "_segment").orderBy(sequence)
+    numbered = cut.withColumn("_number", F.row_number().over(inside))
+    placed = numbered.join(starts, F.col(day).eqNullSafe(F.col("_day")) & F.col("_segment").eqNullSafe(F.col("_at")))
+    position = F.col("_start") + F.col("_number") - 1
+    return placed.withColumn("batch_id", F.floor(position / size)).select(*df.columns, "batch_id")
 
 
 def toggle_states(

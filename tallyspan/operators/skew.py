@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 10_000_000
+SAMPLED_ROWS = 2000  # rows that a sample should hold of a key that is just hot
 BROADCAST_KEYS = 1_000_000
 
 
@@ -24,17 +25,21 @@ def hot_safe_join(
 
     ``lookup`` has one row per key.  A key with more than ``hot_rows`` facts is cut by
     a hash of ``salt_by`` into pieces of about that size, and its lookup row is repeated
-    per piece; every other key has one piece.  The counts are partial sums over the key
-    columns.  At most rows / hot_rows keys can be hot, which bounds the broadcast.
+    per piece; every other key has one piece.  Hot keys are found in a sample: how a key is
+    cut never changes the answer.  About rows / hot_rows keys can be hot, which bounds the
+    broadcast.
 
     A plain join is not enough: where ``lookup`` is already partitioned by the key, AQE
     finds no shuffle on that side and does not split the hot partition.
     """
+    fraction = min(1.0, SAMPLED_ROWS / hot_rows)
+    seen = facts.sample(fraction=fraction, seed=1) if fraction < 1 else facts
+    rows = F.col("count") / fraction
     pieces = (
-        facts.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
+        seen.groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
         .count()
-        .where(F.col("count") > hot_rows)
-        .select(*[f"_{k}" for k in keys], F.ceil(F.col("count") / hot_rows).alias("_pieces"))
+        .where(rows > hot_rows)
+        .select(*[f"_{k}" for k in keys], F.ceil(rows / hot_rows).alias("_pieces"))
     )
 
     def cut(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tallyspan.operators import metrics
 from tallyspan.operators.dedup import latest_per_key
 from tallyspan.operators.history import state_intervals
-from tallyspan.operators.skew import rows_of_keys
+from tallyspan.operators.skew import BROADCAST_KEYS, rows_of_keys
 from tallyspan.session import store_and_reload
 
 
@@ -88,14 +88,25 @@ def correction_deltas(
     each belongs to the old history, the new one or both, and the two are told apart by the
     licence's key.  Old intervals count with the opposite sign.
     """
-    moved = known.select("id", "license_id").join(late.select("id").distinct(), "id", "left_semi")
+    # Few late rows are broadcast, and so are the licences they touch, at most two per row;
+    # the tables are then only filtered where they are read.
+    rows = [late.select("id"), *([] if late_initial is None else [late_initial.select("id")])]
+    few = all(r.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS for r in rows)
+    small = F.broadcast if few else lambda df: df
+    late_ids = late.select("id").distinct()
+    moved = known.select("id", "license_id").join(small(late_ids), "id", "left_semi")
     ids = late.select("license_id").union(moved.select("license_id"))
     if late_initial is not None:
         ids = ids.union(late_initial.select("id"))
-    touched = store_and_reload(ids.where("license_id IS NOT NULL").distinct(), "touched")
-    before = rows_of_keys(known, touched, "license_id", "id")
-    entities = rows_of_keys(initial, touched.withColumnRenamed("license_id", "id"), "id", "creation_date")
-    replaced = late.select("id").distinct().withColumn("_replaced", F.lit(True))
+    touched = ids.where("license_id IS NOT NULL").distinct()
+    if few:
+        before = known.join(F.broadcast(touched), "license_id", "left_semi")
+        entities = initial.join(F.broadcast(touched.withColumnRenamed("license_id", "id")), "id", "left_semi")
+    else:
+        touched = store_and_reload(touched, "touched")
+        before = rows_of_keys(known, touched, "license_id", "id")
+        entities = rows_of_keys(initial, touched.withColumnRenamed("license_id", "id"), "id", "creation_date")
+    replaced = small(late_ids.withColumn("_replaced", F.lit(True)))
     old = before.join(replaced, "id", "left").withColumn("_versions", _versions(F.col("_replaced").isNull()))
     changes = old.drop("_replaced").unionByName(late.withColumn("_versions", F.array(F.lit("new:"))))
     if late_initial is None:

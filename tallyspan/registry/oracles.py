@@ -79,6 +79,20 @@ initial_licenses AS (
   SELECT id, customer_id, type, CAST(creation_date + INTERVAL 10 DAY AS DATE), price, renewable, 1::BIGINT
   FROM clean_licenses WHERE id % 20 = 0)"""
 
+# The states of the table with gaps, beside another fixture.
+GAP_STATES = f"""
+gap_days AS (
+  SELECT event_id AS id, user_id AS license_id, CAST(ts AS DATE) AS date,
+         CASE WHEN event_id % 97 <> 0 THEN event_type <> 'error' END AS renewable
+  FROM events),
+gap_entities AS (
+  SELECT license_id, CAST(CASE WHEN license_id % 3 = 0 THEN MIN(date) + 3 ELSE MIN(date) - 2 END AS DATE) AS date
+  FROM gap_days WHERE license_id % 7 <> 5 GROUP BY license_id),
+gap_last AS (SELECT license_id, date, MAX(id) AS id FROM gap_days GROUP BY ALL),
+gap_states AS (
+  SELECT renewable FROM gap_days SEMI JOIN gap_last USING (license_id, date, id)
+  UNION ALL SELECT TRUE FROM gap_entities ANTI JOIN gap_last USING (license_id, date))"""
+
 # One state per licence and day: the change with the highest id, else the entity row.
 STATES = """,
 last_change AS (SELECT license_id, date, MAX(id) AS id FROM license_changes GROUP BY license_id, date),
@@ -247,14 +261,14 @@ FROM log
 WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 
 APPORTION = """
-WITH keys AS (SELECT c_custkey + 1 AS customer_key, POW(CAST(c_custkey + 1 AS DOUBLE), -1.5) AS weight FROM customer),
-rest AS (SELECT (SELECT COUNT(*) FROM orders) - COUNT(*) AS rest, SUM(weight) AS whole FROM keys),
-expected AS (SELECT customer_key, rest, ROUND(weight / whole * rest, 9) AS share FROM keys, rest),
+WITH keys AS (
+  SELECT c_custkey + 1 AS customer_key, CAST(FLOOR(POW(CAST(c_custkey + 1 AS DOUBLE), -1.5) * 1e18) AS HUGEINT) AS weight
+  FROM customer),
+rest AS (SELECT (SELECT COUNT(*) FROM orders) - COUNT(*) AS rest, CAST(SUM(weight) AS HUGEINT) AS whole FROM keys),
 floors AS (
-  SELECT customer_key, rest, CAST(FLOOR(share) AS BIGINT) AS base, ROUND(share - FLOOR(share), 9) AS fraction
-  FROM expected),
+  SELECT customer_key, rest, weight * rest // whole AS base, weight * rest % whole AS left_over FROM keys, rest),
 ranked AS (
-  SELECT *, ROW_NUMBER() OVER (ORDER BY fraction DESC, customer_key) AS place, SUM(base) OVER () AS given FROM floors)
+  SELECT *, ROW_NUMBER() OVER (ORDER BY left_over DESC, customer_key) AS place, SUM(base) OVER () AS given FROM floors)
 SELECT customer_key, CAST(1 + base + CASE WHEN place <= rest - given THEN 1 ELSE 0 END AS BIGINT) AS allotted
 FROM ranked"""
 
@@ -345,6 +359,8 @@ SELECT c.date, t.type, CAST(COALESCE((SELECT SUM(l.price) FROM license_changes l
         "src_csv_utc": f"WITH {SPARSE_CHANGES} {RAW} WHERE date BETWEEN DATE '1996-01-02' AND DATE '1997-12-31'",
         "parse_utc": "SELECT event_id, CASE WHEN event_type <> 'error' THEN epoch_us(ts) END AS micros FROM events",
         "src_csv_roundtrip": mart(DENSE),
+        "src_csv_swapped": f"WITH {SPARSE_CHANGES} {RAW}",
+        "src_table_replace": f"WITH {SPARSE_CHANGES} {RAW}",
         # quality
         "dq_report": FAULTS
         + _report(
@@ -398,6 +414,32 @@ FROM initial_licenses""",
             _rule("renewable_accepted", "daily_states", "renewable IN (TRUE, FALSE)", "panel"),
         ),
         "dq_consistency": _consistency(),
+        "dq_accepted_values": f"""{FAULTS}, {GAP_STATES}"""
+        + _report(
+            _rule("type_accepted", "license_changes", TYPE_OK),
+            _rule("price_accepted", "license_changes", "price IN (100, 1000, 5000)"),
+            _rule("type_accepted", "initial_licenses", TYPE_OK),
+            _rule("renewable_accepted", "state_history", "renewable IN (TRUE, FALSE)", "gap_states"),
+        ),
+        "dq_relationships": FAULTS
+        + _report(
+            _rule("license_id_in_initial_licenses", "license_changes", HAS_ENTITY, "license_changes c"),
+            _rule("id_in_license_changes", "initial_licenses", HAS_CHANGE, "initial_licenses e"),
+            _rule("o_custkey_in_customer", "orders", "o_custkey IN (SELECT c_custkey FROM customer)"),
+        ),
+        "dq_mart_invariants": f"""{SPARSE_EDGE}{STATES}{CALENDAR}{LEVELS}{MART}
+SELECT 'columns' AS invariant, TRUE AS holds
+UNION ALL SELECT 'non_negative', BOOL_AND(LEAST(active_license_count, inactive_license_count, active_license_price) >= 0) FROM mart
+UNION ALL SELECT 'list_price', BOOL_AND(active_license_price = active_license_count * {LIST_PRICE}) FROM mart
+UNION ALL SELECT 'last_day_total', SUM(active_license_count + inactive_license_count) =
+  (SELECT COUNT(DISTINCT id) FROM initial_licenses WHERE creation_date <= (SELECT MAX(date) FROM calendar))
+FROM mart WHERE date = (SELECT MAX(date) FROM calendar)""",
+        "dq_transition_sums": f"""{SPARSE}{STATES},
+steps AS (SELECT LAG(type) OVER (PARTITION BY license_id ORDER BY date) AS from_type, type AS to_type FROM states),
+counts AS (SELECT from_type, to_type, COUNT(*) AS n FROM steps WHERE from_type IS NOT NULL GROUP BY ALL),
+shares AS (
+  SELECT from_type, ROUND(n / (SELECT SUM(o.n) FROM counts o WHERE o.from_type = c.from_type), 6) AS part FROM counts c)
+SELECT from_type, ROUND(SUM(part), 6) AS share_sum, COUNT(*) AS n_shares, TRUE AS sums_to_one FROM shares GROUP BY 1""",
         "price_by_type_check": f"""{DENSE}{STATES}{CALENDAR}{LEVELS}{MART},
 checked AS (SELECT *, CAST(active_license_count * {LIST_PRICE} AS BIGINT) AS expected_price FROM mart)
 SELECT date, type, active_license_price, expected_price,

@@ -241,6 +241,27 @@ def parse_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", F.unix_micros(utc_timestamp(F.col("text"))).alias("micros"))
 
 
+@query
+def src_csv_swapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with its columns in another order and one more is read by its header."""
+    path = scratch_path(spark, "csv")
+    changes = fx.sparse_changes(spark, sf_dir)
+    swapped = changes.select("type", "license_id", F.lit("x").alias("note"), "id", "renewable", "price", "date")
+    files.write_csv(swapped, path)
+    return files.read_csv(spark, path, changes.schema)
+
+
+@query
+def src_table_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table written twice, with times that become dates; the second one stays."""
+    path = scratch_path(spark, "table")
+    name = f"changes_{path.rsplit('-', 1)[-1]}"
+    changes = fx.sparse_changes(spark, sf_dir).withColumn("date", F.col("date").cast("timestamp"))
+    files.replace_table(changes.where("id % 2 = 0").withColumn("price", F.col("price") + 1), name, "date", path)
+    files.replace_table(changes, name, "date", path)
+    return spark.table(name)
+
+
 # --- quality --------------------------------------------------------------------
 
 
@@ -322,6 +343,44 @@ def dq_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.consistency_report(*fx.with_faults(spark, sf_dir), as_of=dt.date(2024, 1, 25))
 
 
+@query
+def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    initial, changes = fx.with_faults(spark, sf_dir)
+    panel = history.state_history(*fx.with_gaps(spark, sf_dir))
+    return quality.accepted_values_report(
+        {
+            "license_changes": (changes, {"type": ["PASS", "SIM", "SUPERVISION"], "price": [100, 1000, 5000]}),
+            "initial_licenses": (initial, {"type": ["PASS", "SIM", "SUPERVISION"]}),
+            "state_history": (panel, {"renewable": [True, False]}),
+        }
+    )
+
+
+@query
+def dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    initial, changes = fx.with_faults(spark, sf_dir)
+    orders, customers = fx.table(spark, sf_dir, "orders"), fx.table(spark, sf_dir, "customer")
+    return quality.relationships_report(
+        [
+            ("license_changes", changes, "license_id", "initial_licenses", initial, "id"),
+            ("initial_licenses", initial, "id", "license_changes", changes, "license_id"),
+            ("orders", orders, "o_custkey", "customer", customers, "c_custkey"),
+        ]
+    )
+
+
+@query
+def dq_mart_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    initial, changes = fx.sparse(spark, sf_dir, "edge")
+    return quality.mart_invariants(plans.license_metrics(initial, changes), initial, changes)
+
+
+@query
+def dq_transition_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    states = history.state_history(*fx.sparse(spark, sf_dir))
+    return profiling.transition_row_sums(profiling.type_transitions(states))
+
+
 @query
 def price_by_type_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.price_by_type_check(plans.license_metrics(*fx.dense(spark, sf_dir)))
@@ -387,7 +446,7 @@ def repeat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def assign_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = fx.sparse_changes(spark, sf_dir).select("id", "date")
-    return ranking.assign_batches(changes, 1000, [F.col("date"), F.col("id")])
+    return ranking.assign_batches(changes, 1000, "date", "id")
 
 
 @query

@@ -10,8 +10,24 @@ from tallyspan.schemas import CHANGES_SCHEMA, INITIAL_SCHEMA
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header; a row that does not fit the schema fails the job."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    """CSV with a header, read by the names in it, with its times in UTC.
+
+    The columns of the schema may stand in any order and among others; a missing one is an
+    error, and so is a file whose header differs from that of the first one.  A row that does not
+    fit fails the job, also if only other columns of it are used: every row is
+    parsed as a whole.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    known = {f.name: f for f in schema.fields}
+    found = T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names])
+    options = {"header": True, "mode": "FAILFAST", "enforceSchema": False, "timeZone": "UTC"}
+    rows = spark.read.schema(found).options(**options).csv(path)
+    # Always true, but it needs all columns, so none of them goes unparsed.
+    whole = rows.where(F.length(F.concat_ws("", *[F.col(f"`{n}`").cast("string") for n in names])) >= 0)
+    return whole.select(*[f.name for f in schema.fields])
 
 
 def read_licenses(spark: SparkSession, initial_path: str, changes_path: str) -> tuple[DataFrame, DataFrame]:
@@ -20,7 +36,7 @@ def read_licenses(spark: SparkSession, initial_path: str, changes_path: str) ->
 
 
 def read_csv_utc(spark: SparkSession, path: str, schema: T.StructType, event_column: str) -> DataFrame:
-    """CSV whose event column is read as a timestamp; the session zone is UTC."""
+    """CSV whose event column is read as a timestamp; text without an offset is UTC."""
     fields = [
         T.StructField(f.name, T.TimestampType() if f.name == event_column else f.dataType) for f in schema.fields
     ]
@@ -31,9 +47,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def replace_table(df: DataFrame, name: str, date_column: str) -> None:
-    """Replace a catalog table, its date column cast to a date."""
-    df.withColumn(date_column, F.col(date_column).cast("date")).write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, date_column: str, path: str | None = None) -> None:
+    """Replace a catalog table, its date column cast to a date; at ``path`` if given, else in
+    the warehouse."""
+    writer = df.withColumn(date_column, F.col(date_column).cast("date")).write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:

@@ -147,11 +147,11 @@ def test_toggle_segments_equal_a_scan(spark, width):
 def test_batches_follow_the_global_order(spark):
     rows = [(i, (i * 7919) % 13) for i in range(1000)]
     df = spark.createDataFrame(rows, "id long, day long").repartition(5)
-    got = {r.id: r.batch_id for r in ranking.assign_batches(df, 30, [F.col("day"), F.col("id")]).collect()}
+    got = {r.id: r.batch_id for r in ranking.assign_batches(df, 30, "day", "id", width=7).collect()}
     order = sorted(rows, key=lambda r: (r[1], r[0]))
     assert got == {r[0]: i // 30 for i, r in enumerate(order)}
     with pytest.raises(ValueError):
-        ranking.assign_batches(df, 0, [F.col("id")])
+        ranking.assign_batches(df, 0, "day", "id")
 
 
 @pytest.mark.parametrize("chunk", [1, 3, 1000])
