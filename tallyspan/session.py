@@ -32,8 +32,12 @@ def build_session(app_name: str = "tallyspan", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder name under the folder that all executors share.
+    """A new folder name under the folder that all executors share; ``clear_scratch`` deletes
+    what has been written there.
 
     The cluster names that folder in ``spark.checkpoint.dir``.  Only a local
     master may fall back to a temporary folder of this machine.
@@ -43,7 +47,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = tempfile.mkdtemp(prefix="tallyspan-")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this process.  A lazy result may still read
+    them, so this is for the end of a job, when its results are stored."""
+    while _made:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def store_and_reload(df: DataFrame, label: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Run registered queries and their oracles side by side.
 
-    python -m tallyspan.registry.compare [sf] [query ...]
+    python -m tests.compare [sf] [query ...]
 """
 
 from __future__ import annotations

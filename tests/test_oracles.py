@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
-from tallyspan.registry.compare import connect, differences
 from tallyspan.registry.queries import REGISTRY
+from tests.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
 

@@ -137,3 +137,15 @@ def test_shares_of_a_row_sum_to_one(spark):
     assert all(r.sums_to_one for r in profiling.transition_row_sums(shares).collect())
     half = shares.where("to_type <> 'D'")
     assert {r.from_type: r.sums_to_one for r in profiling.transition_row_sums(half).collect()} == {"A": False, "B": True}
+
+
+def test_scratch_tables_can_be_cleared(spark, tmp_path):
+    from tallyspan import session
+
+    kept, session._made[:] = list(session._made), []
+    path = session.scratch_path(spark, "clear")
+    spark.range(3).write.parquet(path)
+    assert files.path_exists(spark, path)
+    session.clear_scratch(spark)
+    assert not files.path_exists(spark, path)
+    session._made[:] = kept
