@@ -101,7 +101,11 @@ def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int
 def concat_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions of the ranges ``starts[i] .. starts[i] + lengths[i]``, one after the other."""
     ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, int(starts.max(initial=0))) < 1 << 30 else np.int64
+    out = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.common import begin, pick, plain, position, text_slices, without
+from tallyspan.llm.common import begin, pick, plain, position, text_slices, tidy, without
 
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
@@ -159,6 +159,7 @@ def train(df: DataFrame, **names) -> Model:
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("langid")
         for batch in batches:
+            tidy()
             found = [counts(t) for t in batch.column(1).to_pylist()]
             at = [np.flatnonzero(c) for c in found]
             yield pa.RecordBatch.from_arrays(
@@ -195,6 +196,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("langid")
         for batch in batches:
+            tidy()
             for start, length in text_slices(batch.column(at)):
                 part = batch.slice(start, length)
                 found, score, ambiguous = model.predict(part.column(at).to_pylist())

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.common import begin, lookup, pick, plain, position, text_slices, without
+from tallyspan.llm.common import begin, lookup, pick, plain, position, text_slices, tidy, without
 from tallyspan.session import store_and_reload
 
 LEAST_KEY = 10
@@ -96,6 +96,7 @@ def _filters(texts: DataFrame, bits: int) -> DataFrame:
         once = np.zeros(bits // 8, np.uint8)
         twice = np.zeros(bits // 8, np.uint8)
         for batch in batches:
+            tidy()
             for start, length in text_slices(batch.column(0)):
                 keys: list[bytes] = []
                 for text in batch.column(0).slice(start, length).to_pylist():
@@ -128,6 +129,7 @@ def repeated_filter(texts: DataFrame, bits: int) -> np.ndarray:
         begin("linededup")
         held: dict[int, list[np.ndarray]] = {}
         for batch in batches:
+            tidy()
             for segment, once, twice in zip(batch["segment"], batch["once"], batch["twice"]):
                 if segment not in held:
                     held[segment] = [np.zeros(SEGMENT_BITS // 8, np.uint8) for _ in range(2)]
@@ -153,6 +155,7 @@ def _suspects(rows: DataFrame, twice, bits: int) -> DataFrame:
         begin("linededup")
         bitmap = np.frombuffer(twice.value, np.uint8)
         for batch in batches:
+            tidy()
             for start, length in text_slices(batch.column(at_text)):
                 part = batch.slice(start, length)
                 lines = [(t or "").split("\n") for t in part.column(at_text).to_pylist()]
@@ -223,6 +226,7 @@ def _without(affected: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("linededup")
         for batch in batches:
+            tidy()
             for start, length in text_slices(batch.column(at_text)):
                 part = batch.slice(start, length)
                 texts, dropped = part.column(at_text).to_pylist(), []

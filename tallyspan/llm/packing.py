@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspan.llm.bpe import Encoder, encode_ids, vocabulary
-from tallyspan.llm.common import begin, pick, text_slices
+from tallyspan.llm.common import begin, pick, text_slices, tidy
 from tallyspan.llm.differencing import difference
 from tallyspan.session import store_and_reload
 
@@ -37,6 +37,7 @@ CAPACITY = 2048
 PIECE = 512
 GROUP_TOKENS = 512 * CAPACITY
 CLOSING_ID = 1
+SLICE = 4 << 20  # bytes of text whose ids are held at once
 
 
 def windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
@@ -91,7 +92,8 @@ def token_pieces(
         begin("packing", _forget)
         encoder = _library_encoder(path)
         for batch in batches:
-            for at, length in text_slices(batch.column(1)):
+            tidy()
+            for at, length in text_slices(batch.column(1), SLICE):
                 ids, starts = encode_ids(encoder, batch.column(1).slice(at, length))
                 # The closing id goes behind each text.
                 ids = np.insert(ids, starts[1:], closing).astype("<u4")
@@ -105,7 +107,7 @@ def token_pieces(
                 whole = number < full[row]
                 first = np.where(whole, number * capacity, full[row] * capacity + (number - full[row]) * piece)
                 size = np.where(whole, capacity, np.minimum(piece, totals[row] - first))
-                raw = memoryview(ids.tobytes())
+                raw = memoryview(ids).cast("B")
                 low = 4 * (starts[row] + first)
                 crc = [zlib.crc32(raw[a:b]) for a, b in zip(low.tolist(), (low + 4 * size).tolist())]
                 yield pa.RecordBatch.from_arrays(

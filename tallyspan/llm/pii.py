@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.common import begin, pick, plain, position, text_slices, without
+from tallyspan.llm.common import begin, pick, plain, position, text_slices, tidy, without
 from tallyspan.llm.tagger import PAD, Tagger, codes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -207,6 +207,7 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", steps: int = S
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("pii")
         for batch in batches:
+            tidy()
             found = []
             for hashed, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found += [(hashed, n, w, tags) for n, (w, tags) in enumerate(examples(t, hashed % 1000))]
@@ -378,6 +379,7 @@ def _mapped(df: DataFrame, model: Tagger | None, text: str, added: list[T.Struct
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("pii")
         for batch in batches:
+            tidy()
             for start, length in text_slices(batch.column(at)):
                 part = batch.slice(start, length)
                 texts, more = work(part.column(at).to_pylist(), sent.value)
