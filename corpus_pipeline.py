@@ -74,7 +74,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     share_package(spark)
-    return packing.pack(docs, TOKENIZER)
+    # Less is remembered than by default: executors have been through four stages by now.
+    return packing.pack(docs, TOKENIZER, cache=100_000, slice_bytes=4 << 20)
 
 
 STAGES = [

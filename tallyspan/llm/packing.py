@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.bpe import Encoder, encode_ids, vocabulary
-from tallyspan.llm.common import begin, pick, text_slices, tidy
+from tallyspan.llm.bpe import CACHE_ENTRIES, Encoder, encode_ids, vocabulary
+from tallyspan.llm.common import SLICE_BYTES, begin, pick, text_slices, tidy
 from tallyspan.llm.differencing import difference
 from tallyspan.session import store_and_reload
 
@@ -37,7 +37,6 @@ CAPACITY = 2048
 PIECE = 512
 GROUP_TOKENS = 512 * CAPACITY
 CLOSING_ID = 1
-SLICE = 4 << 20  # bytes of text whose ids are held at once
 
 
 def windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
@@ -53,7 +52,7 @@ def windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
 
 
 @functools.lru_cache(maxsize=2)
-def _library_encoder(path: str) -> Encoder:
+def _library_encoder(path: str, cache: int) -> Encoder:
     """Ids of the library itself, asked once per distinct word in a worker's memory."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -66,7 +65,7 @@ def _library_encoder(path: str) -> Encoder:
         coded = library.encode_batch_fast(distinct, add_special_tokens=False)
         return [np.array(x.ids, np.int32).tobytes() for x in coded]
 
-    return Encoder(vocabulary(path), words)
+    return Encoder(vocabulary(path), words, cache=cache)
 
 
 def _forget() -> None:
@@ -75,7 +74,14 @@ def _forget() -> None:
 
 
 def token_pieces(
-    df: DataFrame, path: str, key: str, text: str = "text", capacity: int = CAPACITY, piece: int = PIECE
+    df: DataFrame,
+    path: str,
+    key: str,
+    text: str = "text",
+    capacity: int = CAPACITY,
+    piece: int = PIECE,
+    cache: int = CACHE_ENTRIES,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """(key, start, length, ids_crc32, doc_tokens, whole) per piece, in each row's order."""
     kept = pick(df, key=key, text=text)
@@ -90,10 +96,10 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("packing", _forget)
-        encoder = _library_encoder(path)
+        encoder = _library_encoder(path, cache)
         for batch in batches:
             tidy()
-            for at, length in text_slices(batch.column(1), SLICE):
+            for at, length in text_slices(batch.column(1), slice_bytes):
                 ids, starts = encode_ids(encoder, batch.column(1).slice(at, length))
                 # The closing id goes behind each text.
                 ids = np.insert(ids, starts[1:], closing).astype("<u4")
@@ -130,15 +136,19 @@ def pack(
     capacity: int = CAPACITY,
     piece: int = PIECE,
     group_tokens: int = GROUP_TOKENS,
+    cache: int = CACHE_ENTRIES,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     The pieces are stored once (a few dozen bytes each), so that their groups and windows
     stay what they were when an executor is lost.  Sequence ids are positions in (group,
-    window); only the window counts of the groups are summed in one place.
+    window); only the window counts of the groups are summed in one place.  ``cache`` (words
+    remembered) and ``slice_bytes`` (text whose ids are held at once) bound a worker's memory
+    and change no result.
     """
     pieces = store_and_reload(
-        token_pieces(df, path, key, text, capacity, piece).withColumn("_row", F.monotonically_increasing_id()),
+        token_pieces(df, path, key, text, capacity, piece, cache, slice_bytes).withColumn("_row", F.monotonically_increasing_id()),
         "pieces",
     )
     left = pieces.where(~F.col("whole"))
