@@ -167,9 +167,10 @@ def write_batch(
 
 
 def event_range(spark: SparkSession, target: Target, segment: str) -> tuple[datetime, datetime] | None:
-    """Midnights of the first and the last event day of a segment, from its folders."""
-    days = [d for d in target.touched_days(spark, segment) if d != "undated"]
-    return tuple(datetime.fromisoformat(d).replace(tzinfo=timezone.utc) for d in (days[0], days[-1])) if days else None
+    """Midnights of the first and the last event day of a segment."""
+    day = F.col(target.date_column).cast("date")
+    days = target.segment(spark, [segment]).agg(F.min(day), F.max(day)).first()
+    return None if days[0] is None else tuple(as_utc(datetime(d.year, d.month, d.day)) for d in days)
 
 
 def commit(

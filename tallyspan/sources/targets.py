@@ -1,7 +1,8 @@
 """Keyed tables as appended segments that are merged when read.
 
-A commit writes its rows once, as a segment of its own, partitioned by the day of the
-event.  Nothing that is stored is read or written again: the newest segment that holds a
+A commit writes its rows once, as a segment of its own: a folder per month of the event, in
+files sorted by day, so a day is found by the folder and the statistics of the files without
+a file per day.  Nothing that is stored is read or written again: the newest segment that holds a
 key has its row.  Which segments count, and in which order, is said by the store's pointer, so a
 segment that was never published is not seen.  ``compact`` now and then writes all segments as one.
 """
@@ -12,13 +13,14 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspan.operators.dedup import latest_per_key
 
 DAY = "event_day"
+MONTH = "event_month"
 COMMIT = "commit"
 UNDATED = "undated"
 
@@ -32,17 +34,22 @@ class Target:
 
     @property
     def stored_schema(self) -> T.StructType:
-        return T.StructType([*self.schema.fields, *[T.StructField(c, T.StringType()) for c in (COMMIT, DAY)]])
+        return T.StructType([*self.schema.fields, *[T.StructField(c, T.StringType()) for c in (COMMIT, MONTH)]])
 
     def folder(self, segment: str) -> str:
         return f"{self.path}/{COMMIT}={segment}"
 
     def segment(self, spark: SparkSession, segments: Sequence[str]) -> DataFrame:
         """Rows of these segments as they were written, with ``commit`` and ``event_day``."""
-        if not segments:
-            return spark.createDataFrame([], self.stored_schema)
-        reader = spark.read.schema(self.stored_schema).option("basePath", self.path)
-        return reader.parquet(*map(self.folder, segments))
+        if segments:
+            reader = spark.read.schema(self.stored_schema).option("basePath", self.path)
+            rows = reader.parquet(*map(self.folder, segments))
+        else:
+            rows = spark.createDataFrame([], self.stored_schema)
+        return rows.drop(MONTH).withColumn(DAY, self._day())
+
+    def _day(self) -> Column:
+        return F.coalesce(F.col(self.date_column).cast("date").cast("string"), F.lit(UNDATED))
 
     def read(self, spark: SparkSession, segments: Sequence[str]) -> DataFrame:
         """One row per key, from the newest segment that has it.
@@ -55,18 +62,18 @@ class Target:
             return first.drop(COMMIT)
         newest = latest_per_key(later, [self.key], [F.col(COMMIT).desc()])
         kept = first.join(newest.select(self.key), self.key, "left_anti")
-        return kept.select(*self.stored_schema.fieldNames()).unionByName(newest).drop(COMMIT)
+        return kept.select(*newest.columns).unionByName(newest).drop(COMMIT)
 
     def write(self, spark: SparkSession, rows: DataFrame, sequence: int) -> str:
         """Stores ``rows`` (one per key) as a segment and gives its name.  The rebalance
-        hint lets AQE split a hot day over tasks and put small ones together."""
+        hint lets AQE split a hot month over tasks and put small ones together."""
         segment = f"{sequence:012d}-{uuid.uuid4().hex}"
-        day = F.coalesce(F.col(self.date_column).cast("date").cast("string"), F.lit(UNDATED))
+        month = F.substring(self._day(), 1, 7)
         (
-            rows.select(*self.schema.fieldNames(), day.alias(DAY))
-            .hint("rebalance", DAY)
-            .sortWithinPartitions(DAY, self.key)
-            .write.partitionBy(DAY)
+            rows.select(*self.schema.fieldNames(), month.alias(MONTH))
+            .hint("rebalance", MONTH)
+            .sortWithinPartitions(MONTH, self.date_column, self.key)
+            .write.partitionBy(MONTH)
             .parquet(self.folder(segment))
         )
         return segment
