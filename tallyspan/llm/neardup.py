@@ -171,7 +171,7 @@ def _run_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         found = [np.zeros(0, np.int64)]
         for batch in batches:
             raw = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8)
-            found.append(np.unique(_filter_places(raw, bits) >> 3 << 3 | _filter_places(raw, bits) & 7))
+            found.append(np.unique(_filter_places(raw, bits)))
         at = np.unique(np.concatenate(found))
         segment = at >> 16
         cuts = np.flatnonzero(np.diff(segment, prepend=-1))
@@ -182,7 +182,7 @@ def _run_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         )
 
     bitmap = np.zeros(-(-bits // 8), np.uint8)
-    for row in wanted.select("digest").mapInArrow(build, "segment bigint, places binary").toLocalIterator():
+    for row in wanted.select("digest").mapInArrow(build, "segment bigint, places binary").collect():
         at = (row.segment << 16) + np.frombuffer(row.places, np.uint16).astype(np.int64)
         np.bitwise_or.at(bitmap, at >> 3, (1 << (at & 7)).astype(np.uint8))
     sent = spark.sparkContext.broadcast(bitmap.tobytes())
