@@ -1,6 +1,8 @@
 """Near-duplicate documents by ProbMinHash, banding and exact verification.
 
-A text's elements are its distinct runs of five words, weighted by 1 + ln(count).  Every
+A text's elements are its distinct runs of five words.  It has two signatures: one with weights
+1 + ln(count), one with unit weights, whose probability Jaccard is the Jaccard similarity of
+the sets, which is what a link is defined by.  Every
 element is a Poisson process of its weight's rate, a function of the element alone: its
 arrivals have exponential gaps and each falls into one of ``COMPONENTS`` components.  A component
 keeps the element of the earliest arrival.  Two texts agree in a component with a
@@ -8,8 +10,9 @@ probability equal to their probability Jaccard similarity.  The elements of a ba
 texts arrive together, round by round; one whose next arrival is later than the latest
 component of its text can change nothing more and stops.
 
-Banding: ``BANDS`` bands of ``ROWS`` components; a pair of similarity 0.8 shares no band
-with a probability below 1e-5.  Verification: the exact Jaccard similarity of the two sets of
+Banding: ``BANDS`` bands of ``ROWS`` components of each signature (one list for a text whose runs
+repeat equally often, as both are the same); a pair whose sets have similarity 0.8 shares no
+band with a probability below 1e-5, whatever its counts.  Verification: the exact Jaccard similarity of the two sets of
 runs, at least ``threshold``.  A class is a connected component of verified links.
 
 A bucket (texts that share a band) is not expanded into all its pairs.  First every text is
@@ -17,8 +20,8 @@ verified against the centre of each of its buckets, the text that shares most ba
 others, as the source of many copies does; the links give components.  A bucket that lies in one
 component has nothing more to add.  In the others only pairs from different components are
 left: each text outside the bucket's main component meets the rest of the bucket inside the join, which lets a pair through only in the
-first band that it shares, and only if its sketches (``SKETCH_BITS`` bits of each component)
-agree in so many components as a similar pair does but with a probability below 1e-5.
+smallest band that it shares, and only if its sketches (``SKETCH_BITS`` bits of each component
+of the unit-weight signature) agree in so many components as a similar pair does but with a probability below 1e-5.
 So no link between texts of a shared band is lost but for that chance.
 
 Equal texts are one text from the start.  No text is shuffled: the sets of runs are read
@@ -128,7 +131,8 @@ def _digest(text: str) -> bytes:
 
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """(id, digest, bands, sketch) of rows (id, text); no bands without a run of words."""
+    """(id, digest, bands, sketch) of rows (id, text); no bands without a run of words.  The
+    bands are those of both signatures, equal ones once; the sketch is of unit weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("neardup", known_words.clear)
@@ -138,12 +142,18 @@ def _signed(rows: DataFrame) -> DataFrame:
                 part = batch.slice(start, length)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 value, owner, count = weighted(*shingles(texts, WORDS))
-                signature = signatures(value, owner, 1 + np.log(count), length)
-                keys, planes = bands(signature), sketches(signature)
-                some = np.bincount(owner, minlength=length) > 0
-                # The values are those of the rows that have any, so the lists must fit them.
-                offsets = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(offsets, pa.array(keys[some].ravel(), pa.int64()))
+                signature = signatures(value, owner, np.ones(len(count)), length)
+                keys, planes = np.tile(bands(signature), 2), sketches(signature)
+                taken = np.zeros(keys.shape, bool)
+                taken[np.unique(owner), :BANDS] = True
+                # Weights change the signature only of a text whose runs repeat unequally.
+                uneven = np.unique(owner[count != count[np.searchsorted(owner, owner)]])
+                of = np.isin(owner, uneven)
+                at = np.searchsorted(uneven, owner[of])
+                keys[uneven, BANDS:] = bands(signatures(value[of], at, 1 + np.log(count[of]), len(uneven)))
+                taken[uneven, BANDS:] = keys[uneven, BANDS:] != keys[uneven, :BANDS]
+                offsets = np.concatenate([[0], np.cumsum(taken.sum(axis=1))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(offsets, pa.array(keys[taken], pa.int64()))
                 words = np.arange(length + 1, dtype=np.int32) * planes.shape[1]
                 sketch = pa.ListArray.from_arrays(words, pa.array(planes.ravel(), pa.int64()))
                 yield pa.RecordBatch.from_arrays(
@@ -235,8 +245,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, threshold: fl
 
 
 def _shared(texts: DataFrame) -> DataFrame:
-    """(band, turn, node, n): a row per text and band that it shares with n - 1 others."""
-    every = texts.select("node", F.posexplode("bands").alias("turn", "band"))
+    """(band, node, n): a row per text and band that it shares with n - 1 others."""
+    every = texts.select("node", F.explode("bands").alias("band"))
     sizes = store_and_reload(every.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     return store_and_reload(lookup(every, sizes.withColumn("_weight", F.col("n")), "band", "_weight"), "shared")
 
@@ -320,9 +330,9 @@ def _across(shared: DataFrame, texts: DataFrame, label: DataFrame) -> DataFrame:
     mixed = store_and_reload(main.where("labels > 1").select("band", "main", "n"), "mixed")
     inside = lookup(named, mixed, "band", "n").join(texts.select("node", "bands", "sketch"), "node")
     inside = store_and_reload(inside, "inside")
-    odd = inside.where("label <> main").drop("main", "turn")
+    odd = inside.where("label <> main").drop("main")
     odd = odd.toDF(*[c if c == "band" else f"{c}_a" for c in odd.columns])
-    first_shared = F.array_position(F.zip_with("bands", "bands_a", lambda x, y: x == y), True) == F.col("turn") + 1
+    first_shared = F.array_min(F.array_intersect("bands", "bands_a")) == F.col("band")
     met = odd.join(inside, "band").where(
         (F.col("label_a") != F.col("label"))
         & ((F.col("label") == F.col("main")) | (F.col("node_a") < F.col("node")))

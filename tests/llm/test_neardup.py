@@ -78,6 +78,30 @@ def test_no_link_is_lost(spark):
     assert 20 < max(map(len, classes.values())) < 61
 
 
+def repeated(rng, runs_in_all, share, times, changed):
+    """Two texts whose sets of runs are equal but for ``changed`` words of the second; a
+    share of its runs repeats: a cycle of words, gone round more than once."""
+    cycle = [f"c{rng.random()}" for _ in range(int(runs_in_all * share))]
+    rest = [f"r{rng.random()}" for _ in range(runs_in_all - len(cycle))]
+    other = rest.copy()
+    for at in range(changed):
+        other[-1 - at] = f"x{rng.random()}"
+    return " ".join(cycle + cycle[:4] + rest), " ".join(cycle * times + cycle[:4] + other)
+
+
+def test_links_do_not_depend_on_counts(spark):
+    rng = random.Random(4)
+    texts = []
+    for share, times, changed in ((0.2, 50, 0), (0.5, 20, 0), (0.3, 5, 20)):
+        for _ in range(8):
+            texts += repeated(rng, 400, share, times, changed)
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], data.DOCUMENTS)
+    assert min(len(a & b) / len(a | b) for a, b in zip(map(runs, texts[::2]), map(runs, texts[1::2]))) > 0.9
+    classes = check(df, neardup.op9(df).collect())
+    assert len(classes) == 24
+    assert len(neardup.first_of_classes(df).collect()) == 24
+
+
 def test_components_follow_long_chains(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     found = components(spark.createDataFrame(edges, "a bigint, b bigint"))
