@@ -8,8 +8,9 @@ of digits, parts up to 255) and touches no base span; base spans always stay.
 
 Windows overlap.  The emissions of all windows over a place are averaged, weighted by the
 distance from the window's edge, and one path through the whole stretch is decoded, so
-windows cannot disagree.  A span holds a digit or an "@" by definition; text further than
-``REACH`` characters from both cannot hold one and is not run through the model.  Stretches, however
+windows cannot disagree.  A span that passes its check holds a digit, an "@", or the word "at" (alone
+or in brackets) with a host behind it whose dots may be spelled out too; the model runs on these and
+``REACH`` characters around them.  Stretches, however
 long, are cut into windows of ``WIDTH``; a task holds one slice of texts.
 
 The model is fitted on at most ``SAMPLE_DOCUMENTS`` documents with a digit or "@" (those with the
@@ -45,6 +46,15 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
+LABEL = r"[A-Za-z0-9-]"
+# The dots of an address, loosely; and where neither a digit nor an "@" is there: a dot with blanks on
+# one side only ends a sentence.
+DOTS = r"\s*(?:\.|[\[(]dot[\])]|\bdot\b)\s*"
+APART = r"\s{1,8}\.\s{1,8}|\s{1,8}dot\s{1,8}|\s{0,8}[\[(]dot[\])]\s{0,8}"
+SPELLED_DOTS = rf"(?:\.|{APART})"
+LOCAL_SIDE = re.compile(rf"[A-Za-z0-9._%+-]+(?:(?:{APART})[A-Za-z0-9._%+-]+)*\Z")
+# From an "at" that is a word or in brackets; bounded, so that the time is linear in the text.
+SPELLED = re.compile(rf"at(?<!\wat)(?!\w)[\])]?\s{{0,8}}{LABEL}{{1,64}}(?:{SPELLED_DOTS}{LABEL}{{1,64}})+")
 DIGITS = re.compile(r"[0-9]+")
 
 WIDTH = 64
@@ -74,7 +84,7 @@ def luhn(digits: str) -> bool:
 
 
 def passes(kind: int, text: str) -> bool:
-    """The check of a match of its kind; a digit or an "@" is always there."""
+    """The check of a match of its kind."""
     digits = _digits(text)
     if kind == 0:
         return True
@@ -112,13 +122,26 @@ def base_spans(text: str) -> list[Span]:
 # --- windows ------------------------------------------------------------------------------
 
 
+def spelled(text: str) -> Iterator[tuple[int, int]]:
+    """What could be an address whose "@" is spelled out."""
+    for m in SPELLED.finditer(text):
+        least, start = max(0, m.start() - LONGEST), m.start()
+        if start > least and text[start - 1] in "[(":
+            start -= 1
+        while start > least and text[start - 1].isspace():
+            start -= 1
+        local = LOCAL_SIDE.search(text, least, start)
+        if local:
+            yield local.start(), min(m.end(), m.start() + LONGEST)
+
+
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of the text within ``REACH`` of a digit or "@"."""
+    """Parts of the text within ``REACH`` of a digit, an "@" or a spelled-out address."""
     out: list[list[int]] = []
-    for m in TRIGGER.finditer(text):
-        low, high = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
+    for start, end in sorted([*(m.span() for m in TRIGGER.finditer(text)), *spelled(text)]):
+        low, high = max(0, start - REACH), min(len(text), end + REACH)
         if out and low <= out[-1][1]:
-            out[-1][1] = high
+            out[-1][1] = max(out[-1][1], high)
         else:
             out.append([low, high])
     return [(a, b) for a, b in out]
@@ -294,13 +317,14 @@ def trimmed(kind: int, text: str, start: int, end: int) -> tuple[int, int]:
 
 def plausible(kind: int, text: str) -> bool:
     """The check of a span that only the model found."""
-    if len(text) > LONGEST or not TRIGGER.search(text) or text != text.strip():
+    if len(text) > LONGEST or text != text.strip():
         return False
     if kind == 0:
         # Two sides of an "@" (or "at"), and a dot (or "dot") in the second.
         sides = re.split(r"\s*(?:@|[\[(]at[\])]|\bat\b)\s*", text)
-        return len(sides) == 2 and bool(re.fullmatch(r"[A-Za-z0-9._%+-]+", sides[0])) and bool(
-            re.fullmatch(r"[A-Za-z0-9-]+(?:\s*(?:\.|[\[(]dot[\])]|\bdot\b)\s*[A-Za-z0-9-]+)+", sides[1])
+        dots = DOTS if TRIGGER.search(text) else SPELLED_DOTS
+        return len(sides) == 2 and bool(LOCAL_SIDE.match(sides[0])) and bool(
+            re.fullmatch(rf"{LABEL}+(?:{dots}{LABEL}+)+", sides[1])
         )
     if kind == 1 and len(DIGITS.findall(text)) != 4:
         return False

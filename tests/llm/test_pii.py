@@ -123,6 +123,45 @@ def test_the_model_adds_what_the_patterns_miss(model):
             assert pii.plausible(kind, text[a:b])
 
 
+def named(count, seed=7):
+    """Texts with one address, and the address, without a digit; numbers stand far off."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(count):
+        name, host, first = ("".join(rng.choice(data.WORDS) for _ in range(2)) for _ in range(3))
+        address = f"{first}.{name}@{host}.example.{rng.choice(['com', 'org', 'net'])}"
+        out.append((f"{data.prose(rng, 15)} {address} {data.prose(rng, 15)}", address))
+    return out
+
+
+def test_addresses_without_a_digit_are_found(spark):
+    rows = corpus() + [(1000 + i, t, "en", "s", len(t)) for i, (t, _) in enumerate(named(200))]
+    own = pii.train(spark.createDataFrame(rows, data.DOCUMENTS))
+    texts, want = [], []
+    for i, (text, address) in enumerate(named(120, seed=8)):
+        new = pii.rewritten(0, address, i % 3)  # " at ", "[at]", "(at)"
+        texts.append(text.replace(address, new))
+        at = texts[-1].index(new)
+        want.append((at, 0, at + len(new)))
+        assert not pii.TRIGGER.search(texts[-1])
+        assert any(a <= at and at + len(new) <= b for a, b in pii.stretches(texts[-1]))
+        assert pii.plausible(0, new)
+    found = [more for _, more in pii.find_spans(texts, own)]
+    for form in range(3):
+        hits = sum(w in f for w, f in list(zip(want, found))[form::3])
+        assert hits >= 28, (form, hits)
+    assert sum(len(f) for f in found) <= 1.1 * len(texts)
+
+
+def test_prose_is_no_address():
+    text = "We look at home. Then we meet at noon; data.at the end (at last) he sat at the table."
+    assert pii.stretches(text) == []
+    assert not pii.plausible(0, "look at home. Then")
+    assert pii.plausible(0, "john.smith [at] example [dot] com")
+    for part in ("at-", "at a", "x at b.c ", "at a.", "at dot-", "at "):
+        pii.stretches(part * 50_000)
+
+
 def test_windows_cover_every_place():
     for length in (1, 63, 64, 65, 100, 128, 300):
         starts = pii.window_starts(10, 10 + length)
