@@ -15,14 +15,15 @@ How many lists are probed is measured when the index is fitted: the fewest with
 queries of the sample find ``RECALL`` of their true neighbours in the sample.
 
 A task holds one block of at most about ``BLOCK_VECTORS`` vectors of a list and one block
-of about ``BLOCK_QUERIES`` queries that probe it; both are cut by a hash of the id, so a hot
-list or a third of equal vectors is many tasks.  Driver and broadcasts hold the sample and
+of about ``BLOCK_QUERIES`` queries that probe it.  Vectors are cut by a hash of id and vector, queries
+by one of the id, so a hot list, a third of equal vectors or a third of rows of one id is many tasks.  Driver and broadcasts hold the sample and
 the centres, both bounded.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold a null or a
 component that is not finite take no part, nor do rows without an id.  Rows that share an
-id are one candidate, at its nearest vector, and one query, by any of them.  Fewer than k
-candidates are all returned: the lists probed hold at least k + 1 rows if the table does.
+id are one candidate, at its nearest vector, and one query, by any of them; rows that repeat id
+and vector are dropped first.  Fewer than k candidates are all returned: the lists probed hold at
+least k + 1 ids if the table does.
 """
 
 from __future__ import annotations
@@ -82,9 +83,9 @@ def valid_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def fit(rows: DataFrame, seed: int = 11) -> Index | None:
-    """An index fitted on the ``SAMPLE`` rows with the smallest hashes of their ids."""
+    """An index fitted on the ``SAMPLE`` rows with the smallest hashes."""
     total = rows.count()
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow()
+    sample = rows.orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE).toArrow()
     if not len(sample):
         return None
     ids = sample["id"].to_numpy()
@@ -106,14 +107,16 @@ def fit(rows: DataFrame, seed: int = 11) -> Index | None:
     # The rank, among the lists of a trial query, of the list of each true neighbour.
     trial = np.arange(min(TRIAL_QUERIES, len(ids)))
     away = squared(vectors[trial], vectors)
-    away[trial, trial] = np.inf
+    away[ids[trial][:, None] == ids] = np.inf
     near = np.argsort(away, axis=1, kind="stable")[:, : max(1, min(NEIGHBOURS, len(ids) - 1))]
     order = np.argsort(squared(vectors[trial], centres), axis=1, kind="stable")
     rank = np.empty_like(order)
     np.put_along_axis(rank, order, np.arange(lists)[None, :].repeat(len(trial), 0), axis=1)
     needed = np.sort(np.take_along_axis(rank, at[near], axis=1).ravel())
     probes = 1 + int(needed[min(len(needed) - 1, int(np.ceil(RECALL * len(needed))) - 1)])
-    return Index(rotation, centres, probes, vectors[:ANCHORS], ids[:ANCHORS], at[:ANCHORS])
+    # Anchors of different ids: the k-th nearest of them bounds the k-th nearest id.
+    anchor = np.sort(np.unique(ids, return_index=True)[1])[:ANCHORS]
+    return Index(rotation, centres, probes, vectors[anchor], ids[anchor], at[anchor])
 
 
 def assign(rows: DataFrame, index: Index) -> DataFrame:
@@ -144,7 +147,8 @@ def assign(rows: DataFrame, index: Index) -> DataFrame:
 
 def _plan(batch: pd.DataFrame, index: Index, sizes: np.ndarray, k: int):
     """Per query: its lists, how many of them are probed, and the positions and squared
-    distances of the anchors in these lists, nearest first (infinite: not one of them)."""
+    distances of the anchors in these lists, nearest first (infinite: not one of them).
+    ``sizes`` counts ids, each in one list only, so lists together hold at least their sum."""
     v = np.frombuffer(b"".join(batch["v"]), np.float64).reshape(len(batch), -1)
     order = np.argsort(squared(v, index.centres), axis=1, kind="stable")
     held = np.cumsum(sizes[order], axis=1)
@@ -181,7 +185,7 @@ def _probes(queries: DataFrame, index: Index, sizes: np.ndarray, k: int) -> Data
 
 def _seeds(queries: DataFrame, index: Index, sizes: np.ndarray, k: int) -> DataFrame:
     """(query_id, vec_id, score) of the anchors that gave a query its first bound: the scan
-    may abandon one of them by chance, and k rows must be left."""
+    may abandon one of them by chance, and k ids must be left."""
     sent = queries.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,9 +217,9 @@ def scan(
     bound: float,
     k: int,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and distances of the nearest rows of one list, those of the id ``own`` left
+    """Positions and distances of the nearest ids of one list, each at its nearest row, ``own`` left
     out, by distance and then id.  ``blocks`` hold the rotated vectors' columns, ``bound`` a squared distance
-    within which k rows are known to lie."""
+    within which k ids are known to lie."""
     dimensions = len(query)
     alive = np.arange(len(ids))
     partial = np.zeros(len(ids), np.float32)
@@ -237,12 +241,15 @@ def scan(
     other = ids[alive] != own
     alive, partial = alive[other], partial[other]
     if len(alive) > 4 * k:
-        # Only what the k-th smallest partial sum (now of all components) leaves possible.
-        near = np.partition(partial, k - 1)[k - 1] * (1 + 1e-4) + 1e-6
-        alive = alive[partial <= near]
+        # Only what the k-th smallest partial sum (now of all components) of an id leaves possible.
+        order = np.argsort(partial, kind="stable")
+        least = partial[order[np.unique(ids[alive][order], return_index=True)[1]]]
+        if len(least) >= k:
+            alive = alive[partial <= np.partition(least, k - 1)[k - 1] * (1 + 1e-4) + 1e-6]
     step = originals[alive] - exact
     away = np.sqrt((step * step).sum(axis=1))
-    order = np.lexsort((ids[alive], away))[:k]
+    order = np.lexsort((ids[alive], away))
+    order = order[np.sort(np.unique(ids[alive][order], return_index=True)[1])[:k]]
     return alive[order], away[order]
 
 
@@ -258,13 +265,20 @@ def nearest(
     spark = df.sparkSession
     none = "query_id bigint, rank int, vec_id bigint, score double"
     rows = valid_vectors(df, key, vector).select(F.col("id").cast("bigint").alias("id"), "v")
+    rows = store_and_reload(rows.dropDuplicates(["id", "v"]), "distinct")
     index = fit(rows)
     if index is None:
         return spark.createDataFrame([], none)
     stored = store_and_reload(assign(rows, index), "vectors")
-    sizes = np.zeros(len(index.centres), np.int64)
-    for row in stored.groupBy("list").count().collect():
-        sizes[row["list"]] = row["count"]
+
+    def counts_of(lists: DataFrame) -> np.ndarray:
+        counts = np.zeros(len(index.centres), np.int64)
+        for row in lists.groupBy("list").count().collect():
+            counts[row["list"]] = row["count"]
+        return counts
+
+    held = counts_of(stored)
+    sizes = counts_of(stored.groupBy("id").agg(F.min("list").alias("list")))
     asked = stored.join(queries.select(F.col("id").cast("bigint").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
     probes = store_and_reload(_probes(asked, index, sizes, k), "probes")
     asking = {r["list"]: r["count"] for r in probes.groupBy("list").count().collect()}
@@ -272,12 +286,12 @@ def nearest(
     def pieces(counts: dict[int, int], size: int):
         return F.element_at(F.array(*[F.lit(-(-max(1, counts.get(i, 0)) // size)).cast("bigint") for i in range(len(sizes))]), F.col("list") + 1)
 
-    vector_blocks = pieces(dict(enumerate(sizes.tolist())), BLOCK_VECTORS)
+    vector_blocks = pieces(dict(enumerate(held.tolist())), BLOCK_VECTORS)
     query_blocks = pieces(asking, BLOCK_QUERIES)
     asked_lists = list(asking)
     left = (
         stored.where(F.col("list").isin(asked_lists))
-        .withColumn("vector_block", F.pmod(F.xxhash64("id"), vector_blocks))
+        .withColumn("vector_block", F.pmod(F.xxhash64("id", "v"), vector_blocks))
         .withColumn("query_block", F.explode(F.sequence(F.lit(0).cast("bigint"), query_blocks - 1)))
     )
     right = probes.withColumn("query_block", F.pmod(F.xxhash64("id"), query_blocks)).withColumn(

@@ -70,6 +70,52 @@ def test_many_equal_vectors_in_several_blocks(spark, monkeypatch):
         assert found[query] == [(i, 0.0) for i in copies]
 
 
+def hits_of(found, ids, vectors):
+    """How many of the 10 nearest ids, each at its nearest row, are found; all have the right score."""
+    hits = 0
+    for query, rows in found.items():
+        [own] = np.flatnonzero(ids == query)
+        away = np.sqrt(((vectors - vectors[own]) ** 2).sum(axis=1))
+        least = {int(i): away[ids == i].min() for i in np.unique(ids) if i != query}
+        assert len(rows) == 10
+        hits += len({i for i, _ in rows} & set(sorted(least, key=lambda i: (least[i], i))[:10]))
+    return hits
+
+
+def test_a_table_with_its_own_copies(spark):
+    rng = np.random.default_rng(7)
+    vectors = rng.standard_normal((3000, 12)).astype(np.float32).astype(float)
+    df = table(spark, vectors)
+    found = results(df.unionAll(df).unionAll(df))
+    assert hits_of(found, np.arange(3000), vectors) >= 0.93 * 10 * len(found)
+    assert found == results(df)
+
+
+def test_ids_with_many_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_VECTORS", 400)
+    rng = np.random.default_rng(9)
+    vectors = rng.standard_normal((4000, 8)).astype(np.float32).astype(float)
+    ids = np.arange(4000)
+    ids[1000:2400] = 7  # a third of the rows
+    ids[2401:] = 2401 + (ids[2401:] - 2401) // 20  # 80 ids of 20 rows
+    vectors[2401:] = vectors[2401:][np.arange(1599) // 20 * 20] + rng.standard_normal((1599, 8)) * 0.01
+    vectors = vectors.astype(np.float32).astype(float)
+    queries = [i for i in range(100, 1000, 100)]
+    found = {q: r for q, r in results(table(spark, vectors, ids)).items() if q in queries}
+    assert sorted(found) == queries
+    assert hits_of(found, ids, vectors) >= 0.93 * 10 * len(found)
+
+
+def test_the_scan_counts_ids():
+    rng = np.random.default_rng(2)
+    vectors = np.repeat(rng.standard_normal((200, 16)), 12, axis=0)
+    ids = np.repeat(np.arange(200), 12)
+    q = vectors[0]
+    at, away = ann.scan(ids, [vectors.astype(np.float32)], vectors, 0, q.astype(np.float32), q, np.inf, 10)
+    want = np.argsort(((vectors[::12] - q) ** 2).sum(axis=1), kind="stable")[1:11]
+    assert ids[at].tolist() == want.tolist()
+
+
 def test_odd_rows_and_few_candidates(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (100, [0.0, 2.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0, None])]
     rows += [(5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (None, [1.0, 2.0]), (7, [1.0, 2.0, 3.0]), (1, [1.0, 0.5])]
