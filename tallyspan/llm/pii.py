@@ -13,12 +13,12 @@ or in brackets) with a host behind it whose dots may be spelled out too; the mod
 ``REACH`` characters around them.  Stretches, however
 long, are cut into windows of ``WIDTH``; a task holds one slice of texts.
 
-The model is fitted on at most ``SAMPLE_DOCUMENTS`` documents with a digit or "@" (those with the
-smallest hash of their id), at most ``SAMPLE_WINDOWS`` windows; everything else covers all rows
-where they are read, without a shuffle.
+The model is fitted on at most ``SAMPLE_DOCUMENTS`` documents with a digit or "@", of those with and
+those without a base span in turn (by the hash of their id), at most ``SAMPLE_WINDOWS`` windows;
+everything else covers all rows where they are read, and only ids are shuffled.
 
 Defined cases: a null or empty text has no span and stays as it is.  Without a base span in
-the sample there is nothing to learn from and only base spans are reported.  Positions count
+any row with an id there is nothing to learn from and only base spans are reported.  Positions count
 code points, the end is exclusive.
 """
 
@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -190,15 +190,22 @@ class Example:
 
 
 def examples(text: str, key: int) -> list[tuple[str, bytes]]:
-    """Windows and tags of one training document, a bounded number, evenly spread; every
-    second window has its spans rewritten."""
+    """Windows and tags of one training document, a bounded number: half of them at spans, the
+    others evenly spread; every second window has its spans rewritten."""
     spans = base_spans(text)
     starts = [s for a, b in stretches(text) for s in window_starts(a, b)]
-    step = max(1, -(-len(starts) // WINDOWS_PER_DOCUMENT))
+    step = max(1, -(-len(spans) // (WINDOWS_PER_DOCUMENT // 2)))
+    aimed = spans[key % step :: step]
+    step = max(1, -(-len(starts) // (WINDOWS_PER_DOCUMENT - len(aimed))))
     out = []
-    for n, low in enumerate(starts[key % step :: step]):
+    for n, low in enumerate([a for a, _, _ in aimed] + starts[key % step :: step]):
         # Moved a little, so that spans are seen at every place of a window.
-        low = max(0, min(low + (key * 31 + n * 17) % 49 - 24, len(text) - 1))
+        moved = key * 31 + n * 17
+        if n < len(aimed):
+            low -= moved % (max(0, WIDTH - (aimed[n][2] - low)) + 1)
+        else:
+            low += moved % 49 - 24
+        low = max(0, min(low, len(text) - 1))
         high = min(low + WIDTH, len(text))
         inside = [s for s in spans if low <= s[0] and s[2] <= high]
         window, tags = text[low:high], tags_of(high - low, [s for s in spans if s[2] > low and s[0] < high], low)
@@ -223,26 +230,39 @@ def padded(windows: list[str]) -> np.ndarray:
 
 
 def train(df: DataFrame, key: str = "doc_id", text: str = "text", steps: int = STEPS) -> Tagger | None:
-    """A model fitted on a bounded sample; None where no base span is in it."""
+    """A model fitted on a bounded sample; None where no row with a key has a base span."""
     rows = pick(df, key=key, text=text).where(F.col("key").isNotNull() & F.col("text").rlike("[0-9@]"))
-    chosen = rows.select("key", F.xxhash64("key").alias("hash")).orderBy("hash", "key").limit(SAMPLE_DOCUMENTS).distinct()
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pii")
+        for batch in batches:
+            tidy()
+            held = [bool(base_spans(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.bool_())], names=["key", "held"])
+
+    marked = rows.mapInArrow(mark, f"key {rows.schema['key'].dataType.simpleString()}, held boolean")
+    keys = marked.groupBy("key").agg(F.max("held").alias("held")).withColumn("hash", F.xxhash64("key"))
+    # Documents with a span and without one in turn, as long as there are both.
+    turn = F.row_number().over(Window.partitionBy("held").orderBy("hash", "key"))
+    chosen = keys.withColumn("turn", turn).where(F.col("turn") <= SAMPLE_DOCUMENTS)
+    chosen = chosen.orderBy("turn", F.desc("held")).limit(SAMPLE_DOCUMENTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("pii")
         for batch in batches:
             tidy()
             found = []
-            for hashed, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found += [(hashed, n, w, tags) for n, (w, tags) in enumerate(examples(t, hashed % 1000))]
-            columns = list(zip(*found)) or [[], [], [], []]
-            kinds = (pa.int64(), pa.int32(), pa.string(), pa.binary())
+            for hashed, at, held, t in zip(*(c.to_pylist() for c in batch.columns)):
+                found += [(at, held, n, w, tags) for n, (w, tags) in enumerate(examples(t, hashed % 1000))]
+            columns = list(zip(*found)) or [[], [], [], [], []]
+            kinds = (pa.int32(), pa.bool_(), pa.int32(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["hash", "n", "window", "tags"]
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["turn", "held", "n", "window", "tags"]
             )
 
-    sample = rows.join(F.broadcast(chosen), "key").select("hash", "text")
-    windows = sample.mapInArrow(run, "hash bigint, n int, window string, tags binary")
-    found = windows.orderBy("hash", "n", "window").limit(SAMPLE_WINDOWS).collect()
+    sample = rows.join(F.broadcast(chosen), "key").select("hash", "turn", "held", "text")
+    windows = sample.mapInArrow(run, "turn int, held boolean, n int, window string, tags binary")
+    found = windows.orderBy("turn", F.desc("held"), "n", "window").limit(SAMPLE_WINDOWS).collect()
     tags = np.zeros((len(found), WIDTH), np.int64)
     for i, r in enumerate(found):
         tags[i, : len(r.window)] = np.frombuffer(r.tags, np.int8)

@@ -162,6 +162,24 @@ def test_prose_is_no_address():
         pii.stretches(part * 50_000)
 
 
+def test_rare_spans_are_in_the_sample(spark):
+    numbers = spark.range(9000).selectExpr("id AS doc_id", "concat('in ', id, ' of ', id) AS text")
+    hashed = numbers.orderBy(pii.F.desc(pii.F.xxhash64("doc_id")))
+    last = {r.doc_id for r in hashed.limit(2).collect()}
+    mail = pii.F.when(pii.F.col("doc_id").isin(last), pii.F.lit("to a@b.example.com")).otherwise(pii.F.col("text"))
+    assert pii.train(numbers, steps=1) is None
+    assert pii.train(numbers.withColumn("text", mail), steps=1) is not None
+
+
+def test_a_span_among_many_numbers_gives_a_window():
+    many = " ".join(str(i) for i in range(5000))
+    text = f"{many[:9000]} to a@b.example.com {many[9000:]}"
+    for key in range(60):
+        windows = pii.examples(text, key)
+        assert len(windows) <= pii.WINDOWS_PER_DOCUMENT
+        assert any(np.frombuffer(tags, np.int8).any() for _, tags in windows)
+
+
 def test_windows_cover_every_place():
     for length in (1, 63, 64, 65, 100, 128, 300):
         starts = pii.window_starts(10, 10 + length)
