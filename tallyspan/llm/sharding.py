@@ -103,24 +103,29 @@ def shard(df: DataFrame, key: str = "doc_id", text: str = "text", shards: int =
     return with_slots(placed.drop("item")).withColumnRenamed("key", key)
 
 
+def _bucketed(placed: DataFrame) -> DataFrame:
+    """Adds ``_row``, a stored number, and ``_bucket``, by its hash: rows equal in all else are spread too."""
+    placed = store_and_reload(placed.withColumn("_row", F.monotonically_increasing_id()), "placed")
+    buckets = max(64, -(-placed.count() // SLOT_ROWS))
+    return placed.withColumn("_bucket", F.pmod(F.xxhash64("_row"), F.lit(buckets)))
+
+
 def with_slots(placed: DataFrame) -> DataFrame:
     """Adds ``slot``: positions from 0 inside each shard.  A shard's rows are numbered in
     buckets of a bounded number of rows; only the buckets' counts are summed per shard."""
-    placed = store_and_reload(placed, "placed")
-    buckets = max(64, -(-placed.count() // SLOT_ROWS))
-    placed = placed.withColumn("_bucket", F.pmod(F.xxhash64("key", "text_crc32", "size"), F.lit(buckets)))
+    placed = _bucketed(placed)
     before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
         placed.groupBy("shard", "_bucket")
         .count()
         .select("shard", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
     )
-    inside = Window.partitionBy("shard", "_bucket").orderBy("key", "text_crc32", "size")
+    inside = Window.partitionBy("shard", "_bucket").orderBy("_row")
     return (
         placed.withColumn("_number", F.row_number().over(inside))
         .join(bases, ["shard", "_bucket"])
         .withColumn("slot", (F.col("_base") + F.col("_number") - 1).cast("long"))
-        .drop("_bucket", "_number", "_base")
+        .drop("_row", "_bucket", "_number", "_base")
     )
 
 

@@ -41,6 +41,15 @@ def test_one_large_group_is_offset_by_the_rest(spark):
     assert max(others) - min(others) < 0.001 * sum(loads)
 
 
+def test_equal_rows_are_numbered_in_many_buckets(spark):
+    placed = spark.range(6400).selectExpr("7L AS key", "9L AS size", "5L AS text_crc32", "0 AS shard")
+    sizes = [r["count"] for r in sharding._bucketed(placed).groupBy("_bucket").count().collect()]
+    assert max(sizes) < 200
+    found = sharding.with_slots(placed)
+    assert found.columns.count("slot") == 1 and set(found.columns) == {"key", "size", "text_crc32", "shard", "slot"}
+    assert sorted(r.slot for r in found.collect()) == list(range(6400))
+
+
 def test_messy_clashing_and_empty(spark):
     df = data.clashing(spark, ["key", "size", "shard", "a.b"])
     check(df, sharding.op10(df).collect())
