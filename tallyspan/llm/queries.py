@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyspan.llm import ann, bpe, cws, langid, linededup, neardup, packing, pii, secret_scan, sharding
+from tallyspan.llm import ann, bpe, cws, langid, linededup, neardup, packing, pii, secret_scan, sharding, variants
 from tallyspan.llm.common import documents, share_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -78,6 +78,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.op5(documents(spark, sf_dir))
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.op13(documents(spark, sf_dir))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
