@@ -9,13 +9,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyspan.llm import ann, bpe, cws, langid, linededup, neardup, packing, pii, secret_scan, sharding, variants
+from tallyspan.llm import (
+    ann,
+    bpe,
+    cws,
+    filter_audit,
+    langid,
+    linededup,
+    neardup,
+    packing,
+    pii,
+    repetition,
+    secret_scan,
+    sharding,
+    variants,
+)
 from tallyspan.llm.common import documents, share_package
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_filter_audit": filter_audit.ORACLE}
 
 
 def query(fn: Query) -> Query:
@@ -78,6 +92,16 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.op5(documents(spark, sf_dir))
 
 
+@query
+def op11_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.op11(documents(spark, sf_dir))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.op12(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.op13(documents(spark, sf_dir))

@@ -20,6 +20,14 @@ COLUMNS = {
     ],
     "op8_line_dedup": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
     "op9_near_duplicates": ["doc_id", "class_id", "class_texts"],
+    "op11_repetition": [
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "covered_chars", "longest_chars",
+    ],
+    "op12_filter_audit": [
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley",
+    ],
+    "op13_spelling_variants": ["word", "form", "root", "n", "n_near", "form_n"],
     "op10_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
 }
 
@@ -34,5 +42,5 @@ def test_columns_and_rows(spark, name):
 def test_every_operator_is_registered():
     names = set(contract.queries())
     numbers = {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert "pipeline" in names
