@@ -2,39 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.operators.ranking import with_row_index
+from tallyspan.operators.ranking import smallest_cut
 
 REPEAT_CHUNK = 100_000
 WEIGHT_UNITS = 10**18  # weights are at most 1 and are counted in these units
 
 
-def apportion(keys: DataFrame, key: str, total: int, alpha: float = 1.5) -> DataFrame:
-    """Split ``total`` over positive distinct keys by weight ``key ** -alpha``.
+def apportion(keys: DataFrame, key: str, total: int | Column, alpha: float = 1.5) -> DataFrame:
+    """Split ``total`` over positive distinct whole keys by weight ``key ** -alpha``; a total may
+    be the scalar of another query.
 
     Each key gets 1, then the floor of its share of the rest, and what is left goes
     one by one to the largest fractions, ties to the lower key.  Weights become whole
     numbers first; their sum, the floors and the remainders that stand for the fractions are
     exact, so the order in which rows are added up never shows.
+
+    The smallest fraction that still gets one more is found from counts, and so is
+    the last key among ties, so no row is sorted, stored or moved.
     """
+    if isinstance(total, Column):
+        total = keys.sparkSession.range(1).select(total).first()[0]
     units = F.pow(F.col(key).cast("double"), F.lit(-float(alpha))) * F.lit(float(WEIGHT_UNITS))
     weighted = keys.select(key).withColumn("_weight", F.floor(units).cast("decimal(19,0)"))
-    whole = weighted.agg(F.count("*").alias("n"), F.sum("_weight").cast("decimal(38,0)").alias("w"))
-    size = whole.select(F.struct("n", "w")).scalar()
-    rest = F.lit(total) - size["n"]
-    checked = F.when(rest >= 0, rest).otherwise(
-        F.raise_error(F.lit("total must be at least the number of keys")).cast("long")
+    whole = weighted.agg(F.count("*"), F.sum("_weight").cast("decimal(38,0)"), F.min(key), F.max(key)).first()
+    n, weight = whole[0], int(whole[1] or 0)
+    if total < n:
+        raise ValueError("total must be at least the number of keys")
+    if not n:
+        return weighted.select(key, F.lit(1).cast("long").alias("allotted"))
+    part = f"_weight * {total - n}BD"
+    floors = weighted.selectExpr(
+        f"`{key}`", f"cast({part} div {weight}BD AS bigint) AS _floor", f"cast({part} % {weight}BD AS decimal(38,0)) AS _fraction"
     )
-    parts = weighted.withColumns(
-        {"_rest": checked, "_whole": size["w"], "_part": F.col("_weight") * checked.cast("decimal(19,0)")}
+    left = total - n - (floors.agg(F.sum("_floor")).first()[0] or 0)
+    # The largest fractions are the smallest differences from the whole weight.
+    missing = f"{weight}BD - _fraction"
+    cut, ties = smallest_cut(floors, missing, left, 0, weight + 1)
+    last, _ = smallest_cut(
+        floors.where(f"{missing} = {cut}BD"), f"cast(`{key}` AS decimal(38,0))", ties, int(whole[2]), int(whole[3]) + 1
     )
-    floors = parts.selectExpr(f"`{key}`", "_part div _whole AS _floor", "_part % _whole AS _fraction", "_rest")
-    ranked = with_row_index(floors, [F.col("_fraction").desc(), F.col(key)], "_rank")
-    given = ranked.select(F.sum("_floor").alias("given")).scalar()
-    extra = (F.col("_rank") < F.col("_rest") - given).cast("long")
-    return ranked.select(key, (F.lit(1) + F.col("_floor") + extra).alias("allotted"))
+    extra = f"if({missing} < {cut}BD OR ({missing} = {cut}BD AND `{key}` < {last}), 1L, 0L)"
+    if not ties:
+        extra = f"if({missing} < {cut}BD, 1L, 0L)"
+    return floors.selectExpr(f"`{key}`", f"1L + _floor + {extra} AS allotted")
 
 
 def repeat_rows(df: DataFrame, times: str, chunk: int = REPEAT_CHUNK) -> DataFrame:

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.functions.columns import is_first_quarter, is_weekday, share
+from tallyspan.session import store_and_reload
+
+SETTLED = 1e-9
+MOST_DOUBLINGS = 40
 
 
 def creation_seasonality(initial: DataFrame) -> DataFrame:
@@ -83,3 +87,40 @@ def transition_row_sums(transitions: DataFrame) -> DataFrame:
     )
     holds = F.abs(F.col("share_sum") - 1) <= F.col("n_shares") * 0.000001
     return sums.withColumn("sums_to_one", holds)
+
+
+def steady_state(transitions: DataFrame, counts: str = "n_transitions", tolerance: float = SETTLED) -> DataFrame:
+    """(from_type, to_type, share): the long-run share of each type, by where a licence starts.
+
+    The transition matrix is multiplied with itself again and again, as a join and a sum
+    over its entries, until no entry moves by more than ``tolerance``.  A
+    step is taken or left out with equal chance, which has the same limit and no cycles.  A type
+    without a way out stays what it is.  Entries that are zero are not there, and the shares
+    of one ``from_type`` sum to 1.
+    """
+    of_row = F.sum(counts).over(Window.partitionBy("from_type"))
+    moves = transitions.select("from_type", "to_type", (F.col(counts) / of_row / 2).alias("share"))
+    types = transitions.select("from_type").union(transitions.select("to_type")).distinct()
+    leaving = transitions.select("from_type", F.lit(0.5).alias("stay")).distinct()
+    stays = types.join(leaving, "from_type", "left").select(
+        "from_type", F.col("from_type").alias("to_type"), F.coalesce("stay", F.lit(1.0)).alias("share")
+    )
+
+    def summed(entries: DataFrame) -> DataFrame:
+        return entries.groupBy("from_type", "to_type").agg(F.sum("share").alias("share"))
+
+    matrix = store_and_reload(summed(moves.unionByName(stays)), "matrix")
+    for _ in range(MOST_DOUBLINGS):
+        right = matrix.select(F.col("from_type").alias("through"), F.col("to_type").alias("_to"), F.col("share").alias("_share"))
+        products = matrix.withColumnRenamed("to_type", "through").join(right, "through")
+        squared = summed(products.select("from_type", F.col("_to").alias("to_type"), (F.col("share") * F.col("_share")).alias("share")))
+        # Rounding errors must not add up over the doublings.
+        total = F.sum("share").over(Window.partitionBy("from_type"))
+        squared = store_and_reload(squared.withColumn("share", F.col("share") / total), "matrix")
+        old = matrix.withColumnRenamed("share", "_old")
+        moved = squared.join(old, ["from_type", "to_type"], "left")
+        largest = moved.agg(F.max(F.abs(F.col("share") - F.coalesce("_old", F.lit(0.0))))).first()[0] or 0.0
+        matrix = squared
+        if largest <= tolerance:
+            return matrix
+    raise ArithmeticError(f"the shares have not settled after {MOST_DOUBLINGS} doublings")

@@ -10,6 +10,7 @@ from tallyspan.session import store_and_reload
 
 SLOT_BITS = 33  # monotonically_increasing_id keeps the row position in its low bits
 SEGMENT_WIDTH = 1_000_000
+HISTOGRAM_BINS = 4096
 
 
 def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index") -> DataFrame:
@@ -35,6 +36,33 @@ def with_row_index(df: DataFrame, order: list[Column], name: str = "row_index")
     )
 
 
+def smallest_cut(df: DataFrame, value: str, count: int, low: int, high: int, bins: int = HISTOGRAM_BINS) -> tuple[int, int]:
+    """(cut, ties): the ``count`` smallest values are those below ``cut`` and ``ties`` of those
+    equal to it.  ``value``, an expression, is a whole number in [low, high).
+
+    Nothing is sorted or moved.  Values are counted in equal bins, at most ``bins`` of them, and the bin in which
+    the count is reached is cut into bins again until it is used up or holds one value: one
+    aggregation for each time that the range shrinks ``bins``-fold.
+    """
+    if count <= 0:
+        return low, 0
+    while True:
+        step = -(-(high - low) // bins)
+        inside = df.selectExpr(f"{value} AS _v").where(f"_v >= {low}BD AND _v < {high}BD")
+        counted = inside.groupBy(F.expr(f"cast((_v - {low}BD) div {step}BD AS int)").alias("bin")).count().collect()
+        for number, rows in sorted(tuple(r) for r in counted):
+            if rows >= count:
+                break
+            count -= rows
+        else:
+            raise ValueError("fewer values than asked for")
+        low, high = low + number * step, min(high, low + (number + 1) * step)
+        if rows == count:
+            return high, 0
+        if high - low == 1:
+            return low, count
+
+
 def assign_batches(df: DataFrame, size: int, day: str, sequence: str, width: int = SEGMENT_WIDTH) -> DataFrame:
     """Add ``batch_id``: consecutive batches of ``size`` rows in the order of ``day`` and then of
     ``sequence``, a non-negative integer that is unique within a day.

@@ -90,8 +90,7 @@ def correction_deltas(
     """
     # Few late rows are broadcast, and so are the licences they touch, at most two per row;
     # the tables are then only filtered where they are read.
-    rows = [late.select("id"), *([] if late_initial is None else [late_initial.select("id")])]
-    few = all(r.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS for r in rows)
+    few = _few(late, late_initial)
     small = F.broadcast if few else lambda df: df
     late_ids = late.select("id").distinct()
     moved = known.select("id", "license_id").join(small(late_ids), "id", "left_semi")
@@ -106,14 +105,32 @@ def correction_deltas(
         touched = store_and_reload(touched, "touched")
         before = rows_of_keys(known, touched, "license_id", "id")
         entities = rows_of_keys(initial, touched.withColumnRenamed("license_id", "id"), "id", "creation_date")
-    replaced = small(late_ids.withColumn("_replaced", F.lit(True)))
+    return deltas_of_touched(entities, before, late, late_initial, replace_entities, few)
+
+
+def _few(late: DataFrame, late_initial: DataFrame | None) -> bool:
+    rows = [late.select("id"), *([] if late_initial is None else [late_initial.select("id")])]
+    return all(r.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS for r in rows)
+
+
+def deltas_of_touched(
+    entities: DataFrame,
+    before: DataFrame,
+    late: DataFrame,
+    late_initial: DataFrame | None = None,
+    replace_entities: bool = False,
+    few: bool | None = None,
+) -> DataFrame:
+    """The same, given the entity rows and known changes of just the touched licences."""
+    small = F.broadcast if (_few(late, late_initial) if few is None else few) else lambda df: df
+    replaced = small(late.select("id").distinct().withColumn("_replaced", F.lit(True)))
     old = before.join(replaced, "id", "left").withColumn("_versions", _versions(F.col("_replaced").isNull()))
     changes = old.drop("_replaced").unionByName(late.withColumn("_versions", F.array(F.lit("new:"))))
     if late_initial is None:
         entities = entities.withColumn("_versions", _versions(F.lit(True)))
     else:
         if replace_entities:
-            again = late_initial.select("id").distinct().withColumn("_replaced", F.lit(True))
+            again = small(late_initial.select("id").distinct().withColumn("_replaced", F.lit(True)))
             entities = entities.join(again, "id", "left")
         else:
             entities = entities.withColumn("_replaced", F.lit(None).cast("boolean"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspan.operators import history, metrics
-from tallyspan.operators.upsert import correction_deltas
+from tallyspan.operators.upsert import correction_deltas, deltas_of_touched
 from tallyspan.sources.pointer import Pointer
 
 
@@ -56,6 +56,15 @@ class MetricStore:
         """What late rows change; ``initial`` and ``known`` are the tables before."""
         return self._write(correction_deltas(initial, known, late, late_initial, replace_entities))
 
+    def write_touched(self, entities: DataFrame, before: DataFrame, late: DataFrame, late_initial: DataFrame) -> str:
+        """What new versions of rows change; ``entities`` and ``before`` are the stored rows of
+        the licences that they touch."""
+        return self._write(deltas_of_touched(entities, before, late, late_initial, True))
+
+    def write_deltas(self, deltas: DataFrame) -> str:
+        """Given deltas."""
+        return self._write(deltas)
+
     def write_merged(self, spark: SparkSession, runs: Mapping[str, str]) -> str:
         """The sum of several runs as one."""
         return self._write(self.deltas_of(spark, runs))

@@ -246,6 +246,19 @@ def _consistency() -> str:
     return f"{FAULTS}{_report(*parts)}"
 
 
+def _validation() -> str:
+    return _report(
+        _rule("change_type_accepted", "license_changes", TYPE_OK),
+        _rule("change_price_in_range", "license_changes", PRICE_OK),
+        _rule("entity_type_accepted", "initial_licenses", TYPE_OK),
+        _rule("entity_price_in_range", "initial_licenses", PRICE_OK),
+        _rule("change_not_before_creation", "license_changes", f"date >= {CREATED}", "license_changes c"),
+        _rule("change_has_entity", "license_changes", HAS_ENTITY, "license_changes c"),
+        _rule("entity_has_change", "initial_licenses", HAS_CHANGE, "initial_licenses e"),
+        _rule("entity_id_unique", "initial_licenses", FIRST_ROW, "initial_licenses e"),
+    )
+
+
 HALF = "(SELECT MAX(id) // 2 FROM license_changes)"
 RAW = "SELECT id, license_id, date, price, type, renewable FROM license_changes"
 
@@ -272,6 +285,33 @@ ranked AS (
 SELECT customer_key, CAST(1 + base + CASE WHEN place <= rest - given THEN 1 ELSE 0 END AS BIGINT) AS allotted
 FROM ranked"""
 
+# The versions of the changes after three runs: half of them, new versions of some, the rest.
+CHANGE_VERSIONS = f"""
+versions AS (
+  SELECT *, 1 AS run_id FROM license_changes WHERE id < {HALF}
+  UNION ALL
+  SELECT id, license_id + CASE WHEN id % 20 = 3 THEN 1 ELSE 0 END, CAST(date + INTERVAL 30 DAY AS DATE),
+         5000::BIGINT, 'SUPERVISION', NOT renewable, 2 FROM license_changes WHERE id % 10 = 3
+  UNION ALL
+  SELECT *, 3 FROM license_changes WHERE id >= {HALF} AND id % 10 <> 3)"""
+
+# New versions of every tenth change, and entities from the first versions.
+UPDATED_EDGE = f"""WITH known AS (WITH {SPARSE_CHANGES} SELECT * FROM license_changes),
+{EDGE.replace('license_changes', 'known')},
+license_changes AS (
+  SELECT * FROM known WHERE id % 10 <> 3
+  UNION ALL
+  SELECT id, license_id + CASE WHEN id % 20 = 3 THEN 1 ELSE 0 END, CAST(date + INTERVAL 30 DAY AS DATE),
+         5000::BIGINT, 'SUPERVISION', NOT renewable FROM known WHERE id % 10 = 3)"""
+
+# Changes that come after a run up to the middle of 1996 whose watermark is behind their day.
+LATE = """
+mark AS (
+  SELECT MAX(day) AS day FROM (
+    SELECT date AS day FROM license_changes WHERE id % 11 <> 7
+    UNION ALL SELECT creation_date FROM initial_licenses) WHERE day <= DATE '1996-06-30'),
+late AS (SELECT * FROM license_changes WHERE id % 11 = 7 AND date < (SELECT day FROM mark))"""
+
 FLAGS = """,
 flagged AS (
   SELECT s.*, LAG(renewable) OVER (PARTITION BY license_id ORDER BY date) AS before FROM states s),
@@ -362,17 +402,7 @@ SELECT c.date, t.type, CAST(COALESCE((SELECT SUM(l.price) FROM license_changes l
         "src_csv_swapped": f"WITH {SPARSE_CHANGES} {RAW}",
         "src_table_replace": f"WITH {SPARSE_CHANGES} {RAW}",
         # quality
-        "dq_report": FAULTS
-        + _report(
-            _rule("change_type_accepted", "license_changes", TYPE_OK),
-            _rule("change_price_in_range", "license_changes", PRICE_OK),
-            _rule("entity_type_accepted", "initial_licenses", TYPE_OK),
-            _rule("entity_price_in_range", "initial_licenses", PRICE_OK),
-            _rule("change_not_before_creation", "license_changes", f"date >= {CREATED}", "license_changes c"),
-            _rule("change_has_entity", "license_changes", HAS_ENTITY, "license_changes c"),
-            _rule("entity_has_change", "initial_licenses", HAS_CHANGE, "initial_licenses e"),
-            _rule("entity_id_unique", "initial_licenses", FIRST_ROW, "initial_licenses e"),
-        ),
+        "dq_report": FAULTS + _validation(),
         "dq_flagged_rows": f"""{FAULTS}, flagged AS (SELECT c.*, {flag_changes} FROM license_changes c)
 SELECT *, change_not_before_creation AND change_has_entity AND change_type_accepted
        AND change_price_in_range AS is_valid FROM flagged""",
@@ -396,6 +426,10 @@ UNION ALL SELECT 'initial_licenses', id, price FROM initial_licenses WHERE NOT C
 SELECT COUNT(DISTINCT customer_id) AS n_customers, COUNT(DISTINCT id) AS n_licenses,
        BOOL_AND(renewable) AS all_renewable, COUNT(DISTINCT customer_id) < COUNT(DISTINCT id) AS fewer_customers
 FROM initial_licenses""",
+        "dq_distribution_window": f"""WITH {SPARSE_CHANGES},
+months AS (SELECT DISTINCT CAST(date_trunc('month', date) + INTERVAL 1 MONTH AS DATE) AS last_day FROM license_changes)
+SELECT CAST(last_day - INTERVAL 89 DAY AS DATE) AS first_day, last_day, COUNT(DISTINCT license_id) AS n_licenses, TRUE AS is_close
+FROM months JOIN license_changes ON date BETWEEN last_day - INTERVAL 89 DAY AND last_day GROUP BY last_day""",
         "dq_not_null": f"{GAPS}{STATES}{CALENDAR}{LEVELS}{MART}"
         + _report(
             _rule("license_id_not_null", "stg_initial", "id IS NOT NULL", "initial_licenses"),
@@ -475,6 +509,18 @@ counts AS (SELECT from_type, to_type, COUNT(*) AS n FROM steps WHERE from_type I
 SELECT from_type, to_type, n AS n_transitions,
        ROUND(n / (SELECT SUM(o.n) FROM counts o WHERE o.from_type = c.from_type), 6) AS transition_share
 FROM counts c""",
+        "prof_steady_state": f"""{SPARSE}{STATES},
+steps AS (SELECT LAG(type) OVER (PARTITION BY license_id ORDER BY date) AS from_type, type AS to_type FROM states),
+counts AS (SELECT from_type, to_type, COUNT(*) AS n FROM steps WHERE from_type IS NOT NULL GROUP BY ALL),
+chances AS (SELECT from_type, to_type, n / SUM(n) OVER (PARTITION BY from_type) AS chance FROM counts),
+walks AS (
+  WITH RECURSIVE walk AS (
+    SELECT DISTINCT from_type AS origin, from_type AS here, 1.0::DOUBLE AS share, 0 AS step FROM chances
+    UNION ALL
+    SELECT origin, to_type, CAST(SUM(share * chance) AS DOUBLE), step + 1
+    FROM walk JOIN chances ON here = from_type WHERE step < 300 GROUP BY origin, to_type, step)
+  SELECT * FROM walk WHERE step = 300)
+SELECT origin AS from_type, here AS to_type, ROUND(share, 6) AS share FROM walks""",
         # allocation and log states
         "apportion": APPORTION,
         "repeat_rows": """
@@ -526,14 +572,46 @@ marks AS (
          MAX(date) FILTER (WHERE date <= DATE '1997-06-30') AS second_run FROM all_days)
 SELECT 1::BIGINT AS run_id, first_run AS last_data_date, first_run AS last_processed_date FROM marks
 UNION ALL SELECT 2, second_run, first_run FROM marks""",
-        "recompute_updates": mart(f"""WITH known AS (WITH {SPARSE_CHANGES} SELECT * FROM license_changes),
-{EDGE.replace('license_changes', 'known')},
+        "inc_metrics_gap": mart(UPDATED_EDGE),
+        "dq_incremental": f"""{FAULTS.replace('license_changes AS (', 'first_changes AS (').replace('initial_licenses AS (', 'first_licenses AS (').replace('FROM (SELECT license_id, MIN(date) AS first_date FROM license_changes', 'FROM (SELECT license_id, MIN(date) AS first_date FROM first_changes')},
+initial_licenses AS (SELECT * FROM first_licenses WHERE ord = 0),
 license_changes AS (
-  SELECT * FROM known WHERE id % 10 <> 3
+  SELECT id, license_id, date, price, type, renewable FROM first_changes WHERE ord = 0 AND id % 10 <> 3
   UNION ALL
   SELECT id, license_id + CASE WHEN id % 20 = 3 THEN 1 ELSE 0 END, CAST(date + INTERVAL 30 DAY AS DATE),
-         5000::BIGINT, 'SUPERVISION', NOT renewable FROM known WHERE id % 10 = 3)"""),
+         5000::BIGINT, 'SUPERVISION', NOT renewable FROM first_changes WHERE ord = 0 AND id % 10 = 3)"""
+        + _validation(),
+        "inc_undated": f"""WITH {SPARSE_CHANGES}
+SELECT CASE WHEN id % 27 <> 13 THEN id END AS id, license_id, CASE WHEN id % 9 <> 4 THEN date END AS date, price, type,
+       renewable, id % 9 = 4 OR id % 27 = 13 AS rejected FROM license_changes""",
+        "inc_rejected_report": f"""WITH {SPARSE_CHANGES}
+SELECT 'changes' AS table_name, CASE WHEN id % 7 = 3 THEN 'no key' ELSE 'no date' END AS reason, COUNT(*) AS n_rows
+FROM license_changes WHERE id % 7 = 3 OR id % 9 = 4 GROUP BY ALL""",
+        "inc_late_report": f"""WITH {SPARSE_CHANGES}, {PLAIN}, {LATE}
+SELECT 'changes' AS table_name, COUNT(*) AS n_late, MIN(date) AS first_day, MAX(date) AS last_day,
+       CAST(DATE '1996-06-30' - MIN(date) + 1 AS BIGINT) AS days
+FROM late HAVING COUNT(*) > 0""",
+        "inc_late_backfill": f"""WITH {SPARSE_CHANGES}
+{RAW} WHERE date <= DATE '1996-06-30'""",
+        "rows_known_at": f"""WITH {SPARSE_CHANGES}, {CHANGE_VERSIONS}
+SELECT id, license_id, date, price, type, renewable FROM versions WHERE run_id <= 2
+QUALIFY ROW_NUMBER() OVER (PARTITION BY id ORDER BY run_id DESC) = 1""",
+        "asof_known_at": f"""WITH {SPARSE_CHANGES}, {EDGE}, {CHANGE_VERSIONS},
+runs AS (SELECT UNNEST([1, 2, 3]) AS seen_by),
+known AS (
+  SELECT seen_by, v.* FROM versions v JOIN runs ON run_id <= seen_by
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY seen_by, id ORDER BY run_id DESC) = 1),
+candidates AS (
+  SELECT seen_by, license_id, date, renewable, price, type, id FROM known
+  UNION ALL SELECT seen_by, id, creation_date, renewable, price, type, -1 FROM initial_licenses, runs),
+per_day AS (SELECT * FROM candidates QUALIFY ROW_NUMBER() OVER (PARTITION BY seen_by, license_id, date ORDER BY id DESC) = 1),
+points AS (
+  SELECT id AS point_id, license_id, CAST(date + INTERVAL 45 DAY AS DATE) AS date, 1 + id % 3 AS run_id FROM license_changes)
+SELECT p.point_id, p.license_id, p.date, p.run_id, s.date AS state_date, s.renewable, s.price, s.type
+FROM points p ASOF LEFT JOIN per_day s ON p.run_id = s.seen_by AND p.license_id = s.license_id AND p.date >= s.date""",
+        "recompute_updates": mart(UPDATED_EDGE),
         # streams
+        **dict.fromkeys(("stream_then_metrics", "stream_mart"), mart(SPARSE_EDGE)),
         "stream_dedup": "SELECT event_id, user_id, event_type FROM events",
         "stream_late_rows": """
 SELECT event_id, user_id, event_type FROM events

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyspan.functions.columns import utc_timestamp
 from tallyspan.operators import (
     allocation,
+    bitemporal,
     dedup,
     history,
     metrics,
@@ -28,6 +29,7 @@ from tallyspan.session import scratch_path, store_and_reload
 from tallyspan.sources import files
 from tallyspan.sources import fixtures as fx
 from tallyspan.streaming import changes as changes_stream
+from tallyspan.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -318,6 +320,21 @@ def dq_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.distribution_checks(fx.sparse(spark, sf_dir)[0])
 
 
+@query
+def dq_distribution_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences with a change in the 90 days up to the first of every month, from stored
+    sketches of each day, and whether they are within 6 % of the exact count."""
+    changes = fx.sparse_changes(spark, sf_dir)
+    sketches = store_and_reload(quality.daily_sketches(changes, "date", ["license_id"]), "sketches")
+    months = changes.select(F.add_months(F.trunc("date", "month"), 1).alias("last_day")).distinct()
+    windows = months.withColumn("first_day", F.date_sub("last_day", 89))
+    estimated = quality.distinct_in_windows(sketches, windows, "date", ["license_id"])
+    days = windows.withColumn("date", F.explode(F.sequence("first_day", "last_day")))
+    exact = days.join(changes, "date").groupBy("last_day").agg(F.countDistinct("license_id").alias("n_licenses"))
+    close = F.abs(F.col("license_id") - F.col("n_licenses")) <= 0.06 * F.col("n_licenses")
+    return exact.join(estimated, "last_day").select("first_day", "last_day", "n_licenses", close.alias("is_close"))
+
+
 @query
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     initial, changes = fx.with_gaps(spark, sf_dir)
@@ -426,6 +443,12 @@ def prof_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.type_transitions(history.state_history(*fx.sparse(spark, sf_dir)))
 
 
+@query
+def prof_steady_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = profiling.type_transitions(history.state_history(*fx.sparse(spark, sf_dir)))
+    return profiling.steady_state(counts).withColumn("share", F.round("share", 6))
+
+
 # --- allocation and log states --------------------------------------------------
 
 
@@ -659,6 +682,122 @@ def recompute_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.mart(spark)
 
 
+@query
+def inc_metrics_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs, the second without metrics and with new versions of known rows: the third
+    one takes up both."""
+    store = _store(spark)
+    initial, changes = fx.sparse(spark, sf_dir, "edge")
+    half, last = _half_and_last(changes)
+    end = dt.datetime(last.year, last.month, last.day) + dt.timedelta(days=60)
+    incremental.run_incremental(spark, initial, changes.where(F.col("id") < half), store, end, start="1970-01-01", with_metrics=True)
+    none = initial.limit(0)
+    incremental.run_incremental(spark, none, _updated(changes), store, end, start="1970-01-01", with_metrics=False)
+    rest = changes.where((F.col("id") >= half) & (F.col("id") % 10 != 3))
+    incremental.run_incremental(spark, none, rest, store, end, start="1970-01-01")
+    return store.mart(spark)
+
+
+@query
+def dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validation report after three runs with faults, new versions and entities that
+    come late, from counts kept with each run."""
+    store = incremental.Store(scratch_path(spark, "store"), keep_quality=True)
+    initial, changes = (df.where("ord = 0").drop("ord") for df in fx.with_faults(spark, sf_dir))
+    half, last = _half_and_last(changes)
+    end = dt.datetime(last.year, last.month, last.day) + dt.timedelta(days=60)
+    rest = changes.where((F.col("id") >= half) & (F.col("id") % 10 != 3))
+    for entities, rows, metrics_too in (
+        (initial.where("id % 2 = 0"), changes.where(F.col("id") < half), True),
+        (initial.where("id % 2 = 1"), _updated(changes), False),
+        (initial.limit(0), rest, True),
+    ):
+        incremental.run_incremental(spark, entities, rows, store, end, start="1970-01-01", with_metrics=metrics_too)
+    return store.quality_report(spark)
+
+
+@query
+def inc_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a date, some of them without a key as well; the same window twice."""
+    store = _store(spark)
+    initial, changes = fx.sparse(spark, sf_dir)
+    changes = changes.withColumns(
+        {
+            "date": F.when(F.col("id") % 9 != 4, F.col("date")),
+            "id": F.when(F.col("id") % 27 != 13, F.col("id")),
+        }
+    )
+    for _ in range(2):
+        incremental.run_incremental(spark, initial, changes, store, "2001-12-31", start="1970-01-01")
+    lost = store.rows(spark, "rejected_changes").drop("content").withColumn("rejected", F.lit(True))
+    return store.rows(spark, "changes").withColumn("rejected", F.lit(False)).unionByName(lost)
+
+
+@query
+def inc_rejected_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _store(spark)
+    initial, changes = fx.sparse(spark, sf_dir)
+    changes = changes.withColumns(
+        {
+            "date": F.when(F.col("id") % 9 != 4, F.col("date")),
+            "id": F.when(F.col("id") % 7 != 3, F.col("id")),
+        }
+    )
+    incremental.run_incremental(spark, initial, changes, store, "2001-12-31", start="1970-01-01")
+    return incremental.rejected_report(spark, store)
+
+
+@query
+def inc_late_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every eleventh change comes after a run that has passed its day."""
+    store = _store(spark)
+    initial, changes = fx.sparse(spark, sf_dir)
+    incremental.run_incremental(spark, initial, changes.where("id % 11 <> 7"), store, "1996-06-30")
+    late = incremental.late_rows(spark, initial, changes, store)
+    return incremental.backfill_span(late, "1996-06-30")
+
+
+@query
+def inc_late_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, and a backfill of as many days as the late rows need."""
+    store = _store(spark)
+    initial, changes = fx.sparse(spark, sf_dir)
+    incremental.run_incremental(spark, initial, changes.where("id % 11 <> 7"), store, "1996-06-30")
+    incremental.run_backfill(spark, initial, changes, store, "1996-06-30", days=None)
+    return store.rows(spark, "changes")
+
+
+def _three_versions(spark: SparkSession, sf_dir: str) -> incremental.Store:
+    """Run 1: half of the changes; run 2: new versions of some of all; run 3: the rest."""
+    store = incremental.Store(scratch_path(spark, "store"), keep_versions=True)
+    initial, changes = fx.sparse(spark, sf_dir, "edge")
+    half, _ = _half_and_last(changes)
+    none = initial.limit(0)
+    for entities, rows in (
+        (initial, changes.where(F.col("id") < half)),
+        (none, _updated(changes)),
+        (none, changes.where((F.col("id") >= half) & (F.col("id") % 10 != 3))),
+    ):
+        incremental.run_incremental(spark, entities, rows, store, "2001-12-31", start="1970-01-01")
+    return store
+
+
+@query
+def rows_known_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change rows as they were after the second of three runs."""
+    return _three_versions(spark, sf_dir).rows_at(spark, "changes", 2)
+
+
+@query
+def asof_known_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of a day as it was known after one of three runs."""
+    store = _three_versions(spark, sf_dir)
+    points = fx.sparse_changes(spark, sf_dir).selectExpr(
+        "id AS point_id", "license_id", "date_add(date, 45) AS date", "1 + id % 3 AS run_id"
+    )
+    return bitemporal.asof_known_at(points, store.versions(spark, "initial"), store.versions(spark, "changes"), "point_id")
+
+
 # --- streams --------------------------------------------------------------------
 
 
@@ -751,6 +890,41 @@ def _upsert_stream(spark: SparkSession, store: incremental.Store, rows: DataFram
     return source
 
 
+@query
+def stream_then_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run begins the metrics, a stream without them brings rows, and they are caught up."""
+    initial, changes = fx.sparse(spark, sf_dir, "edge")
+    store = _store(spark)
+    incremental.run_incremental(spark, initial, changes.where("id % 2 = 1"), store, "2100-01-01", with_metrics=True)
+    source = _as_files(changes.where("id % 2 = 0"), "changes", ["true"])
+    stream = changes_stream.read_stream(spark, source, changes.schema)
+    changes_stream.run_upserts(stream, store, scratch_path(spark, "state"), with_metrics=False)
+    incremental.refresh_metrics(spark, store)
+    return store.mart(spark)
+
+
+@query
+def stream_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities and changes as streams that end in the daily metrics: half of the changes in
+    two batches, a restart with the other half, and the first half delivered again."""
+    initial, changes = fx.sparse(spark, sf_dir, "edge")
+    stored = MetricStore(scratch_path(spark, "metrics"))
+    state = scratch_path(spark, "state")
+    sources = {
+        "entities": _as_files(initial, "entities", ["id % 2 = 0", "id % 2 = 1"]),
+        "changes": _as_files(changes, "changes", ["id % 4 = 0", "id % 4 = 1"]),
+    }
+    for more in ([], ["id % 4 >= 2"], ["id % 4 <= 1"]):
+        for part in more:
+            changes.where(part).write.mode("append").parquet(sources["changes"])
+        streams = {
+            n: changes_stream.read_stream(spark, p, df.schema, files_per_batch=16)
+            for (n, p), df in zip(sources.items(), (initial, changes))
+        }
+        live.run_live_mart(streams["entities"], streams["changes"], stored, state)
+    return stored.mart(spark)
+
+
 @query
 def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.table(spark, sf_dir, "events").select("ts", "event_type")

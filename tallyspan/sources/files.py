@@ -97,3 +97,9 @@ def set_times(spark: SparkSession, folder: str, seconds: int) -> None:
     for status in fs.listStatus(target):
         if status.getModificationTime() > seconds * 1000:
             fs.setTimes(status.getPath(), seconds * 1000, -1)
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files below a folder, from the file system."""
+    fs, target = _hadoop_path(spark, folder)
+    return fs.getContentSummary(target).getLength()

@@ -85,13 +85,14 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def run_upserts(
-    stream: DataFrame, store: Store, checkpoint: str, source_id: str | None = None, with_metrics: bool = False
+    stream: DataFrame, store: Store, checkpoint: str, source_id: str | None = None, with_metrics: bool | None = None
 ) -> None:
     """Upsert each micro-batch of change rows into the change target of ``store``.
 
     The store remembers the last batch of each stream, in the same step that publishes the
     batch's rows.  A batch that is delivered again is skipped only if the same stream has
-    published it; other streams and other runs on the store have no part in that.
+    published it; other streams and other runs on the store have no part in that.  A store
+    that has metrics keeps them with every batch unless ``with_metrics`` is False.
     """
     spark = stream.sparkSession
     source = source_id or stream_id(spark, checkpoint)

@@ -302,3 +302,169 @@ def test_gate_preview_and_table(spark, tables):
     assert spark.table("license_changes_t").count() == 6
     assert dict(spark.table("license_changes_t").dtypes)["date"] == "date"
     spark.sql("DROP TABLE license_changes_t")
+
+
+def full_mart(spark, store):
+    full = license_metrics(store.rows(spark, "initial"), store.rows(spark, "changes"))
+    return sorted(map(tuple, full.collect()), key=str)
+
+
+def stored_mart(spark, store):
+    return sorted(map(tuple, store.mart(spark).collect()), key=str)
+
+
+def test_metrics_take_up_what_runs_without_them_brought(spark, store, tables, changes_of):
+    initial, changes = tables
+    inc.run_incremental(spark, initial, changes, store, "2024-02-10", with_metrics=True)
+    assert stored_mart(spark, store) == full_mart(spark, store)
+    # without: a row of licence 1 moves to licence 2, and new rows
+    moved = changes_of([(1, 2, D("2024-02-12"), 7, "SIM", False)])
+    inc.run_incremental(spark, initial, changes.unionByName(moved), store, "2024-03-20", with_metrics=False)
+    with pytest.raises(inc.StaleMetrics):
+        store.mart(spark)
+    # the next run keeps them without being asked
+    inc.run_incremental(spark, initial, changes, store, "2024-05-01")
+    assert stored_mart(spark, store) == full_mart(spark, store)
+    for day, price in (("2024-02-14", 8), ("2024-02-15", 9)):
+        again = changes_of([(1, 0, D(day), price, "PASS", True)])
+        inc.run_incremental(spark, initial.limit(0), again, store, "2024-05-01", start="2023-01-01", with_metrics=False)
+    inc.refresh_metrics(spark, store)
+    assert stored_mart(spark, store) == full_mart(spark, store)
+    assert inc.refresh_metrics(spark, store).version == store.state(spark).version
+
+
+def test_a_correction_reads_the_buckets_that_it_touches(spark, store, initial_of, changes_of):
+    initial = initial_of([(i, i, "PASS", D("2024-01-01"), 100, True) for i in range(200)])
+    changes = changes_of([(i, i % 200, D("2024-01-05") + timedelta(days=i % 50), 100, "SIM", i % 3 > 0) for i in range(2000)])
+    inc.run_incremental(spark, initial, changes, store, "2024-05-01", with_metrics=True)
+    state = store.state(spark)
+    history = store.history(state.history["buckets"])
+    late = changes_of([(77, 5, D("2024-01-09"), 9, "PASS", True)])  # licence 77 had it
+    one = {c: {r[0] for r in late.select(history.tables[t].bucket_of(c)).collect()} for t, c in (("history_places", "id"), ("history_changes", "license_id"))}
+    own = spark.createDataFrame([(77,)], "license_id long").select(history.tables["history_changes"].bucket_of("license_id")).first()[0]
+    allowed = {"places": one["id"], "changes": one["license_id"] | {own}, "entities": one["license_id"] | {own}}
+    closed = kept = 0
+    for path in files_of(store.root):
+        if path.suffix == ".parquet" and "history" in str(path):
+            table, bucket = path.parts[-4], int(path.parent.name.removeprefix("bucket="))
+            if bucket in allowed[table]:
+                kept += path.stat().st_size
+            else:
+                closed += path.stat().st_size
+                path.chmod(0)  # a run that read it would fail
+        elif path.suffix == ".parquet":
+            path.chmod(0)
+    inc.run_incremental(spark, initial.limit(0), late, store, "2024-05-01", start="2024-01-01")
+    assert 0 < kept < 0.4 * closed
+    for path in files_of(store.root):
+        path.chmod(0o644)
+    assert stored_mart(spark, store) == full_mart(spark, store)
+
+
+def test_random_runs_keep_the_metrics(spark, store, initial_of, changes_of, monkeypatch):
+    """Moves between licences, gaps, merges and rebuilt buckets, against one computation."""
+    import random
+
+    from tallyspan.plans import history_store
+    from tallyspan.sources import targets
+
+    monkeypatch.setattr(targets, "FAN", 3)
+    monkeypatch.setattr(inc, "REBUILD_GROWTH", 1.2)
+    monkeypatch.setattr(history_store, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(history_store, "LEAST_BUCKETS", 2)
+    rng = random.Random(5)
+    initial = initial_of([(i, i, "PASS", D("2024-01-03") + timedelta(days=i % 4), 100, True) for i in range(12)])
+    buckets = set()
+    for step in range(6):
+        rows = []
+        for _ in range([4, 30, 1, 9, 30, 4][step]):
+            day = D("2024-01-01") + timedelta(days=rng.randrange(40))
+            rows.append((rng.randrange(60), rng.randrange(14), day, rng.randrange(9), rng.choice(["A", "B", None]), rng.choice([True, False, None])))
+        batch = changes_of(list({r[0]: r for r in rows}.values()))
+        entities = initial if step in (0, 4) else initial_of([(rng.randrange(14), 1, "B", D("2024-01-02"), 5, True)])
+        inc.run_incremental(spark, entities, batch, store, "2024-05-01", start="2023-01-01", with_metrics=step not in (2, 3))
+        buckets.add(store.state(spark).history["buckets"])
+        if step in (1, 5):
+            assert stored_mart(spark, store) == full_mart(spark, store)
+    assert len(buckets) > 1
+
+
+def test_a_large_segment_is_left_alone():
+    """Bytes written again by 1000 small commits behind a large segment."""
+    from tallyspan.sources.targets import FAN, newest_to_merge
+
+    sizes, rewritten, most = [10 << 30], 0, 0
+    for _ in range(1000):
+        sizes.append(1_700)
+        while count := newest_to_merge(sizes):
+            rewritten += sum(sizes[-count:])
+            sizes[-count:] = [sum(sizes[-count:])]
+        most = max(most, len(sizes))
+    assert sizes[0] == 10 << 30
+    assert rewritten < 12 * 1000 * 1_700 * 4 and most <= 1 + 4 * FAN
+
+
+def test_small_runs_do_not_rewrite_what_is_stored(spark, store, tables, changes_of, monkeypatch):
+    from tallyspan.sources import targets
+
+    monkeypatch.setattr(targets, "LEAST_BYTES", 4000)
+    many = changes_of([(1000 + i, i % 3, D("2024-01-05"), i, "PASS", True) for i in range(20_000)])
+    inc.run_incremental(spark, tables[0], many, store, "2024-05-01")
+    first = store.state(spark).segments["changes"][0]
+    monkeypatch.setattr(targets, "FAN", 4)
+    for i in range(10):
+        after = commit(spark, store, changes_of([(i % 4, 1, D("2024-01-05"), i, "SIM", True)]))
+    assert after.segments["changes"][0] == first and len(after.segments["changes"]) <= 1 + 2 * targets.FAN
+    got = content(store, spark)
+    assert len(got) == 20_004 and sorted(r[2] for r in got if r[0] < 4) == list(range(6, 10))
+
+
+def test_undated_rows_are_kept_and_counted(spark, store, tables, changes_of):
+    initial, changes = tables
+    odd = [(80, 1, None, 5, "SIM", True), (None, 1, None, 5, "SIM", True), (81, 1, None, None, None, None), (None, 1, D("2024-01-06"), 5, "SIM", True)]
+    for _ in range(2):
+        inc.run_incremental(spark, initial, changes.unionByName(changes_of(odd)), store, "2024-05-01", start="2023-01-01")
+    kept = store.rows(spark, "rejected_changes").drop("content").collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(odd, key=str)
+    assert sorted(map(tuple, inc.rejected_report(spark, store).collect())) == [("changes", "no date", 2), ("changes", "no key", 2)]
+    assert len(content(store, spark)) == 6
+
+
+def test_late_rows_are_named_with_the_days_that_they_need(spark, store, tables, changes_of):
+    initial, changes = tables
+    inc.run_incremental(spark, initial, changes, store, "2024-04-01")
+    assert inc.late_rows(spark, initial, changes, store).collect() == []
+    grown = changes.unionByName(changes_of(log(["2024-03-30", "2024-01-06", "2024-04-09"], start=50) + [(None, 1, D("2024-01-02"), 1, "SIM", True)]))
+    late = inc.late_rows(spark, initial, grown, store)
+    assert sorted((r.table_name, r.id, str(r.event_day)) for r in late.collect()) == [("changes", 50, "2024-03-30"), ("changes", 51, "2024-01-06")]
+    assert [r.id for r in inc.late_rows(spark, initial, grown, store, since="2024-02-01").collect()] == [50]
+    span = inc.backfill_span(late, "2024-04-02").first()
+    assert (span.n_late, str(span.first_day), str(span.last_day), span.days) == (2, "2024-01-06", "2024-03-30", 88)
+    inc.run_backfill(spark, initial, grown, store, "2024-04-02", days=None)
+    assert [r[0] for r in content(store, spark)] == [0, 1, 2, 3, 4, 5, 50, 51]
+
+
+def test_rows_of_an_older_run(spark, tables, changes_of, monkeypatch):
+    from tallyspan.operators.bitemporal import asof_known_at
+    from tallyspan.sources import targets
+
+    monkeypatch.setattr(targets, "FAN", 2)
+    store = inc.Store(scratch_path(spark, "store"), keep_versions=True)
+    inc.run_incremental(spark, *tables, store, "2024-05-01")
+    inc.run_incremental(spark, tables[0].limit(0), changes_of([(0, 0, D("2024-01-05"), 900, "SIM", True)]), store, "2024-05-01", start="2023-01-01")
+    inc.run_incremental(spark, tables[0].limit(0), changes_of([(0, 2, D("2024-01-06"), 901, "SIM", True)]), store, "2024-05-01", start="2023-01-01")
+    assert len(store.state(spark).segments["changes"]) < 3  # merged, and still all there
+    price = {run: {r.id: r.price for r in store.rows_at(spark, "changes", run).collect()}.get(0) for run in range(4)}
+    assert price == {0: None, 1: 100, 2: 900, 3: 901}
+    assert sorted(r.price for r in store.rows(spark, "changes").where("id = 0").collect()) == [901]
+    points = spark.createDataFrame(
+        [(i, lic, D(day), run) for i, (lic, day, run) in enumerate((lic, day, run) for lic in (0, 2) for day in ("2024-01-05", "2024-01-07") for run in (0, 1, 2, 3))],
+        "point_id long, license_id long, date date, run_id long",
+    )
+    found = asof_known_at(points, store.versions(spark, "initial"), store.versions(spark, "changes"), "point_id")
+    assert found.columns[:4] == points.columns
+    got = {(r.license_id, str(r.date), r.run_id): r.price for r in found.collect()}
+    first = {(0, "2024-01-05"): [None, 100, 900, 100], (0, "2024-01-07"): [None, 100, 900, 100], (2, "2024-01-05"): [None, 100, 100, 100], (2, "2024-01-07"): [None, 100, 100, 901]}
+    assert got == {(*k, run): v for k, vs in first.items() for run, v in enumerate(vs)}
+    with pytest.raises(ValueError):
+        inc.Store(store.root).rows_at(spark, "changes", 1)
