@@ -16,8 +16,6 @@ Defined cases: a null or empty text is the closing id alone; equal rows are pack
 
 from __future__ import annotations
 
-import functools
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -28,15 +26,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.bpe import CACHE_ENTRIES, Encoder, encode_ids, vocabulary
 from tallyspan.llm.common import SLICE_BYTES, begin, pick, text_slices, tidy
 from tallyspan.llm.differencing import difference
+from tallyspan.llm.wordsplit import forget, word_ids
 from tallyspan.session import store_and_reload
 
 CAPACITY = 2048
 PIECE = 512
 GROUP_TOKENS = 512 * CAPACITY
 CLOSING_ID = 1
+CACHE_ENTRIES = 400_000
 
 
 def windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
@@ -51,28 +50,6 @@ def windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
         count += 1
 
 
-@functools.lru_cache(maxsize=2)
-def _library_encoder(path: str, cache: int) -> Encoder:
-    """Ids of the library itself, asked once per distinct word in a worker's memory."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_file(path)
-    library.no_truncation()
-    library.no_padding()
-
-    def words(distinct: list[str]) -> list[bytes]:
-        coded = library.encode_batch_fast(distinct, add_special_tokens=False)
-        return [np.array(x.ids, np.int32).tobytes() for x in coded]
-
-    return Encoder(vocabulary(path), words, cache=cache)
-
-
-def _forget() -> None:
-    _library_encoder.cache_clear()
-    vocabulary.cache_clear()
-
-
 def token_pieces(
     df: DataFrame,
     path: str,
@@ -95,12 +72,12 @@ def token_pieces(
     closing = np.array([CLOSING_ID], np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin("packing", _forget)
-        encoder = _library_encoder(path, cache)
+        begin("packing", forget)
+        encoder = word_ids(path, cache)
         for batch in batches:
             tidy()
             for at, length in text_slices(batch.column(1), slice_bytes):
-                ids, starts = encode_ids(encoder, batch.column(1).slice(at, length))
+                ids, starts = encoder.encode(batch.column(1).slice(at, length))
                 # The closing id goes behind each text.
                 ids = np.insert(ids, starts[1:], closing).astype("<u4")
                 starts = starts + np.arange(length + 1)
