@@ -10,17 +10,23 @@ probability equal to their probability Jaccard similarity.  The elements of a ba
 texts arrive together, round by round; one whose next arrival is later than the latest
 component of its text can change nothing more and stops.
 
-Banding: ``BANDS`` bands of ``ROWS`` components of each signature (one list for a text whose runs
-repeat equally often, as both are the same); a pair whose sets have similarity 0.8 shares no
+Banding: bands of some components of each signature (one list for a text whose runs
+repeat equally often, as both are the same), as many and as long as the threshold asks for (``Plan``): a pair whose
+sets are just as similar shares no
 band with a probability below 1e-5, whatever its counts.  Verification: the exact Jaccard similarity of the two sets of
 runs, at least ``threshold``.  A class is a connected component of verified links.
 
 A bucket (texts that share a band) is not expanded into all its pairs.  First every text is
 verified against the centre of each of its buckets, the text that shares most bands with
 others, as the source of many copies does; the links give components.  A bucket that lies in one
-component has nothing more to add.  In the others only pairs from different components are
-left: each text outside the bucket's main component meets the rest of the bucket inside the join, which lets a pair through only in the
-smallest band that it shares, and only if its sketches (``SKETCH_BITS`` bits of each component
+component has nothing more to add.  In the others only pairs from different components are left, and
+most of these are ruled out by what each text has to itself: its runs that no other text of
+such buckets holds.  With a share of more than 1 - t of them (t the threshold) a text has no link, and
+of two texts with more than (1 - t) / (1 + t) each, neither has one with the other.  So the copies of a
+template that each of them has changed too much, in places of its own, are not compared with one another,
+however many they are.  The texts outside a bucket's main component with a smaller share meet the bucket
+inside the join, and those with a larger share meet its texts with a smaller one.  The join lets a pair through
+only in the smallest band that it shares, and only if its sketches (``SKETCH_BITS`` bits of each component
 of the unit-weight signature) agree in so many components as a similar pair does but with a probability below 1e-5.
 So no link between texts of a shared band is lost but for that chance.
 
@@ -36,7 +42,9 @@ null only if none of its rows has one.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -51,19 +59,53 @@ from tallyspan.session import store_and_reload
 
 WORDS = 5
 THRESHOLD = 0.8
-BANDS = 40
-ROWS = 6
-COMPONENTS = 480  # the bands take the first 240 of them, the sketches all
+COMPONENTS = 480  # the sketches take all of them
+BANDED = 240  # the bands the first of them
+MISSED = 1e-5
 SKETCH_BITS = 4
 SKETCH_WORDS = 8  # per bit, of 60 components each
-# A similar pair agrees in 0.8 + 0.2 / 16 of the components; 4.5 standard deviations less.
-LEAST_AGREEMENT = 351
+DEVIATIONS = 4.5
+ROUNDING = 1e-9
 FILTER_BITS_PER_TEXT = 16
 MOST_FILTER_BITS = 1 << 28
 FILTER_PLACES = 4
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 LOW = np.uint64(0xFFFFFFFF)
-BAND_MULTIPLIERS = np.random.default_rng(9).integers(1, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
+BAND_MULTIPLIERS = np.random.default_rng(9).integers(1, 1 << 63, BANDED, dtype=np.uint64) | np.uint64(1)
+
+
+@dataclass(frozen=True)
+class Plan:
+    """What a threshold asks for: the longest bands that miss a pair just as similar with a chance
+    of ``MISSED`` at most, the components in which such a pair's sketches agree less
+    ``DEVIATIONS`` standard deviations, and the shares of own runs that rule out links."""
+
+    threshold: float
+    bands: int
+    rows: int
+    least_agreement: int
+
+    @classmethod
+    def of(cls, threshold: float) -> Plan:
+        def enough(rows: int) -> bool:
+            return (1 - threshold**rows) ** (BANDED // rows) <= MISSED
+
+        fitting = [rows for rows in range(1, BANDED + 1) if 0 < threshold < 1 and enough(rows)]
+        if not fitting:
+            raise ValueError(f"the signatures have too few components for a threshold of {threshold}")
+        agree = threshold + (1 - threshold) / 2**SKETCH_BITS
+        spread = DEVIATIONS * math.sqrt(COMPONENTS * agree * (1 - agree))
+        return cls(threshold, BANDED // max(fitting), max(fitting), int(COMPONENTS * agree - spread))
+
+    @property
+    def most_own(self) -> float:
+        """No text with a larger share of own runs has a link."""
+        return 1 - self.threshold + ROUNDING
+
+    @property
+    def light(self) -> float:
+        """Of two texts with a larger share each, neither has a link with the other."""
+        return (1 - self.threshold) / (1 + self.threshold) + ROUNDING
 
 
 def _arrivals(elements: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,10 +142,10 @@ def signatures(elements: np.ndarray, owners: np.ndarray, weights: np.ndarray, te
     return np.where(view == UNSET, UNSET, view & LOW)
 
 
-def bands(signature: np.ndarray) -> np.ndarray:
+def bands(signature: np.ndarray, plan: Plan) -> np.ndarray:
     """[text, band]: a 64-bit hash of the band's number and components."""
-    parts = signature[:, : BANDS * ROWS].reshape(len(signature), BANDS, ROWS)
-    key = (parts * BAND_MULTIPLIERS).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
+    parts = signature[:, : plan.bands * plan.rows].reshape(len(signature), plan.bands, plan.rows)
+    key = (parts * BAND_MULTIPLIERS[: plan.rows]).sum(axis=2, dtype=np.uint64) + np.arange(plan.bands, dtype=np.uint64)
     key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return (key ^ (key >> np.uint64(32))).view(np.int64)
 
@@ -130,7 +172,7 @@ def _digest(text: str) -> bytes:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()
 
 
-def _signed(rows: DataFrame) -> DataFrame:
+def _signed(rows: DataFrame, plan: Plan) -> DataFrame:
     """(id, digest, bands, sketch) of rows (id, text); no bands without a run of words.  The
     bands are those of both signatures, equal ones once; the sketch is of unit weights."""
 
@@ -143,15 +185,15 @@ def _signed(rows: DataFrame) -> DataFrame:
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 value, owner, count = weighted(*shingles(texts, WORDS))
                 signature = signatures(value, owner, np.ones(len(count)), length)
-                keys, planes = np.tile(bands(signature), 2), sketches(signature)
+                keys, planes = np.tile(bands(signature, plan), 2), sketches(signature)
                 taken = np.zeros(keys.shape, bool)
-                taken[np.unique(owner), :BANDS] = True
+                taken[np.unique(owner), : plan.bands] = True
                 # Weights change the signature only of a text whose runs repeat unequally.
                 uneven = np.unique(owner[count != count[np.searchsorted(owner, owner)]])
                 of = np.isin(owner, uneven)
                 at = np.searchsorted(uneven, owner[of])
-                keys[uneven, BANDS:] = bands(signatures(value[of], at, 1 + np.log(count[of]), len(uneven)))
-                taken[uneven, BANDS:] = keys[uneven, BANDS:] != keys[uneven, :BANDS]
+                keys[uneven, plan.bands :] = bands(signatures(value[of], at, 1 + np.log(count[of]), len(uneven)), plan)
+                taken[uneven, plan.bands :] = keys[uneven, plan.bands :] != keys[uneven, : plan.bands]
                 offsets = np.concatenate([[0], np.cumsum(taken.sum(axis=1))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(offsets, pa.array(keys[taken], pa.int64()))
                 words = np.arange(length + 1, dtype=np.int32) * planes.shape[1]
@@ -262,7 +304,8 @@ def _centres(shared: DataFrame) -> DataFrame:
 def _labelled(rows: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """All rows (id, digest), and the different texts (digest, copies, node, least_id,
     label) with the label of their class; ``rows``: id, text."""
-    stored = store_and_reload(_signed(rows).withColumn("node", F.monotonically_increasing_id()), "signatures")
+    plan = Plan.of(threshold)
+    stored = store_and_reload(_signed(rows, plan).withColumn("node", F.monotonically_increasing_id()), "signatures")
     first = stored.groupBy("digest").agg(
         F.min("node").alias("node"), F.min("id").alias("least_id"), F.count("*").alias("copies")
     )
@@ -272,14 +315,14 @@ def _labelled(rows: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     shared = _shared(texts)
     pairs = lookup(shared.select("band", "node"), _centres(shared), "band", "n").where("node <> centre")
     pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    near = F.col("agreement") >= LEAST_AGREEMENT
+    near = F.col("agreement") >= plan.least_agreement
     sketch = texts.select("node", "sketch")
     judged = pairs.join(sketch.toDF("a", "of_a"), "a").join(sketch.toDF("b", "of_b"), "b")
     judged = judged.select("a", "b", _agreement(F.col("of_a"), F.col("of_b")).alias("agreement"))
     tested = store_and_reload(judged.where(near).select("a", "b"), "pairs")
     links = store_and_reload(_verified(tested, rows, texts, threshold), "links")
 
-    rest = _across(shared, texts, components(links)).join(tested, ["a", "b"], "left_anti")
+    rest = _across(shared, rows, texts, components(links), plan).join(tested, ["a", "b"], "left_anti")
     more = _verified(store_and_reload(rest, "pairs"), rows, texts, threshold)
     label = store_and_reload(components(links.unionByName(more)), "labels")
 
@@ -319,27 +362,49 @@ def first_of_classes(df: DataFrame, key: str = "doc_id", text: str = "text", thr
     return found.drop("k0", "k1", "k2").toDF(*df.columns)
 
 
-def _across(shared: DataFrame, texts: DataFrame, label: DataFrame) -> DataFrame:
+def _own_shares(nodes: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, own): the share of a text's runs that none of the other ``nodes`` has."""
+    wanted = store_and_reload(texts.select("node", "digest").join(nodes, "node", "left_semi"), "wanted")
+    sets = store_and_reload(_run_sets(rows, wanted), "runs")
+    runs = sets.select("node", F.explode("runs").alias("run")).groupBy("run")
+    alone = runs.agg(F.min("node").alias("node"), F.count("*").alias("_n")).where("_n = 1")
+    counted = alone.groupBy("node").agg(F.count("*").alias("_alone"))
+    share = F.coalesce("_alone", F.lit(0)) / F.size("runs")
+    return sets.join(counted, "node", "left").select("node", share.alias("own"))
+
+
+def _across(shared: DataFrame, rows: DataFrame, texts: DataFrame, label: DataFrame, plan: Plan) -> DataFrame:
     """Pairs (a, b) that share a band, lie in different components and may be similar."""
     named = shared.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = store_and_reload(named.drop("n"), "named")
-    sizes = named.groupBy("band", "label").count()
+    mixed = named.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("_l"), F.max("label").alias("_h"))
+    mixed = store_and_reload(mixed.where("_l <> _h").select("band", "n"), "mixed")
+    members = store_and_reload(lookup(named, mixed, "band", "n"), "members")
+    shares = store_and_reload(_own_shares(members.select("node").distinct(), rows, texts), "own")
+    linked = shares.where(F.col("own") <= plan.most_own).withColumn("light", F.col("own") <= plan.light).drop("own")
+    members = members.join(linked, "node")
+    sizes = members.groupBy("band", "label").agg(F.count("*").alias("count"), F.count_if("light").alias("_light"))
     main = sizes.groupBy("band").agg(
-        F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels"), F.sum("count").alias("n")
+        F.max_by("label", F.struct("count", "label")).alias("main"),
+        F.count("*").alias("labels"),
+        F.sum("count").alias("n"),
+        F.sum("_light").alias("_light"),
     )
-    mixed = store_and_reload(main.where("labels > 1").select("band", "main", "n"), "mixed")
-    inside = lookup(named, mixed, "band", "n").join(texts.select("node", "bands", "sketch"), "node")
+    # A bucket with links left has several components, and a text with few runs of its own.
+    left = store_and_reload(main.where("labels > 1 AND _light > 0").select("band", "main", "n"), "left")
+    inside = lookup(members, left, "band", "n").join(texts.select("node", "bands", "sketch"), "node")
     inside = store_and_reload(inside, "inside")
+    first_shared = F.array_min(F.array_intersect("bands", "bands_a")) == F.col("band")
+    near = _agreement(F.col("sketch_a"), F.col("sketch")) >= plan.least_agreement
     odd = inside.where("label <> main").drop("main")
     odd = odd.toDF(*[c if c == "band" else f"{c}_a" for c in odd.columns])
-    first_shared = F.array_min(F.array_intersect("bands", "bands_a")) == F.col("band")
-    met = odd.join(inside, "band").where(
-        (F.col("label_a") != F.col("label"))
-        & ((F.col("label") == F.col("main")) | (F.col("node_a") < F.col("node")))
-        & (_agreement(F.col("sketch_a"), F.col("sketch")) >= LEAST_AGREEMENT)
-        & first_shared
-    )
-    return met.select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b"))
+    once = (F.col("label") == F.col("main")) | ~F.col("light") | (F.col("node_a") < F.col("node"))
+    met = [
+        odd.where("light_a").join(inside, "band").where(once),
+        odd.where("NOT light_a").join(inside.where("light AND label = main"), "band"),
+    ]
+    pairs = [m.where((F.col("label_a") != F.col("label")) & near & first_shared) for m in met]
+    return pairs[0].unionByName(pairs[1]).select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b"))
 
 
 def op9(documents: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from tallyspan.llm import neardup
 from tallyspan.llm.common import shingles, weighted
@@ -160,3 +161,87 @@ def test_clashing_columns_and_empty(spark):
     assert neardup.first_of_classes(df).columns == df.columns
     assert neardup.op9(data.empty(spark)).collect() == []
     assert neardup.first_of_classes(data.empty(spark)).collect() == []
+
+
+def template_copies(rng, copies, words=300, changed=9):
+    """Copies of one text in which each has ``changed`` words of its own: below 0.8 to one another."""
+    base = data.prose(rng, words).split()
+    out = []
+    for i in range(copies):
+        text = base.copy()
+        for at in rng.sample(range(5, words - 5), changed):
+            text[at] = f"own{i}x{at}"
+        out.append(" ".join(text))
+    return out
+
+
+def pairs_across(spark, texts):
+    """(pairs that are verified after the centres, texts) for given texts."""
+    counts = []
+    across = neardup._across
+
+    def counted(*args):
+        found = across(*args)
+        counts.append(found.count())
+        return found
+
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], data.DOCUMENTS)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(neardup, "_across", counted)
+        found = neardup.similar_classes(df).collect()
+    return counts[0], found
+
+
+def test_pairs_of_a_template_do_not_grow_with_its_square(spark):
+    rng = random.Random(6)
+    small = template_copies(rng, 150)
+    large = template_copies(rng, 300)
+    sets = [runs(t) for t in large[:40]]
+    assert max(len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[:i]) < 0.8
+    few, _ = pairs_across(spark, small)
+    many, found = pairs_across(spark, large)
+    assert many <= max(2 * few, 600)
+    assert len({r.class_id for r in found}) == len(large)
+
+
+def test_template_copies_with_close_ones_among_them(spark):
+    """Texts with few changes of their own are still compared with the others."""
+    rng = random.Random(7)
+    texts = template_copies(rng, 60) + template_copies(random.Random(8), 20)
+    words = texts[3].split()
+    words[150] = "another"
+    texts += [" ".join(words), " ".join([*texts[10].split()[:-3], "and", "so", "on"])]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], data.DOCUMENTS)
+    check(df, neardup.op9(df).collect())
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.9])
+def test_other_thresholds(spark, threshold):
+    rng = random.Random(9)
+    texts = []
+    for i in range(30):
+        words = data.prose(rng, 200).split()
+        other = words.copy()
+        for at in rng.sample(range(200), 1 + i % 15):
+            other[at] = f"x{rng.random()}"
+        texts += [" ".join(words), " ".join(other)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], data.DOCUMENTS)
+    classes = {r.doc_id: r.class_id for r in neardup.similar_classes(df, threshold=threshold).collect()}
+    linked = 0
+    for i in range(0, len(texts), 2):
+        a, b = runs(texts[i]), runs(texts[i + 1])
+        want = len(a & b) >= threshold * len(a | b)
+        assert (classes[i] == classes[i + 1]) == want
+        linked += want
+    assert 0 < linked < 30 or threshold == 0.5
+
+
+def test_plans():
+    plan = neardup.Plan.of(0.8)
+    assert (plan.bands, plan.rows, plan.least_agreement) == (40, 6, 351)
+    for threshold in (0.3, 0.5, 0.7, 0.9, 0.95):
+        plan = neardup.Plan.of(threshold)
+        assert (1 - threshold**plan.rows) ** plan.bands <= 1e-5 and plan.bands * plan.rows <= neardup.BANDED
+    for threshold in (0, 0.01, 1, 1.5):
+        with pytest.raises(ValueError):
+            neardup.Plan.of(threshold)
