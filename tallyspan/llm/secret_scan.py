@@ -5,7 +5,11 @@ digits and signs of base 64) of at least ``WINDOW`` characters.  A window of ``W
 candidate; counts per character and the sum of n log2 n over them are brought up to date
 for the character that enters and the one that leaves, and give the Shannon entropy
 log2(W) - sum / W.  A candidate whose largest entropy reaches its class's bound is a span,
-unless it matches an entry of the allow-list or touches a span found before it.
+unless it touches a span found before it.
+
+The allow-list has two parts.  Placeholder words cut a candidate, and only what is between them is
+judged, so a word like "sample" beside a random string hides nothing of it.  Patterns of harmless
+strings suppress a piece that they match as a whole.
 
 All of it is built from SQL functions, row by row: no Python on the executors and no shuffle.  Inside a
 higher-order function only bound variables are used (``let``), so nothing is computed once
@@ -37,13 +41,13 @@ CLASSES = {
     "entropy_hex": ("[0-9A-Fa-f]{20,}", "0123456789abcdefABCDEF", 3.0),
     "entropy_base64": ("[A-Za-z0-9+/_=-]{20,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.85),
 }
+# The allow-list, of whole pieces, and of words that cut a candidate into pieces.
 ALLOW = (
     "^[A-Za-z_=/-]+$",  # words, paths and rules without a digit
     "^[0-9=/_+-]+$",  # numbers and dates
-    "(?i)example|sample|dummy|placeholder|changeme|lorem",
     "^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
-    "(?i)abcdefgh|01234567",
 )
+PLACEHOLDERS = ("example", "sample", "dummy", "placeholder", "changeme", "lorem", "abcdefgh", "01234567")
 MARK, FILLER = "\x01", "\x02"
 BLOCK = 64
 
@@ -170,19 +174,32 @@ def _labelled(found: Column, number: int, kind: str) -> Column:
     )
 
 
-def random_strings(text: Column, kind: str, allow: Sequence[str]) -> Column:
-    """Matches of the class's candidates that are random enough and not allowed."""
+def random_strings(text: Column, kind: str, allow: Sequence[str], placeholders: Sequence[str]) -> Column:
+    """Matches of the class's candidates that have a random enough piece which is not allowed."""
     pattern, alphabet, least = CLASSES[kind]
-    found = matches(text, pattern)
-    if allow:
-        allowed = "|".join(f"(?:{entry})" for entry in allow)
-        found = F.filter(found, lambda m: ~m["body"].rlike(allowed))
-    return F.filter(found, lambda m: largest_entropy(m["body"], alphabet) >= least)
+    allowed = "|".join(f"(?:{entry})" for entry in allow)
+    cut = "(?i)" + "|".join(placeholders)
+
+    def random(piece: Column) -> Column:
+        enough = largest_entropy(piece, alphabet) >= least
+        return ~piece.rlike(allowed) & enough if allow else enough
+
+    def judged(match: Column) -> Column:
+        return F.exists(F.split(match["body"], cut, -1), random) if placeholders else random(match["body"])
+
+    return F.filter(matches(text, pattern), judged)
 
 
-def find_secrets(df: DataFrame, text: str = "text", name: str = "secrets", allow: Sequence[str] = ALLOW) -> DataFrame:
+def find_secrets(
+    df: DataFrame,
+    text: str = "text",
+    name: str = "secrets",
+    allow: Sequence[str] = ALLOW,
+    placeholders: Sequence[str] = PLACEHOLDERS,
+) -> DataFrame:
     """All columns and the array of spans (start, number, end, kind), by start and then by
-    the kind's number: assign, access, hex, entropy_hex, entropy_base64."""
+    the kind's number: assign, access, hex, entropy_hex, entropy_base64.  ``allow`` are patterns of
+    pieces, ``placeholders`` words in any case between which pieces lie."""
     kept = without(df, [name])
     rows = plain(kept).withColumn(
         "t", F.translate(F.coalesce(F.col(f"c{position(kept, text)}"), F.lit("")), MARK, FILLER)
@@ -196,10 +213,10 @@ def find_secrets(df: DataFrame, text: str = "text", name: str = "secrets", allow
             "rest": masked(masked(masked(F.col("t"), ASSIGN, _value_is_long), ACCESS), HEX),
         }
     )
-    rows = rows.withColumn("entropy_hex", random_strings(F.col("rest"), "entropy_hex", allow))
+    rows = rows.withColumn("entropy_hex", random_strings(F.col("rest"), "entropy_hex", allow, placeholders))
     hex_class = CLASSES["entropy_hex"][0]
     left = F.when(F.size("entropy_hex") > 0, masked(F.col("rest"), hex_class)).otherwise(F.col("rest"))
-    rows = rows.withColumn("entropy_base64", random_strings(left, "entropy_base64", allow))
+    rows = rows.withColumn("entropy_base64", random_strings(left, "entropy_base64", allow, placeholders))
     kinds = ["assign", "access", "hex", *CLASSES]
     spans = F.array_sort(F.concat(*[_labelled(F.col(k), i, k) for i, k in enumerate(kinds)]))
     return rows.withColumn("spans", spans).select(*[f"c{i}" for i in range(len(kept.columns))], "spans").toDF(

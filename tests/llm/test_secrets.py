@@ -34,12 +34,16 @@ def spans(text):
     for a, _, b, _ in found:
         left[a:b] = "\x02" * (b - a)
     allow = [re.compile(p) for p in secret_scan.ALLOW]
+    cut = re.compile("|".join(secret_scan.PLACEHOLDERS), re.IGNORECASE)
+
+    def random(piece, least):
+        peak = max((entropy(piece[i : i + 20]) for i in range(len(piece) - 19)), default=0)
+        return peak >= least and not any(p.search(piece) for p in allow)
+
     for number, (kind, (pattern, _, least)) in enumerate(secret_scan.CLASSES.items(), 3):
         more = []
         for m in re.finditer(pattern, "".join(left)):
-            body = m[0]
-            peak = max(entropy(body[i : i + 20]) for i in range(len(body) - 19))
-            if peak >= least and not any(p.search(body) for p in allow):
+            if any(random(piece, least) for piece in cut.split(m[0])):
                 more.append((m.start(), number, m.end(), kind))
         if number == 3 and more:
             for m in re.finditer(pattern, "".join(left)):
@@ -98,3 +102,16 @@ def test_clashing_columns_and_empty(spark):
     for r in found.collect():
         by_row[r.doc_id] += 1
     assert by_row[3] >= 1
+
+
+def test_a_placeholder_hides_only_itself(spark):
+    token = "q8Zt3LmX0vB7yR2nK5wP9sD4"
+    hidden = [f"{p}{token}" for p in ("sample_id=", "path/sample/", "example-", "dummy/")] + [f"{token}SAMPLE", token]
+    harmless = ["example_token_placeholder_12", "SAMPLE-KEY-changeme-123456", "abcdefgh01234567ABCDEFGH01234567", "lorem/dummy/2024/01/sample-1"]
+    df = spark.createDataFrame(list(enumerate(hidden + harmless)), "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.op6(df).collect()}
+    for i, text in enumerate(hidden):
+        assert got[i] == f"entropy_base64:0:{len(text)}"
+    assert all(got[i] == "" for i in range(len(hidden), len(hidden + harmless)))
+    none = secret_scan.find_secrets(df, allow=(), placeholders=())
+    assert sum(bool(r.secrets) for r in none.collect()) > len(hidden)
