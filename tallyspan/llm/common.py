@@ -11,7 +11,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 8 << 20
@@ -124,6 +124,22 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFram
     )
 
 
+def least_hashed(rows: DataFrame, by: str, most: int) -> DataFrame:
+    """The ``most`` rows of the smallest hashes of each value of ``by``, numbered from 1 in ``turn``.
+
+    ``rows``: by, key, hash; distinct, and ``by`` has few values.  They are counted first, and
+    only rows whose hash is below a bound that lets several times ``most`` through are
+    ranked, so the rank of a value takes a bounded number of rows, whatever its size.
+    """
+    counted = rows.groupBy(by).agg(F.count("*").alias("_n"))
+    share = F.least(F.lit(1.0), F.lit(4.0 * most + 200) / F.col("_n"))
+    bounds = counted.select(F.col(by).alias("_by"), (share * 2.0**64 - 2.0**63).alias("_bound"))
+    near = rows.join(F.broadcast(bounds), F.col(by).eqNullSafe(F.col("_by"))).where(F.col("hash") <= F.col("_bound"))
+    order = Window.partitionBy(by).orderBy("hash", "key")
+    ranked = near.drop("_by", "_bound").withColumn("turn", F.row_number().over(order))
+    return ranked.where(F.col("turn") <= most)
+
+
 class Words(dict):
     """Hash of a word, remembered for a bounded number of words."""
 

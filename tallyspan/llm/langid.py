@@ -24,17 +24,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.common import begin, pick, plain, position, text_slices, tidy, without
+from tallyspan.llm.common import begin, least_hashed, pick, plain, position, text_slices, tidy, without
+from tallyspan.session import store_and_reload
 
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 500
 SAMPLE_ROWS = 20_000
-LEAST_PER_LANGUAGE = 20
+MOST_LANGUAGES = 200  # learned; those with most ids
 EXHAUSTIVE = 7  # languages up to which every split is a bit
 RANDOM_BITS = 63
 STEPS = 150
@@ -141,16 +142,18 @@ def fit(rows: np.ndarray, labels: list[str]) -> Model:
 def training_rows(
     df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", sample: int = SAMPLE_PER_LANGUAGE
 ) -> DataFrame:
-    """(label, text) of the sample.  Ids are chosen without reading a text, then looked up."""
-    rows = pick(df, _key=key, _text=text, _label=label).where("_key IS NOT NULL AND _text IS NOT NULL AND _label IS NOT NULL")
-    ids = rows.select("_key", "_label")
-    languages = ids.select("_label").distinct().count()
-    most = max(LEAST_PER_LANGUAGE, min(sample, SAMPLE_ROWS // max(1, languages)))
-    first = Window.partitionBy("_label").orderBy(F.xxhash64("_key"), "_key")
-    chosen = ids.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= most).select("_key").distinct()
-    found = rows.join(F.broadcast(chosen), "_key")
-    # Rows that repeat an id count towards the bound too.
-    return found.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= most).select("_label", "_text")
+    """(label, text) of the sample: ids with the smallest hashes of each of the languages with most ids, one text
+    of each.  Ids are chosen without reading a text, then looked up."""
+    rows = pick(df, key=key, text=text, label=label).where("key IS NOT NULL AND text IS NOT NULL AND label IS NOT NULL")
+    ids = rows.select("label", "key").distinct().withColumn("hash", F.xxhash64("key"))
+    ids = store_and_reload(ids, "ids")
+    largest = ids.groupBy("label").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "label").limit(MOST_LANGUAGES)
+    known = [r.label for r in largest.collect()]
+    most = min(sample, SAMPLE_ROWS // max(1, len(known)))
+    chosen = least_hashed(ids.where(F.col("label").isin(known)), "label", most).select("label", "key")
+    found = rows.join(F.broadcast(chosen), ["label", "key"])
+    # Of rows that repeat an id one counts.
+    return found.groupBy("label", "key").agg(F.min("text").alias("text")).select("label", "text")
 
 
 def train(df: DataFrame, **names) -> Model:

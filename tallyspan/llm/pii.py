@@ -31,12 +31,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.llm.common import begin, pick, plain, position, text_slices, tidy, without
+from tallyspan.llm.common import begin, least_hashed, pick, plain, position, text_slices, tidy, without
 from tallyspan.llm.tagger import PAD, Tagger, codes
+from tallyspan.session import store_and_reload
 
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns, in forms whose time is linear in the text.
@@ -242,10 +243,9 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", steps: int = S
 
     marked = rows.mapInArrow(mark, f"key {rows.schema['key'].dataType.simpleString()}, held boolean")
     keys = marked.groupBy("key").agg(F.max("held").alias("held")).withColumn("hash", F.xxhash64("key"))
+    keys = store_and_reload(keys, "keys")
     # Documents with a span and without one in turn, as long as there are both.
-    turn = F.row_number().over(Window.partitionBy("held").orderBy("hash", "key"))
-    chosen = keys.withColumn("turn", turn).where(F.col("turn") <= SAMPLE_DOCUMENTS)
-    chosen = chosen.orderBy("turn", F.desc("held")).limit(SAMPLE_DOCUMENTS)
+    chosen = least_hashed(keys, "held", SAMPLE_DOCUMENTS).orderBy("turn", F.desc("held")).limit(SAMPLE_DOCUMENTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("pii")
@@ -262,7 +262,9 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", steps: int = S
 
     sample = rows.join(F.broadcast(chosen), "key").select("hash", "turn", "held", "text")
     windows = sample.mapInArrow(run, "turn int, held boolean, n int, window string, tags binary")
-    found = windows.orderBy("turn", F.desc("held"), "n", "window").limit(SAMPLE_WINDOWS).collect()
+    # Of rows that repeat an id one counts for each of its windows.
+    once = windows.groupBy("turn", "held", "n").agg(F.min(F.struct("window", "tags")).alias("_w"))
+    found = once.select("turn", "held", "n", "_w.*").orderBy("turn", F.desc("held"), "n", "window").limit(SAMPLE_WINDOWS).collect()
     tags = np.zeros((len(found), WIDTH), np.int64)
     for i, r in enumerate(found):
         tags[i, : len(r.window)] = np.frombuffer(r.tags, np.int8)
