@@ -93,31 +93,34 @@ gap_states AS (
   SELECT renewable FROM gap_days SEMI JOIN gap_last USING (license_id, date, id)
   UNION ALL SELECT TRUE FROM gap_entities ANTI JOIN gap_last USING (license_id, date))"""
 
-# One state per licence and day: the change with the highest id, else the entity row.
+# One state per licence and day: the change with the highest id, else the entity row under id -1.
 STATES = """,
-last_change AS (SELECT license_id, date, MAX(id) AS id FROM license_changes GROUP BY license_id, date),
 changed AS (
-  SELECT license_id, date, renewable, price, type, id
-  FROM license_changes SEMI JOIN last_change USING (license_id, date, id)),
-kept_initial AS (
-  SELECT i.id AS license_id, i.creation_date AS date, i.renewable, i.price, i.type, CAST(-1 AS BIGINT) AS id
-  FROM initial_licenses i ANTI JOIN last_change l ON l.license_id = i.id AND l.date = i.creation_date),
-states AS (FROM changed UNION ALL FROM kept_initial)"""
+  SELECT license_id, date, renewable, price, type, id FROM license_changes
+  QUALIFY id = MAX(id) OVER (PARTITION BY license_id, date)),
+states AS (
+  FROM changed
+  UNION ALL
+  SELECT e.id, e.creation_date, e.renewable, e.price, e.type, -1
+  FROM initial_licenses e
+  WHERE NOT EXISTS (SELECT 1 FROM changed c WHERE c.license_id = e.id AND c.date = e.creation_date))"""
 
 CALENDAR = """,
 calendar AS (
   SELECT CAST(UNNEST(generate_series(MIN(date), MAX(date), INTERVAL 1 DAY)) AS DATE) AS date FROM states)"""
 
-PANEL = """,
-grid AS (
-  SELECT c.date, l.license_id
-  FROM calendar c
-  JOIN (SELECT id AS license_id, MIN(creation_date) AS creation_date FROM initial_licenses GROUP BY id) l
-    ON c.date >= l.creation_date),
-as_of AS (
-  SELECT g.license_id, g.date, s.renewable, s.type, s.price
-  FROM grid g ASOF LEFT JOIN states s ON g.license_id = s.license_id AND g.date >= s.date),
-panel AS (SELECT * FROM as_of WHERE renewable IS NOT NULL)"""
+# The days of every licence, from its creation to the end of the calendar.
+OWN_DAYS = """,
+own_days AS (
+  SELECT id AS license_id,
+         CAST(UNNEST(generate_series(MIN(creation_date), (SELECT MAX(date) FROM states), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM initial_licenses GROUP BY id)"""
+
+PANEL = f"""{OWN_DAYS},
+panel AS (
+  SELECT o.license_id, o.day AS date, s.renewable, s.type, s.price
+  FROM own_days o ASOF JOIN states s ON s.license_id = o.license_id AND s.date <= o.day
+  WHERE s.renewable IS NOT NULL)"""
 
 # A state holds from its day to the day before the next one, the last one to the end of the calendar;
 # it shows if the licence exists by then and the state says whether it is renewable.
@@ -138,19 +141,14 @@ panel AS (
          renewable, type, price
   FROM visible)"""
 
-COLUMN_PANEL = """,
-grid AS (
-  SELECT c.date, l.license_id
-  FROM calendar c
-  JOIN (SELECT id AS license_id, MIN(creation_date) AS creation_date FROM initial_licenses GROUP BY id) l
-    ON c.date >= l.creation_date),
+COLUMN_PANEL = f"""{OWN_DAYS},
 panel AS (
-  SELECT license_id, date,
+  SELECT o.license_id, o.day AS date,
          LAST_VALUE(renewable IGNORE NULLS) OVER w AS renewable,
          LAST_VALUE(type IGNORE NULLS) OVER w AS type,
          LAST_VALUE(price IGNORE NULLS) OVER w AS price
-  FROM grid LEFT JOIN states USING (license_id, date)
-  WINDOW w AS (PARTITION BY license_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+  FROM own_days o LEFT JOIN states s ON s.license_id = o.license_id AND s.date = o.day
+  WINDOW w AS (PARTITION BY o.license_id ORDER BY o.day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
 # The price of a day and type is unknown where every licence is active without a price.
 METRICS = """,
@@ -343,7 +341,7 @@ def oracle_sql() -> dict[str, str]:
         "stg_changes": f"""WITH {DENSE_CHANGES}
 SELECT license_id, date, renewable, price, type, id FROM license_changes c
 WHERE id = (SELECT MAX(o.id) FROM license_changes o WHERE o.license_id = c.license_id AND o.date = c.date)""",
-        "initial_not_superseded": f"{DENSE_EDGE}{STATES} SELECT * FROM kept_initial",
+        "initial_not_superseded": f"{DENSE_EDGE}{STATES} SELECT * FROM states WHERE id = -1",
         "state_history": f"{DENSE_EDGE}{STATES} SELECT * FROM states",
         "state_history_sparse": f"{SPARSE}{STATES} SELECT * FROM states",
         "dedup_keep_last": f"""{FAULTS}
