@@ -1,7 +1,8 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Each query runs once to warm up and then three times; its figure is the median, with
-every row and column produced (noop sink).
+All queries run once to warm up and then three times in turn, so that none of them has the
+start-up of the session to itself; a query's figure is the median, its spread the fastest and the
+slowest run.  Every row and column is produced (noop sink).
 """
 
 from __future__ import annotations
@@ -44,14 +45,15 @@ def main() -> None:
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds: dict[str, float] = {}
-    for name in sys.argv[1:] or HEADLINE:
-        runs = []
-        for _ in range(4):
+    names = sys.argv[1:] or HEADLINE
+    runs: dict[str, list[float]] = {name: [] for name in names}
+    for _ in range(4):
+        for name in names:
             started = time.perf_counter()
             REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - started)
-        seconds[name] = round(statistics.median(runs[1:]), 3)
+            runs[name].append(time.perf_counter() - started)
+    seconds = {name: round(statistics.median(r[1:]), 3) for name, r in runs.items()}
+    spread = {name: [round(min(r[1:]), 3), round(max(r[1:]), 3)] for name, r in runs.items()}
     print(
         json.dumps(
             {
@@ -59,6 +61,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "spread": spread,
                 "sf": sf_dir.rsplit("sf", 1)[-1],
             }
         )

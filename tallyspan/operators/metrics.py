@@ -53,6 +53,15 @@ def _sum_deltas(rows: DataFrame) -> DataFrame:
     return rows.groupBy("date", "type").agg(*sums)
 
 
+def unplaced_days(changes: DataFrame, sign: int = 1) -> DataFrame:
+    """Deltas of changes without a licence: each counts, with this sign, for its day in the
+    calendar, so that one can be taken back without the others."""
+    lost = changes.where("license_id IS NULL AND date IS NOT NULL")
+    counted = lost.groupBy(F.col("date").cast("date").alias("date")).agg((sign * F.count("*")).alias("states"))
+    zeros = [F.lit(0).cast("long").alias(m) for m in ADDITIVE if m != "states"]
+    return counted.select("date", F.lit(None).cast("string").alias("type"), "states", *zeros)
+
+
 def add_deltas(*parts: DataFrame) -> DataFrame:
     """Sum of delta tables, without the rows that have cancelled out: a correction leaves
     them on days that it has emptied, which may lie outside the calendar now."""

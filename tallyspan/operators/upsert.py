@@ -120,8 +120,11 @@ def deltas_of_touched(
     late_initial: DataFrame | None = None,
     replace_entities: bool = False,
     few: bool | None = None,
+    unplaced: DataFrame | None = None,
 ) -> DataFrame:
-    """The same, given the entity rows and known changes of just the touched licences."""
+    """The same, given the entity rows and known changes of just the touched licences.  With
+    ``unplaced``, the known changes without a licence that late ones replace, rows without a
+    licence are counted one by one, as the deltas must have been from the start."""
     small = F.broadcast if (_few(late, late_initial) if few is None else few) else lambda df: df
     replaced = small(late.select("id").distinct().withColumn("_replaced", F.lit(True)))
     old = before.join(replaced, "id", "left").withColumn("_versions", _versions(F.col("_replaced").isNull()))
@@ -141,8 +144,13 @@ def deltas_of_touched(
         named = rows.withColumn("_version", F.explode("_versions")).drop("_versions", "_replaced")
         return named.withColumn(key, F.concat("_version", F.col(key).cast("string"))).drop("_version")
 
+    if unplaced is not None:
+        changes = changes.where("license_id IS NOT NULL")
     intervals = state_intervals(told_apart(entities, "id"), told_apart(changes, "license_id"), keep_hidden=True)
-    return metrics.interval_deltas(intervals, sign="if(license_id LIKE 'old:%', -1L, 1L)")
+    deltas = metrics.interval_deltas(intervals, sign="if(license_id LIKE 'old:%', -1L, 1L)")
+    if unplaced is None:
+        return deltas
+    return metrics.add_deltas(deltas, metrics.unplaced_days(late), metrics.unplaced_days(unplaced, -1))
 
 
 def _versions(stays: Column) -> Column:

@@ -319,7 +319,7 @@ def cover(spark: SparkSession, store: Store, state: State) -> State:
     if not state.metrics or (many and size > REBUILD_GROWTH * state.history["bytes"]):
         rows = {t: targets[t].read(spark, state.segments.get(t, ())).drop(DAY) for t in ROWS}
         history = store.history(buckets_for(size))
-        folder = store.metrics.write_build(rows["initial"], rows["changes"])
+        folder = store.metrics.write_build(rows["initial"], rows["changes"], by_row=True)
         written = history.write_build(spark, rows["initial"], rows["changes"], sequence, run)
         counts = quality.quality_totals(rows["initial"], rows["changes"]) if store.keep_quality else None
         old = store.tables(state).keys() - targets.keys()
@@ -344,12 +344,12 @@ def cover(spark: SparkSession, store: Store, state: State) -> State:
             late[table] = store_and_reload(rows, "late") if several else rows
         history = store.history(state.history["buckets"])
         entities, before, places = history.before(spark, state.segments, late["changes"], late["initial"])
-        folder = store.metrics.write_touched(entities, before, late["changes"], late["initial"])
+        unplaced = history.unplaced(spark, state.segments, places)
+        folder = store.metrics.write_touched(entities, before, unplaced, late["changes"], late["initial"])
         written = history.write_late(spark, places, late["changes"], late["initial"], sequence, run)
         counts = None
         if store.keep_quality:
-            old = before.unionByName(history.unplaced(spark, state.segments, places))
-            counts = changed_totals(entities, old, late["initial"], late["changes"])
+            counts = changed_totals(entities, before.unionByName(unplaced), late["initial"], late["changes"])
     after = state.added(written, store.sizes(spark, state, written), run)
     if counts is not None:
         counts.write.parquet(store.quality_folder(name))

@@ -41,9 +41,12 @@ class MetricStore:
 
     # --- folders of one attempt each; they count when a pointer names them --------------
 
-    def write_build(self, initial: DataFrame, changes: DataFrame) -> str:
-        """The deltas of all states, from one pass over the inputs."""
-        return self._write(metrics.interval_deltas(history.state_intervals(initial, changes, keep_hidden=True)))
+    def write_build(self, initial: DataFrame, changes: DataFrame, by_row: bool = False) -> str:
+        """The deltas of all states, from one pass over the inputs; ``by_row`` counts changes
+        without a licence one by one, for ``write_touched``."""
+        placed = changes.where("license_id IS NOT NULL") if by_row else changes
+        deltas = metrics.interval_deltas(history.state_intervals(initial, placed, keep_hidden=True))
+        return self._write(metrics.add_deltas(deltas, metrics.unplaced_days(changes)) if by_row else deltas)
 
     def write_correction(
         self,
@@ -56,10 +59,12 @@ class MetricStore:
         """What late rows change; ``initial`` and ``known`` are the tables before."""
         return self._write(correction_deltas(initial, known, late, late_initial, replace_entities))
 
-    def write_touched(self, entities: DataFrame, before: DataFrame, late: DataFrame, late_initial: DataFrame) -> str:
+    def write_touched(
+        self, entities: DataFrame, before: DataFrame, unplaced: DataFrame, late: DataFrame, late_initial: DataFrame
+    ) -> str:
         """What new versions of rows change; ``entities`` and ``before`` are the stored rows of
-        the licences that they touch."""
-        return self._write(deltas_of_touched(entities, before, late, late_initial, True))
+        the licences that they touch, ``unplaced`` the older versions without a licence."""
+        return self._write(deltas_of_touched(entities, before, late, late_initial, True, unplaced=unplaced))
 
     def write_deltas(self, deltas: DataFrame) -> str:
         """Given deltas."""

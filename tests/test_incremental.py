@@ -468,3 +468,15 @@ def test_rows_of_an_older_run(spark, tables, changes_of, monkeypatch):
     assert got == {(*k, run): v for k, vs in first.items() for run, v in enumerate(vs)}
     with pytest.raises(ValueError):
         inc.Store(store.root).rows_at(spark, "changes", 1)
+
+
+def test_a_row_leaves_no_day_behind_without_a_licence(spark, store, tables, changes_of):
+    """Two rows without a licence on the last day: the calendar keeps it until both are gone."""
+    initial, changes = tables
+    lost = changes_of([(70, None, D("2024-06-01"), 1, "SIM", True), (71, None, D("2024-06-01"), 1, "SIM", True)])
+    inc.run_incremental(spark, initial, changes.unionByName(lost), store, "2024-07-01", with_metrics=True)
+    for number, last in ((70, "2024-06-01"), (71, "2024-04-01")):
+        placed = changes_of([(number, 1, D("2024-03-01"), 1, "SIM", True)])
+        inc.run_incremental(spark, initial.limit(0), placed, store, "2024-07-01", start="2023-01-01")
+        assert stored_mart(spark, store) == full_mart(spark, store)
+        assert str(store.mart(spark).agg(F.max("date")).first()[0]) == last

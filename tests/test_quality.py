@@ -145,3 +145,28 @@ def test_distribution_checks(spark, initial_of):
     assert tuple(exact) == (10, 300, False, True)
     rough = quality.distribution_checks(initial_of(rows), approximate=True).first()
     assert abs(rough.n_licenses - 300) < 30 and rough.n_customers == 10 and rough.fewer_customers
+
+
+def test_shares_in_the_long_run(spark):
+    from tallyspan.operators.profiling import steady_state
+
+    # A and B swap for ever, C goes to D or stays, D has no way out.
+    moves = [("A", "B", 5), ("B", "A", 2), ("C", "C", 3), ("C", "D", 1)]
+    found = steady_state(spark.createDataFrame(moves, "from_type string, to_type string, n_transitions long")).collect()
+    got = {(r.from_type, r.to_type): round(r.share, 6) for r in found if r.share > 1e-7}
+    assert got == {("A", "A"): 0.5, ("A", "B"): 0.5, ("B", "A"): 0.5, ("B", "B"): 0.5, ("C", "D"): 1.0, ("D", "D"): 1.0}
+
+
+def test_sketches_merge_over_any_days(spark):
+    from tallyspan.operators import quality
+
+    rows = spark.range(60_000).selectExpr(
+        "date_add(date'2024-01-01', int(id % 30)) AS day", "id % 20011 AS a", "if(id % 5 = 0, NULL, 'x') AS b"
+    )
+    sketches = quality.daily_sketches(rows, "day", ["a", "b"])
+    windows = spark.sql("SELECT * FROM VALUES (date'2024-01-01', date'2024-01-30'), (date'2024-01-07', date'2024-01-09'), (date'2025-01-01', date'2025-01-02') AS w(first_day, last_day)")
+    got = {str(r.first_day): (r.a, r.b) for r in quality.distinct_in_windows(sketches, windows, "day", ["a", "b"]).collect()}
+    for first, last in (("2024-01-01", "2024-01-30"), ("2024-01-07", "2024-01-09")):
+        exact = rows.where(f"day BETWEEN '{first}' AND '{last}'").select("a").distinct().count()
+        assert abs(got[first][0] - exact) <= 0.06 * exact and got[first][1] == 1
+    assert got["2025-01-01"] == (0, 0)

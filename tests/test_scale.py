@@ -16,6 +16,7 @@ from tallyspan.sources import fixtures as fx
 
 SF_DIR = "/root/testdata/sf0.001"
 EAGER = ("stream_", "inc_first", "inc_batches", "inc_checkpoint", "inc_backfill", "partition_overwrite", "metric_store")
+EAGER += ("inc_metrics", "inc_undated", "inc_rejected", "inc_late", "rows_known", "dq_incremental")
 
 
 @pytest.mark.parametrize("name", [n for n in REGISTRY if not n.startswith(EAGER)])
@@ -174,3 +175,28 @@ def test_apportion(spark):
     assert {r.allotted for r in allocation.apportion(keys, "k", 20).collect()} == {1}
     with pytest.raises(Exception, match="at least the number of keys"):
         allocation.apportion(keys, "k", 19).collect()
+
+
+@pytest.mark.parametrize("bins", [2, 7, 4096])
+def test_smallest_cut_equals_a_sort(spark, bins):
+    rng = random.Random(bins)
+    values = [rng.choice([3, 10**18, rng.randrange(10**20)]) for _ in range(300)]
+    df = spark.createDataFrame([(str(v),) for v in values], "v string").selectExpr("cast(v AS decimal(38,0)) AS v")
+    for count in (0, 1, 40, 299, 300):
+        cut, ties = ranking.smallest_cut(df, "v", count, 0, 10**20 + 1, bins)
+        assert sum(v < cut for v in values) + ties == count
+        assert ties <= sum(v == cut for v in values)
+        assert sorted(values)[:count] == sorted([v for v in values if v < cut] + [cut] * ties)
+    with pytest.raises(ValueError):
+        ranking.smallest_cut(df, "v", 301, 0, 10**20 + 1, bins)
+
+
+def test_apportion_stores_and_sorts_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "store_and_reload", lambda *_: pytest.fail("a copy is stored"))
+    keys = spark.range(1, 2001).withColumnRenamed("id", "k")
+    found = allocation.apportion(keys, "k", 10_000, 0.0)  # equal weights: only ties
+    assert "Sort" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: r.allotted for r in found.collect()}
+    assert sum(got.values()) == 10_000 and set(got.values()) == {5}
+    more = {r.k: r.allotted for r in allocation.apportion(keys, "k", 10_007, 0.0).collect()}
+    assert [k for k in sorted(more) if more[k] == 6] == list(range(1, 8))

@@ -103,3 +103,24 @@ def test_a_run_does_not_hide_a_stream(spark, tmp_path, initial_of, changes_of):
         stream = st.read_stream(spark, folder, changes_of([]).schema, 1)
         st.run_upserts(stream, store, str(tmp_path / f"state{number}"))
     assert sorted(r.id for r in store.rows(spark, "changes").collect()) == [1, 2, 3]
+
+
+def test_live_metrics_equal_one_computation(spark, tmp_path, initial_of, changes_of):
+    """Gaps, rows without a licence, changes before their entity, restarts and replays."""
+    from tallyspan.plans.metric_store import MetricStore
+    from tallyspan.plans.metrics import license_metrics
+    from tallyspan.streaming import live
+    from tests.test_metrics import random_tables
+
+    initial, changes = random_tables(31, gaps=True)
+    changes += [(900, None, D("2023-12-20"), 1, "SIM", True), (901, 99, D("2024-06-01"), 1, "SIM", True)]
+    stored = MetricStore(scratch_path(spark, "metrics"))
+    folders = [str(tmp_path / n) for n in ("entities", "changes")]
+    parts = [(initial[:4], changes[1::2]), (initial[4:], changes[::4]), ([], changes)]
+    for entities, rows in parts:
+        initial_of(entities).coalesce(1).write.mode("append").parquet(folders[0])
+        changes_of(rows).coalesce(1).write.mode("append").parquet(folders[1])
+        streams = [st.read_stream(spark, f, of([]).schema) for f, of in zip(folders, (initial_of, changes_of))]
+        live.run_live_mart(*streams, stored, str(tmp_path / "state"))
+    got = sorted((tuple(r) for r in stored.mart(spark).collect()), key=str)
+    assert got == sorted((tuple(r) for r in license_metrics(initial_of(initial), changes_of(changes)).collect()), key=str)
