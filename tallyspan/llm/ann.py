@@ -21,7 +21,7 @@ the centres, both bounded.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold a null or a
 component that is not finite take no part, nor do rows without an id.  Rows that share an
-id are one candidate, at its nearest vector, and one query, by any of them; rows that repeat id
+id are one candidate, at its nearest vector, and one query, by the vector of the smallest hash; rows that repeat id
 and vector are dropped first.  Fewer than k candidates are all returned: the lists probed hold at
 least k + 1 ids if the table does.
 """
@@ -58,6 +58,7 @@ BLOCK_QUERIES = 512
 class Index:
     """What driver and tasks share: bounded by the sample."""
 
+    mean: np.ndarray  # of the sample; centres and rotated vectors are relative to it
     rotation: np.ndarray
     centres: np.ndarray
     probes: int
@@ -92,6 +93,8 @@ def fit(rows: DataFrame, seed: int = 11) -> Index | None:
     vectors = sample["v"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.standard_normal((vectors.shape[1],) * 2))[0]
+    originals, mean = vectors, vectors.mean(axis=0)
+    vectors = originals - mean  # what all have in common would cost digits of every distance
     # Equal centres would divide equal vectors at random.
     distinct = np.unique(vectors, axis=0)
     lists = max(1, min(MOST_LISTS, total // ROWS_PER_LIST, len(distinct)))
@@ -116,7 +119,7 @@ def fit(rows: DataFrame, seed: int = 11) -> Index | None:
     probes = 1 + int(needed[min(len(needed) - 1, int(np.ceil(RECALL * len(needed))) - 1)])
     # Anchors of different ids: the k-th nearest of them bounds the k-th nearest id.
     anchor = np.sort(np.unique(ids, return_index=True)[1])[:ANCHORS]
-    return Index(rotation, centres, probes, vectors[anchor], ids[anchor], at[anchor])
+    return Index(mean, rotation, centres, probes, originals[anchor], ids[anchor], at[anchor])
 
 
 def assign(rows: DataFrame, index: Index) -> DataFrame:
@@ -130,8 +133,8 @@ def assign(rows: DataFrame, index: Index) -> DataFrame:
             if not batch.num_rows:
                 continue
             v = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-            rotated = (v @ at.rotation).astype(np.float32)
-            lists = squared(v, at.centres).argmin(axis=1)
+            rotated = ((v - at.mean) @ at.rotation).astype(np.float32)
+            lists = squared(v - at.mean, at.centres).argmin(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -150,13 +153,13 @@ def _plan(batch: pd.DataFrame, index: Index, sizes: np.ndarray, k: int):
     distances of the anchors in these lists, nearest first (infinite: not one of them).
     ``sizes`` counts ids, each in one list only, so lists together hold at least their sum."""
     v = np.frombuffer(b"".join(batch["v"]), np.float64).reshape(len(batch), -1)
-    order = np.argsort(squared(v, index.centres), axis=1, kind="stable")
+    order = np.argsort(squared(v - index.mean, index.centres), axis=1, kind="stable")
     held = np.cumsum(sizes[order], axis=1)
     enough = (held < k + 1).sum(axis=1) + 1  # lists until the query and k others are held
     counts = np.minimum(np.maximum(index.probes, enough), order.shape[1])
     rank = np.empty_like(order)
     np.put_along_axis(rank, order, np.broadcast_to(np.arange(order.shape[1]), order.shape), axis=1)
-    away = squared(v, index.anchors)
+    away = squared(v - index.mean, index.anchors - index.mean)
     away[batch["id"].to_numpy()[:, None] == index.anchor_ids] = np.inf
     away[rank[:, index.anchor_lists] >= counts[:, None]] = np.inf
     near = np.argsort(away, axis=1, kind="stable")[:, :k]
@@ -279,7 +282,9 @@ def nearest(
 
     held = counts_of(stored)
     sizes = counts_of(stored.groupBy("id").agg(F.min("list").alias("list")))
-    asked = stored.join(queries.select(F.col("id").cast("bigint").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
+    wanted = stored.join(queries.select(F.col("id").cast("bigint").alias("id")).distinct(), "id", "left_semi")
+    one = F.min_by(F.struct("list", "rotated", "v"), F.xxhash64("v")).alias("_one")
+    asked = store_and_reload(wanted.groupBy("id").agg(one).select("id", "_one.*"), "asked")
     probes = store_and_reload(_probes(asked, index, sizes, k), "probes")
     asking = {r["list"]: r["count"] for r in probes.groupBy("list").count().collect()}
 

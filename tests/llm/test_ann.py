@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import defaultdict
+
 import numpy as np
 
 from tallyspan.llm import ann
@@ -128,3 +130,38 @@ def test_no_valid_row(spark):
     assert ann.op2(spark.createDataFrame([], SCHEMA)).collect() == []
     assert ann.op2(spark.createDataFrame([(0, [0.0])], SCHEMA)).collect() == []
     assert ann.op2(spark.createDataFrame([(0, [1.0])], SCHEMA)).collect() == []
+
+
+def test_a_common_offset_costs_nothing(spark):
+    rng = np.random.default_rng(12)
+    vectors = 1e4 + 0.1 * rng.standard_normal((1200, 24))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    found = defaultdict(list)
+    for r in ann.op2(df).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, r.score))
+    hits = 0
+    for q, answers in found.items():
+        away = np.sqrt(((vectors - vectors[q]) ** 2).sum(axis=1))
+        away[q] = np.inf
+        hits += len({v for v, _ in answers} & set(np.argsort(away, kind="stable")[:10].tolist()))
+        assert all(abs(score - away[v]) < 1e-9 for v, score in answers) and len(answers) == 10
+    assert hits >= 0.9 * 10 * len(found)
+
+
+def test_a_query_id_with_several_vectors_is_one_query(spark):
+    rng = np.random.default_rng(13)
+    vectors = rng.standard_normal((400, 8))
+    rows = [(i % 395, v.tolist()) for i, v in enumerate(vectors)]  # ids 0 to 4 have two each
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    own = [v for i, v in rows if i == 0]
+    runs = [sorted(map(tuple, ann.op2(df.repartition(n)).where("query_id = 0").collect())) for n in (1, 5)]
+    assert runs[0] == runs[1] and len(runs[0]) == 10
+    best = [{r[2]: r[3] for r in runs[0]}]
+    fits = 0
+    for v in own:
+        away = {}
+        for i, other in rows:
+            if i != 0:
+                away[i] = min(away.get(i, np.inf), float(np.linalg.norm(np.array(v) - np.array(other))))
+        fits += all(abs(away[i] - score) < 1e-9 for i, score in best[0].items())
+    assert fits == 1
