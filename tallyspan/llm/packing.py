@@ -36,6 +36,7 @@ PIECE = 512
 GROUP_TOKENS = 512 * CAPACITY
 CLOSING_ID = 1
 CACHE_ENTRIES = 400_000
+BLOCK_GROUPS = 4096
 
 
 def windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
@@ -120,7 +121,7 @@ def pack(
 
     The pieces are stored once (a few dozen bytes each), so that their groups and windows
     stay what they were when an executor is lost.  Sequence ids are positions in (group,
-    window); only the window counts of the groups are summed in one place.  ``cache`` (words
+    window); the window counts of the groups are summed in blocks, and only those of the blocks in one place.  ``cache`` (words
     remembered) and ``slice_bytes`` (text whose ids are held at once) bound a worker's memory
     and change no result.
     """
@@ -157,8 +158,14 @@ def pack(
     )
     rows = divided.unionByName(whole)
     counts = rows.groupBy("_group").agg((F.max("_window") + 1).alias("_count"))
-    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("_group", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_base"))
+    # Summed inside blocks of groups, and then over the blocks.
+    counts = counts.withColumn("_block", F.floor(F.col("_group") / BLOCK_GROUPS))
+    inside = Window.partitionBy("_block").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = counts.groupBy("_block").agg(F.sum("_count").alias("_sum"))
+    blocks = blocks.select("_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    counts = counts.withColumn("_inside", F.coalesce(F.sum("_count").over(inside), F.lit(0)))
+    bases = counts.join(blocks, "_block").select("_group", (F.col("_start") + F.col("_inside")).alias("_base"))
     return rows.join(bases, "_group").select(
         F.col("key").alias(key),
         "start",
