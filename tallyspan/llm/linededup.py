@@ -248,3 +248,24 @@ def op8(documents: DataFrame) -> DataFrame:
     found = dedup_lines(pick(documents, doc_id="doc_id", text="text"))
     text = F.coalesce("text", F.lit("")).cast("binary")
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
+
+
+ORACLE = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce("text", ''), chr(10)) AS lines FROM documents
+), cut AS (
+  SELECT r, doc_id, generate_subscripts(lines, 1) AS place, unnest(lines) AS line FROM docs
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+  FROM cut
+), repeated AS (
+  SELECT line_key, min(doc_id) AS first_id FROM keyed
+  WHERE length(line_key) >= 10 GROUP BY line_key HAVING count(DISTINCT doc_id) > 1
+), judged AS (
+  SELECT k.*, coalesce(k.doc_id > first_id, false) AS gone FROM keyed k LEFT JOIN repeated USING (line_key)
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r
+"""

@@ -29,7 +29,7 @@ from tallyspan.llm.common import documents, share_package
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-ORACLES: dict[str, str] = {"op12_filter_audit": filter_audit.ORACLE}
+ORACLES: dict[str, str] = {"op8_line_dedup": linededup.ORACLE, "op12_filter_audit": filter_audit.ORACLE}
 
 
 def query(fn: Query) -> Query:

@@ -94,3 +94,40 @@ def test_clashing_columns_and_empty_table(spark):
     assert cws.fingerprint(df).columns == [c for c in df.columns if c != "fingerprint"] + ["fingerprint"]
     assert cws.fingerprint(df).count() == df.count()
     assert cws.op7(data.empty(spark)).collect() == []
+
+
+def naive(text):
+    """The fingerprint from the definition: one term and one sample at a time."""
+    words = text.lower().split()
+    terms = Counter(zip(words, words[1:])) if len(words) > 1 else Counter((w,) for w in words)
+    whole = (1 << 64) - 1
+    out = []
+    for seed in map(int, cws.SEEDS):
+        best = (float("inf"), (1 << 32) - 1)
+        for term, weight in terms.items():
+            x = int(cws.shingles([" ".join(term)], cws.TERM_WORDS)[0][0])
+            h = (x ^ seed) * 0x9E3779B97F4A7C15 & whole
+            h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 & whole
+            h ^= h >> 32
+            r = float(cws.GAMMA[h & 0xFFFF])
+            b = ((h >> 16 & 0xFFFF) + 0.5) / 65_536
+            ln_c = float(cws.LN_GAMMA[h >> 32 & 0xFFFF])
+            t = int(np.floor(np.log(weight) / r + b))
+            best = min(best, (ln_c - r * (t + 1 - b), (x + t * 0x9E3779B1) & 0xFFFFFFFF))
+        name = (best[1] ^ best[1] >> 15) * 0x2C1B3C6D
+        out.append(name >> 16 & 0xFFFF)
+    return out
+
+
+def test_fingerprints_and_likenesses_equal_the_definition(spark):
+    rng = __import__("random").Random(6)
+    texts = [data.prose(rng, n) for n in (3, 40, 25)] + ["so it goes so it goes so it goes so it", "one", "", "x y x y x y z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    found = {r.doc_id: r for r in cws.op7(df).collect()}
+    for i, text in enumerate(texts):
+        edited = cws.edit(text, texts[(i + 1) % len(texts)])
+        own, other, following = naive(text), naive(edited), naive(texts[(i + 1) % len(texts)])
+        assert found[i].fingerprint == "".join(f"{x:04x}" for x in own)
+        assert found[i].edited_fingerprint == "".join(f"{x:04x}" for x in other)
+        assert found[i].near_edited == np.mean([a == b for a, b in zip(own, other)])
+        assert found[i].near_next == np.mean([a == b for a, b in zip(own, following)])
