@@ -111,11 +111,15 @@ def concat_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
     """Inner join of ``rows`` with ``table``, which has one row per key, stored, and says in
     ``weight`` how many rows have the key.  Keys with more than 1 / ``HOT_SHARE`` of these
-    rows, so fewer than ``HOT_SHARE`` keys, are broadcast; the others are shuffled."""
+    rows, so fewer than ``HOT_SHARE`` keys, are broadcast; the others are shuffled.  A table
+    with no other column only filters."""
     total = table.agg(F.sum(weight)).first()[0] or 0
     hot = F.col(weight) * HOT_SHARE > total
     found = table.where(hot).drop(weight)
     marked = rows.join(F.broadcast(found.select(key, F.lit(True).alias("_hot"))), key, "left")
+    if found.columns == [key]:
+        others = marked.where("_hot IS NULL").join(table.where(~hot).select(key), key, "left_semi")
+        return marked.where("_hot").unionByName(others).drop("_hot")
     return (
         marked.where("_hot")
         .drop("_hot")
