@@ -124,3 +124,27 @@ def test_live_metrics_equal_one_computation(spark, tmp_path, initial_of, changes
         live.run_live_mart(*streams, stored, str(tmp_path / "state"))
     got = sorted((tuple(r) for r in stored.mart(spark).collect()), key=str)
     assert got == sorted((tuple(r) for r in license_metrics(initial_of(initial), changes_of(changes)).collect()), key=str)
+
+
+def test_live_state_is_a_value_per_bucket(spark, tmp_path, initial_of, changes_of):
+    """Many licences are few values of the state, also after a restart that names another number."""
+    from tallyspan.plans.metric_store import MetricStore
+    from tallyspan.plans.metrics import license_metrics
+    from tallyspan.streaming import live
+
+    day = lambda n: date.fromordinal(D("2024-01-01").toordinal() + n)
+    kinds = ("PASS", "SIM", None)
+    initial = [(i, i % 40, kinds[i % 3], day(i % 9), 100 + i if i % 4 else None, True) for i in range(300)]
+    changes = [(k, k % 320 if k % 50 else None, day(k % 23), k if k % 6 else None, kinds[k % 3], (True, False, None)[k % 7 % 3]) for k in range(900)]
+    changes += [(10_000, 5, day(3), 2**60 + 1, "SIM", True)]  # no double holds it
+    stored, state = MetricStore(scratch_path(spark, "metrics")), str(tmp_path / "state")
+    folders = [str(tmp_path / n) for n in ("entities", "changes")]
+    for entities, rows, buckets in ((initial[::2], changes[::3], 7), (initial[1::2], changes, 50)):
+        initial_of(entities).coalesce(1).write.mode("append").parquet(folders[0])
+        changes_of(rows).coalesce(1).write.mode("append").parquet(folders[1])
+        streams = [st.read_stream(spark, f, of([]).schema) for f, of in zip(folders, (initial_of, changes_of))]
+        live.run_live_mart(*streams, stored, state, buckets=buckets)
+    values = spark.read.format("statestore").option("stateVarName", "histories").load(state)
+    assert values.count() == 7
+    got = sorted((tuple(r) for r in stored.mart(spark).collect()), key=str)
+    assert got == sorted((tuple(r) for r in license_metrics(initial_of(initial), changes_of(changes)).collect()), key=str)
