@@ -28,7 +28,10 @@ however many they are.  The texts outside a bucket's main component with a small
 inside the join, and those with a larger share meet its texts with a smaller one.  The join lets a pair through
 only in the smallest band that it shares, and only if its sketches (``SKETCH_BITS`` bits of each component
 of the unit-weight signature) agree in so many components as a similar pair does but with a probability below 1e-5.
-So no link between texts of a shared band is lost but for that chance.
+So no link between texts of a shared band is lost but for that chance.  Last, the runs that a text does not have
+to itself are counted in ``PARTS`` parts by their hashes.  Two texts have at most the smaller count of each part in
+common, so a pair for which that is too little has no link for certain: the copies of a template
+that have each changed it a little too much in places of their own do not reach the verification.
 
 Equal texts are one text from the start.  No text is shuffled: the sets of runs are read
 from the texts that take part in a candidate pair, found by a Bloom filter of bounded size
@@ -65,6 +68,8 @@ MISSED = 1e-5
 SKETCH_BITS = 4
 SKETCH_WORDS = 8  # per bit, of 60 components each
 DEVIATIONS = 4.5
+PARTS = 1024
+MOST_IN_PART = 4
 ROUNDING = 1e-9
 FILTER_BITS_PER_TEXT = 16
 MOST_FILTER_BITS = 1 << 28
@@ -363,14 +368,44 @@ def first_of_classes(df: DataFrame, key: str = "doc_id", text: str = "text", thr
 
 
 def _own_shares(nodes: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, own): the share of a text's runs that none of the other ``nodes`` has."""
+    """(node, own, runs, parts, rest): the share of a text's runs that none of the other ``nodes``
+    has, the number of its runs, and of the others how many are in each of ``PARTS`` parts, up to
+    ``MOST_IN_PART`` (as many planes of bits, plane p for parts with more than p), and how many beyond."""
     wanted = store_and_reload(texts.select("node", "digest").join(nodes, "node", "left_semi"), "wanted")
     sets = store_and_reload(_run_sets(rows, wanted), "runs")
     runs = sets.select("node", F.explode("runs").alias("run")).groupBy("run")
     alone = runs.agg(F.min("node").alias("node"), F.count("*").alias("_n")).where("_n = 1")
-    counted = alone.groupBy("node").agg(F.count("*").alias("_alone"))
-    share = F.coalesce("_alone", F.lit(0)) / F.size("runs")
-    return sets.join(counted, "node", "left").select("node", share.alias("own"))
+    counted = alone.groupBy("node").agg(F.collect_list("run").alias("_alone"))
+    others = F.array_except("runs", F.coalesce("_alone", F.array().cast("array<bigint>")))
+    known = sets.join(counted, "node", "left").select("node", F.size("runs").alias("runs"), others.alias("others"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, lists = batch.num_rows, batch.column(2)
+            sizes = np.diff(lists.offsets.to_numpy())
+            at = lists.flatten().to_numpy().view(np.uint64) % np.uint64(PARTS)
+            at = at.astype(np.int64) + np.repeat(np.arange(texts) * PARTS, sizes)
+            parts = np.bincount(at, minlength=texts * PARTS).reshape(texts, 1, PARTS)
+            more = parts > np.arange(MOST_IN_PART)[:, None]
+            planes = np.packbits(more, axis=2).reshape(texts, -1).view(np.int64)
+            offsets = pa.array(np.arange(texts + 1, dtype=np.int32) * planes.shape[1])
+            size = batch.column(1).to_numpy()
+            columns = [
+                batch.column(0),
+                pa.array((size - sizes) / size, pa.float64()),
+                batch.column(1),
+                pa.ListArray.from_arrays(offsets, pa.array(planes.ravel())),
+                pa.array(sizes - more.sum(axis=(1, 2)), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "own", "runs", "parts", "rest"])
+
+    return known.mapInArrow(run, "node bigint, own double, runs int, parts array<bigint>, rest bigint")
+
+
+def _most_common():
+    """How many runs two texts have in common at most, of which each has others."""
+    both = F.zip_with("parts_a", "parts", lambda a, b: F.bit_count(a.bitwiseAND(b)))
+    return F.aggregate(both, F.least("rest_a", "rest"), lambda total, count: total + count)
 
 
 def _across(shared: DataFrame, rows: DataFrame, texts: DataFrame, label: DataFrame, plan: Plan) -> DataFrame:
@@ -381,8 +416,8 @@ def _across(shared: DataFrame, rows: DataFrame, texts: DataFrame, label: DataFra
     mixed = store_and_reload(mixed.where("_l <> _h").select("band", "n"), "mixed")
     members = store_and_reload(lookup(named, mixed, "band", "n"), "members")
     shares = store_and_reload(_own_shares(members.select("node").distinct(), rows, texts), "own")
-    linked = shares.where(F.col("own") <= plan.most_own).withColumn("light", F.col("own") <= plan.light).drop("own")
-    members = members.join(linked, "node")
+    linked = shares.where(F.col("own") <= plan.most_own).withColumn("light", F.col("own") <= plan.light)
+    members = members.join(linked.select("node", "light"), "node")
     sizes = members.groupBy("band", "label").agg(F.count("*").alias("count"), F.count_if("light").alias("_light"))
     main = sizes.groupBy("band").agg(
         F.max_by("label", F.struct("count", "label")).alias("main"),
@@ -393,9 +428,11 @@ def _across(shared: DataFrame, rows: DataFrame, texts: DataFrame, label: DataFra
     # A bucket with links left has several components, and a text with few runs of its own.
     left = store_and_reload(main.where("labels > 1 AND _light > 0").select("band", "main", "n"), "left")
     inside = lookup(members, left, "band", "n").join(texts.select("node", "bands", "sketch"), "node")
+    inside = inside.join(linked.select("node", "runs", "parts", "rest"), "node")
     inside = store_and_reload(inside, "inside")
     first_shared = F.array_min(F.array_intersect("bands", "bands_a")) == F.col("band")
     near = _agreement(F.col("sketch_a"), F.col("sketch")) >= plan.least_agreement
+    enough = (1 + plan.threshold) * _most_common() >= plan.threshold * (F.col("runs_a") + F.col("runs")) - ROUNDING
     odd = inside.where("label <> main").drop("main")
     odd = odd.toDF(*[c if c == "band" else f"{c}_a" for c in odd.columns])
     once = (F.col("label") == F.col("main")) | ~F.col("light") | (F.col("node_a") < F.col("node"))
@@ -403,7 +440,7 @@ def _across(shared: DataFrame, rows: DataFrame, texts: DataFrame, label: DataFra
         odd.where("light_a").join(inside, "band").where(once),
         odd.where("NOT light_a").join(inside.where("light AND label = main"), "band"),
     ]
-    pairs = [m.where((F.col("label_a") != F.col("label")) & near & first_shared) for m in met]
+    pairs = [m.where((F.col("label_a") != F.col("label")) & near & first_shared & enough) for m in met]
     return pairs[0].unionByName(pairs[1]).select(F.least("node_a", "node").alias("a"), F.greatest("node_a", "node").alias("b"))
 
 

@@ -245,3 +245,39 @@ def test_plans():
     for threshold in (0, 0.01, 1, 1.5):
         with pytest.raises(ValueError):
             neardup.Plan.of(threshold)
+
+
+def same_partition(texts, found):
+    classes = {r.doc_id: r.class_id for r in found}
+    want = brute(texts)
+    assert len({(classes[i], want[i]) for i in range(len(texts))}) == len(set(want)) == len(set(classes.values()))
+
+
+def test_template_copies_just_below_the_threshold_are_not_verified(spark):
+    """Few own runs in each text, so only two texts' runs together show that there is no link."""
+    texts = template_copies(random.Random(10), 300, words=1000, changed=14)
+    sets = [runs(t) for t in texts[:40]]
+    shares = [len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[:i]]
+    assert min(shares) > 0.75 and sum(s >= 0.8 for s in shares) < 0.01 * len(shares)
+    few, _ = pairs_across(spark, texts[:150])
+    many, found = pairs_across(spark, texts)
+    assert many <= max(2 * few, 600)
+    same_partition(texts, found)
+
+
+def test_close_copies_of_a_template_are_still_linked(spark):
+    """Long texts, whose parts hold more runs than are counted one by one, and short ones."""
+    rng = random.Random(11)
+    texts = []
+    for words, changed in ((8000, 80), (300, 3), (300, 4)):
+        texts += template_copies(rng, 24, words, changed)
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], data.DOCUMENTS)
+    known, calls = neardup.components, []
+
+    def none_at_first(links):
+        calls.append(1)
+        return known(links.limit(0) if len(calls) == 1 else links)
+
+    with pytest.MonkeyPatch.context() as patch:  # so that all of them are met across components
+        patch.setattr(neardup, "components", none_at_first)
+        same_partition(texts, neardup.op9(df).collect())
